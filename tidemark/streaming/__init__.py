@@ -1,0 +1,6 @@
+"""No streaming operators: the described workload has no streams, watermarks or stateful steps.
+
+The row-level functions in ``tidemark.functions`` and the stored-model transforms
+(``scaling.apply_scale``, ``kmeans.assign``) are plain column expressions, so they also run on
+a streaming DataFrame.
+"""
