@@ -201,27 +201,38 @@ def attach_by_value(df: DataFrame, key: Column, table: DataFrame, distinct: int,
     )
 
 
-def midrank_percentile(df: DataFrame, column: str, out: str, small: int = SMALL_DISTINCT) -> DataFrame:
-    """Mid-rank percentile of a number among all rows; rows without a number get null."""
-    spread = measure_spread(df, [column], small)[column]
-    return attach_by_value(df, as_number(df, column), midrank_table(df, column, spread), spread.distinct, out)
+def midrank_percentile(df: DataFrame, column: str, out: str, small: int = SMALL_DISTINCT,
+                       base: DataFrame | None = None) -> DataFrame:
+    """Mid-rank percentile of a number among all rows; rows without a number get null.
+
+    ``base`` is the table the ranks are taken from. Pass the original one when adding several
+    percentiles in a row, so that each does not recompute the ones before it.
+    """
+    base = df if base is None else base
+    spread = measure_spread(base, [column], small)[column]
+    return attach_by_value(df, as_number(df, column), midrank_table(base, column, spread), spread.distinct, out)
+
+
+def date_number(column: str) -> Column:
+    return F.unix_micros(F.col(column).try_cast("timestamp")).cast("double")
 
 
-def date_percentile(df: DataFrame, column: str, out: str, small: int = SMALL_DISTINCT) -> DataFrame:
+def date_percentile(df: DataFrame, column: str, out: str, small: int = SMALL_DISTINCT,
+                    base: DataFrame | None = None) -> DataFrame:
     """Mid-rank percentile of a date or timestamp column."""
-    seconds = F.unix_micros(F.col(column).cast("timestamp")).cast("double")
-    return midrank_percentile(df.withColumn("_when", seconds), "_when", out, small).drop("_when")
+    base = (df if base is None else base).select(date_number(column).alias("_when"))
+    return midrank_percentile(df.withColumn("_when", date_number(column)), "_when", out, small, base).drop("_when")
 
 
-def frequency_percentile(df: DataFrame, column: str, out: str) -> DataFrame:
+def frequency_percentile(df: DataFrame, column: str, out: str, base: DataFrame | None = None) -> DataFrame:
     """How common the row's category is: mid-rank of its count among all category counts.
 
     Categories are compared trimmed and in lower case; fewer than two categories give 50,
     a missing category gives null.
     """
+    base = df if base is None else base
     name = F.lower(F.trim(F.col(column).cast("string")))
-    shown = F.when(name != "(missing)", name)
-    sizes = df.where(name != "").groupBy(name.alias("category")).agg(F.count(F.lit(1)).alias("rows"))
+    sizes = base.where(name != "").groupBy(name.alias("category")).agg(F.count(F.lit(1)).alias("rows"))
     # Counts of counts: never more rows than the square root of twice the table.
     steps = sizes.groupBy("rows").agg(F.count(F.lit(1)).alias("ties"))
     keyed = steps.select(F.lit("rows").alias("feature"), F.lit(0.0).alias("bucket"),
@@ -230,12 +241,11 @@ def frequency_percentile(df: DataFrame, column: str, out: str) -> DataFrame:
         F.col("value").alias("rows"),
         F.when(F.col("n") < 2, 50.0).otherwise((F.col("below") + F.col("ties") * 0.5) / F.col("n") * 100).alias("pct"),
     )
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    measured = base.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(name).alias("d")).first()
     table = sizes.join(ranked, "rows").select(
-        F.col("category").alias("value"), F.col("rows").alias("ties"), total.alias("n"), "pct"
+        F.col("category").alias("value"), F.col("rows").alias("ties"), F.lit(measured["n"]).alias("n"), "pct"
     )
-    distinct = df.agg(F.approx_count_distinct(name)).first()[0]
-    return attach_by_value(df, F.when(shown != "", shown), table, distinct, out)
+    return attach_by_value(df, F.when((name != "") & (name != "(missing)"), name), table, measured["d"], out)
 
 
 def numbered_rows(df: DataFrame, key: str, by: list[str] | None = None, out: str = "row_number",

@@ -284,24 +284,36 @@ def histogram(df: DataFrame, column: str, bins: int = 12) -> DataFrame:
 def correlation_matrix(df: DataFrame, columns: list[str], limit: int = 8) -> DataFrame:
     """(x, y, value) for every ordered pair: Pearson over pairwise-complete rows.
 
-    All pairs come from one aggregate. Null with fewer than three pairs or no variance.
+    All pairs come from one aggregate. Null with fewer than three pairs or no variance. A first
+    look finds the columns without gaps, whose variance need not be taken again for every pair.
     """
     chosen = columns[:limit]
     numbers = df.select(*[as_number(df, c).alias(c) for c in chosen])
-    aggs = []
+    filled = numbers.agg(F.count(F.lit(1)).alias("rows"), *[F.count(c).alias(f"f{i}") for i, c in enumerate(chosen)])
+    rows, *counts = filled.first()
+    whole = [n == rows for n in counts]
+    aggs = [F.var_pop(c).alias(f"v_{i}") for i, c in enumerate(chosen)]
     for i, a in enumerate(chosen):
-        for j, b in enumerate(chosen[i:], start=i):
-            both = F.col(a).isNotNull() & F.col(b).isNotNull()
-            aggs += [F.count_if(both).alias(f"n_{i}_{j}"), F.covar_pop(a, b).alias(f"c_{i}_{j}"),
-                     F.var_pop(F.when(both, F.col(a))).alias(f"a_{i}_{j}"),
-                     F.var_pop(F.when(both, F.col(b))).alias(f"b_{i}_{j}")]
+        for j, b in enumerate(chosen[i + 1:], start=i + 1):
+            aggs.append(F.covar_pop(a, b).alias(f"c_{i}_{j}"))
+            if not (whole[i] and whole[j]):
+                both = F.col(a).isNotNull() & F.col(b).isNotNull()
+                aggs += [F.count_if(both).alias(f"n_{i}_{j}"),
+                         F.var_pop(F.when(both, F.col(a))).alias(f"a_{i}_{j}"),
+                         F.var_pop(F.when(both, F.col(b))).alias(f"b_{i}_{j}")]
     wide = numbers.agg(*aggs)
     cells = []
     for i, a in enumerate(chosen):
         for j, b in enumerate(chosen):
-            k = f"{min(i, j)}_{max(i, j)}"
-            scale = F.sqrt(F.col(f"a_{k}") * F.col(f"b_{k}"))
-            value = F.when((F.col(f"n_{k}") >= 3) & (scale > 0), F.try_divide(F.col(f"c_{k}"), scale))
+            low, high = min(i, j), max(i, j)
+            if i == j:
+                n, cov, va, vb = F.lit(counts[i]), F.col(f"v_{i}"), F.col(f"v_{i}"), F.col(f"v_{i}")
+            elif whole[i] and whole[j]:
+                n, cov, va, vb = F.lit(rows), F.col(f"c_{low}_{high}"), F.col(f"v_{low}"), F.col(f"v_{high}")
+            else:
+                n, cov, va, vb = (F.col(f"{x}_{low}_{high}") for x in "ncab")
+            scale = F.sqrt(va) * F.sqrt(vb)
+            value = F.when((n >= 3) & (scale > 0), F.try_divide(cov, scale))
             cells.append(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(a).alias("x"), F.lit(b).alias("y"),
                                   value.alias("value")))
     return wide.select(F.inline(F.array(*cells)))

@@ -169,17 +169,18 @@ def scorecard_signals(df: DataFrame, roles: dict[str, str | None]) -> tuple[Data
     signals: dict[str, Column] = {}
     ranges = {"total": (15.0, 95.0), "rounds": (15.0, 95.0), "level": (15.0, 95.0), "date": (25.0, 85.0),
               "market": (35.0, 80.0)}
+    base = df
     for role, bounds in ranges.items():
         column = roles.get(role)
         if not column:
             continue
         out = f"_{role}_pct"
         if role == "date":
-            df = date_percentile(df, column, out)
+            df = date_percentile(df, column, out, base=base)
         elif role == "market":
-            df = frequency_percentile(df, column, out)
+            df = frequency_percentile(df, column, out, base)
         else:
-            df = midrank_percentile(df, column, out)
+            df = midrank_percentile(df, column, out, base=base)
         signals[role] = spread_percentile(out, *bounds)
     df = df.withColumns({f"_s_{name}": signal for name, signal in signals.items()})
     signals = {name: F.col(f"_s_{name}") for name in signals}

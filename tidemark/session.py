@@ -8,26 +8,39 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Settings that may be changed on a running session.
+RUNTIME = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.session.timeZone": "UTC",
+    # Call-site capture costs several milliseconds per column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
+
 def get_spark(app: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
     """Build a session with the settings this package is tuned for.
 
     On a cluster leave ``master`` empty and let spark-submit decide; the shuffle partition
     count then also comes from the cluster (AQE coalesces what is too fine).
     """
-    builder = (
-        SparkSession.builder.appName(app)
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-    )
+    builder = SparkSession.builder.appName(app)
+    for key, value in (RUNTIME | conf).items():
+        builder = builder.config(key, value)
     if master:
         builder = builder.master(master).config("spark.ui.enabled", "false")
-    for key, value in conf.items():
-        builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the runtime settings to a session built elsewhere."""
+    for key, value in RUNTIME.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
+    return spark
+
+
 def is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
