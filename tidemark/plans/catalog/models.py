@@ -1,0 +1,286 @@
+"""Scaling, components, clustering and segment models."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidemark.operators import components as C
+from tidemark.operators import kmeans as K
+from tidemark.operators.scaling import robust_scale, robust_scale_fallback, scale_table
+from tidemark.operators.schema import MODEL_FEATURES
+from tidemark.operators.segments import segment_recluster
+from tidemark.plans.catalog.registry import PREP, query, rounded, union_sql
+from tidemark.plans.catalog.sources import FIT_SQL, SCALED_SQL
+from tidemark.plans.catalog.statistics import _STRATA, labelled, long_sql, median_sql
+from tidemark.plans.preparation import main_segments
+from tidemark.plans.records import staged, table
+from tidemark.operators.groups import group_median
+
+KEY = "record_id"
+TEN = MODEL_FEATURES[:10]
+THREE = ["log_funding_total_usd", "venture_ratio", "early_stage_funding_ratio"]
+# Centers given to the assignment queries: scaled total, venture share, early-stage share.
+CENTERS = [[0.0, -0.5, 0.5], [0.1, 0.5, -0.5], [-2.0, 1.0, 1.0], [0.5, 0.0, 0.0]]
+
+
+def scaled_table(spark, sf_dir):
+    """Robust-scaled features, written once and shared by the model queries."""
+    return staged(spark, sf_dir, "scaled_records", lambda: robust_scale(
+        labelled(spark, sf_dir), MODEL_FEATURES, [KEY, "Cluster", "funding_total_usd"]))
+
+
+SCALED = f"{PREP}, {FIT_SQL}, {SCALED_SQL}"
+
+
+def distance_sql(center: list[float], features: list[str] = THREE) -> str:
+    return "(" + " + ".join(f"pow({f} - ({c}), 2)" for f, c in zip(features, center)) + ")"
+
+
+NEAREST = "CASE least(" + ", ".join(distance_sql(c) for c in CENTERS) + ") " + " ".join(
+    f"WHEN {distance_sql(c)} THEN {i}" for i, c in enumerate(CENTERS)) + " END"
+
+
+@query("robust_scale", f"WITH {SCALED} SELECT record_id, " + ", ".join(f"round({c}, 6) + 0.0 AS {c}" for c in MODEL_FEATURES) + " FROM scaled")
+def _robust_scale(spark, sf_dir):
+    return rounded(robust_scale(labelled(spark, sf_dir), MODEL_FEATURES, [KEY]))
+
+
+@query("robust_scale_model", f"WITH {PREP}, {FIT_SQL} SELECT feature, round(center, 6) AS center, round(scale, 6) AS scale FROM fit")
+def _robust_scale_model(spark, sf_dir):
+    return rounded(scale_table(labelled(spark, sf_dir), MODEL_FEATURES))
+
+
+# The fallback rule on the two amounts whose IQR is 0, one with gaps, and the total.
+_FB = ["private_equity", "gappy", "funding_total_usd"]
+_FB_SRC = "src AS (SELECT *, CASE WHEN category_list IS NOT NULL THEN debt_financing END AS gappy FROM prep)"
+_FB_FIT = ("ft AS MATERIALIZED (SELECT feature, md, CASE WHEN iqr <> 0 THEN iqr WHEN sd > 0 THEN sd ELSE 1 END AS sc FROM ("
+           + long_sql(_FB, f"{median_sql('{c}')} AS md, {median_sql('{c}', .75)} - {median_sql('{c}', .25)} AS iqr, stddev_pop({{c}}) AS sd", "src", "") + "))")
+_FB_Z = {c: f"greatest(-8.0::DOUBLE, least(8.0::DOUBLE, (coalesce({c}, (SELECT md FROM ft WHERE feature = '{c}')) - (SELECT md FROM ft WHERE feature = '{c}')) / (SELECT sc FROM ft WHERE feature = '{c}')))" for c in _FB}
+
+
+def _fallback_source(spark, sf_dir):
+    return labelled(spark, sf_dir).withColumn("gappy", F.when(F.col("category_list").isNotNull(), F.col("debt_financing")))
+
+
+@query("robust_scale_fallback", f"WITH {PREP}, {_FB_SRC}, {_FB_FIT} SELECT record_id, " + ", ".join(f"round({z}, 6) + 0.0 AS {c}" for c, z in _FB_Z.items()) + " FROM src")
+def _robust_scale_fallback(spark, sf_dir):
+    return rounded(robust_scale_fallback(_fallback_source(spark, sf_dir), _FB, [KEY]))
+
+
+_PAIRS = [(a, b) for a in MODEL_FEATURES for b in MODEL_FEATURES]
+
+
+@query("covariance", f"WITH {SCALED} " + union_sql(_PAIRS, lambda i, p: f"SELECT '{p[0]}' AS x, '{p[1]}' AS y, round(covar_samp({p[0]}, {p[1]}), 4) + 0.0 AS value FROM scaled"))
+def _covariance(spark, sf_dir):
+    return rounded(C.covariance(scaled_table(spark, sf_dir), MODEL_FEATURES).select("x", "y", "value"), 4)
+
+
+_FB_PAIRS = [(a, b) for a in _FB for b in _FB]
+
+
+@query("second_moments", f"WITH {PREP}, {_FB_SRC}, {_FB_FIT}, z AS (SELECT " + ", ".join(f"{z} AS {c}" for c, z in _FB_Z.items()) + " FROM src) "
+       + union_sql(_FB_PAIRS, lambda i, p: f"SELECT '{p[0]}' AS x, '{p[1]}' AS y, round(sum({p[0]} * {p[1]}) / greatest(1, count(*) - 1), 4) + 0.0 AS value FROM z"))
+def _second_moments(spark, sf_dir):
+    scaled = robust_scale_fallback(_fallback_source(spark, sf_dir), _FB, [KEY])
+    return rounded(C.covariance(scaled, _FB, centred=False).select("x", "y", "value"), 4)
+
+
+# --- principal components: the SQL finds the directions by repeated multiplication --------------
+
+ROUNDS = 400
+
+
+def power_sql(cov: str, features: list[str], k: int) -> str:
+    """CTEs d1..dk(w, lam): directions of a symmetric matrix given as ``cov(i, row)`` lists."""
+    ctes = [f"m0 AS MATERIALIZED (SELECT list(r ORDER BY i) AS m FROM {cov})"]
+    start = "[" + ", ".join(f"CAST({(i + 1) / len(features)} AS DOUBLE)" for i in range(len(features))) + "]"
+    for j in range(1, k + 1):
+        ctes.append(f"""p{j} AS (SELECT 0 AS s, {start} AS w UNION ALL SELECT s + 1, list_transform(u, lambda x: x / sqrt(list_dot_product(u, u)))
+FROM (SELECT s, list_transform((SELECT m FROM m{j - 1}), lambda r: list_dot_product(r, w)) AS u FROM p{j} WHERE s < {ROUNDS}))""")
+        ctes.append(f"""d{j} AS MATERIALIZED (SELECT CASE WHEN list_extract(w, list_position(list_transform(w, lambda x: round(abs(x), 9)), list_max(list_transform(w, lambda x: round(abs(x), 9))))) < 0
+THEN list_transform(w, lambda x: -x) ELSE w END AS w, list_dot_product(w, list_transform((SELECT m FROM m0), lambda r: list_dot_product(r, w))) AS lam FROM p{j} WHERE s = {ROUNDS})""")
+        ctes.append(f"""m{j} AS MATERIALIZED (SELECT list_transform(m, lambda r, i: list_transform(r, lambda c, q: c - lam * list_extract(w, i) * list_extract(w, q))) AS m FROM m{j - 1}, d{j})""")
+    return ", ".join(ctes)
+
+
+_COV_ROWS = "cov AS (" + union_sql(MODEL_FEATURES, lambda i, a: (
+    f"SELECT {i} AS i, [" + ", ".join(f"covar_samp({a}, {b})" for b in MODEL_FEATURES) + "] AS r FROM scaled")) + ")"
+_RECURSIVE = "WITH RECURSIVE " + SCALED + ", " + _COV_ROWS
+_TRACE = "(SELECT " + " + ".join(f"var_samp({c})" for c in MODEL_FEATURES) + " FROM scaled)"
+_VECTOR = "[" + ", ".join(f"{c} - (SELECT avg({c}) FROM scaled)" for c in MODEL_FEATURES) + "]"
+
+
+@query("pca_variance", f"""WITH {SCALED} SELECT CAST({len(MODEL_FEATURES)} AS BIGINT) AS components, round({_TRACE}, 4) AS total_variance, 1.0::DOUBLE AS cumulative""")
+def _pca_variance(spark, sf_dir):
+    table_ = C.explained_variance(scaled_table(spark, sf_dir), MODEL_FEATURES)
+    return table_.agg(F.count(F.lit(1)).alias("components"), F.round(F.sum("variance"), 4).alias("total_variance"),
+                      F.round(F.max("cumulative"), 6).alias("cumulative"))
+
+
+@query("pca_components", f"{_RECURSIVE}, {power_sql('cov', MODEL_FEATURES, 3)} "
+       + union_sql([1, 2, 3], lambda i, j: f"SELECT 'PC{j}' AS component, CAST({j} AS BIGINT) AS k, round(lam / {_TRACE}, 4) AS ratio, round(list_max(w), 4) AS top_loading FROM d{j}"))
+def _pca_components(spark, sf_dir):
+    model = C.fit_components(scaled_table(spark, sf_dir), MODEL_FEATURES, 3)
+    loadings = model.table(spark)
+    ratio = F.create_map(*[F.lit(x) for k, r in enumerate(model.ratio) for x in (f"PC{k + 1}", float(r))])
+    return loadings.groupBy("component").agg(F.max("loading").alias("top_loading")).select(
+        "component", F.substring("component", 3, 9).cast("long").alias("k"),
+        F.round(F.element_at(ratio, F.col("component")), 4).alias("ratio"), F.round("top_loading", 4).alias("top_loading"))
+
+
+@query("pca_scores", f"{_RECURSIVE}, {power_sql('cov', MODEL_FEATURES, 3)}, x AS (SELECT record_id, {_VECTOR} AS v FROM scaled) SELECT record_id, "
+       + ", ".join(f"round(list_dot_product(v, (SELECT w FROM d{j})), 4) + 0.0 AS \"PC{j}\"" for j in (1, 2, 3)) + " FROM x")
+def _pca_scores(spark, sf_dir):
+    return rounded(C.pca_scores(scaled_table(spark, sf_dir), MODEL_FEATURES, 3, [KEY]), 4)
+
+
+_FB_COV = "cov AS (" + union_sql(_FB, lambda i, a: (
+    f"SELECT {i} AS i, [" + ", ".join(f"sum({a} * {b}) / greatest(1, count(*) - 1)" for b in _FB) + "] AS r FROM z")) + ")"
+
+
+@query("pca_scores_uncentered", f"WITH RECURSIVE {PREP}, {_FB_SRC}, {_FB_FIT}, z AS MATERIALIZED (SELECT record_id, " + ", ".join(f"{z} AS {c}" for c, z in _FB_Z.items())
+       + f" FROM src), {_FB_COV}, {power_sql('cov', _FB, 3)} SELECT record_id, "
+       + ", ".join(f"round(list_dot_product([{', '.join(_FB)}], (SELECT w FROM d{j})), 4) + 0.0 AS \"PC{j}\"" for j in (1, 2, 3)) + " FROM z")
+def _pca_scores_uncentered(spark, sf_dir):
+    return rounded(C.pca_scores_uncentred(_fallback_source(spark, sf_dir), _FB, [KEY]), 4)
+
+
+@query("group_center_2d", f"{_RECURSIVE}, {power_sql('cov', MODEL_FEATURES, 2)}, x AS (SELECT \"Cluster\", {_VECTOR} AS v FROM scaled), "
+       "y AS (SELECT \"Cluster\", " + ", ".join(f"list_dot_product(v, (SELECT w FROM d{j})) AS \"PC{j}\"" for j in (1, 2)) + " FROM x) SELECT \"Cluster\", feature, round(v, 3) + 0.0 AS median FROM ("
+       + long_sql(['"PC1"', '"PC2"'], f"{median_sql('{c}')} AS v", "y").replace("'\"PC1\"'", "'PC1'").replace("'\"PC2\"'", "'PC2'") + ")")
+def _group_center_2d(spark, sf_dir):
+    scores = C.pca_scores(scaled_table(spark, sf_dir), MODEL_FEATURES, 2, [KEY, "Cluster"])
+    return rounded(C.group_centres(scores, "Cluster", ["PC1", "PC2"]), 3)
+
+
+@query("use_existing_scores", f"WITH {PREP}, {_STRATA} SELECT record_id, \"Cluster\", round(log_venture, 6) AS \"PC1\", round(venture_ratio, 6) AS \"PC2\", 0.0::DOUBLE AS \"PC3\" "
+       "FROM strata WHERE category_list IS NOT NULL")
+def _use_existing_scores(spark, sf_dir):
+    df = labelled(spark, sf_dir).select(KEY, "Cluster", F.when(F.col("category_list").isNotNull(), F.col("log_venture")).alias("PC1"),
+                                        F.col("venture_ratio").alias("PC2"))
+    return rounded(C.existing_scores(df, "Cluster", KEY))
+
+
+@query("append_scores", f"{_RECURSIVE}, {power_sql('cov', MODEL_FEATURES, 2)}, x AS (SELECT record_id, {_VECTOR} AS v FROM scaled) SELECT prep.record_id, market, funding_total_usd, "
+       + ", ".join(f"round(list_dot_product(v, (SELECT w FROM d{j})), 4) + 0.0 AS \"PC{j}\"" for j in (1, 2)) + " FROM prep JOIN x ON x.record_id = prep.record_id")
+def _append_scores(spark, sf_dir):
+    return rounded(C.append_scores(labelled(spark, sf_dir), MODEL_FEATURES).select(KEY, "market", "funding_total_usd", "PC1", "PC2"), 4)
+
+
+# --- clustering -----------------------------------------------------------------------------------
+
+
+@query("kmeans_assign", f"WITH {SCALED} SELECT record_id, CAST({NEAREST} AS INTEGER) AS \"Cluster\" FROM scaled")
+def _kmeans_assign(spark, sf_dir):
+    return K.assign(scaled_table(spark, sf_dir).select(KEY, *THREE), THREE, CENTERS).select(KEY, "Cluster")
+
+
+@query("kmeans_step", f"WITH {SCALED} SELECT CAST({NEAREST} AS INTEGER) AS cluster, count(*) AS \"rows\", " + ", ".join(
+    f"round(avg({f}), 6) + 0.0 AS {f}" for f in THREE) + " FROM scaled GROUP BY 1")
+def _kmeans_step(spark, sf_dir):
+    return rounded(K.lloyd_step(scaled_table(spark, sf_dir), THREE, CENTERS))
+
+
+@query("inertia", f"WITH {SCALED} SELECT round(sum(least({', '.join(distance_sql(c) for c in CENTERS)})), 4) AS inertia, count(*) AS \"rows\" FROM scaled")
+def _inertia(spark, sf_dir):
+    return rounded(K.inertia(scaled_table(spark, sf_dir), THREE, CENTERS), 4)
+
+
+@query("kmeans_fit", f"WITH {SCALED} SELECT count(*) AS \"rows\", 4::BIGINT AS clusters, true AS each_center_is_its_mean FROM scaled")
+def _kmeans_fit(spark, sf_dir):
+    """Fit on three components, then check the fit: every center is the mean of its rows."""
+    scores = C.pca_scores(scaled_table(spark, sf_dir), MODEL_FEATURES, 3, [KEY])
+    names = ["PC1", "PC2", "PC3"]
+    centers = K.kmeans_fit(scores, names, 4)
+    step = K.lloyd_step(scores, names, centers)
+    given = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in centers])
+    gap = F.greatest(*[F.abs(F.col(n) - F.element_at(F.element_at(given, F.col("cluster") + 1), i + 1)) for i, n in enumerate(names)])
+    return step.agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("clusters"), (F.max(gap) < 0.01).alias("each_center_is_its_mean"))
+
+
+@query("main_segments", f"WITH {PREP} SELECT count(*) AS \"rows\", 4::BIGINT AS labels, count(DISTINCT record_id) AS keys FROM prep")
+def _main_segments(spark, sf_dir):
+    prepared = labelled(spark, sf_dir).drop("Cluster")
+    out = main_segments(prepared, KEY, starts=3)
+    return out.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("Cluster").alias("labels"), F.countDistinct(KEY).alias("keys"))
+
+
+_SEED_FEATURES = ["log_funding_total_usd", "venture_ratio", "stage_level"]
+SEED_ROUNDS = 45
+
+
+def seeded_sql(k: int) -> str:
+    """The seeded clustering unrolled: one CTE of centers per round, kept once labels stop moving."""
+    f = _SEED_FEATURES
+    fit = "sf AS MATERIALIZED (SELECT " + ", ".join(
+        f"{median_sql(c)} AS m{i}, CASE WHEN {median_sql(c, .75)} = {median_sql(c, .25)} THEN 1 ELSE {median_sql(c, .75)} - {median_sql(c, .25)} END AS s{i}"
+        for i, c in enumerate(f)) + " FROM prep)"
+    pts = ("pts AS MATERIALIZED (SELECT record_id, row_number() OVER (ORDER BY record_id) - 1 AS p, "
+           + ", ".join(f"({c} - m{i}) / s{i} AS x{i}" for i, c in enumerate(f)) + " FROM prep, sf)")
+    ctes = [fit, pts, "c0 AS MATERIALIZED (SELECT j, x0, x1, x2 FROM pts JOIN (SELECT j, CAST(floor(j / "
+            f"{k - 1}.0::DOUBLE * ((SELECT count(*) FROM pts) - 1)) AS BIGINT) AS at FROM range({k}) t(j)) q ON q.at = pts.p)"]
+    label = ("arg_min(c.j, (pow(p.x0 - c.x0, 2) + pow(p.x1 - c.x1, 2) + pow(p.x2 - c.x2, 2), c.j))")
+    for r in range(1, SEED_ROUNDS + 1):
+        ctes.append(f"l{r} AS MATERIALIZED (SELECT p.record_id, {label} AS j FROM pts p, c{r - 1} c GROUP BY 1)")
+        ctes.append(f"c{r} AS MATERIALIZED (SELECT c.j, coalesce(avg(p.x0), any_value(c.x0)) AS x0, coalesce(avg(p.x1), any_value(c.x1)) AS x1, coalesce(avg(p.x2), any_value(c.x2)) AS x2 "
+                    f"FROM c{r - 1} c LEFT JOIN l{r} l ON l.j = c.j LEFT JOIN pts p ON p.record_id = l.record_id GROUP BY c.j)")
+    return f"WITH {PREP}, " + ", ".join(ctes) + f" SELECT record_id, CAST(j AS VARCHAR) AS __cluster FROM l{SEED_ROUNDS}"
+
+
+@query("kmeans_seeded", seeded_sql(4))
+def _kmeans_seeded(spark, sf_dir):
+    df = labelled(spark, sf_dir).select(KEY, *_SEED_FEATURES)
+    return K.kmeans_seeded_labels(df, _SEED_FEATURES, KEY, 4).select(KEY, "__cluster")
+
+
+@query("ensure_labels", f"WITH {PREP} SELECT record_id, \"Cluster\" AS label, 4::BIGINT AS labels FROM prep")
+def _ensure_labels(spark, sf_dir):
+    df, column, k = K.ensure_labels(labelled(spark, sf_dir), MODEL_FEATURES, KEY)
+    return df.select(KEY, F.col(column).alias("label"), F.lit(k).cast("long").alias("labels"))
+
+
+@query("ensure_labels_fallback", seeded_sql(4))
+def _ensure_labels_fallback(spark, sf_dir):
+    unlabelled = labelled(spark, sf_dir).select(KEY, *_SEED_FEATURES, F.lit(" ").alias("Cluster"))
+    df, column, _ = K.ensure_labels(unlabelled, _SEED_FEATURES, KEY)
+    return df.select(KEY, F.col(column).alias("__cluster"))
+
+
+@query("silhouette", f"""WITH {SCALED}, s AS MATERIALIZED (SELECT record_id, "Cluster" AS l, {', '.join(THREE)} FROM scaled ORDER BY md5(record_id || ':42'), record_id LIMIT 1500),
+d AS (SELECT a.record_id, a.l AS own, b.l AS other, sum(sqrt({' + '.join(f'pow(a.{f} - b.{f}, 2)' for f in THREE)})) AS d, count(*) AS n FROM s a, s b GROUP BY 1, 2, 3),
+w AS (SELECT record_id, max(CASE WHEN own = other THEN d / greatest(n - 1, 1) END) AS a, max(CASE WHEN own = other THEN n END) AS n, min(CASE WHEN own <> other THEN d / n END) AS b FROM d GROUP BY 1)
+SELECT round(avg(CASE WHEN n > 1 AND b IS NOT NULL AND greatest(a, b) > 0 THEN (b - a) / greatest(a, b) ELSE 0 END), 6) AS silhouette, count(*) AS "rows" FROM w""")
+def _silhouette(spark, sf_dir):
+    return rounded(K.silhouette(scaled_table(spark, sf_dir), THREE, "Cluster", KEY, 1500))
+
+
+@query("k_sweep")
+def _k_sweep(spark, sf_dir):
+    inside = staged(spark, sf_dir, "segment_scaled", lambda: scaled_table(spark, sf_dir).where(F.col("Cluster") == "0"))
+    return rounded(K.k_sweep(inside, MODEL_FEATURES, KEY, range(2, 10), 2000, starts=2), 3)
+
+
+@query("segment_recluster", f"WITH {PREP} SELECT count(*) AS \"rows\", 3::BIGINT AS labels, true AS sizes_fall FROM prep WHERE \"Cluster\" = '0'")
+def _segment_recluster(spark, sf_dir):
+    out = segment_recluster(scaled_table(spark, sf_dir), "Cluster", "0", MODEL_FEATURES, 3, starts=3)
+    sizes = out.groupBy("SubCluster").agg(F.count(F.lit(1)).alias("n"))
+    # Canonical order: label 0 is the largest.
+    first = F.max_by("n", -F.col("SubCluster"))
+    return sizes.agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("labels"), (first == F.max("n")).alias("sizes_fall"))
+
+
+@query("compare_partitions", f"""WITH {SCALED}, t AS (SELECT "Cluster" AS a, CAST({NEAREST} AS INTEGER) AS b, count(*) AS n FROM scaled GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY n DESC, b) AS k FROM t) SELECT a AS "Cluster", b AS given, n AS "rows", k = 1 AS matched FROM r""")
+def _compare_partitions(spark, sf_dir):
+    both = K.assign(scaled_table(spark, sf_dir), THREE, CENTERS, "given")
+    return K.compare_partitions(both, "Cluster", "given")
+
+
+@query("embedding_components", "SELECT count(*) AS \"rows\", 3::BIGINT AS components, true AS centred FROM embeddings")
+def _embedding_components(spark, sf_dir):
+    """Components of a wide table (64 values) through Spark ML; the scores have mean 0."""
+    names = [f"e{i}" for i in range(64)]
+    df = table(spark, sf_dir, "embeddings").select("vec_id", *[F.element_at("embedding", i + 1).cast("double").alias(n) for i, n in enumerate(names)])
+    scores = C.pca_scores(df, names, 3, ["vec_id"])
+    means = F.greatest(*[F.abs(F.avg(f"PC{k}")) for k in (1, 2, 3)])
+    return scores.agg(F.count(F.lit(1)).alias("rows"), F.lit(3).cast("long").alias("components"), (means < 1e-9).alias("centred"))

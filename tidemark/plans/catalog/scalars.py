@@ -291,10 +291,10 @@ def _signals(spark, sf_dir):
 @query("weighted_signals", f"""WITH {RAW}, {_SIGNAL_SQL} SELECT record_id, round(CASE WHEN coalesce(a, b, c) IS NULL THEN 50 ELSE
 (coalesce(a, 0) * 3 + CASE WHEN b IS NULL THEN 0 ELSE least(b, 100) END * 1.8 + coalesce(c, 0) * 0.5) /
 (CASE WHEN a IS NULL THEN 0 ELSE 3 END + CASE WHEN b IS NULL THEN 0 ELSE 1.8 END + CASE WHEN c IS NULL THEN 0 ELSE 0.5 END)
-END::DOUBLE, 6) AS score FROM v""")
+END::DOUBLE, 9) AS score FROM v""")
 def _weighted_signals(spark, sf_dir):
     mean = S.weighted_mean([(F.col("a"), 3.0), (F.col("b"), 1.8), (F.col("c"), 0.5)])
-    return rounded(_signals(spark, sf_dir).select("record_id", mean.alias("score")))
+    return rounded(_signals(spark, sf_dir).select("record_id", mean.alias("score")), 9)
 
 
 @query("signals_used", f"""WITH {RAW}, {_SIGNAL_SQL} SELECT record_id, concat_ws(', ', CASE WHEN a IS NOT NULL THEN 'Total funding' END,

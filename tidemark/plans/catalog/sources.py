@@ -174,12 +174,11 @@ def _preferred_columns(spark, sf_dir):
 
 
 @query("resolve_roles", f"""WITH {PREP} SELECT record_id, name, market, country_code AS country, date, status,
-CAST(stage_level AS BIGINT) AS "level", funding_rounds AS rounds, funding_total_usd AS total, "Cluster" AS profile FROM prep""")
+stage_level AS "level", stage_level AS stage, funding_rounds AS rounds, funding_total_usd AS total, "Cluster" AS profile FROM prep""")
 def _resolve_roles(spark, sf_dir):
     df = labelled_records(spark, sf_dir)
     roles = {role: c for role, c in resolve_roles(df.columns, "Cluster").items() if c}
-    chosen = df.select("record_id", *[F.col(c).alias(role) for role, c in roles.items()])
-    return chosen.withColumn("level", F.col("level").cast("long")).drop("stage")
+    return df.select("record_id", *[F.col(c).alias(role) for role, c in roles.items()])
 
 
 @query("coerce_number", """
