@@ -10,7 +10,7 @@ from dataclasses import dataclass
 
 import numpy as np
 from pyspark.ml.feature import PCA, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.values import as_number
@@ -110,15 +110,19 @@ def _fit_wide(df: DataFrame, features: list[str], k: int) -> Components:
                       tuple(map(float, variance)), trace)
 
 
-def project(df: DataFrame, model: Components, keep: list[str]) -> DataFrame:
-    """The kept columns beside PC1, PC2, ..."""
+def score_columns(model: Components) -> list[Column]:
     scores = []
     for k, weights in enumerate(model.loadings):
         score = F.lit(0.0)
         for feature, centre, weight in zip(model.features, model.centre, weights):
             score = score + (F.col(feature) - F.lit(centre)) * F.lit(weight)
         scores.append(score.alias(f"PC{k + 1}"))
-    return df.select(*keep, *scores)
+    return scores
+
+
+def project(df: DataFrame, model: Components, keep: list[str]) -> DataFrame:
+    """The kept columns beside PC1, PC2, ..."""
+    return df.select(*keep, *score_columns(model))
 
 
 def explained_variance(df: DataFrame, features: list[str]) -> DataFrame:
@@ -164,5 +168,5 @@ def append_scores(df: DataFrame, features: list[str], k: int = 2) -> DataFrame:
     filled = df.withColumns({f"_f{i}": F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for i, f in enumerate(features)})
     names = [f"_f{i}" for i in range(len(features))]
     model = fit_scale(filled, names)
-    scaled = filled.withColumns({n: c for n, c in zip(names, scaled_columns(filled, model))})
+    scaled = filled.withColumns(dict(zip(names, scaled_columns(filled, model))))
     return project(scaled, fit_components(scaled, names, k), list(df.columns))

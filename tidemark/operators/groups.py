@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.scores import STATUS_CLASSES, normalize_status
 from tidemark.functions.text import HINT_NAMES, format_money, format_percent, map_values
 from tidemark.functions.values import MISSING, as_number, display_value, raw_share
-from tidemark.operators.order import exact_quantiles
+from tidemark.operators.order import exact_quantiles, join_checked
 from tidemark.operators.profiling import _moments, basic_stats, coerce_number_symbols, join_null_safe
 from tidemark.operators.schema import unpivot
 
@@ -68,8 +68,7 @@ def group_boxplot(df: DataFrame, label: str, features: list[str]) -> DataFrame:
     reach = (F.col("q3") - F.col("q1")) * 1.5
     fences = box.groupBy(label).pivot("feature", features).agg(
         F.first(F.col("q1") - reach).alias("low"), F.first(F.col("q3") + reach).alias("high"))
-    # One fence row per label beside the data: the label table is as small as the number of labels.
-    joined = rows.select(label, *[as_number(rows, f).alias(f) for f in features]).join(fences, label)
+    joined = join_checked(rows.select(label, *[as_number(rows, f).alias(f) for f in features]), fences, label)
     aggs = []
     for i, f in enumerate(features):
         aggs += [F.min(F.when(F.col(f) >= F.col(f"{f}_low"), F.col(f))).alias(f"lo{i}"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from dataclasses import replace
 from functools import reduce
 
 import numpy as np
@@ -13,10 +14,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.values import MISSING, display_value
+from tidemark.operators.components import Components, score_columns
 from tidemark.operators.groups import top_n_per_group
-from tidemark.operators.order import numbered_rows
+from tidemark.operators.order import rows_at
 from tidemark.operators.sampling import random_sample
-from tidemark.operators.scaling import robust_scale_fallback
+from tidemark.operators.scaling import Scale, apply_scale, fit_scale, scaled_columns
 from tidemark.session import cut_lineage
 
 Centers = list[list[float]]
@@ -88,8 +90,8 @@ def evenly_spaced_rows(df: DataFrame, features: list[str], key: str, k: int) ->
     """The rows at k evenly spaced places in key order."""
     total = df.count()
     places = [int(math.floor(i / max(1, k - 1) * (total - 1))) + 1 for i in range(k)]
-    placed = numbered_rows(df.select(key, *features), key, out="_place").where(F.col("_place").isin(*places))
-    found = {r["_place"]: [float(r[f]) for f in features] for r in placed.collect()}
+    found = {r["_place"]: [float(r[f]) for f in features]
+             for r in rows_at(df.select(key, *features), key, places, "_place").collect()}
     return [list(found[p]) for p in places]
 
 
@@ -119,13 +121,25 @@ def kmeans_seeded(df: DataFrame, features: list[str], key: str, k: int, max_roun
     return previous, rounds
 
 
+def label_rows(df: DataFrame, scale: Scale, centers: Centers, out: str, components: Components | None = None) -> DataFrame:
+    """Label every row of a wide table with fitted models: a projection, no join back and no shuffle."""
+    scaled = [f"_z{i}" for i in range(len(scale.features))]
+    wide = df.withColumns(dict(zip(scaled, scaled_columns(df, scale, scaled))))
+    names = scaled
+    if components:
+        names = [f"_p{i}" for i in range(len(components.loadings))]
+        moved = replace(components, features=tuple(scaled))
+        wide = wide.withColumns(dict(zip(names, score_columns(moved))))
+    return assign(wide, names, centers, out).drop(*scaled, *names)
+
+
 def kmeans_seeded_labels(df: DataFrame, features: list[str], key: str, k: int, out: str = "__cluster") -> DataFrame:
-    """Every row with its label (as text) by the seeded rule on fallback-scaled features."""
+    """Every row with its label (as text) by the seeded rule: missing at the median, IQR 0 divides by 1."""
     used = features[:SEEDED_FEATURES]
-    scaled = cut_lineage(robust_scale_fallback(df, used, [key], bound=None))
-    centers, _ = kmeans_seeded(scaled, used, key, k)
-    labels = assign(scaled, used, centers, out).select(key, F.col(out).cast("string").alias(out))
-    return df.join(labels, key)
+    scale = replace(fit_scale(df, used), fill_centre=True)
+    # The rounds read a narrow written table.
+    centers, _ = kmeans_seeded(cut_lineage(apply_scale(df, scale, [key])), used, key, k)
+    return label_rows(df, scale, centers, out).withColumn(out, F.col(out).cast("string"))
 
 
 def fallback_k(rows: int) -> int:
@@ -158,16 +172,23 @@ def silhouette(df: DataFrame, features: list[str], label: str, key: str, sample_
                seed: int = SEED) -> DataFrame:
     """Mean Euclidean silhouette of a sample: (silhouette, rows).
 
-    The statistic compares all pairs, so it is defined on a sample of fixed size (at most
-    ``sample_rows`` rows). The sample is broadcast as one numpy block; each task scores its own
-    sample rows against it. Clusters with one sampled row score 0, as does a single cluster.
+    The statistic compares all pairs, so it is defined on a sample of fixed size.
     """
     sample = random_sample(df.select(key, F.col(label).cast("string").alias("_label"), *features), key, sample_rows, seed)
-    block = sample.toPandas()
+    return sample_silhouette(sample, features, "_label")
+
+
+def sample_silhouette(sample: DataFrame, features: list[str], label: str) -> DataFrame:
+    """Exact silhouette of a table that is already a bounded sample.
+
+    The sample is broadcast as one numpy block; each task scores its own rows against it.
+    A cluster with one row scores 0, as does a single cluster.
+    """
+    block = sample.select(F.col(label).cast("string").alias("_label"), *features).toPandas()
     codes, names = pd.factorize(block["_label"], sort=True)
     points = block[features].to_numpy(dtype=float)
     sizes = np.bincount(codes, minlength=len(names))
-    spark = df.sparkSession
+    spark = sample.sparkSession
     shared = spark.sparkContext.broadcast((points, codes, sizes))
 
     def score(batches):
@@ -199,21 +220,27 @@ def silhouette(df: DataFrame, features: list[str], label: str, key: str, sample_
 
 def k_sweep(df: DataFrame, features: list[str], key: str, ks=range(2, 10), sample_rows: int = 5000,
             starts: int = STARTS) -> DataFrame:
-    """(k, inertia, silhouette, sizes) for several K on the same table."""
+    """(k, inertia, silhouette, sizes) for several K on the same table.
+
+    The silhouette sample does not depend on K and is drawn once; inertia and sizes of one K
+    come from one pass.
+    """
+    sample = cut_lineage(random_sample(df.select(key, *features), key, sample_rows))
     table = None
     for k in ks:
         centers = kmeans_fit(df, features, k, starts=starts)
-        labelled = assign(df, features, centers)
-        sizes = labelled.groupBy("Cluster").agg(F.count(F.lit(1)).alias("rows"))
-        size_text = sizes.agg(F.array_join(F.transform(
-            F.array_sort(F.collect_list(F.struct("Cluster", "rows"))),
-            lambda r: F.concat_ws(": ", r["Cluster"].cast("string"), r["rows"].cast("string"))), ", ").alias("s"))
-        quality = silhouette(labelled, features, "Cluster", key, sample_rows)
-        row = inertia(df, features, centers).select(
-            F.lit(k).alias("k"), "inertia", quality.select("silhouette").scalar().alias("silhouette"),
-            size_text.scalar().alias("sizes"))
+        near = F.array_min(_distances(features, centers)).alias("d")
+        groups = df.select(nearest(features, centers).alias("cluster"), near).groupBy("cluster").agg(
+            F.count(F.lit(1)).alias("rows"), F.sum("d").alias("d"))
+        # At most k entries.
+        sizes = F.array_sort(F.collect_list(F.struct("cluster", "rows")))
+        text = F.array_join(F.transform(sizes, lambda r: F.concat_ws(": ", r["cluster"].cast("string"),
+                                                                     r["rows"].cast("string"))), ", ")
+        quality = sample_silhouette(assign(sample, features, centers), features, "Cluster")
+        row = groups.agg(F.lit(k).alias("k"), F.sum("d").alias("inertia"), text.alias("sizes")).withColumn(
+            "silhouette", quality.select("silhouette").scalar())
         table = row if table is None else table.unionByName(row)
-    return table
+    return table.select("k", "inertia", "silhouette", "sizes")
 
 
 def compare_partitions(df: DataFrame, a: str, b: str) -> DataFrame:

@@ -1,13 +1,13 @@
-"""Exact order statistics and mid-ranks that hold at any number of distinct values.
+"""Exact order statistics and mid-ranks that hold at any number of rows and distinct values.
 
-Two ways, chosen by a measured bound:
+Two ways, chosen by measured size:
 
-* Few distinct values (``SMALL_DISTINCT``): Spark's ``percentile`` aggregate. Its state is a
-  value -> count map, so its size is the number of distinct values, not of rows.
-* More: the values are counted first (a hot value becomes one row per map task), cut into
+* Small tables (``SMALL_ROWS``): Spark's ``percentile`` aggregate. It merges the value -> count
+  maps of all tasks of a group in one task, which is fast only while the table is small.
+* Larger ones: the values are counted first (a hot value becomes one row per map task), cut into
   buckets at approximate quantiles, and a running count is taken inside each bucket on top of
   the bucket totals. The approximate cut points decide only which task a value goes to, so the
-  result is exact, and no task ever holds a whole column.
+  result is exact, and no task ever holds a whole column or a whole group.
 """
 
 from __future__ import annotations
@@ -19,7 +19,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.values import as_number
+from tidemark.session import cut_lineage
 
+SMALL_ROWS = 5_000_000
+# Up to this many distinct values one bucket, and a lookup table of this size, are small.
 SMALL_DISTINCT = 200_000
 VALUES_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 4096
@@ -31,8 +34,9 @@ QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
 @dataclass(frozen=True)
 class Spread:
-    """Measured size of one column: approximate distinct count and bucket cut points."""
+    """Measured size of one column: rows, approximate distinct count and bucket cut points."""
 
+    rows: int
     distinct: int
     splits: tuple[float, ...] = ()
 
@@ -42,7 +46,7 @@ def measure_spread(df: DataFrame, columns: list[str], small: int = SMALL_DISTINC
     """One bounded aggregate per call, and a second one only for columns above ``small``."""
     if not columns:
         return {}
-    counts = df.agg(*[F.approx_count_distinct(as_number(df, c)).alias(f"c{i}") for i, c in enumerate(columns)]).first()
+    rows, *counts = df.agg(F.count(F.lit(1)), *[F.approx_count_distinct(as_number(df, c)) for c in columns]).first()
     distinct = dict(zip(columns, counts))
     large = [c for c in columns if distinct[c] > small]
     splits: dict[str, tuple[float, ...]] = {}
@@ -54,7 +58,7 @@ def measure_spread(df: DataFrame, columns: list[str], small: int = SMALL_DISTINC
             aggs.append(F.percentile_approx(as_number(df, c), probs, 4 * MAX_BUCKETS))
         for c, cuts in zip(large, df.agg(*aggs).first()):
             splits[c] = tuple(sorted(set(cuts or [])))
-    return {c: Spread(distinct[c], splits.get(c, ())) for c in columns}
+    return {c: Spread(rows, distinct[c], splits.get(c, ())) for c in columns}
 
 
 def _with_buckets(df: DataFrame, spreads: dict[str, Spread]) -> DataFrame:
@@ -104,7 +108,7 @@ def running_counts(counts: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], probs: dict[str, float] | None = None,
-                    by: list[str] | None = None, small: int = SMALL_DISTINCT,
+                    by: list[str] | None = None, small_rows: int = SMALL_ROWS, small: int = SMALL_DISTINCT,
                     per_bucket: int = VALUES_PER_BUCKET) -> DataFrame:
     """Long table (by..., feature, <one column per quantile>), linear interpolation at (n-1)*p.
 
@@ -112,24 +116,14 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: dict[str, float] |
     """
     probs = probs or QUARTILES
     by = by or []
-    spreads = measure_spread(df, columns, small, per_bucket)
-    fast = [c for c in columns if spreads[c].distinct <= small]
-    slow = [c for c in columns if c not in fast]
-    parts = []
-    if fast:
-        aggs = [F.percentile(as_number(df, c), list(probs.values())).alias(f"q{i}") for i, c in enumerate(fast)]
-        wide = df.groupBy(*by).agg(*aggs)
+    if df.count() <= small_rows:
+        aggs = [F.percentile(as_number(df, c), list(probs.values())).alias(f"q{i}") for i, c in enumerate(columns)]
         cells = F.array(*[
             F.struct(F.lit(c).alias("feature"), *[F.col(f"q{i}")[j].alias(name) for j, name in enumerate(probs)])
-            for i, c in enumerate(fast)
+            for i, c in enumerate(columns)
         ])
-        parts.append(wide.select(*by, F.inline(cells)))
-    if slow:
-        parts.append(_ranked_quantiles(df, slow, probs, by, spreads))
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+        return df.groupBy(*by).agg(*aggs).select(*by, F.inline(cells))
+    return _ranked_quantiles(df, columns, probs, by, measure_spread(df, columns, small, per_bucket))
 
 
 def _ranked_quantiles(df: DataFrame, columns: list[str], probs: dict[str, float], by: list[str],
@@ -171,19 +165,20 @@ def midrank_table(df: DataFrame, column: str, spread: Spread) -> DataFrame:
     return ranked.select("value", "ties", "n", F.when(F.col("n") < 2, 50.0).otherwise(pct).alias("pct"))
 
 
-def attach_by_value(df: DataFrame, key: Column, table: DataFrame, distinct: int, out: str) -> DataFrame:
+def attach_by_value(df: DataFrame, key: Column, table: DataFrame, distinct: int, out: str,
+                    small: int = SMALL_DISTINCT) -> DataFrame:
     """Left-join ``table(value, ties, n, pct)`` on a row value and name its pct ``out``.
 
-    A table of at most ``SMALL_DISTINCT`` values is broadcast (its size was measured). Beyond
+    A table of at most ``small`` values is broadcast (its size was measured). Beyond
     that the values held by more than one row in a thousand, at most a thousand of them, are
     looked up by broadcast, and only the other rows are matched by shuffle. Resolved rows and
     rows without a value are spread over all tasks by a row hash, so no key is hot.
     """
     row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
     rows = df.withColumn("_key", key)
-    if distinct <= SMALL_DISTINCT:
-        small = F.broadcast(table.select(F.col("value").alias("_key"), F.col("pct").alias(out)))
-        return rows.join(small, "_key", "left").drop("_key")
+    if distinct <= small:
+        lookup = F.broadcast(table.select(F.col("value").alias("_key"), F.col("pct").alias(out)))
+        return rows.join(lookup, "_key", "left").drop("_key")
     is_hot = F.col("ties") * HOT_SHARE > F.col("n")
     hot = table.where(is_hot).select(F.col("value").alias("_key"), F.col("pct").alias("_hot"))
     cold = table.where(~is_hot).select(
@@ -210,7 +205,8 @@ def midrank_percentile(df: DataFrame, column: str, out: str, small: int = SMALL_
     """
     base = df if base is None else base
     spread = measure_spread(base, [column], small)[column]
-    return attach_by_value(df, as_number(df, column), midrank_table(base, column, spread), spread.distinct, out)
+    table = midrank_table(base, column, spread)
+    return attach_by_value(df, as_number(df, column), table, spread.distinct, out, small)
 
 
 def date_number(column: str) -> Column:
@@ -224,7 +220,8 @@ def date_percentile(df: DataFrame, column: str, out: str, small: int = SMALL_DIS
     return midrank_percentile(df.withColumn("_when", date_number(column)), "_when", out, small, base).drop("_when")
 
 
-def frequency_percentile(df: DataFrame, column: str, out: str, base: DataFrame | None = None) -> DataFrame:
+def frequency_percentile(df: DataFrame, column: str, out: str, base: DataFrame | None = None,
+                         small: int = SMALL_DISTINCT) -> DataFrame:
     """How common the row's category is: mid-rank of its count among all category counts.
 
     Categories are compared trimmed and in lower case; fewer than two categories give 50,
@@ -245,7 +242,13 @@ def frequency_percentile(df: DataFrame, column: str, out: str, base: DataFrame |
     table = sizes.join(ranked, "rows").select(
         F.col("category").alias("value"), F.col("rows").alias("ties"), F.lit(measured["n"]).alias("n"), "pct"
     )
-    return attach_by_value(df, F.when((name != "") & (name != "(missing)"), name), table, measured["d"], out)
+    return attach_by_value(df, F.when((name != "") & (name != "(missing)"), name), table, measured["d"], out, small)
+
+
+def _bucketed_rows(df: DataFrame, key: str, small: int, per_bucket: int) -> DataFrame:
+    spread = measure_spread(df, [key], small, per_bucket)[key]
+    rows = _with_buckets(df.withColumn("_order", as_number(df, key)), {"_order": spread})
+    return rows.withColumnRenamed("_order__bucket", "_bucket")
 
 
 def numbered_rows(df: DataFrame, key: str, by: list[str] | None = None, out: str = "row_number",
@@ -256,9 +259,7 @@ def numbered_rows(df: DataFrame, key: str, by: list[str] | None = None, out: str
     one task. Small tables get one bucket, where this is a plain ``row_number``.
     """
     by = by or []
-    spread = measure_spread(df, [key], small, per_bucket)[key]
-    rows = df.withColumn("_order", as_number(df, key))
-    rows = _with_buckets(rows, {"_order": spread}).withColumnRenamed("_order__bucket", "_bucket")
+    rows = _bucketed_rows(df, key, small, per_bucket)
     sizes = rows.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_size"))
     earlier = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(*[F.col(b).alias(f"_by_{b}") for b in by], F.col("_bucket").alias("_start_bucket"),
@@ -271,3 +272,36 @@ def numbered_rows(df: DataFrame, key: str, by: list[str] | None = None, out: str
     return numbered.withColumn(out, (F.col("_before") + F.col("_in_bucket")).cast("long")).drop(
         "_order", "_bucket", "_start_bucket", "_before", "_in_bucket", *[f"_by_{b}" for b in by]
     )
+
+
+def rows_at(df: DataFrame, key: str, places: list[int], out: str = "row_number", small: int = SMALL_DISTINCT,
+            per_bucket: int = VALUES_PER_BUCKET) -> DataFrame:
+    """The rows at a few 1-based places in key order; only the buckets holding one are sorted."""
+    rows = _bucketed_rows(df, key, small, per_bucket)
+    # At most MAX_BUCKETS counts reach the driver.
+    sizes = sorted((r["_bucket"], r["n"]) for r in rows.groupBy("_bucket").agg(F.count(F.lit(1)).alias("n")).collect())
+    before, starts = 0, {}
+    for bucket, n in sizes:
+        if any(before < p <= before + n for p in places):
+            starts[bucket] = before
+        before += n
+    if not starts:
+        return rows.limit(0).withColumn(out, F.lit(0).cast("long")).drop("_order", "_bucket")
+    start = F.create_map(*[F.lit(x) for pair in starts.items() for x in pair])[F.col("_bucket")]
+    here = Window.partitionBy("_bucket").orderBy("_order")
+    near = rows.where(F.col("_bucket").isin(*starts)).withColumn(
+        out, (start + F.row_number().over(here)).cast("long"))
+    return near.where(F.col(out).isin(*places)).drop("_order", "_bucket")
+
+
+def join_checked(rows: DataFrame, table: DataFrame, key: str, how: str = "inner",
+                 limit: int = SMALL_DISTINCT) -> DataFrame:
+    """Join a table that has one row per group: broadcast if its counted size allows, else by shuffle.
+
+    The table is written once, so counting it does not compute it twice, and the rows are not
+    sent to one task per group only to meet a few values.
+    """
+    table = cut_lineage(table)
+    if table.count() <= limit:
+        table = F.broadcast(table)
+    return rows.join(table, key, how)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.values import as_number, clip
-from tidemark.operators.order import QUARTILES, SMALL_DISTINCT, exact_quantiles
+from tidemark.operators.order import QUARTILES, SMALL_ROWS, exact_quantiles
 
 # Fixed value: bound of scaled values in the fallback rule.
 SCALED_BOUND = 8.0
@@ -30,12 +30,12 @@ class Scale:
         return spark.range(1).select(F.inline(F.array(*rows)))
 
 
-def scale_table(df: DataFrame, features: list[str], fallback: bool = False, small: int = SMALL_DISTINCT) -> DataFrame:
+def scale_table(df: DataFrame, features: list[str], fallback: bool = False, small_rows: int = SMALL_ROWS) -> DataFrame:
     """(feature, center, scale): median and IQR; an IQR of 0 becomes 1.
 
     With ``fallback`` an IQR of 0 becomes the population deviation, and only then 1.
     """
-    quartiles = exact_quantiles(df, features, QUARTILES, small=small)
+    quartiles = exact_quantiles(df, features, QUARTILES, small_rows=small_rows)
     iqr = F.col("q3") - F.col("q1")
     if fallback:
         stds = df.agg(*[F.stddev_pop(as_number(df, f)).alias(f"s{i}") for i, f in enumerate(features)])
@@ -48,22 +48,24 @@ def scale_table(df: DataFrame, features: list[str], fallback: bool = False, smal
     return quartiles.select("feature", F.coalesce("median", F.lit(0.0)).alias("center"), scale.alias("scale"))
 
 
-def fit_scale(df: DataFrame, features: list[str], fallback: bool = False, small: int = SMALL_DISTINCT) -> Scale:
+def fit_scale(df: DataFrame, features: list[str], fallback: bool = False, small_rows: int = SMALL_ROWS) -> Scale:
     """``scale_table`` as literals: one row per feature reaches the driver."""
-    rows = {r["feature"]: r for r in scale_table(df, features, fallback, small).collect()}
+    rows = {r["feature"]: r for r in scale_table(df, features, fallback, small_rows).collect()}
     return Scale(tuple(features), tuple(rows[f]["center"] for f in features), tuple(rows[f]["scale"] for f in features))
 
 
-def scaled_columns(df: DataFrame, model: Scale) -> list[Column]:
+def scaled_columns(df: DataFrame, model: Scale, names: list[str] | None = None) -> list[Column]:
+    """The scaled features under their own names, or under the given ones."""
     columns = []
-    for feature, centre, scale in zip(model.features, model.centre, model.scale):
+    names = names or list(model.features)
+    for feature, centre, scale, name in zip(model.features, model.centre, model.scale, names):
         x = as_number(df, feature)
         if model.fill_centre:
             x = F.coalesce(x, F.lit(float(centre)))
         z = (x - F.lit(float(centre))) / F.lit(float(scale))
         if model.bound is not None:
             z = clip(z, -model.bound, model.bound)
-        columns.append(z.alias(feature))
+        columns.append(z.alias(name))
     return columns
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.values import as_number
 from tidemark.operators.groups import group_overview, group_stats, keyed
 from tidemark.operators.kmeans import assign, kmeans_fit
-from tidemark.operators.order import exact_quantiles
+from tidemark.operators.order import exact_quantiles, join_checked
 
 # Names of the three subgroups.
 VENTURE_NAME = "Small / early venture-backed"
@@ -43,8 +43,8 @@ def segment_names(df: DataFrame, label: str) -> DataFrame:
 
 
 def name_segments(df: DataFrame, label: str, out: str = "SubCluster_Name") -> DataFrame:
-    """Rows with their segment name; the name table has one row per label."""
-    return df.join(segment_names(df, label).withColumnRenamed("name", out), label, "left")
+    """Rows with their segment name."""
+    return join_checked(df, segment_names(df, label).withColumnRenamed("name", out), label, "left")
 
 
 def segment_summary(df: DataFrame, label: str) -> DataFrame:

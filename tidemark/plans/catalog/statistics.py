@@ -10,7 +10,13 @@ from tidemark.functions.values import display_value
 from tidemark.operators import groups as G
 from tidemark.operators import profiling as P
 from tidemark.operators import sampling
-from tidemark.operators.order import date_percentile, exact_quantiles, frequency_percentile, midrank_percentile
+from tidemark.operators.order import (
+    date_percentile,
+    exact_quantiles,
+    frequency_percentile,
+    join_checked,
+    midrank_percentile,
+)
 from tidemark.operators.scaling import robust_scale
 from tidemark.operators.schema import MODEL_FEATURES, PROFILE_FEATURES, transpose, unpivot
 from tidemark.operators.segments import segment_names, segment_summary, subgroup_model
@@ -114,7 +120,7 @@ SELECT record_id, prep."Cluster", round(typical, 4) AS typical, funding_total_us
 def _lookup_profile(spark, sf_dir):
     df = labelled(spark, sf_dir)
     typical = G.group_median(df, "Cluster", ["funding_total_usd"]).select("Cluster", F.col("median").alias("typical"))
-    return rounded(df.select("record_id", "Cluster", "funding_total_usd").join(typical, "Cluster").select(
+    return rounded(join_checked(df.select("record_id", "Cluster", "funding_total_usd"), typical, "Cluster").select(
         "record_id", "Cluster", "typical", (F.col("funding_total_usd") > F.col("typical")).alias("above")), 4)
 
 
@@ -160,7 +166,7 @@ def _quantile_linear(spark, sf_dir):
        + " FROM orders GROUP BY o_orderstatus)")
 def _quantile_linear_ranked(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
-    return rounded(exact_quantiles(orders, ["o_totalprice"], by=["o_orderstatus"], small=100, per_bucket=500), 4)
+    return rounded(exact_quantiles(orders, ["o_totalprice"], by=["o_orderstatus"], small_rows=0, small=100, per_bucket=500), 4)
 
 
 _PROFILE_COLUMNS = ["name", "category_list", "market", "status", "funding_rounds", "date", "total_text"]

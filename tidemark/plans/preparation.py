@@ -13,8 +13,8 @@ from tidemark.operators.cleaning import (
     prune_sparse_columns,
 )
 from tidemark.operators.components import fit_components, project
-from tidemark.operators.kmeans import assign, kmeans_fit
-from tidemark.operators.scaling import robust_scale
+from tidemark.operators.kmeans import kmeans_fit, label_rows
+from tidemark.operators.scaling import apply_scale, fit_scale
 from tidemark.operators.schema import MODEL_FEATURES, drop_columns, normalize_headers
 from tidemark.session import cut_lineage
 
@@ -57,10 +57,14 @@ def prepare(raw: DataFrame, prune: bool = False) -> DataFrame:
 
 def main_segments(prepared: DataFrame, key: str, k: int = 4, components: int = 3, starts: int = 10,
                   label: str = "Cluster") -> DataFrame:
-    """Robust scale, principal components, K-Means on the scores; labels return by key."""
+    """Robust scale, principal components, K-Means on the scores.
+
+    The fits read a narrow written table; the labels are then a projection of the full one.
+    """
     complete = prepared.dropna("any", subset=MODEL_FEATURES)
-    scaled = cut_lineage(robust_scale(complete, MODEL_FEATURES, [key]))
-    scores = project(scaled, fit_components(scaled, MODEL_FEATURES, components), [key])
+    scale = fit_scale(complete, MODEL_FEATURES)
+    scaled = cut_lineage(apply_scale(complete, scale, [key]))
+    model = fit_components(scaled, MODEL_FEATURES, components)
     names = [f"PC{i + 1}" for i in range(components)]
-    centers = kmeans_fit(scores, names, k, starts=starts)
-    return complete.join(assign(scores, names, centers, label).select(key, label), key)
+    centers = kmeans_fit(project(scaled, model, [key]), names, k, starts=starts)
+    return label_rows(complete, scale, centers, label, model)

@@ -27,14 +27,15 @@ from tidemark.functions.text import (
 )
 from tidemark.functions.values import as_number
 from tidemark.operators.groups import (
+    crosstab_row_pct,
     distinguishing_features,
     feature_separation,
     group_median,
     group_overview,
     group_sizes,
-    crosstab_row_pct,
     largest_smallest_group,
     shown_label,
+    top_n_per_group,
     widen,
 )
 from tidemark.operators.kmeans import detect_label
@@ -84,12 +85,12 @@ def mix_story(df: DataFrame, label: str, features: list[str]) -> DataFrame:
     """The ratio whose leading label is furthest ahead of the runner-up, by median."""
     chosen = [f for f in features if f in df.columns]
     medians = group_median(shown_label(df, label), label, chosen).where(F.col("median").isNotNull())
-    ranked = medians.groupBy("feature").agg(
-        # Labels are few; the list holds one entry per label.
-        F.sort_array(F.collect_list(F.struct((-F.col("median")).alias("minus"), F.col(label).alias("label")))).alias("r"))
-    leader = ranked.select(
-        "feature", F.col("r")[0]["label"].alias("label"), (-F.col("r")[0]["minus"]).alias("value"),
-        (-F.col("r")[0]["minus"] + F.coalesce(F.try_element_at("r", F.lit(2))["minus"], F.lit(0.0))).alias("gap"))
+    top = top_n_per_group(medians, ["feature"], [F.desc("median"), F.asc(label)], 2)
+    first, second = F.col("rank") == 1, F.col("rank") == 2
+    leader = top.groupBy("feature").agg(
+        F.max(F.when(first, F.col(label))).alias("label"), F.max(F.when(first, F.col("median"))).alias("value"),
+        (F.max(F.when(first, F.col("median"))) - F.coalesce(F.max(F.when(second, F.col("median"))), F.lit(0.0)))
+        .alias("gap"))
     position = F.array_position(F.array(*[F.lit(f) for f in chosen]), F.col("feature"))
     best = leader.where(F.col("value") > 0).agg(F.min_by(
         F.struct("feature", "label", "gap"), F.struct((-F.round("gap", 9)).alias("g"), position.alias("p"))).alias("m"))
