@@ -43,26 +43,31 @@ class Components:
         return spark.range(1).select(F.inline(F.array(*rows)))
 
 
-def covariance(df: DataFrame, features: list[str], centred: bool = True) -> DataFrame:
-    """(x, y, value) for all pairs from one aggregate.
+def covariance(df: DataFrame, features: list[str], centred: bool = True, means: list[float] | None = None) -> DataFrame:
+    """(i, j, x, y, value) for all pairs of complete features, from one aggregate of plain sums.
 
+    The means are taken first and subtracted before multiplying, so large values do not cancel.
     ``centred=False`` is the second moment about zero with the same n-1 divisor.
     """
+    if not centred:
+        means = [0.0] * len(features)
+    elif means is None:
+        means = feature_means(df, features)
+    at = [F.col(f) - F.lit(m) if m else F.col(f) for f, m in zip(features, means)]
     aggs = [F.count(F.lit(1)).alias("n")]
-    pairs = [(i, j) for i in range(len(features)) for j in range(i, len(features))]
-    for i, j in pairs:
-        a, b = features[i], features[j]
-        aggs.append((F.covar_samp(a, b) if centred else F.sum(F.col(a) * F.col(b))).alias(f"c{i}_{j}"))
-    wide = df.agg(*aggs)
-    cells = []
     for i in range(len(features)):
-        for j in range(len(features)):
-            value = F.col(f"c{min(i, j)}_{max(i, j)}")
-            if not centred:
-                value = value / F.greatest(F.lit(1), F.col("n") - 1)
-            cells.append(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(features[i]).alias("x"),
-                                  F.lit(features[j]).alias("y"), value.alias("value")))
-    return wide.select(F.inline(F.array(*cells)))
+        aggs += [F.sum(at[i] * at[j]).alias(f"c{i}_{j}") for j in range(i, len(features))]
+    below = (F.col("n") - 1) if centred else F.greatest(F.lit(1), F.col("n") - 1)
+    cells = [
+        F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(features[i]).alias("x"), F.lit(features[j]).alias("y"),
+                 F.try_divide(F.col(f"c{min(i, j)}_{max(i, j)}"), below).alias("value"))
+        for i in range(len(features)) for j in range(len(features))
+    ]
+    return df.agg(*aggs).select(F.inline(F.array(*cells)))
+
+
+def feature_means(df: DataFrame, features: list[str]) -> list[float]:
+    return [float(m or 0.0) for m in df.agg(*[F.avg(f) for f in features]).first()]
 
 
 def _solve(matrix: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -82,23 +87,19 @@ def fit_components(df: DataFrame, features: list[str], k: int, centred: bool = T
         if not centred:
             raise ValueError(f"the uncentred form takes at most {PAIRWISE_WIDTH} features")
         return _fit_wide(df, features, k)
-    cells = covariance(df, features, centred).collect()
+    centre = feature_means(df, features) if centred else [0.0] * len(features)
     matrix = np.zeros((len(features), len(features)))
-    for c in cells:
+    for c in covariance(df, features, centred, centre).collect():
         matrix[c["i"], c["j"]] = c["value"] if c["value"] is not None else 0.0
     variance, directions = _solve(matrix, k)
-    centre = [0.0] * len(features)
-    if centred:
-        centre = list(df.agg(*[F.avg(f) for f in features]).first())
-    return Components(tuple(features), tuple(float(c or 0.0) for c in centre),
-                      tuple(tuple(map(float, d)) for d in directions), tuple(map(float, variance)),
-                      float(np.trace(matrix)))
+    return Components(tuple(features), tuple(centre), tuple(tuple(map(float, d)) for d in directions),
+                      tuple(map(float, variance)), float(np.trace(matrix)))
 
 
 def _fit_wide(df: DataFrame, features: list[str], k: int) -> Components:
     """Same result through Spark ML for many features; its ratios give variances back via the trace."""
-    moments = df.agg(*[F.avg(f) for f in features], *[F.var_samp(f) for f in features]).first()
-    centre, trace = moments[: len(features)], float(sum(moments[len(features):]))
+    centre = feature_means(df, features)
+    trace = float(sum(df.agg(*[F.var_samp(f) for f in features]).first()))
     vectors = VectorAssembler(inputCols=features, outputCol="vector").transform(df)
     model = PCA(k=k, inputCol="vector", outputCol="scores").fit(vectors)
     directions = np.array(model.pc.toArray().T)
@@ -106,7 +107,7 @@ def _fit_wide(df: DataFrame, features: list[str], k: int) -> Components:
         if row[np.argmax(np.round(np.abs(row), 9))] < 0:
             row *= -1
     variance = model.explainedVariance.toArray() * trace
-    return Components(tuple(features), tuple(map(float, centre)), tuple(tuple(map(float, d)) for d in directions),
+    return Components(tuple(features), tuple(centre), tuple(tuple(map(float, d)) for d in directions),
                       tuple(map(float, variance)), trace)
 
 

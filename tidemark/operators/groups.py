@@ -153,22 +153,30 @@ def _feature_position(features: list[str]) -> Column:
 
 
 def distinguishing_features(df: DataFrame, label: str, features: list[str], n: int = 4) -> DataFrame:
-    scored = standard_differences(df, label, features).withColumn("position", _feature_position(features))
+    return rank_differences(standard_differences(df, label, features), label, features, n)
+
+
+def rank_differences(scored: DataFrame, label: str, features: list[str], n: int = 4) -> DataFrame:
+    """The n features of each label that differ most from all rows."""
     # Scores that differ only in rounding noise count as ties and fall back to the feature order.
-    top = top_n_per_group(scored, [label], [F.desc(F.round(F.abs("score"), 9)), F.asc("position")], n)
+    order = [F.desc(F.round(F.abs("score"), 9)), F.asc("position")]
+    top = top_n_per_group(scored.withColumn("position", _feature_position(features)), [label], order, n)
     return top.select(label, "rank", "feature", "score",
                       F.when(F.col("score") >= 0, "higher").otherwise("lower").alias("direction"),
                       "local_mean", "global_mean")
 
 
 def feature_separation(df: DataFrame, label: str, features: list[str]) -> DataFrame:
+    return separate_features(standard_differences(df, label, features), label, features)
+
+
+def separate_features(scored: DataFrame, label: str, features: list[str]) -> DataFrame:
     """Gap between the highest and lowest label mean, in global deviations."""
-    scored = standard_differences(df, label, features).where(F.col("local_mean").isNotNull())
-    order = _label_rank(label)
-    gaps = scored.groupBy("feature").agg(
+    place = F.struct(F.round("local_mean", 9), _label_rank(label))
+    gaps = scored.where(F.col("local_mean").isNotNull()).groupBy("feature").agg(
         F.count(F.lit(1)).alias("labels"),
-        F.min_by(label, F.struct(F.round("local_mean", 9), order)).alias("low_label"), F.min("local_mean").alias("low"),
-        F.max_by(label, F.struct(F.round("local_mean", 9), order)).alias("high_label"), F.max("local_mean").alias("high"),
+        F.min_by(label, place).alias("low_label"), F.min("local_mean").alias("low"),
+        F.max_by(label, place).alias("high_label"), F.max("local_mean").alias("high"),
         F.max("global_std").alias("global_std"),
     ).where(F.col("labels") >= 2)
     gap = F.col("high") - F.col("low")
@@ -190,8 +198,11 @@ def group_heatmap(df: DataFrame, label: str, features: list[str], limit: int = 8
 
 def largest_smallest_group(df: DataFrame, label: str) -> DataFrame:
     """Labels with the most and the fewest rows; the first in natural order wins ties."""
-    sizes = group_overview(df, label).withColumn("_order", _label_rank(label))
-    return sizes.agg(
+    return size_extremes(group_overview(df, label), label)
+
+
+def size_extremes(overview: DataFrame, label: str) -> DataFrame:
+    return overview.withColumn("_order", _label_rank(label)).agg(
         F.min_by(label, F.struct(-F.col("rows"), "_order")).alias("largest"), F.max("rows").alias("largest_rows"),
         F.min_by(label, F.struct("rows", "_order")).alias("smallest"), F.min("rows").alias("smallest_rows"))
 

@@ -157,12 +157,11 @@ def _ranked_quantiles(df: DataFrame, columns: list[str], probs: dict[str, float]
     )
 
 
-def midrank_table(df: DataFrame, column: str, spread: Spread) -> DataFrame:
-    """(value, ties, n, pct): pct = (lower + equal/2) / n * 100, 50 when n < 2."""
-    counts = count_values(df, [column], [], {column: spread})
-    ranked = running_counts(counts, ["feature"])
+def midrank_table(df: DataFrame, columns: list[str], spreads: dict[str, Spread]) -> DataFrame:
+    """(feature, value, ties, n, pct): pct = (lower + equal/2) / n * 100, 50 when n < 2."""
+    ranked = running_counts(count_values(df, columns, [], spreads), ["feature"])
     pct = (F.col("below") + F.col("ties") * 0.5) / F.col("n") * 100
-    return ranked.select("value", "ties", "n", F.when(F.col("n") < 2, 50.0).otherwise(pct).alias("pct"))
+    return ranked.select("feature", "value", "ties", "n", F.when(F.col("n") < 2, 50.0).otherwise(pct).alias("pct"))
 
 
 def attach_by_value(df: DataFrame, key: Column, table: DataFrame, distinct: int, out: str,
@@ -205,10 +204,27 @@ def midrank_percentile(df: DataFrame, column: str, out: str, small: int = SMALL_
     """
     base = df if base is None else base
     spread = measure_spread(base, [column], small)[column]
-    table = midrank_table(base, column, spread)
+    table = midrank_table(base, [column], {column: spread})
     return attach_by_value(df, as_number(df, column), table, spread.distinct, out, small)
 
 
+def midrank_percentiles(df: DataFrame, base: DataFrame, numbers: dict[str, Column],
+                        small: int = SMALL_DISTINCT) -> DataFrame:
+    """Add ``_<name>_pct`` for several numbers at once.
+
+    All columns are measured in one job and ranked in one table, written once and read per column.
+    """
+    if not numbers:
+        return df
+    values = base.select(*[x.alias(name) for name, x in numbers.items()])
+    spreads = measure_spread(values, list(numbers), small)
+    table = cut_lineage(midrank_table(values, list(numbers), spreads))
+    for name, x in numbers.items():
+        own = table.where(F.col("feature") == name)
+        df = attach_by_value(df, x, own, spreads[name].distinct, f"_{name}_pct", small)
+    return df
+
+
 def date_number(column: str) -> Column:
     return F.unix_micros(F.col(column).try_cast("timestamp")).cast("double")
 

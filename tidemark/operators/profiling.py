@@ -131,9 +131,14 @@ def column_top_values(df: DataFrame, order: str, limit: int = 8) -> DataFrame:
     return ranked.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= limit)
 
 
-def missing_top(df: DataFrame, order: str, limit: int = 12) -> DataFrame:
-    profile = column_profile(df, order).where(F.col("missing") > 0)
-    return profile.orderBy(F.desc("missing_rate"), "position").limit(limit).select("column", "missing", "missing_rate")
+def missing_top(df: DataFrame, limit: int = 12) -> DataFrame:
+    """The columns with the largest share of missing values; one pass, no shuffle of values."""
+    wide = df.agg(F.count(F.lit(1)).alias("rows"), *[F.count_if(is_missing(c)).alias(f"m{i}") for i, c in enumerate(df.columns)])
+    cells = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(c).alias("column"), F.col(f"m{i}").alias("missing"))
+                      for i, c in enumerate(df.columns)])
+    counted = wide.select("rows", F.inline(cells)).where(F.col("missing") > 0)
+    rate = F.col("missing").cast("double") / F.col("rows")
+    return counted.orderBy(F.desc("missing"), "position").limit(limit).select("column", "missing", rate.alias("missing_rate"))
 
 
 def profile_warnings(df: DataFrame, order: str) -> DataFrame:
@@ -289,31 +294,38 @@ def correlation_matrix(df: DataFrame, columns: list[str], limit: int = 8) -> Dat
     """
     chosen = columns[:limit]
     numbers = df.select(*[as_number(df, c).alias(c) for c in chosen])
-    filled = numbers.agg(F.count(F.lit(1)).alias("rows"), *[F.count(c).alias(f"f{i}") for i, c in enumerate(chosen)])
-    rows, *counts = filled.first()
+    looked = numbers.agg(F.count(F.lit(1)), *[F.count(c) for c in chosen], *[F.avg(c) for c in chosen]).first()
+    rows, counts, means = looked[0], looked[1:len(chosen) + 1], looked[len(chosen) + 1:]
+    # Around the overall means, plain sums do not lose digits.
+    at = [F.col(c) - F.lit(float(m or 0.0)) for c, m in zip(chosen, means)]
     whole = [n == rows for n in counts]
-    aggs = [F.var_pop(c).alias(f"v_{i}") for i, c in enumerate(chosen)]
-    for i, a in enumerate(chosen):
-        for j, b in enumerate(chosen[i + 1:], start=i + 1):
-            aggs.append(F.covar_pop(a, b).alias(f"c_{i}_{j}"))
+    aggs = []
+    for i in range(len(chosen)):
+        aggs += [F.sum(at[i]).alias(f"s_{i}"), F.sum(at[i] * at[i]).alias(f"q_{i}")]
+        for j in range(i + 1, len(chosen)):
+            aggs.append(F.sum(at[i] * at[j]).alias(f"p_{i}_{j}"))
             if not (whole[i] and whole[j]):
-                both = F.col(a).isNotNull() & F.col(b).isNotNull()
-                aggs += [F.count_if(both).alias(f"n_{i}_{j}"),
-                         F.var_pop(F.when(both, F.col(a))).alias(f"a_{i}_{j}"),
-                         F.var_pop(F.when(both, F.col(b))).alias(f"b_{i}_{j}")]
+                both = F.col(chosen[i]).isNotNull() & F.col(chosen[j]).isNotNull()
+                x, y = F.when(both, at[i]), F.when(both, at[j])
+                aggs += [F.count_if(both).alias(f"n_{i}_{j}"), F.sum(x).alias(f"x_{i}_{j}"), F.sum(y).alias(f"y_{i}_{j}"),
+                         F.sum(x * x).alias(f"xx_{i}_{j}"), F.sum(y * y).alias(f"yy_{i}_{j}")]
     wide = numbers.agg(*aggs)
     cells = []
     for i, a in enumerate(chosen):
         for j, b in enumerate(chosen):
             low, high = min(i, j), max(i, j)
+            k = f"{low}_{high}"
             if i == j:
-                n, cov, va, vb = F.lit(counts[i]), F.col(f"v_{i}"), F.col(f"v_{i}"), F.col(f"v_{i}")
+                n, x, y, xx, yy, xy = F.lit(counts[i]), *(F.col(f"{c}_{i}") for c in "ssqqq")
             elif whole[i] and whole[j]:
-                n, cov, va, vb = F.lit(rows), F.col(f"c_{low}_{high}"), F.col(f"v_{low}"), F.col(f"v_{high}")
+                n, x, y = F.lit(rows), F.col(f"s_{low}"), F.col(f"s_{high}")
+                xx, yy, xy = F.col(f"q_{low}"), F.col(f"q_{high}"), F.col(f"p_{k}")
             else:
-                n, cov, va, vb = (F.col(f"{x}_{low}_{high}") for x in "ncab")
-            scale = F.sqrt(va) * F.sqrt(vb)
-            value = F.when((n >= 3) & (scale > 0), F.try_divide(cov, scale))
+                n, x, y, xx, yy, xy = (F.col(f"{c}_{k}") for c in ("n", "x", "y", "xx", "yy", "p"))
+            # A variance at rounding-noise level is no variance.
+            va, vb = n * xx - x * x, n * yy - y * y
+            real = (n >= 3) & (va > n * xx * 1e-12) & (vb > n * yy * 1e-12)
+            value = F.when(real, (n * xy - x * y) / (F.sqrt(va) * F.sqrt(vb)))
             cells.append(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(a).alias("x"), F.lit(b).alias("y"),
                                   value.alias("value")))
     return wide.select(F.inline(F.array(*cells)))

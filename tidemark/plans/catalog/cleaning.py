@@ -97,7 +97,7 @@ def _null_counts(spark, sf_dir):
 @query("missing_top", f"""WITH {RAW} SELECT "column", nulls AS missing, round(u, 6) AS missing_rate FROM ({_SPARSE_SQL})
 WHERE nulls > 0""")
 def _missing_top(spark, sf_dir):
-    return rounded(missing_top(raw_records(spark, sf_dir), "record_id"))
+    return rounded(missing_top(raw_records(spark, sf_dir)))
 
 
 _SOURCE_SQL = union_sql(list(SOURCES), lambda i, c: (

@@ -28,21 +28,23 @@ from tidemark.functions.text import (
 from tidemark.functions.values import as_number
 from tidemark.operators.groups import (
     crosstab_row_pct,
-    distinguishing_features,
-    feature_separation,
     group_median,
     group_overview,
     group_sizes,
-    largest_smallest_group,
+    rank_differences,
+    separate_features,
     shown_label,
+    size_extremes,
+    standard_differences,
     top_n_per_group,
     widen,
 )
 from tidemark.operators.kmeans import detect_label
-from tidemark.operators.order import date_percentile, frequency_percentile, midrank_percentile
+from tidemark.operators.order import date_number, frequency_percentile, midrank_percentiles
 from tidemark.operators.profiling import correlation_matrix, missing_top, strongest_pair
 from tidemark.operators.sampling import top_outliers
 from tidemark.operators.schema import resolve_roles
+from tidemark.session import cut_lineage
 
 # Columns of the comparison table, ratios of the mix story, finding limit.
 COMPARISON_FEATURES = ["funding_total_usd", "funding_rounds", "early_stage_funding_ratio", "venture_ratio",
@@ -100,9 +102,11 @@ def mix_story(df: DataFrame, label: str, features: list[str]) -> DataFrame:
 def insights(df: DataFrame, label: str, features: list[str], correlated: list[str], key: str, name: str = "name",
              total: str = "funding_total_usd") -> DataFrame:
     """Up to eight ranked findings (rank, kicker, title, tone, body) from one-row summaries."""
-    ends = largest_smallest_group(df, label)
-    overview = group_overview(df, label)
-    clearest = distinguishing_features(df, label, features, 1)
+    # Two small tables (one row per label, and per label and feature) feed four of the findings.
+    overview = cut_lineage(group_overview(df, label))
+    scored = cut_lineage(standard_differences(df, label, features))
+    ends = size_extremes(overview, label)
+    clearest = rank_differences(scored, label, features, 1)
     parts = []
 
     sized = overview.join(clearest, label, "left")
@@ -122,14 +126,14 @@ def insights(df: DataFrame, label: str, features: list[str], correlated: list[st
                  F.lit(" startups sit here. Its smaller size makes it useful as a specific profile, especially around "),
                  feature_text("a few funding features"), F.lit("."))).alias("f")))
 
-    widest = feature_separation(df, label, features).orderBy(F.desc(F.round(F.abs("score"), 9)), "position").limit(1)
+    widest = separate_features(scored, label, features).orderBy(F.desc(F.round(F.abs("score"), 9)), "position").limit(1)
     parts.append(widest.select(_finding(
         3, "Feature that separates clusters most", column_label("feature"), "gold",
         F.concat(F.lit("The widest cluster-to-cluster gap is in "), column_label("feature"), F.lit(". Cluster "),
                  F.col("high_label"), F.lit(" is highest and Cluster "), F.col("low_label"),
                  F.lit(" is lowest, so this feature deserves attention during the explanation."))).alias("f")))
 
-    emptiest = missing_top(df, key, 1)
+    emptiest = missing_top(df, 1)
     parts.append(emptiest.select(_finding(
         4, "Missing-value curiosity", F.concat(column_label("column"), F.lit(" has the most missing values")), "warm",
         F.concat(format_percent("missing_rate"),
@@ -170,19 +174,15 @@ def scorecard_signals(df: DataFrame, roles: dict[str, str | None]) -> tuple[Data
     signals: dict[str, Column] = {}
     ranges = {"total": (15.0, 95.0), "rounds": (15.0, 95.0), "level": (15.0, 95.0), "date": (25.0, 85.0),
               "market": (35.0, 80.0)}
+    present = {role: roles[role] for role in ranges if roles.get(role)}
     base = df
-    for role, bounds in ranges.items():
-        column = roles.get(role)
-        if not column:
-            continue
-        out = f"_{role}_pct"
-        if role == "date":
-            df = date_percentile(df, column, out, base=base)
-        elif role == "market":
-            df = frequency_percentile(df, column, out, base)
-        else:
-            df = midrank_percentile(df, column, out, base=base)
-        signals[role] = spread_percentile(out, *bounds)
+    if "market" in present:
+        df = frequency_percentile(df, present["market"], "_market_pct", base)
+    numbers = {role: c for role, c in present.items() if role != "market"}
+    ranked = {role: date_number(c) if role == "date" else as_number(base, c) for role, c in numbers.items()}
+    df = midrank_percentiles(df, base, ranked)
+    for role in present:
+        signals[role] = spread_percentile(f"_{role}_pct", *ranges[role])
     df = df.withColumns({f"_s_{name}": signal for name, signal in signals.items()})
     signals = {name: F.col(f"_s_{name}") for name in signals}
     if "total" in signals:
