@@ -158,6 +158,8 @@ def zero_count(columns: list[str]) -> Column:
 
 def dominant(columns: list[str]) -> tuple[Column, Column]:
     """(name, amount) of the largest positive amount; the first listed wins ties, none gives nulls."""
+    if not columns:
+        return F.lit(None).cast("string"), F.lit(None).cast("double")
     # One struct per source, so each amount appears once however often the result is used.
     best = F.array_max(F.array(*[
         F.struct(F.coalesce(finite(c), F.lit(0.0)).alias("amount"), F.lit(-i).alias("place"), F.lit(c).alias("name"))

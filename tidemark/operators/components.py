@@ -60,10 +60,11 @@ def covariance(df: DataFrame, features: list[str], centred: bool = True, means:
     below = (F.col("n") - 1) if centred else F.greatest(F.lit(1), F.col("n") - 1)
     cells = [
         F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(features[i]).alias("x"), F.lit(features[j]).alias("y"),
-                 F.try_divide(F.col(f"c{min(i, j)}_{max(i, j)}"), below).alias("value"))
+                 F.col(f"c{min(i, j)}_{max(i, j)}").alias("sum"))
         for i in range(len(features)) for j in range(len(features))
     ]
-    return df.agg(*aggs).select(F.inline(F.array(*cells)))
+    pairs = df.agg(*aggs).select("n", F.inline(F.array(*cells)))
+    return pairs.select("i", "j", "x", "y", F.try_divide("sum", below).alias("value"))
 
 
 def feature_means(df: DataFrame, features: list[str]) -> list[float]:

@@ -95,15 +95,19 @@ def running_counts(counts: DataFrame, keys: list[str]) -> DataFrame:
     totals = counts.groupBy(*keys, "bucket").agg(F.sum("ties").alias("in_bucket"))
     by_bucket = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        *keys, "bucket",
+        *[F.col(k).alias(f"_o_{k}") for k in keys], F.col("bucket").alias("_o_bucket"),
         F.coalesce(F.sum("in_bucket").over(by_bucket), F.lit(0)).alias("before"),
         F.sum("in_bucket").over(Window.partitionBy(*keys)).alias("n"),
     )
+    # Null group keys match each other.
+    same = F.col("bucket") == F.col("_o_bucket")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_o_{k}"))
     by_value = Window.partitionBy(*keys, "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
     return (
-        counts.join(offsets, [*keys, "bucket"])
+        counts.join(offsets, same)
         .withColumn("below", F.col("before") + F.coalesce(F.sum("ties").over(by_value), F.lit(0)))
-        .drop("before")
+        .drop("before", "_o_bucket", *[f"_o_{k}" for k in keys])
     )
 
 

@@ -322,13 +322,17 @@ def correlation_matrix(df: DataFrame, columns: list[str], limit: int = 8) -> Dat
                 xx, yy, xy = F.col(f"q_{low}"), F.col(f"q_{high}"), F.col(f"p_{k}")
             else:
                 n, x, y, xx, yy, xy = (F.col(f"{c}_{k}") for c in ("n", "x", "y", "xx", "yy", "p"))
-            # A variance at rounding-noise level is no variance.
-            va, vb = n * xx - x * x, n * yy - y * y
-            real = (n >= 3) & (va > n * xx * 1e-12) & (vb > n * yy * 1e-12)
-            value = F.when(real, (n * xy - x * y) / (F.sqrt(va) * F.sqrt(vb)))
-            cells.append(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(a).alias("x"), F.lit(b).alias("y"),
-                                  value.alias("value")))
-    return wide.select(F.inline(F.array(*cells)))
+            cells.append(F.struct(
+                F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(a).alias("x"), F.lit(b).alias("y"), n.alias("n"),
+                x.alias("sx"), y.alias("sy"), xx.alias("sxx"), yy.alias("syy"), xy.alias("sxy")))
+    # The sums are laid out as rows first, so the formula is compiled once and not once per pair.
+    pairs = wide.select(F.inline(F.array(*cells)))
+    n, sx, sy, sxx, syy, sxy = (F.col(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy"))
+    pairs = pairs.withColumns({"va": n * sxx - sx * sx, "vb": n * syy - sy * sy})
+    # A variance at rounding-noise level is no variance.
+    real = (n >= 3) & (F.col("va") > n * sxx * 1e-12) & (F.col("vb") > n * syy * 1e-12)
+    value = F.when(real, (n * sxy - sx * sy) / (F.sqrt("va") * F.sqrt("vb")))
+    return pairs.select("i", "j", "x", "y", value.alias("value"))
 
 
 def strongest_pair(matrix: DataFrame) -> DataFrame:
