@@ -23,6 +23,8 @@ def test_column_profile(mixed):
     assert (rows["name"]["missing"], rows["name"]["distinct"], rows["name"]["example"]) == (1, 7, "a")
     assert (rows["empty"]["missing"], rows["empty"]["distinct"], rows["empty"]["example"]) == (8, 0, None)
     assert rows["day"]["missing_rate"] == 0.25
+    approximate = {r["column"]: r for r in P.column_profile(mixed, "id", exact=False).collect()}
+    assert approximate == rows
 
 
 def test_warnings(spark, mixed):

@@ -87,11 +87,16 @@ def count_values(df: DataFrame, columns: list[str], by: list[str], spreads: dict
     )
 
 
-def running_counts(counts: DataFrame, keys: list[str]) -> DataFrame:
+def running_counts(counts: DataFrame, keys: list[str], bucketed: bool) -> DataFrame:
     """Add ``below`` (rows strictly lower within ``keys``) and ``n`` (all rows within ``keys``).
 
     Windows are over the bucket totals (a few thousand rows per key) and over one bucket at a time.
+    Without buckets, that is with few distinct values, one window per key does.
     """
+    if not bucketed:
+        key = Window.partitionBy(*keys)
+        lower = key.orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+        return counts.withColumns({"below": F.coalesce(F.sum("ties").over(lower), F.lit(0)), "n": F.sum("ties").over(key)})
     totals = counts.groupBy(*keys, "bucket").agg(F.sum("ties").alias("in_bucket"))
     by_bucket = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
@@ -133,7 +138,7 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: dict[str, float] |
 def _ranked_quantiles(df: DataFrame, columns: list[str], probs: dict[str, float], by: list[str],
                       spreads: dict[str, Spread]) -> DataFrame:
     keys = [*by, "feature"]
-    ranked = running_counts(count_values(df, columns, by, spreads), keys)
+    ranked = running_counts(count_values(df, columns, by, spreads), keys, any(spreads[c].splits for c in columns))
 
     def at(index: Column) -> Column:
         here = (F.col("below") <= index) & (index < F.col("below") + F.col("ties"))
@@ -163,7 +168,8 @@ def _ranked_quantiles(df: DataFrame, columns: list[str], probs: dict[str, float]
 
 def midrank_table(df: DataFrame, columns: list[str], spreads: dict[str, Spread]) -> DataFrame:
     """(feature, value, ties, n, pct): pct = (lower + equal/2) / n * 100, 50 when n < 2."""
-    ranked = running_counts(count_values(df, columns, [], spreads), ["feature"])
+    bucketed = any(spreads[c].splits for c in columns)
+    ranked = running_counts(count_values(df, columns, [], spreads), ["feature"], bucketed)
     pct = (F.col("below") + F.col("ties") * 0.5) / F.col("n") * 100
     return ranked.select("feature", "value", "ties", "n", F.when(F.col("n") < 2, 50.0).otherwise(pct).alias("pct"))
 
@@ -252,9 +258,7 @@ def frequency_percentile(df: DataFrame, column: str, out: str, base: DataFrame |
     sizes = base.where(name != "").groupBy(name.alias("category")).agg(F.count(F.lit(1)).alias("rows"))
     # Counts of counts: never more rows than the square root of twice the table.
     steps = sizes.groupBy("rows").agg(F.count(F.lit(1)).alias("ties"))
-    keyed = steps.select(F.lit("rows").alias("feature"), F.lit(0.0).alias("bucket"),
-                         F.col("rows").alias("value"), "ties")
-    ranked = running_counts(keyed, ["feature"]).select(
+    ranked = running_counts(steps.withColumnRenamed("rows", "value"), [], False).select(
         F.col("value").alias("rows"),
         F.when(F.col("n") < 2, 50.0).otherwise((F.col("below") + F.col("ties") * 0.5) / F.col("n") * 100).alias("pct"),
     )
@@ -265,10 +269,11 @@ def frequency_percentile(df: DataFrame, column: str, out: str, base: DataFrame |
     return attach_by_value(df, F.when((name != "") & (name != "(missing)"), name), table, measured["d"], out, small)
 
 
-def _bucketed_rows(df: DataFrame, key: str, small: int, per_bucket: int) -> DataFrame:
+def _bucketed_rows(df: DataFrame, key: str, small: int, per_bucket: int) -> tuple[DataFrame, bool]:
+    """The rows with ``_order`` and ``_bucket``, and whether there is more than one bucket."""
     spread = measure_spread(df, [key], small, per_bucket)[key]
     rows = _with_buckets(df.withColumn("_order", as_number(df, key)), {"_order": spread})
-    return rows.withColumnRenamed("_order__bucket", "_bucket")
+    return rows.withColumnRenamed("_order__bucket", "_bucket"), bool(spread.splits)
 
 
 def numbered_rows(df: DataFrame, key: str, by: list[str] | None = None, out: str = "row_number",
@@ -279,7 +284,10 @@ def numbered_rows(df: DataFrame, key: str, by: list[str] | None = None, out: str
     one task. Small tables get one bucket, where this is a plain ``row_number``.
     """
     by = by or []
-    rows = _bucketed_rows(df, key, small, per_bucket)
+    rows, bucketed = _bucketed_rows(df, key, small, per_bucket)
+    if not bucketed:
+        place = F.row_number().over(Window.partitionBy(*by).orderBy("_order"))
+        return rows.withColumn(out, place.cast("long")).drop("_order", "_bucket")
     sizes = rows.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_size"))
     earlier = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(*[F.col(b).alias(f"_by_{b}") for b in by], F.col("_bucket").alias("_start_bucket"),
@@ -297,7 +305,7 @@ def numbered_rows(df: DataFrame, key: str, by: list[str] | None = None, out: str
 def rows_at(df: DataFrame, key: str, places: list[int], out: str = "row_number", small: int = SMALL_DISTINCT,
             per_bucket: int = VALUES_PER_BUCKET) -> DataFrame:
     """The rows at a few 1-based places in key order; only the buckets holding one are sorted."""
-    rows = _bucketed_rows(df, key, small, per_bucket)
+    rows, _ = _bucketed_rows(df, key, small, per_bucket)
     # At most MAX_BUCKETS counts reach the driver.
     sizes = sorted((r["_bucket"], r["n"]) for r in rows.groupBy("_bucket").agg(F.count(F.lit(1)).alias("n")).collect())
     before, starts = 0, {}

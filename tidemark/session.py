@@ -8,8 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-# Settings that may be changed on a running session.
-RUNTIME = {
+SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -26,7 +25,7 @@ def get_spark(app: str = "tidemark", master: str | None = None, **conf: str) ->
     count then also comes from the cluster (AQE coalesces what is too fine).
     """
     builder = SparkSession.builder.appName(app)
-    for key, value in (RUNTIME | conf).items():
+    for key, value in (SETTINGS | conf).items():
         builder = builder.config(key, value)
     if master:
         builder = builder.master(master).config("spark.ui.enabled", "false")
@@ -34,9 +33,9 @@ def get_spark(app: str = "tidemark", master: str | None = None, **conf: str) ->
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session built elsewhere."""
-    for key, value in RUNTIME.items():
-        if spark.conf.get(key, None) != value:
+    """Apply those settings that a running session still takes."""
+    for key, value in SETTINGS.items():
+        if spark.conf.isModifiable(key) and spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark
 
