@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.sources.csv import scan_csv, scan_csv_lenient
+from tidemark.sources.csv import scan_csv, scan_csv_lenient, with_numbers
 from tidemark.sources.tables import Source, load_sources, report_name, rewrite_with_columns, write_report_set, write_table
 
 
@@ -45,3 +45,12 @@ def test_report_names(spark, tmp_path):
     assert report_name("Small / early venture-backed segment") == "Small_-_early_venture-backed_se"
     paths = write_report_set({"a/b": spark.range(2)}, str(tmp_path / "r"))
     assert spark.read.csv(paths["a/b"], header=True).count() == 2
+
+
+def test_numbers_are_decided_by_the_data(spark):
+    rows = [("1", "1,000", "a", None, "1e3", "nan"), (" 2.5", "7", "b", "", "4", "3"), (None, "8", "c", " ", "5", "12")]
+    df = spark.createDataFrame(rows, "plain string, commas string, word string, empty string, `sci fi.x` string, gap string")
+    got = with_numbers(df)
+    assert dict(got.dtypes) == {"plain": "double", "commas": "string", "word": "string", "empty": "double",
+                                "sci fi.x": "double", "gap": "double"}
+    assert [r["gap"] for r in got.collect()] == [None, 3.0, 12.0]

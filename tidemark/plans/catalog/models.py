@@ -12,9 +12,10 @@ from tidemark.operators.segments import segment_recluster
 from tidemark.plans.catalog.registry import PREP, query, rounded, union_sql
 from tidemark.plans.catalog.sources import FIT_SQL, SCALED_SQL
 from tidemark.plans.catalog.statistics import _STRATA, labelled, long_sql, median_sql
-from tidemark.plans.preparation import main_segments
-from tidemark.plans.records import staged, table
-from tidemark.operators.groups import group_median
+from tidemark.plans.preparation import main_segments, prepare
+from tidemark.plans.records import raw_records, staged, table
+from tidemark.session import scratch_path
+from tidemark.sources.csv import scan_csv, with_numbers
 
 KEY = "record_id"
 TEN = MODEL_FEATURES[:10]
@@ -167,6 +168,21 @@ def _append_scores(spark, sf_dir):
     return rounded(C.append_scores(labelled(spark, sf_dir), MODEL_FEATURES).select(KEY, "market", "funding_total_usd", "PC1", "PC2"), 4)
 
 
+@query("batch_preparation", f"""WITH {PREP} SELECT record_id, market, funding_total_usd, stage_level, round(early_stage_funding, 4) AS early_stage_funding,
+round(venture_ratio, 6) AS venture_ratio, round(log_funding_rounds, 6) AS log_funding_rounds FROM prep""")
+def _batch_preparation(spark, sf_dir):
+    """The whole way from a raw text file: padded header, total with commas, types and columns decided by the data."""
+    raw = raw_records(spark, sf_dir)
+    text = raw.withColumn("funding_total_usd", F.concat(F.lit(" "), F.format_number("funding_total_usd", 2), F.lit(" ")))
+    path = scratch_path(spark, "raw-csv")
+    text.withColumnRenamed("funding_total_usd", " funding_total_usd ").write.options(
+        header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+    prepared = prepare(with_numbers(scan_csv(spark, path)), prune=True)
+    return rounded(prepared.select(
+        F.col("record_id").cast("long").alias("record_id"), "market", "funding_total_usd", "stage_level",
+        F.round("early_stage_funding", 4).alias("early_stage_funding"), "venture_ratio", "log_funding_rounds"))
+
+
 # --- clustering -----------------------------------------------------------------------------------
 
 

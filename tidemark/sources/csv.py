@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from tidemark.functions.values import NUMBER_TEXT, is_missing
 from tidemark.operators.schema import unique_headers
 
 
@@ -44,3 +45,23 @@ def scan_csv_lenient(spark: SparkSession, path: str, encoding: str = "UTF-8") ->
         return raw
     trimmed = {c: F.regexp_replace(F.col(f"`{c}`"), r"^[﻿\s]+|\s+$", "") for c in raw.columns}
     return raw.select(*[F.when(t != "", t).alias(c) for c, t in trimmed.items()]).dropna("all")
+
+
+def with_numbers(df: DataFrame) -> DataFrame:
+    """Cast the text columns in which every present value is a plain number; one aggregate decides.
+
+    A column without any value counts as a number. Text such as "1,750" keeps its column as text.
+    """
+    def quoted(name: str):
+        return F.col("`" + name.replace("`", "``") + "`")
+
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
+    if not texts:
+        return df
+    # The usual spellings of "no number" do not make a column text.
+    plain = {c: F.when(~is_missing(quoted(c)) & ~F.lower(F.trim(quoted(c))).isin("nan", "na", "n/a", "null"), F.trim(quoted(c)))
+             for c in texts}
+    odd = df.agg(*[F.count_if(plain[c].isNotNull() & ~plain[c].rlike(NUMBER_TEXT)).alias(f"o{i}")
+                   for i, c in enumerate(texts)]).first()
+    numbers = {c for c, n in zip(texts, odd) if n == 0}
+    return df.select(*[plain[c].try_cast("double").alias(c) if c in numbers else quoted(c) for c in df.columns])
