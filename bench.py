@@ -17,7 +17,7 @@ HEADLINE = [
     "cluster_report", "zero_profile", "prune_sparse_columns", "row_funnel", "column_profile", "describe_numeric",
     "histogram", "group_profile", "crosstab_row_pct", "distinguishing_features", "market_lift", "correlation_matrix",
     "status_by_group", "midrank_percentile", "row_scorecard", "insights", "robust_scale", "covariance", "pca_scores",
-    "kmeans_assign", "kmeans_step", "silhouette", "segment_summary", "stratified_sample",
+    "kmeans_assign", "kmeans_step", "kmeans_seeded", "silhouette", "segment_summary", "stratified_sample",
 ]
 
 

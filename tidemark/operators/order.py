@@ -118,14 +118,15 @@ def running_counts(counts: DataFrame, keys: list[str], bucketed: bool) -> DataFr
 
 def exact_quantiles(df: DataFrame, columns: list[str], probs: dict[str, float] | None = None,
                     by: list[str] | None = None, small_rows: int = SMALL_ROWS, small: int = SMALL_DISTINCT,
-                    per_bucket: int = VALUES_PER_BUCKET) -> DataFrame:
+                    per_bucket: int = VALUES_PER_BUCKET, rows: int | None = None) -> DataFrame:
     """Long table (by..., feature, <one column per quantile>), linear interpolation at (n-1)*p.
 
     Only finite values count; a feature without any gives nulls. Null group keys form a group.
+    ``rows`` saves the counting job where the caller knows the size of the table.
     """
     probs = probs or QUARTILES
     by = by or []
-    if df.count() <= small_rows:
+    if (df.count() if rows is None else rows) <= small_rows:
         aggs = [F.percentile(as_number(df, c), list(probs.values())).alias(f"q{i}") for i, c in enumerate(columns)]
         cells = F.array(*[
             F.struct(F.lit(c).alias("feature"), *[F.col(f"q{i}")[j].alias(name) for j, name in enumerate(probs)])

@@ -240,10 +240,10 @@ def bin_edges(stats: dict[str, float], trimmed_max: float | None, bins: int) ->
 def _edges_for(df: DataFrame, number: Column, bins: int) -> list[float]:
     """Edges of the finite values of one expression: one aggregate, plus one if a fence is needed."""
     values = df.select(number.alias("x")).where(F.col("x").isNotNull())
-    stats = values.agg(F.min("x").alias("min"), F.max("x").alias("max")).first().asDict()
+    stats = values.agg(F.min("x").alias("min"), F.max("x").alias("max"), F.count("x").alias("n")).first().asDict()
     if stats["min"] == stats["max"]:
         return [stats["min"], stats["max"]]
-    stats |= exact_quantiles(values, ["x"]).first().asDict()
+    stats |= exact_quantiles(values, ["x"], rows=stats["n"]).first().asDict()
     trimmed, spread = None, stats["q3"] - stats["q1"]
     if spread > 0:
         fence = stats["q3"] + FENCE * spread

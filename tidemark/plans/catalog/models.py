@@ -262,18 +262,18 @@ def _ensure_labels_fallback(spark, sf_dir):
     return df.select(KEY, F.col(column).alias("__cluster"))
 
 
-@query("silhouette", f"""WITH {SCALED}, s AS MATERIALIZED (SELECT record_id, "Cluster" AS l, {', '.join(THREE)} FROM scaled ORDER BY md5(record_id || ':42'), record_id LIMIT 1500),
+@query("silhouette", f"""WITH {SCALED}, s AS MATERIALIZED (SELECT record_id, "Cluster" AS l, {', '.join(THREE)} FROM scaled ORDER BY md5(record_id || ':42'), record_id LIMIT 5000),
 d AS (SELECT a.record_id, a.l AS own, b.l AS other, sum(sqrt({' + '.join(f'pow(a.{f} - b.{f}, 2)' for f in THREE)})) AS d, count(*) AS n FROM s a, s b GROUP BY 1, 2, 3),
 w AS (SELECT record_id, max(CASE WHEN own = other THEN d / greatest(n - 1, 1) END) AS a, max(CASE WHEN own = other THEN n END) AS n, min(CASE WHEN own <> other THEN d / n END) AS b FROM d GROUP BY 1)
 SELECT round(avg(CASE WHEN n > 1 AND b IS NOT NULL AND greatest(a, b) > 0 THEN (b - a) / greatest(a, b) ELSE 0 END), 6) AS silhouette, count(*) AS "rows" FROM w""")
 def _silhouette(spark, sf_dir):
-    return rounded(K.silhouette(scaled_table(spark, sf_dir), THREE, "Cluster", KEY, 1500))
+    return rounded(K.silhouette(scaled_table(spark, sf_dir), THREE, "Cluster", KEY))
 
 
 @query("k_sweep")
 def _k_sweep(spark, sf_dir):
     inside = staged(spark, sf_dir, "segment_scaled", lambda: scaled_table(spark, sf_dir).where(F.col("Cluster") == "0"))
-    return rounded(K.k_sweep(inside, MODEL_FEATURES, KEY, range(2, 10), 2000, starts=2), 3)
+    return rounded(K.k_sweep(inside, MODEL_FEATURES, KEY, range(2, 10), starts=2), 3)
 
 
 @query("segment_recluster", f"WITH {PREP} SELECT count(*) AS \"rows\", 3::BIGINT AS labels, true AS sizes_fall FROM prep WHERE \"Cluster\" = '0'")

@@ -264,12 +264,11 @@ def spread_sql(p: str, low: int, high: int) -> str:
     return f"least(100.0::DOUBLE, greatest(0.0::DOUBLE, {mid} + sign({p} - 50) * pow(abs({p} - 50) / 50, 0.72::DOUBLE) * {half}))"
 
 
-@query("spread_percentile", f"""WITH v AS (SELECT event_id, CASE WHEN event_type <> 'error' THEN value END AS p FROM events
-WHERE value BETWEEN 0 AND 100) SELECT event_id, CASE WHEN p IS NOT NULL THEN round({spread_sql('p', 15, 95)}, 6) END AS wide,
+@query("spread_percentile", f"""WITH v AS (SELECT event_id, CASE WHEN event_type <> 'error' THEN least(100, greatest(0, value)) END AS p FROM events) SELECT event_id, CASE WHEN p IS NOT NULL THEN round({spread_sql('p', 15, 95)}, 6) END AS wide,
 CASE WHEN p IS NOT NULL THEN round({spread_sql('p', 35, 80)}, 6) END AS narrow FROM v""")
 def _spread_percentile(spark, sf_dir):
-    df = table(spark, sf_dir, "events").where(F.col("value").between(0, 100)).select(
-        "event_id", F.when(F.col("event_type") != "error", F.col("value")).alias("p"))
+    df = table(spark, sf_dir, "events").select(
+        "event_id", F.when(F.col("event_type") != "error", clip("value", 0.0, 100.0)).alias("p"))
     return rounded(df.select("event_id", S.spread_percentile("p").alias("wide"),
                              S.spread_percentile("p", 35.0, 80.0).alias("narrow")))
 
