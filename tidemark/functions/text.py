@@ -61,7 +61,7 @@ FEATURE_LABELS = {
     "private_equity_ratio": "Private equity ratio",
 }
 
-# Group names by label, in the report and in the explorer.
+# Group names by label, as used in the report and as hints.
 REPORT_NAMES = {
     "0": "Early-stage / low funding",
     "1": "Debt-financed startups",

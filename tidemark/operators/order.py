@@ -97,6 +97,8 @@ def running_counts(counts: DataFrame, keys: list[str], bucketed: bool) -> DataFr
         key = Window.partitionBy(*keys)
         lower = key.orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
         return counts.withColumns({"below": F.coalesce(F.sum("ties").over(lower), F.lit(0)), "n": F.sum("ties").over(key)})
+    # Read twice below; written once, so that the table behind it is scanned and shuffled once.
+    counts = cut_lineage(counts)
     totals = counts.groupBy(*keys, "bucket").agg(F.sum("ties").alias("in_bucket"))
     by_bucket = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
@@ -179,6 +181,8 @@ def attach_by_value(df: DataFrame, key: Column, table: DataFrame, distinct: int,
                     small: int = SMALL_DISTINCT) -> DataFrame:
     """Left-join ``table(value, ties, n, pct)`` on a row value and name its pct ``out``.
 
+    Beyond ``small`` values the table is read twice, so it should be a written one.
+
     A table of at most ``small`` values is broadcast (its size was measured). Beyond
     that the values held by more than one row in a thousand, at most a thousand of them, are
     looked up by broadcast, and only the other rows are matched by shuffle. Resolved rows and
@@ -216,6 +220,8 @@ def midrank_percentile(df: DataFrame, column: str, out: str, small: int = SMALL_
     base = df if base is None else base
     spread = measure_spread(base, [column], small)[column]
     table = midrank_table(base, [column], {column: spread})
+    if spread.distinct > small:
+        table = cut_lineage(table)
     return attach_by_value(df, as_number(df, column), table, spread.distinct, out, small)
 
 
@@ -267,6 +273,8 @@ def frequency_percentile(df: DataFrame, column: str, out: str, base: DataFrame |
     table = sizes.join(ranked, "rows").select(
         F.col("category").alias("value"), F.col("rows").alias("ties"), F.lit(measured["n"]).alias("n"), "pct"
     )
+    if measured["d"] > small:
+        table = cut_lineage(table)
     return attach_by_value(df, F.when((name != "") & (name != "(missing)"), name), table, measured["d"], out, small)
 
 

@@ -113,12 +113,12 @@ def percent_sql(x: str, digits: int = 1) -> str:
 
 @query("format_money", f"""WITH {PREP}, v AS (SELECT record_id, CASE status WHEN 'closed' THEN venture * 37
 WHEN 'acquired' THEN venture * 40111 ELSE nullif(venture, 0) END AS x FROM prep)
-SELECT record_id, {money_sql('x')} AS explorer, {money_sql('x', '')} AS report, {money_sql('(x / 1e5)')} AS small FROM v""")
+SELECT record_id, {money_sql('x')} AS page, {money_sql('x', '')} AS report, {money_sql('(x / 1e5)')} AS small FROM v""")
 def _format_money(spark, sf_dir):
     x = F.when(F.col("status") == "closed", F.col("venture") * 37).when(
         F.col("status") == "acquired", F.col("venture") * 40111).otherwise(F.nullif("venture", F.lit(0.0)))
     df = labelled_records(spark, sf_dir).select("record_id", x.alias("x"))
-    return df.select("record_id", format_money("x").alias("explorer"), format_money("x", "").alias("report"),
+    return df.select("record_id", format_money("x").alias("page"), format_money("x", "").alias("report"),
                      format_money(F.col("x") / 1e5).alias("small"))
 
 
