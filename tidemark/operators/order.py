@@ -157,16 +157,14 @@ def _ranked_quantiles(df: DataFrame, columns: list[str], probs: dict[str, float]
         position = (F.col("n") - 1) * F.lit(p)
         weight = position - F.floor(position)
         values.append((F.col(f"lo{i}") * (1 - weight) + F.col(f"hi{i}") * weight).alias(name))
-    found = picked.select(*keys, *values)
+    found = picked.select(*[F.col(k).alias(f"_f_{k}") for k in keys], *values)
     # Groups and features without any finite value still get a row of nulls.
-    groups = df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"))
+    groups = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
     every = groups.select(*by, F.explode(F.array(*[F.lit(c) for c in columns])).alias("feature"))
-    same = (every["feature"] == found["feature"])
+    same = F.col("feature") == F.col("_f_feature")
     for b in by:
-        same = same & every[b].eqNullSafe(found[b])
-    return every.join(found, same, "left").select(
-        *[every[b] for b in by], every["feature"], *[found[name] for name in probs]
-    )
+        same = same & F.col(b).eqNullSafe(F.col(f"_f_{b}"))
+    return every.join(found, same, "left").select(*keys, *probs)
 
 
 def midrank_table(df: DataFrame, columns: list[str], spreads: dict[str, Spread]) -> DataFrame:
