@@ -1,4 +1,4 @@
 """Imports every operator module, which registers its query."""
 
-from tidemark.llm import quality  # noqa: F401
+from tidemark.llm import near_dups, quality  # noqa: F401
 from tidemark.llm.common import QUERIES, SQL  # noqa: F401
