@@ -6,6 +6,7 @@ import zlib
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,7 +61,7 @@ def bounded_sample(labelled: DataFrame, key: str, rows: int) -> DataFrame:
 
 def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 4 << 20) -> Iterator[tuple[int, int]]:
     """Row ranges of a batch whose texts hold about ``most_bytes`` bytes; a longer text is alone."""
-    sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+    sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
     start, held = 0, 0
     for i, size in enumerate(sizes):
         if i > start and held + size > most_bytes:
