@@ -1,4 +1,4 @@
 """Imports every operator module, which registers its query."""
 
-from tidemark.llm import decontamination, near_dups, packing, pii, quality  # noqa: F401
+from tidemark.llm import decontamination, language, near_dups, packing, pii, quality, toxicity  # noqa: F401
 from tidemark.llm.common import QUERIES, SQL  # noqa: F401
