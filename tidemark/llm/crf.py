@@ -22,10 +22,10 @@ _BLOCK = 64
 
 
 def word_features(word: str, lexicon: dict[str, int] | None = None) -> list[int]:
-    """Hashed affixes up to three letters, letter bigrams and trigrams, the word itself and its lexicon entry."""
+    """Hashed beginnings up to five letters, ends up to three, letter bigrams and trigrams, the word itself and its lexicon entry."""
     word = word[:64]  # affixes and n-grams of the rest of a run this long add nothing
     marked = f"<{word}>"
-    names = [f"w{word}"] + [f"p{word[:k]}" for k in (1, 2, 3)] + [f"s{word[-k:]}" for k in (1, 2, 3)]
+    names = [f"w{word}"] + [f"p{word[:k]}" for k in (1, 2, 3, 4, 5)] + [f"s{word[-k:]}" for k in (1, 2, 3)]
     names += [f"n{marked[i:i + k]}" for k in (2, 3) for i in range(len(marked) - k + 1)]
     if lexicon and word in lexicon:
         names.append(f"lexicon{lexicon[word]}")

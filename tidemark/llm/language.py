@@ -24,9 +24,9 @@ def words_of(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
 
-def labelled_sample(docs: DataFrame, label: str, text: str, key: str, rows: int) -> list:
-    """(text, label) of at most ``rows`` rows; only keys and labels are sorted, texts are fetched for the chosen."""
-    ids = bounded_sample(docs.select(F.col(key).alias("sample_id"), F.col(label).alias("sample_label")).dropna().dropDuplicates(
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, text: str, key: str, rows: int) -> list:
+    """(id, text, sample_label) of at most ``rows`` rows; only keys and labels are sorted, texts are fetched for the chosen."""
+    ids = bounded_sample(labels.select(F.col(key).alias("sample_id"), F.col(label).alias("sample_label")).dropna().dropDuplicates(
         ["sample_id"]), "sample_id", rows)
     chosen = docs.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text")).dropna().join(
         F.broadcast(ids), F.col("id") == F.col("sample_id"))  # at most ``rows`` keys
@@ -35,7 +35,7 @@ def labelled_sample(docs: DataFrame, label: str, text: str, key: str, rows: int)
 
 def learn_languages(docs: DataFrame, label: str = "lang", text: str = "text", key: str = "doc_id", rows: int = SAMPLE_ROWS) -> Chain | None:
     """None if no labelled text has a letter. Every word of a text is taught the text's label."""
-    rows = sorted(labelled_sample(docs, label, text, key, rows), key=lambda r: (str(r["id"]), r["text"]))
+    rows = sorted(labelled_sample(docs, docs, label, text, key, rows), key=lambda r: (str(r["id"]), r["text"]))
     rows = [(words_of(r["text"]), str(r["sample_label"])) for r in rows]
     rows = [r for r in rows if r[0]]
     if not rows:

@@ -13,62 +13,87 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import fold, fold_of, query, slices, table
-from tidemark.llm.crf import WORD, Chain, Tagger, associated, fit_chain
+from tidemark.llm.crf import WORD, Tagger, fit_chain
 from tidemark.llm.language import labelled_sample, words_of
 
 #: Bound on the labelled rows of either label that the field is fitted on.
 SAMPLE_ROWS = 1_500
 FOLDS, HELD_OUT = 5, 0
-#: A lexicon word stands in so many texts, and in toxic ones so much more often.
-LEAST_TEXTS, LEAST_SHARE = 6, 0.98
+#: A toxic unit stands in so many toxic texts, adds this share of them, and of all its texts so many are toxic ones.
+LEAST_TEXTS, LEAST_ADDED, LEAST_SHARE = 3, 0.015, 0.9
 
 
 def _facts(marginal: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Log of one plus the expected number of toxic words, and the greatest marginal, of every text."""
-    out = np.zeros((len(sizes), 2))
+    """For every text: log of the expected toxic words and one, the greatest marginal, and the log of their share."""
+    expected, surest = np.zeros(len(sizes)), np.zeros(len(sizes))
     full = np.flatnonzero(sizes)
     if len(full):
         at = np.concatenate([[0], np.cumsum(sizes[full])[:-1]])
-        out[full, 0] = np.log1p(np.add.reduceat(np.where(marginal[:, 1] > 0.05, marginal[:, 1], 0), at))
-        out[full, 1] = np.maximum.reduceat(marginal[:, 1], at)
-    return out
+        expected[full] = np.add.reduceat(np.where(marginal[:, 1] > 0.05, marginal[:, 1], 0), at)
+        surest[full] = np.maximum.reduceat(marginal[:, 1], at)
+    return np.column_stack([np.log1p(expected), surest, np.log((expected + 0.1) / (sizes + 20))])
 
 
-def learn_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", rows: int = SAMPLE_ROWS):
-    """(chain, logistic weights), or None without texts of both labels. ``labels``: key, toxic."""
-    known = labels.select(F.col(key).alias("label_id"), "toxic").dropna().dropDuplicates(["label_id"])
-    marked = docs.select(key, text).join(known, F.col(key) == F.col("label_id")).select(key, text, "toxic")
-    sample = [r for v in (0, 1) for r in labelled_sample(marked.where(F.col("toxic") == v), "toxic", text, key, rows)]
-    sample.sort(key=lambda r: (str(r["id"]), r["text"]))
-    texts, y = [words_of(r["text"]) for r in sample], [int(r["sample_label"]) for r in sample]
+def fit_toxicity(sample: list[tuple]) -> tuple | None:
+    """(chain, logistic weights) from (key, text, 0 or 1) rows; None without texts of both labels."""
+    texts, y = [words_of(t) for _, t, _ in sample], [int(v) for _, _, v in sample]
     if len(set(y)) < 2:
         return None
-    lexicon = {w: c for w, c in associated(texts, y, 2, LEAST_TEXTS, LEAST_SHARE).items() if c == 1}
-    lexicon = confirmed_words(lexicon, texts, y)
-    part = np.array([fold_of(r["id"], 3) for r in sample])
-    fit = [k for k in range(len(texts)) if part[k] or len(texts) < 60]
-    tags = [np.array([y[k] and w in lexicon for w in texts[k]], np.int64) for k in range(len(texts))]
+    units = toxic_units(texts, y)
+    hit = {w: any(u in units for u in units_of(w)) for t in texts for w in set(t)}
+    lexicon = {w: 1 for w, h in hit.items() if h}
+    tags = [np.array([y[k] and hit[w] for w in texts[k]], np.int64) for k in range(len(texts))]
+    part = np.array([fold_of(key, 3) for key, _, _ in sample])
+    alone = len(texts) < 60  # too few to leave some out
+    fit = [k for k in range(len(texts)) if part[k] or alone]
     chain = fit_chain([texts[k] for k in fit], [tags[k] for k in fit], ["clean", "toxic"], lexicon, weight=np.array([1.0, 20.0]))
-    rest = [k for k in range(len(texts)) if not part[k] or len(texts) < 60]
+    rest = [k for k in range(len(texts)) if not part[k] or alone]
     x = np.column_stack([_facts(*Tagger(chain).marginals([texts[k] for k in rest])), np.ones(len(rest))])
     return chain, _logistic(x, np.array([y[k] for k in rest], float))
 
 
-def confirmed_words(lexicon: dict[str, int], texts: list, y: list) -> dict[str, int]:
-    """The lexicon words that explain most of the toxic texts: chosen one by one by the texts they add.
+def learn_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", rows: int = SAMPLE_ROWS):
+    """``fit_toxicity`` on a bounded sample of either label. ``labels``: key, toxic."""
+    known = labels.select(F.col(key).alias("label_id"), "toxic").dropna().dropDuplicates(["label_id"])
+    sample = [(r["id"], r["text"], r["sample_label"]) for v in (0, 1) for r in labelled_sample(
+        docs.select(key, text), known.where(F.col("toxic") == v).select(F.col("label_id").alias(key), "toxic"), "toxic", text, key, rows)]
+    return fit_toxicity(sorted(sample, key=lambda r: (str(r[0]), r[1])))
+
+
+def units_of(word: str) -> list[str]:
+    """The word, and its beginnings of four to eight letters."""
+    return [word + ">"] + [word[:k] for k in range(4, min(len(word), 9))]
+
+
+def toxic_units(texts: list, y: list[int]) -> set[str]:
+    """Words and beginnings of words that stand almost only in toxic texts, chosen one by one.
 
-    Words of a rare subject stand in toxic texts by chance as well; what they add is little.
+    Each has to add texts that the ones before it left unexplained: a word of a rare subject stands in a few toxic texts
+    by chance as well. A shorter beginning goes before a longer one that explains as much.
     """
-    open_texts = [set(t) & set(lexicon) for t, c in zip(texts, y, strict=True) if c]
-    total, chosen = len(open_texts), {}
-    holds = {w: {k for k, t in enumerate(open_texts) if w in t} for w in lexicon}
-    sizes = sorted(((len(v), w) for w, v in holds.items()), reverse=True)
-    covered: set[int] = set()
-    for n, w in sizes:
-        if n >= max(LEAST_TEXTS, 0.02 * total) or len(holds[w] - covered) >= max(LEAST_TEXTS, 0.02 * total):
-            chosen[w] = 1
-            covered |= holds[w]
-    return chosen
+    clean: dict[str, int] = {}
+    holds: dict[str, set] = {}
+    for k, (text, c) in enumerate(zip(texts, y, strict=True)):
+        for u in {u for w in set(text) for u in units_of(w)}:
+            if c:
+                holds.setdefault(u, set()).add(k)
+            else:
+                clean[u] = clean.get(u, 0) + 1
+    toxic = sum(y)
+    per_clean = toxic / max(1, len(y) - toxic)
+    least = max(LEAST_TEXTS, LEAST_ADDED * toxic)
+    # Expected clean texts at equal class sizes, smoothed by one text.
+    holds = {u: h for u, h in holds.items() if len(h) >= least and len(h) >= LEAST_SHARE * (len(h) + (clean.get(u, 0) + 0.5) * per_clean)}
+    chosen, covered = set(), set()
+    while holds:
+        u = min(holds, key=lambda u: (-len(holds[u] - covered), clean.get(u, 0), len(u), u))
+        if len(holds[u] - covered) < least:
+            break
+        chosen.add(u)
+        covered |= holds.pop(u)
+    # What stands beside the chosen ones at the same purity and as often is of the same kind.
+    most = max((len(v) for v in holds.values()), default=0)
+    return chosen | {u for u, h in holds.items() if len(h) >= 0.25 * most and not any(u.startswith(c) for c in chosen)}
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
@@ -84,7 +109,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
 
 def _score(model):
     def run(batches):
-        chain, w = model or (None, np.array([0.0, 0.0, -30.0]))
+        chain, w = model or (None, np.array([0.0, 0.0, 0.0, -30.0]))
         tagger = Tagger(chain) if chain else None
         for batch in batches:
             for start, stop in slices(batch, "text"):
@@ -92,7 +117,7 @@ def _score(model):
                 whole = [t.as_py() or "" for t in part.column("text")]
                 texts = [words_of(t) for t in whole]
                 spans = [""] * len(texts)
-                facts = np.zeros((len(texts), 2))
+                facts = np.zeros((len(texts), 3))
                 if tagger:
                     marginal, sizes = tagger.marginals(texts)
                     facts = _facts(marginal, sizes)
