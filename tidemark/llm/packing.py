@@ -7,11 +7,13 @@ is kept by a monotone queue; lengths that are powers of two need no padding and
 
 A stream is cut in stretches of bounded length; the last, unfilled window of a stretch is carried into the next. Nothing
 is shuffled, and a lost task is made again from its own input split with the same result.
+
+Ids are those of the tokenizer's library; they are read off the transducer of ``token_counts``, which meets each
+distinct piece of a word once, where the library encodes every rare word anew.
 """
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections import deque
 
@@ -22,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import query, slices, table
+from tidemark.llm.token_counts import Counter, character_classes, odd_characters
 
 #: Tokens of a sequence.
 WINDOW = 2048
@@ -36,56 +39,17 @@ STRIDE = 512
 #: Tokens of one stretch of the stream.
 STRETCH = 1 << 19
 
-_ENDS = re.compile(r"[.!?\n]")
-_ODD = re.compile("[\x1c-\x1f\x85]|<\\|")
-
-
-class Encoder:
-    """Ids by the tokenizer's library, which is asked once for every distinct piece between white space.
-
-    The vocabulary's rules never join text across white space, so pieces can be encoded one by one. Texts with special
-    strings, or with characters that Python and the library do not both take for white space, go to the library whole.
-    """
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(path)
-        self.pieces: dict[str, np.ndarray] = {}
-
-    def ids(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """The ids and, ascending, the positions after which a sentence ends."""
-        if not text:
-            return np.empty(0, np.uint32), np.empty(0, np.int64)
-        if _ODD.search(text):
-            whole = self.library.encode(text, add_special_tokens=False)
-            ends = [i + 1 for i, (a, b) in enumerate(whole.offsets) if _ENDS.search(text, a, b)]
-            return np.array(whole.ids, np.uint32), np.array(ends, np.int64)
-        words = text.split()
-        missing = {w for w in words if w not in self.pieces}
-        if missing:
-            if len(self.pieces) > 300_000:
-                self.pieces.clear()
-                missing = set(words)
-            missing = list(missing)
-            for w, e in zip(missing, self.library.encode_batch(missing, add_special_tokens=False), strict=True):
-                self.pieces[w] = np.array(e.ids, np.uint32)
-        found = [self.pieces[w] for w in words]
-        if not found:
-            return np.empty(0, np.uint32), np.empty(0, np.int64)
-        after = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
-        ends = np.fromiter((w[-1] in ".!?" for w in words), bool, len(words))
-        return np.concatenate(found), after[ends]
-
-
 def choose_cuts(at: np.ndarray, penalty: np.ndarray, window: int = WINDOW) -> list[int]:
     """Indexes into ``at`` of the cuts of least cost; the first and last entry are always cuts.
 
     ``at`` holds ascending positions whose neighbours are at most ``window`` apart. Ties go to the earliest start.
     """
     place, fine = at.tolist(), penalty.tolist()
-    index = {p: k for k, p in enumerate(place)}
-    powers = [1 << k for k in range(window.bit_length())]
+    exact: dict[int, list[int]] = {}  # starts that are a power of two before a cut
+    for k in range(6, window.bit_length()):  # OPEN is more than a shorter sequence saves
+        source = np.minimum(np.searchsorted(at, at - (1 << k)), len(at) - 1)
+        for j in np.flatnonzero(at[source] == at - (1 << k)).tolist():
+            exact.setdefault(j, []).append(int(source[j]))
     cost, back = [0.0] * len(place), [0] * len(place)
     queue: deque[int] = deque([0])
     for j in range(1, len(place)):
@@ -94,9 +58,8 @@ def choose_cuts(at: np.ndarray, penalty: np.ndarray, window: int = WINDOW) -> li
             queue.popleft()
         i = queue[0]
         best, source = cost[i] + window - (here - place[i]), i
-        for p in powers:
-            i = index.get(here - p)
-            if i is not None and cost[i] < best:
+        for i in exact.get(j, ()):
+            if cost[i] < best:
                 best, source = cost[i], i
         cost[j], back[j] = best + fine[j] + OPEN, source
         # The value of a start, without what depends on the end.
@@ -167,9 +130,9 @@ class Packer:
 _PIECES = ("key long, start long, length long, ids binary, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
 
-def _pack(path: str, with_ids: bool):
+def _pack(path: str, with_ids: bool, classes, odd: str):
     def run(batches):
-        encoder, packer = Encoder(path), Packer(TaskContext.get().partitionId() << 40)
+        encoder, packer = Counter(path, classes.value, odd), Packer(TaskContext.get().partitionId() << 40)
 
         def table_of(rows):
             return pa.RecordBatch.from_arrays([
@@ -182,11 +145,11 @@ def _pack(path: str, with_ids: bool):
                 ["key", "start", "length", "ids", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
 
         for batch in batches:
-            for start, stop in slices(batch, "text"):
-                rows = []
-                for key, text in zip(batch.column("key").slice(start, stop - start), batch.column("text").slice(start, stop - start), strict=True):
-                    ids, ends = encoder.ids(text.as_py())
-                    rows += packer.add(key.as_py(), np.append(ids, np.uint32(END)), ends)
+            for start, stop in slices(batch, "text", 2 << 20):
+                rows, part = [], batch.slice(start, stop - start)
+                found = encoder.encode([t or "" for t in part.column("text").to_pylist()])
+                for key, (ids, ends) in zip(part.column("key").to_pylist(), found, strict=True):
+                    rows += packer.add(key, np.append(ids, np.uint32(END)), ends)
                 if rows:
                     yield table_of(rows)
         rows = packer.cut(last=True)
@@ -202,8 +165,9 @@ def pack(docs: DataFrame, tokenizer: str, text: str = "text", key: str = "doc_id
     Every row of ``docs`` is a document, also without a key and also if it repeats one. A null or empty text is the end
     id alone. Other columns are not looked at. A sequence holds at most 2048 tokens.
     """
+    classes = docs.sparkSession.sparkContext.broadcast(character_classes(tokenizer))  # one byte per code point
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text")).mapInArrow(
-        _pack(tokenizer, with_ids), _PIECES)
+        _pack(tokenizer, with_ids, classes, odd_characters(tokenizer)), _PIECES)
     return rows.withColumnRenamed("key", "doc_id")
 
 

@@ -14,7 +14,6 @@ before it and composes the open ones in between.
 from __future__ import annotations
 
 import json
-import re
 import unicodedata
 from functools import lru_cache
 
@@ -79,7 +78,8 @@ class Transducer:
         self.ranks: dict[tuple, int] = {}
         for rank, (a, b) in enumerate(model["merges"]):
             self.ranks[self._piece(a, of), self._piece(b, of)] = rank
-        tokens = {self._piece(t, of) for t in model["vocab"]}
+        self.number = {self._piece(t, of): k for t, k in model["vocab"].items()}
+        tokens = set(self.number)
         self.inner = {t for t, last in tokens if not last}
         self.final = {t for t, last in tokens if last}
         # What a token that is not yet read whole can begin with; a word-end token still needs the end.
@@ -99,6 +99,8 @@ class Transducer:
         # (relative to now) at the place where that token would begin.
         start = (b"", ((0, b"", 0),))
         self.states, self.place = [start], {start: 0}
+        # Number and length of the last token of a state, without and with a word end behind it.
+        self.last, self.closing = np.zeros((2, 1024), np.int32), np.zeros((2, 1024), np.int32)
 
     def _encode(self, parts: list) -> list:
         while len(parts) > 1:
@@ -137,6 +139,7 @@ class Transducer:
                 token = ends[len(ends) - length:]
                 if length and token in self.final and self._follows(before, token, True):
                     best = count + 1
+                    self.closing[:, state] = self.number[token, True], length
                     break
             if best is None and ends:
                 raise ValueError(f"no encoding ends in {ends!r}")
@@ -159,6 +162,10 @@ class Transducer:
         if place is None:
             place = self.place[after] = len(self.states)
             self.states.append(after)
+            if place == self.last.shape[1]:
+                self.last = np.concatenate([self.last, np.zeros_like(self.last)], axis=1)
+                self.closing = np.concatenate([self.closing, np.zeros_like(self.closing)], axis=1)
+            self.last[:, place] = self.number[token, False], len(token)
         self._put(state, symbol, place, change)
 
     def _put(self, state: int, symbol: int, after: int, change: int):
@@ -196,8 +203,11 @@ class Transducer:
             found[missing] = self._look_up(keys[missing])
         return found >> 16, (found & 0xFFFF) - 0x8000
 
-    def emissions(self, stream: np.ndarray) -> np.ndarray:
-        """The change of the token count at every symbol of a stream that ends with a word end."""
+    def emissions(self, stream: np.ndarray, states: np.ndarray | None = None) -> np.ndarray:
+        """The change of the token count at every symbol of a stream that ends with a word end.
+
+        ``states``, if given, is filled with the state behind every symbol.
+        """
         if len(self.states) > MOST_STATES or self.known > len(self.keys) // 3:
             self.clear()
         count = -(-len(stream) // CHUNK)
@@ -205,6 +215,7 @@ class Transducer:
         padded[:len(stream)] = stream
         symbols = padded.reshape(count, CHUNK)
         out = np.zeros((count, CHUNK), np.int16)
+        passed = np.zeros((count, CHUNK), np.int32) if states is not None else None
         is_end = symbols == _END
         closed = is_end.any(axis=1)
         first = np.where(closed, is_end.argmax(axis=1), CHUNK)  # a chunk's head goes up to its first word end
@@ -214,6 +225,8 @@ class Transducer:
             lanes = np.flatnonzero(first < t)
             if len(lanes):
                 exits[lanes], out[lanes, t] = self._advance(exits[lanes], symbols[lanes, t])
+                if passed is not None:
+                    passed[lanes, t] = exits[lanes]
         # Entry states: of chunks behind a closed one at once, then along runs of open chunks.
         entry = np.zeros(count, np.int64)
         wave = np.flatnonzero(np.concatenate([[True], closed[:-1]]))
@@ -223,21 +236,47 @@ class Transducer:
             for t in range(int(min(CHUNK, first[wave].max() + 1))):
                 at = np.flatnonzero(first[wave] >= t)
                 state[at], out[wave[at], t] = self._advance(state[at], symbols[wave[at], t])
+                if passed is not None:
+                    passed[wave[at], t] = state[at]
             going = np.flatnonzero(~closed[wave] & (wave + 1 < count))
             entry[wave[going] + 1] = state[going]
             wave = wave[going] + 1
+        if states is not None:
+            states[:] = passed.reshape(-1)[:len(stream)]
         return out.reshape(-1)[:len(stream)]
 
+    def tokens(self, stream: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Token numbers of a stream, and how many of them come up to each of its word ends.
+
+        A state knows its last token, and the state where that token begins knows the one before, so all words are read
+        backwards side by side.
+        """
+        states = np.empty(len(stream), np.int32)
+        total = np.cumsum(self.emissions(stream, states), dtype=np.int64)
+        ends = np.flatnonzero(stream == _END)
+        begins = np.concatenate([[0], ends[:-1] + 1])
+        after = total[ends]
+        ids = np.empty(int(after[-1]), np.uint32)
+        at, slot = ends - 1, after - 1
+        table = self.closing
+        while len(at):
+            here = states[at]
+            ids[slot] = table[0, here]
+            at, slot, table = at - table[1, here], slot - 1, self.last
+            going = at >= begins
+            at, slot, begins = at[going], slot[going], begins[going]
+        return ids, after
+
 
 class Counter:
-    """Token counts of texts by the transducer."""
+    """Token counts, and ids, of texts by the transducer."""
 
     def __init__(self, path: str, classes: bytes, odd: str = ""):
         from tokenizers import Tokenizer
 
         self.transducer = Transducer(path)
-        self.library = Tokenizer.from_file(path).normalizer
-        self.odd = re.compile(f"[{re.escape(odd)}]") if odd else None
+        self.whole = Tokenizer.from_file(path)
+        self.odd = np.array([ord(c) for c in odd], np.uint32)
         self.classes = np.frombuffer(classes, np.uint8)
         special = [t for t in json.load(open(path, encoding="utf-8"))["added_tokens"]]
         self.special = [t["content"] for t in special]
@@ -253,12 +292,50 @@ class Counter:
                     extra[k] += sum(len(p) - 1 for p in split)
                     pieces = [x for p in split for x in p]
             for p in pieces:
-                parts.append(self.library.normalize_str(p) if self.odd and not p.isascii() and self.odd.search(p) else normalized(p))
+                parts.append(p)
                 owner.append(k)
+        stream, edges = self._stream(parts)
+        if not len(stream):
+            return extra
+        total = np.concatenate([[0], np.cumsum(self.transducer.emissions(stream), dtype=np.int64)])
+        each = np.diff(np.concatenate([[0], total[edges]]))
+        return extra + np.bincount(owner, each, len(texts)).astype(np.int64)
+
+    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each text its ids, and the positions behind words that begin with a full stop, ``!`` or ``?``.
+
+        Texts with a special string are left to the library.
+        """
+        plain = ["" if "<|" in t else t for t in texts]
+        out = [(np.empty(0, np.uint32), np.empty(0, np.int64))] * len(texts)
+        stream, edges = self._stream(plain)
+        if len(stream):
+            ids, after = self.transducer.tokens(stream)
+            ends = np.flatnonzero(stream == _END)
+            stops = np.isin(stream[np.concatenate([[0], ends[:-1] + 1])], [46, 33, 63])
+            words = np.searchsorted(ends, edges)  # word ends before each text's end
+            low, first = 0, 0
+            for k, word in enumerate(words.tolist()):
+                high = int(after[word - 1]) if word else 0
+                out[k] = ids[low:high], after[first:word][stops[first:word]] - low
+                low, first = high, word
+        for k, t in enumerate(texts):
+            if "<|" in t:
+                out[k] = np.array(self.whole.encode(t, add_special_tokens=False).ids, np.uint32), np.empty(0, np.int64)
+        return out
+
+    def _stream(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The symbols of all parts with word ends, and for each part the place behind its last one."""
+        raw_parts, parts = parts, [normalized(p) for p in parts]
         joined = " ".join(parts) + " "
+        points = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+        if len(self.odd) and points.max() >= self.odd.min() and np.isin(points[points >= self.odd.min()], self.odd).any():
+            odd = {chr(c) for c in self.odd}
+            parts = [self.whole.normalizer.normalize_str(r) if odd & set(p) else p for r, p in zip(raw_parts, parts, strict=True)]
+            joined = " ".join(parts) + " "
+            points = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
         raw = np.frombuffer(joined.encode("utf-8"), np.uint8)
         lead = (raw & 0xC0) != 0x80
-        points = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
         kind = self.classes[points]
         before = np.concatenate([[_SPACE], kind[:-1]])
         start = (kind == _NUMBER) | ((kind == _LETTER) & (before != _LETTER)) | ((kind == _OTHER) & (before != _OTHER))
@@ -268,17 +345,14 @@ class Counter:
         begins = (start[char] & lead)[inside]
         data = raw[inside]
         if not len(data):
-            return extra
+            return np.empty(0, np.int64), np.zeros(len(parts), np.int64)
         place = np.arange(len(data)) + np.cumsum(begins) - 1
         stream = np.full(place[-1] + 2, _END, np.int64)
         stream[place] = data
-        total = np.concatenate([[0], np.cumsum(self.transducer.emissions(stream), dtype=np.int64)])
         # Bytes of a part, and so its symbols, end where the next part begins.
         held = np.concatenate([[0], np.cumsum(inside)])
         edges = held[np.cumsum([len(p.encode("utf-8")) + 1 for p in parts])]
-        edges = np.where(edges < len(data), place[np.minimum(edges, len(data) - 1)], len(stream))
-        each = np.diff(np.concatenate([[0], total[edges]]))
-        return extra + np.bincount(owner, each, len(texts)).astype(np.int64)
+        return stream, np.where(edges < len(data), place[np.minimum(edges, len(data) - 1)], len(stream))
 
     @staticmethod
     def _contractions(points: np.ndarray, kind: np.ndarray, start: np.ndarray):
