@@ -5,15 +5,14 @@ A table key combines one group of A with one of B, so ``2 * SIDE * ROWS`` minhas
 keyed by ``2 * ROWS`` minhashes. Candidates are confirmed on the full shingle sets.
 
 Work is done on classes of documents with the same shingle set, so thousands of copies are one row. A class enters the
-tables only with groups that another class has too. In a bucket all classes are compared with one pivot; what is then
-still split over several components is compared block by block in ``rest_links``, so a bucket of any size is finished
+tables only with groups that another class has too. In a bucket all classes are compared with one pivot, then those
+outside its largest component with a few more; what is still split is compared block by block in ``rest_pairs``, so a bucket of any size is finished
 without writing all of its pairs.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -29,10 +28,16 @@ SHINGLE = 5
 SIDE, ROWS = 12, 2
 #: Links need 100 * intersection >= PERCENT * union.
 PERCENT = 75
-#: Rows of one block of the exact comparison of a split bucket.
+#: Rows of one block of the comparison of a split bucket.
 BLOCK = 256
+#: Minhashes of the sketch by which blocks are compared. Pairs that agree in a share of SURE or more are linked for the
+#: block at hand, pairs below MAYBE (4 deviations under 0.75) are not; all that are not dropped are confirmed on sets.
+SKETCH, MAYBE, SURE = 512, 0.67, 0.84
+#: Members of a split bucket's largest component with which all its other classes are compared before blocks are.
+PIVOTS = 3
 
 _SEEDS = np.random.default_rng(20240901).integers(1, 2**63, (2, 2 * SIDE * ROWS), dtype=np.uint64) | np.uint64(1)
+_SKETCH_SEEDS = np.random.default_rng(20240902).integers(1, 2**63, (2, SKETCH), dtype=np.uint64) | np.uint64(1)
 _WORD_HASHES: dict[bytes, int] = {}
 
 
@@ -67,21 +72,32 @@ def shingle_set(text: str | None, size: int = SHINGLE) -> np.ndarray:
     return np.unique(h)
 
 
-def group_keys(shingles: np.ndarray) -> np.ndarray:
-    """The ``2 * SIDE`` group keys: each mixes ``ROWS`` minhashes and its own number."""
-    least = np.full(2 * SIDE * ROWS, np.uint64(2**64 - 1))
+def minhashes(shingles: np.ndarray, seeds: np.ndarray) -> np.ndarray:
+    least = np.full(seeds.shape[1], np.uint64(2**64 - 1))
     for start in range(0, len(shingles), 4096):
         part = shingles[start:start + 4096]
-        mixed = part[None, :] * _SEEDS[0][:, None] + _SEEDS[1][:, None]
+        mixed = part[None, :] * seeds[0][:, None] + seeds[1][:, None]
         mixed ^= mixed >> np.uint64(32)
         least = np.minimum(least, (mixed * np.uint64(0x9E3779B97F4A7C15)).min(axis=1))
+    return least
+
+
+def group_keys(shingles: np.ndarray) -> np.ndarray:
+    """The ``2 * SIDE`` group keys: each mixes ``ROWS`` minhashes and its own number. Keys of A are even, of B odd."""
+    least = minhashes(shingles, _SEEDS)
     keys = np.arange(1, 2 * SIDE + 1, dtype=np.uint64)
     for r in range(ROWS):
         keys = _mix(keys * np.uint64(0x9E3779B97F4A7C15) + least[r::ROWS])
-    return keys.view(np.int64)
+    side = (np.arange(2 * SIDE) >= SIDE).astype(np.uint64)
+    return ((keys & ~np.uint64(1)) | side).view(np.int64)
+
 
+def class_of(shingles: np.ndarray) -> int:
+    """64-bit name of a set; two of a billion different sets share one with a probability of 3 %."""
+    return xxhash.xxh3_64_intdigest(shingles.tobytes()) - 2**63
 
-_SKETCH = "id long, n_shingles long, cls binary, bands array<long>"
+
+_SKETCH = "id long, n_shingles long, cls long, bands array<long>"
 
 
 def _sketches(batches):
@@ -92,10 +108,10 @@ def _sketches(batches):
             for text in part.column("text"):
                 s = shingle_set(text.as_py())
                 counts.append(len(s))
-                classes.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
+                classes.append(class_of(s) if len(s) else None)
                 keys.append(group_keys(s) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [part.column("id"), pa.array(counts, pa.int64()), pa.array(classes, pa.binary()),
+                [part.column("id"), pa.array(counts, pa.int64()), pa.array(classes, pa.int64()),
                  pa.array(keys, pa.list_(pa.int64()))], ["id", "n_shingles", "cls", "bands"])
 
 
@@ -116,12 +132,12 @@ def table_rows(classes: DataFrame) -> DataFrame:
 
     A bucket's classes share its group of A and its group of B, so classes are first reduced to groups that are shared.
     """
-    groups = classes.select("cls", F.posexplode("bands").alias("g", "key"))
+    groups = classes.select("cls", F.explode("bands").alias("key"))
     held = _shared(groups, "key").groupBy("cls").agg(  # at most 2 * SIDE keys of a class
-        F.array_sort(F.collect_list(F.when(F.col("g") < SIDE, F.col("key")))).alias("a"),
-        F.array_sort(F.collect_list(F.when(F.col("g") >= SIDE, F.col("key")))).alias("b"))
+        F.array_sort(F.collect_list(F.when(F.col("key") % 2 == 0, F.col("key")))).alias("a"),
+        F.array_sort(F.collect_list(F.when(F.col("key") % 2 != 0, F.col("key")))).alias("b"))
     pairs = held.select("cls", F.explode("a").alias("x"), "b").select("cls", "x", F.explode("b").alias("y"))
-    return _shared(pairs.select("cls", F.xxhash64("x", "y").alias("bucket")), "bucket").select("bucket", "cls")
+    return _shared(pairs.select("cls", F.xxhash64("x", "y").alias("bucket"), "x", "y"), "bucket").select("bucket", "x", "y", "cls")
 
 
 def _linked(x: np.ndarray, y: np.ndarray, percent: int = PERCENT) -> bool:
@@ -144,7 +160,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (u, v) whose full sets are similar enough."""
     x = sets.select(F.col("cls").alias("u"), F.col("shingles").alias("x"))
     y = sets.select(F.col("cls").alias("v"), F.col("shingles").alias("y"))
-    return pairs.join(x, "u").join(y, "v").select("u", "v", "x", "y").mapInArrow(_confirm, "u binary, v binary")
+    return pairs.join(x, "u").join(y, "v").select("u", "v", "x", "y").mapInArrow(_confirm, "u long, v long")
 
 
 def pivot_pairs(rows: DataFrame) -> DataFrame:
@@ -179,10 +195,45 @@ def components(links: DataFrame, rounds: int = 50) -> DataFrame:
     raise RuntimeError("components are not settled")
 
 
-def _compare_block(frame: pd.DataFrame) -> pd.DataFrame:
-    """Links between classes of different components: outsiders of a block with the other rows of the block."""
-    sets = [np.frombuffer(s, np.uint64) for s in frame["shingles"]]
-    names, roots, outer = frame["cls"].tolist(), frame["root"].tolist(), frame["outer"].to_numpy(bool)
+def _compare_blocks(batches):
+    """Candidate pairs between classes of different components; the rows of a block follow one another."""
+    held: list[pa.RecordBatch] = []
+
+    def parts(last: bool):
+        whole = pa.Table.from_batches(held).combine_chunks()
+        names = np.column_stack([whole.column(c).to_numpy() for c in ("bucket", "i", "o")])
+        bounds = np.flatnonzero((names[1:] != names[:-1]).any(axis=1)) + 1
+        edges = [0, *bounds.tolist(), len(names)]
+        done = edges[-1] if last else edges[-2]
+        held[:] = [] if last else whole.slice(done).to_batches()
+        cls, root = whole.column("cls").to_numpy(), whole.column("root").to_numpy()
+        outer = whole.column("outer").to_numpy(zero_copy_only=False)
+        marks = np.frombuffer(b"".join(whole.column("sketch").slice(0, done).to_pylist()), np.uint8).reshape(-1, SKETCH)
+        bands = np.frombuffer(b"".join(whole.column("bands").slice(0, done).to_pylist()), np.int64).reshape(-1, 2 * SIDE)
+        x, y = whole.column("x").to_numpy(), whole.column("y").to_numpy()
+        found = []
+        for a, b in zip(edges, edges[1:], strict=False):
+            if b <= done:
+                found += _candidates(cls[a:b], root[a:b], outer[a:b], marks[a:b], bands[a:b], (x[a], y[a]))
+        return pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], ["u", "v"])
+
+    for batch in batches:
+        if len(batch):
+            held.append(batch)
+            if sum(map(len, held)) >= 8 * BLOCK:
+                yield parts(last=False)
+    if held:
+        yield parts(last=True)
+
+
+def _candidates(cls: np.ndarray, root: np.ndarray, outer: np.ndarray, marks: np.ndarray, bands: np.ndarray,
+                table_key: tuple[int, int]) -> list[tuple[int, int]]:
+    """Pairs with like sketches, each only in the first table that the two share, and none that surer pairs make needless."""
+    rows, others = np.flatnonzero(outer), np.flatnonzero(~outer)
+    if not len(rows) or not len(others):
+        return []
+    share = np.array([(marks[others] == marks[i]).mean(axis=1) for i in rows])
+    share[root[rows][:, None] == root[others][None, :]] = 0
     merged: dict = {}
 
     def find(r):
@@ -191,36 +242,60 @@ def _compare_block(frame: pd.DataFrame) -> pd.DataFrame:
         return r
 
     found = []
-    for i in np.flatnonzero(outer):
-        for j in range(len(names)):
-            a, b = find(roots[i]), find(roots[j])
-            if a != b and _linked(sets[i], sets[j]):
-                merged[max(a, b)] = min(a, b)
-                found.append((names[i], names[j]))
-    return pd.DataFrame(found, columns=["u", "v"])
-
-
-def rest_links(rows: DataFrame, roots: DataFrame, sets: DataFrame, block: int = BLOCK) -> DataFrame:
-    """The links that pivots left out: between classes of one bucket that are still in different components.
-
-    Outsiders are the rows outside the bucket's largest component. Blocks of them meet blocks of all its rows, so a task
-    holds ``2 * block`` sets however large the bucket is; a block returns at most the links of a spanning forest.
+    hits = np.argwhere(share >= MAYBE)
+    same = bands[rows[hits[:, 0]]] == bands[others[hits[:, 1]]]
+    one = bands[rows[hits[:, 0]]]
+    at = np.arange(len(hits))
+    first = (one[at, same[:, :SIDE].argmax(axis=1)] == table_key[0]) & (one[at, SIDE + same[:, SIDE:].argmax(axis=1)] == table_key[1])
+    hits = hits[first]
+    for a, b in hits[np.argsort(-share[hits[:, 0], hits[:, 1]], kind="stable")]:
+        x, y = find(root[rows[a]]), find(root[others[b]])
+        if x != y:
+            found.append((int(min(cls[rows[a]], cls[others[b]])), int(max(cls[rows[a]], cls[others[b]]))))
+            if share[a, b] >= SURE:
+                merged[max(x, y)] = min(x, y)
+    return found
+
+
+def split_rows(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows of buckets with several components: with root, outside (not in the largest one), all and outsiders.
+
+    A bucket of two has been compared with its pivot and is left out.
     """
     state = rows.join(roots, rows["cls"] == roots["node"], "left").select(
-        "bucket", "cls", F.coalesce("root", "cls").alias("root"))
+        "bucket", "x", "y", "cls", F.coalesce("root", "cls").alias("root"))
     sizes = state.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
     split = sizes.groupBy("bucket").agg(
-        F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("all"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    open_rows = state.join(split, "bucket").select(
-        "bucket", "cls", "root", (F.col("root") != F.col("top.root")).alias("outer"),
-        F.ceil((F.col("all") - F.col("top.n")) / block).alias("outs"), F.ceil(F.col("all") / block).alias("ins"))
-    at = F.pmod(F.xxhash64("cls"), F.col("outs")), F.pmod(F.xxhash64("cls"), F.col("ins"))
-    placed = open_rows.select("bucket", "cls", "root", F.lit(False).alias("outer"), at[1].alias("i"), F.explode(
-        F.sequence(F.lit(0).cast("bigint"), F.col("outs") - 1)).alias("o")).unionByName(
-        open_rows.where("outer").select("bucket", "cls", "root", "outer", at[0].alias("o"), F.explode(
-            F.sequence(F.lit(0).cast("bigint"), F.col("ins") - 1)).alias("i")))
-    return placed.join(sets, "cls").select("bucket", "i", "o", "cls", "root", "outer", "shingles").groupBy(
-        "bucket", "i", "o").applyInPandas(_compare_block, "u binary, v binary").distinct()
+        F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("all"), F.count(F.lit(1)).alias("parts")).where(
+        "parts > 1 and all > 2").select("bucket", "top", "all", (F.col("all") - F.col("top.n")).alias("outsiders"))
+    return state.join(split, "bucket").select(
+        "bucket", "x", "y", "cls", "root", (F.col("root") != F.col("top.root")).alias("outside"), "all", "outsiders")
+
+
+def more_pivot_pairs(rows: DataFrame, pivots: int = PIVOTS) -> DataFrame:
+    """u, v: outsiders of split buckets with ``pivots`` members of the bucket's largest component."""
+    inside = rows.where("not outside")
+    pairs = None
+    for k in range(pivots):
+        chosen = inside.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("cls", "bucket", F.lit(k)), "cls")).alias("p"))
+        found = rows.where("outside").select("bucket", "cls").join(chosen.select("bucket", F.col("p.cls").alias("pivot")), "bucket")
+        pairs = found if pairs is None else pairs.unionAll(found)
+    return pairs.select(F.least("cls", "pivot").alias("u"), F.greatest("cls", "pivot").alias("v")).distinct()
+
+
+def rest_pairs(rows: DataFrame, sets: DataFrame, block: int = BLOCK) -> DataFrame:
+    """The pairs that pivots left out: classes of one bucket that are in different components and have like sketches.
+
+    Blocks of outsiders meet blocks of all rows of their bucket, so a task holds two blocks of sketches however large the
+    bucket is. ``rows`` are those of ``split_rows``.
+    """
+    placed_by = lambda n: F.pmod(F.xxhash64("cls"), F.ceil(F.col(n) / block))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.ceil(F.col(n) / block) - 1))
+    names = ["bucket", "x", "y", "cls", "root"]
+    placed = rows.select(*names, F.lit(False).alias("outer"), placed_by("all").alias("i"), every("outsiders").alias("o")).unionByName(
+        rows.where("outside").select(*names, F.lit(True).alias("outer"), placed_by("outsiders").alias("o"), every("all").alias("i")))
+    return placed.join(sets.select("cls", "sketch", "bands"), "cls").repartition("bucket", "i", "o").sortWithinPartitions(
+        "bucket", "i", "o").mapInArrow(_compare_blocks, "u long, v long").distinct()
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -239,11 +314,13 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     chosen = keyed.groupBy("cls").agg(F.min("id").alias("id")).join(wanted, "cls")
     texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     found = texts.join(chosen.select("id").distinct(), "id").mapInArrow(
-        _named_sets, "cls binary, shingles binary").dropDuplicates(["cls"])
+        _named_sets, "cls long, shingles binary, sketch binary, bands binary").dropDuplicates(["cls"])
     sets = cut_lineage(found.join(wanted, "cls", "left_semi"))
     links = cut_lineage(confirmed(pivot_pairs(buckets), sets))
-    more = cut_lineage(rest_links(buckets, components(links), sets))
-    roots = components(links.unionAll(more))
+    more = cut_lineage(confirmed(more_pivot_pairs(cut_lineage(split_rows(buckets, components(links)))), sets))
+    links = links.unionAll(more)
+    rest = cut_lineage(confirmed(rest_pairs(cut_lineage(split_rows(buckets, components(links))), sets), sets))
+    roots = components(links.unionAll(rest))
     named = classes.select("cls", "first").join(roots, F.col("cls") == F.col("node"), "left").select(
         "cls", "first", F.coalesce("root", "cls").alias("root"))
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))
@@ -257,9 +334,11 @@ def _named_sets(batches):
     for batch in batches:
         for start, stop in slices(batch, "text", 16 << 20):
             found = [shingle_set(t.as_py()) for t in batch.column("text").slice(start, stop - start)]
-            found = [(xxhash.xxh3_128_digest(s.tobytes()), s.tobytes()) for s in found if len(s)]
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.binary()),
-                                              pa.array([x[1] for x in found], pa.binary())], ["cls", "shingles"])
+            found = [s for s in found if len(s)]
+            yield pa.RecordBatch.from_arrays([
+                pa.array([class_of(s) for s in found], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary()),
+                pa.array([(_mix(minhashes(s, _SKETCH_SEEDS)) & np.uint64(255)).astype(np.uint8).tobytes() for s in found], pa.binary()),
+                pa.array([group_keys(s).tobytes() for s in found], pa.binary())], ["cls", "shingles", "sketch", "bands"])
 
 
 OP9_SQL = r"""
