@@ -89,7 +89,7 @@ def forward_backward(emission: np.ndarray, first: np.ndarray, transitions: np.nd
     count = -(-n // _BLOCK)
     psi = np.ones((count * _BLOCK, states))
     psi[:n] = np.exp(emission - emission.max(axis=1, keepdims=True))
-    begin = np.zeros(count * _BLOCK, bool)
+    begin = np.ones(count * _BLOCK, bool)  # what fills the last block has no part in the last text
     begin[:n] = first
     step, fresh = np.exp(transitions), np.exp(start)
     psi, begin = psi.reshape(count, _BLOCK, states), begin.reshape(count, _BLOCK)

@@ -93,7 +93,7 @@ def _write(folder: str, dictionary: bytes, level: int, file_bytes: int):
             for page, url, payload, digest, refers, revisit in zip(*(batch.column(c) for c in range(6)), strict=True):
                 if out is None:
                     name = f"{base}/{uuid.uuid4().hex}.warc.zst"
-                    out, records, size = system.open_output_stream(name), 0, 0
+                    out, records, size = system.open_output_stream(name, compression=None), 0, 0
                     size += out.write(file_start(dictionary))
                 frame = packer.compress(record(page.as_py(), url.as_py(), payload.as_py(), digest.as_py(), refers.as_py(), revisit.as_py()))
                 size += out.write(frame)
@@ -141,7 +141,7 @@ def _read(batches):
         for path in batch.column("path").to_pylist():
             system, base = filesystem(path)
             rows: list = []
-            with system.open_input_stream(base) as stream:
+            with system.open_input_stream(base, compression=None) as stream:
                 for headers, block in read_records(stream):
                     head, _, payload = block.partition(b"\r\n\r\n")
                     revisit = headers["WARC-Type"] == "revisit"
