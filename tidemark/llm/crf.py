@@ -8,6 +8,7 @@ blocks run forward and backward together. A text of any length is exact and cost
 
 from __future__ import annotations
 
+import itertools
 import re
 import zlib
 from dataclasses import dataclass, field
@@ -21,15 +22,42 @@ WIDTH = 1 << 15
 _BLOCK = 64
 
 
-def word_features(word: str, lexicon: dict[str, int] | None = None) -> list[int]:
-    """Hashed beginnings up to five letters, ends up to three, letter bigrams and trigrams, the word itself and its lexicon entry."""
-    word = word[:64]  # affixes and n-grams of the rest of a run this long add nothing
-    marked = f"<{word}>"
-    names = [f"w{word}"] + [f"p{word[:k]}" for k in (1, 2, 3, 4, 5)] + [f"s{word[-k:]}" for k in (1, 2, 3)]
-    names += [f"n{marked[i:i + k]}" for k in (2, 3) for i in range(len(marked) - k + 1)]
-    if lexicon and word in lexicon:
-        names.append(f"lexicon{lexicon[word]}")
-    return sorted({zlib.crc32(n.encode("utf-8", "surrogatepass")) % WIDTH for n in names})
+def word_features(words: list[str], lexicon: dict[str, int] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed features and the number of the word that each belongs to.
+
+    Beginnings up to five letters, ends up to three, letter bigrams and trigrams, the word and its lexicon entry. Only
+    the first 64 letters of a run are looked at.
+    """
+    words = [w[:64] for w in words]
+    text = np.frombuffer("".join(f"<{w}>" for w in words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    first = np.concatenate([[0], np.cumsum(sizes + 2)[:-1]])
+    word = np.repeat(np.arange(len(words)), sizes + 2)
+    step = np.uint64(0x100000001B3)
+    hashes, owners = [], []
+
+    def add(kind: int, value: np.ndarray, owner: np.ndarray):
+        value = (value + np.uint64(kind)) * np.uint64(0x9E3779B97F4A7C15)
+        hashes.append((value >> np.uint64(40)).astype(np.int64) % WIDTH)
+        owners.append(owner)
+
+    pair = text[:-1] * step + text[1:]
+    inside = word[:-1] == word[1:]
+    add(1, pair[inside], word[:-1][inside])
+    inside = word[:-2] == word[2:]
+    add(2, (pair[:-1] * step + text[2:])[inside], word[:-2][inside])
+    for kind, most, edge, way in ((10, 5, first, 1), (20, 3, first + sizes + 1, -1)):
+        value, rows = np.zeros(len(words), np.uint64), np.arange(len(words))
+        for k in range(1, most + 1):
+            rows = rows[sizes[rows] >= k]
+            value[rows] = value[rows] * step + text[edge[rows] + way * k]
+            add(kind + k, value[rows], rows)
+    add(30, np.fromiter((zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in words), np.uint64, len(words)), np.arange(len(words)))
+    if lexicon:
+        known = [(k, lexicon[w]) for k, w in enumerate(words) if w in lexicon]
+        if known:
+            add(40, np.array([v for _, v in known], np.uint64), np.array([k for k, _ in known]))
+    return np.concatenate(hashes), np.concatenate(owners)
 
 
 @dataclass
@@ -42,38 +70,42 @@ class Chain:
     start: np.ndarray
     lexicon: dict[str, int] = field(default_factory=dict)
 
-    def emission(self, word: str) -> np.ndarray:
-        return self.weights[word_features(word, self.lexicon)].sum(axis=0)
+    def emissions(self, words: list[str]) -> np.ndarray:
+        flat, owner = word_features(words, self.lexicon)
+        return np.stack([np.bincount(owner, self.weights[flat, s], len(words)) for s in range(len(self.labels))], axis=1)
+
+
+class _Places(dict):
+    """Numbers words in the order in which they are first asked for."""
+
+    def __missing__(self, word):
+        self[word] = place = len(self)
+        return place
 
 
 class Tagger:
     """Marginals for texts; emissions of up to ``most`` words are kept."""
 
-    def __init__(self, chain: Chain, most: int = 400_000):
+    def __init__(self, chain: Chain, most: int = 600_000):
         self.chain, self.most = chain, most
-        self.place: dict[str, int] = {}
-        self.table = np.empty((1024, len(chain.labels)), np.float32)
-
-    def ids(self, words: list[str]) -> np.ndarray:
-        place = self.place
-        found = [place.get(w, -1) for w in words]
-        if -1 in found:
-            for w in {w for w, i in zip(words, found, strict=True) if i < 0}:
-                if len(place) == len(self.table):
-                    self.table = np.concatenate([self.table, np.empty_like(self.table)])
-                self.table[len(place)] = self.chain.emission(w)
-                place[w] = len(place)
-            found = [place[w] for w in words]
-        return np.array(found, np.int64)
+        self.place, self.table = _Places(), np.empty((0, len(chain.labels)), np.float32)
+
+    def ids(self, texts: list[list[str]]) -> np.ndarray:
+        known = len(self.place)
+        out = np.fromiter((i for t in texts for i in map(self.place.__getitem__, t)), np.int64, sum(map(len, texts)))
+        if len(self.place) > known:
+            new = list(itertools.islice(self.place, known, None))
+            self.table = np.concatenate([self.table[:known], self.chain.emissions(new).astype(np.float32)])
+        return out
 
     def marginals(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """Marginals of all words of all texts, one after another, and the number of words of each text."""
         if len(self.place) > self.most:
-            self.place.clear()
+            self.place, self.table = _Places(), self.table[:0]
         sizes = np.array([len(t) for t in texts], np.int64)
         if not sizes.sum():
             return np.empty((0, len(self.chain.labels))), sizes
-        ids = np.concatenate([self.ids(t) for t in texts if t])
+        ids = self.ids(texts)
         first = np.zeros(len(ids), bool)
         first[np.concatenate([[0], np.cumsum(sizes[sizes > 0])[:-1]])] = True
         return forward_backward(self.table[ids].astype(float), first, self.chain.transitions, self.chain.start)[0], sizes
@@ -93,12 +125,21 @@ def forward_backward(emission: np.ndarray, first: np.ndarray, transitions: np.nd
     begin[:n] = first
     step, fresh = np.exp(transitions), np.exp(start)
     psi, begin = psi.reshape(count, _BLOCK, states), begin.reshape(count, _BLOCK)
-    matrices = np.where(begin[:, :, None, None], fresh, step)  # count, block, from, to
-    # Product of each block's steps.
+    def moved(a, t):
+        """Rows of ``a`` one step on, without the emission; a text's first step forgets where the row came from."""
+        out = a.reshape(-1, states) @ step
+        out = out.reshape(a.shape)
+        new = begin[:, t]
+        if new.any():
+            out[new] = a[new].sum(axis=-1, keepdims=True) * fresh
+        return out
+
+    # Product of each block's steps, scaled now and then.
     product = np.broadcast_to(np.eye(states), (count, states, states))
     for t in range(_BLOCK):
-        product = np.einsum("kij,kjl->kil", product, matrices[:, t]) * psi[:, t, None, :]
-        product = product / product.max(axis=(1, 2), keepdims=True)
+        product = moved(np.ascontiguousarray(product), t) * psi[:, t, None, :]
+        if t % 4 == 3:
+            product = product / product.max(axis=(1, 2), keepdims=True)
     left, right = np.empty((count, states)), np.empty((count, states))
     a, b = np.full(states, 1 / states), np.ones(states)
     for k in range(count):
@@ -112,14 +153,17 @@ def forward_backward(emission: np.ndarray, first: np.ndarray, transitions: np.nd
     forward, backward = np.empty_like(psi), np.empty_like(psi)
     a = left
     for t in range(_BLOCK):
-        a = np.einsum("ki,kij->kj", a, matrices[:, t]) * psi[:, t]
-        a = a / a.sum(axis=1, keepdims=True)
+        a = moved(a, t) * psi[:, t]
+        if t % 4 == 3:
+            a = a / a.sum(axis=1, keepdims=True)
         forward[:, t] = a
     b = right
     for t in range(_BLOCK - 1, -1, -1):
         backward[:, t] = b
-        b = np.einsum("kij,kj->ki", matrices[:, t], psi[:, t] * b)
-        b = b / b.sum(axis=1, keepdims=True)
+        b = (psi[:, t] * b) @ step.T
+        b[begin[:, t]] = 1.0
+        if t % 4 == 0:
+            b = b / b.sum(axis=1, keepdims=True)
     both = (forward * backward).reshape(-1, states)[:n]
     both = both / both.sum(axis=1, keepdims=True)
     if not pairs:
@@ -138,10 +182,7 @@ def fit_chain(texts: list[list[str]], tags: list[np.ndarray], labels: list, lexi
     kept = [k for k, t in enumerate(texts) if t]
     words = sorted({w for k in kept for w in texts[k]})
     place = {w: i for i, w in enumerate(words)}
-    lists = [word_features(w, lexicon) for w in words]
-    flat = np.concatenate([np.array(x) for x in lists])
-    offsets = np.concatenate([[0], np.cumsum([len(x) for x in lists])[:-1]])
-    owner = np.repeat(np.arange(len(words)), [len(x) for x in lists])
+    flat, owner = word_features(words, lexicon)
     ids = np.concatenate([np.array([place[w] for w in texts[k]]) for k in kept])
     gold = np.concatenate([tags[k] for k in kept])
     first = np.zeros(len(ids), bool)
@@ -155,7 +196,7 @@ def fit_chain(texts: list[list[str]], tags: list[np.ndarray], labels: list, lexi
     weights, moves = np.zeros((WIDTH, states)), np.zeros((states, states))
     moments = [[np.zeros_like(weights), np.zeros_like(weights)], [np.zeros_like(moves), np.zeros_like(moves)]]
     for k in range(1, rounds + 1):
-        emission = np.add.reduceat(weights[flat], offsets, axis=0)
+        emission = np.stack([np.bincount(owner, weights[flat, s], len(words)) for s in range(states)], axis=1)
         marginal, xi = forward_backward(emission[ids], first, moves, start, pairs=True)
         error = (onehot - marginal) * price[:, None]
         by_word = np.stack([np.bincount(ids, error[:, s], len(words)) for s in range(states)], axis=1)
