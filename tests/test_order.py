@@ -134,3 +134,22 @@ def test_spread_is_measured(frame):
 def test_partition_count_does_not_matter(spark, frame):
     wide = exact_quantiles(frame.repartition(37), ["x"], by=["g"], **RANKED).orderBy("g").collect()
     assert wide == exact_quantiles(frame.coalesce(1), ["x"], by=["g"], **RANKED).orderBy("g").collect()
+
+
+def test_zero_heavy_values_fill_several_buckets(spark):
+    from tidemark.operators.order import _with_buckets
+
+    df = spark.range(100_000).select(F.when(F.col("id") % 50 == 0, F.col("id").cast("double")).otherwise(0.0).alias("x"))
+    spread = measure_spread(df, ["x"], small=10, per_bucket=100)
+    sizes = _with_buckets(df, spread).distinct().groupBy("x__bucket").count().collect()
+    assert len(sizes) >= 15 and max(r["count"] for r in sizes) <= 200
+
+
+@pytest.mark.parametrize("options", [{}, {"small": 2, "per_bucket": 2}], ids=["one", "buckets"])
+def test_keys_keep_their_type(spark, options):
+    large = [2**60 + k for k in (5, 0, 3, 1, 4, 2)]
+    got = numbered_rows(spark.createDataFrame([(k,) for k in large], "k long"), "k", **options).collect()
+    assert {r["k"] - 2**60: r["row_number"] for r in got} == {k: k + 1 for k in range(6)}
+    names = ["b", "a", "Customer#000000010", "Customer#000000009", "é", "aa", ""]
+    got = numbered_rows(spark.createDataFrame([(k,) for k in names], "k string"), "k", **options).collect()
+    assert [r["k"] for r in sorted(got, key=lambda r: r["row_number"])] == sorted(names, key=lambda x: x.encode())

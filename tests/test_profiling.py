@@ -56,10 +56,10 @@ def test_histogram_constant_and_empty(spark):
     assert bars(P.histogram(numbers(spark, [float("nan")]), "x")) == []
 
 
-def test_histogram_zero_bar_leaves_negatives_out(spark):
+def test_histogram_zero_bar_stands_beside_all_other_values(spark):
     values = [0] * 40 + [i * 100.5 for i in range(1, 51)] + [-5.5]
     got = bars(P.histogram(numbers(spark, values), "x"))
-    assert got[0] == ("0 (none)", 40) and len(got) == 12 and sum(n for _, n in got) == 90
+    assert got[0] == ("0 (none)", 40) and len(got) == 12 and sum(n for _, n in got) == 91
 
 
 def test_histogram_fence_and_log_edges(spark):
@@ -127,3 +127,11 @@ def test_headers_and_roles():
     assert find_column(["my_status_text"], ["status"]) == "my_status_text"
     assert resolve_roles(["Cluster", "market"], "Cluster")["profile"] == "Cluster"
     assert choose_features(["cluster", "a", "b"]) == ["a", "b"]
+
+
+def test_no_column_and_no_row_is_lost(spark):
+    wide = spark.range(30).select(*[(F.col("id") * (i + 1) % 7).cast("double").alias(f"c{i}") for i in range(12)])
+    assert P.correlation_matrix(wide, wide.columns).count() == 144
+    mixed = spark.createDataFrame([(0.0,)] * 60 + [(-i - 0.5,) for i in range(30)] + [(i + 0.5,) for i in range(10)], "x double")
+    assert P.histogram(mixed, "x").agg(F.sum("rows")).first()[0] == 100
+    assert unique_headers(["a", "a", "a_2"]) == ["a", "a_3", "a_2"]

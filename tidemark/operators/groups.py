@@ -192,7 +192,7 @@ def _label_rank(label: str) -> Column:
                     F.col(label).alias("text"))
 
 
-def group_heatmap(df: DataFrame, label: str, features: list[str], limit: int = 8) -> DataFrame:
+def group_heatmap(df: DataFrame, label: str, features: list[str], limit: int | None = None) -> DataFrame:
     return standard_differences(df, label, features[:limit]).select(label, "feature", "score")
 
 

@@ -43,7 +43,10 @@ class Spread:
 
 def measure_spread(df: DataFrame, columns: list[str], small: int = SMALL_DISTINCT,
                    per_bucket: int = VALUES_PER_BUCKET) -> dict[str, Spread]:
-    """One bounded aggregate per call, and a second one only for columns above ``small``."""
+    """One bounded aggregate per call, and a second one only for columns above ``small``.
+
+    Cut points are quantiles of the distinct values, so a value that most rows hold takes no more than its place.
+    """
     if not columns:
         return {}
     rows, *counts = df.agg(F.count(F.lit(1)), *[F.approx_count_distinct(as_number(df, c)) for c in columns]).first()
@@ -51,12 +54,14 @@ def measure_spread(df: DataFrame, columns: list[str], small: int = SMALL_DISTINC
     large = [c for c in columns if distinct[c] > small]
     splits: dict[str, tuple[float, ...]] = {}
     if large:
+        cells = F.array(*[F.struct(F.lit(c).alias("feature"), as_number(df, c).alias("value")) for c in large])
+        values = df.select(F.inline(cells)).where("value is not null").distinct()
         aggs = []
-        for c in large:
+        for i, c in enumerate(large):
             buckets = min(MAX_BUCKETS, max(2, distinct[c] // per_bucket + 1))
             probs = [i / buckets for i in range(1, buckets)]
-            aggs.append(F.percentile_approx(as_number(df, c), probs, 4 * MAX_BUCKETS))
-        for c, cuts in zip(large, df.agg(*aggs).first()):
+            aggs.append(F.percentile_approx(F.when(F.col("feature") == c, F.col("value")), probs, 4 * MAX_BUCKETS).alias(f"c{i}"))
+        for c, cuts in zip(large, values.agg(*aggs).first()):
             splits[c] = tuple(sorted(set(cuts or [])))
     return {c: Spread(rows, distinct[c], splits.get(c, ())) for c in columns}
 
@@ -276,16 +281,28 @@ def frequency_percentile(df: DataFrame, column: str, out: str, base: DataFrame |
     return attach_by_value(df, F.when((name != "") & (name != "(missing)"), name), table, measured["d"], out, small)
 
 
+def _key_number(df: DataFrame, key: str) -> Column:
+    """A number that never falls where the key rises: the key itself, or the first six bytes of a text."""
+    if dict(df.dtypes)[key] != "string":
+        return as_number(df, key)
+    head = F.hex(F.substring(F.encode(F.col(key), "UTF-8"), 1, 6))
+    return F.conv(F.rpad(head, 12, "0"), 16, 10).cast("double")
+
+
 def _bucketed_rows(df: DataFrame, key: str, small: int, per_bucket: int) -> tuple[DataFrame, bool]:
-    """The rows with ``_order`` and ``_bucket``, and whether there is more than one bucket."""
-    spread = measure_spread(df, [key], small, per_bucket)[key]
-    rows = _with_buckets(df.withColumn("_order", as_number(df, key)), {"_order": spread})
-    return rows.withColumnRenamed("_order__bucket", "_bucket"), bool(spread.splits)
+    """The rows with ``_order`` and ``_bucket``, and whether there is more than one bucket.
+
+    ``_order`` is the key in its own type; the bucket comes from a number, which may be equal for different keys.
+    """
+    numbered = df.withColumns({"_order": F.col(key), "_place": _key_number(df, key)})
+    spread = measure_spread(numbered.select("_place"), ["_place"], small, per_bucket)["_place"]
+    rows = _with_buckets(numbered, {"_place": spread}).drop("_place")
+    return rows.withColumnRenamed("_place__bucket", "_bucket"), bool(spread.splits)
 
 
 def numbered_rows(df: DataFrame, key: str, by: list[str] | None = None, out: str = "row_number",
                   small: int = SMALL_DISTINCT, per_bucket: int = VALUES_PER_BUCKET) -> DataFrame:
-    """1-based position of each row in the order of a unique numeric key, overall or within ``by``.
+    """1-based position of each row in the order of a unique key (number, date or text), overall or within ``by``.
 
     Positions are counted bucket by bucket, so neither the table nor a large group is sorted in
     one task. Small tables get one bucket, where this is a plain ``row_number``.

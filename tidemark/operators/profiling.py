@@ -289,12 +289,12 @@ def histogram_bins(df: DataFrame, column: str, bins: int = 12) -> DataFrame:
 
 
 def histogram(df: DataFrame, column: str, bins: int = 12) -> DataFrame:
-    """One bar per small integer, or a zero bar beside positive bins, or continuous bins."""
+    """One bar per small integer, or a zero bar beside bins of all other values, or continuous bins."""
     x = as_number(df, column)
     stats = df.agg(
         F.count(x).alias("n"), F.min(x).alias("low"), F.max(x).alias("high"),
         F.count_if(x == 0).alias("zeros"), F.count_if(x != F.floor(x)).alias("fractions"),
-        F.count_if(x > 0).alias("positive"),
+        F.count_if(x != 0).alias("others"),
     ).first()
     if not stats["n"]:
         return _bars(df, [(0.0, 0.0, F.lit(""))], x).where(F.lit(False))
@@ -304,19 +304,19 @@ def histogram(df: DataFrame, column: str, bins: int = 12) -> DataFrame:
         low, high = int(stats["low"]), int(stats["high"])
         return _bars(df, [(v, v, F.lit(str(v))) for v in range(low, high + 1)], x - F.lit(low))
     if stats["zeros"] / stats["n"] > ZERO_HEAVY:
-        if not stats["positive"]:
+        if not stats["others"]:
             return _bars(df, [(0.0, 0.0, F.lit("0 (all rows)"))], F.when(x == 0, F.lit(0)))
-        positive = F.when(x > 0, x)
-        edges = _edges_for(df, positive, max(2, bins - 1))
+        others = F.when(x != 0, x)
+        edges = _edges_for(df, others, max(2, bins - 1))
         spans = [(0.0, 0.0, F.lit("0 (none)")), *_bin_spans(edges)]
-        return _bars(df, spans, F.when(x == 0, F.lit(0)).otherwise(_bin_position(positive, edges) + 1))
+        return _bars(df, spans, F.when(x == 0, F.lit(0)).otherwise(_bin_position(others, edges) + 1))
     return histogram_bins(df, column, bins)
 
 
 # --- correlation ---------------------------------------------------------------------------
 
 
-def correlation_matrix(df: DataFrame, columns: list[str], limit: int = 8) -> DataFrame:
+def correlation_matrix(df: DataFrame, columns: list[str], limit: int | None = None) -> DataFrame:
     """(x, y, value) for every ordered pair: Pearson over pairwise-complete rows.
 
     All pairs come from one aggregate. Null with fewer than three pairs or no variance. A first

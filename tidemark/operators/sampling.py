@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.values import MISSING, as_number, display_value
@@ -13,8 +13,6 @@ from tidemark.operators.profiling import natural_order
 SCATTER_ROWS = 12_000
 STRATIFIED_ROWS = 2_200
 STRATUM_MIN = 60
-# Tables up to this size are ordered directly; larger ones are cut by hash first.
-DIRECT_ROWS = 1_000_000
 HASH_DIGITS = 13
 
 
@@ -44,12 +42,12 @@ def _draw(key: str, seed: int) -> Column:
 def random_sample(df: DataFrame, key: str, n: int = SCATTER_ROWS, seed: int = 42) -> DataFrame:
     """Exactly min(n, rows) rows, the same ones whatever the partitioning.
 
-    Rows are ordered by a hash of their unique key. On large tables a hash threshold first
-    leaves about twice the sample, so the final top-n never sees more than that per table.
+    Rows are ordered by a hash of their unique key. A hash threshold first leaves about twice
+    the sample, so the final top-n never sees more than that per table.
     """
     ordered = df.withColumn("_draw", _draw(key, seed))
     total = df.count()
-    if total > DIRECT_ROWS and total > 4 * n:
+    if total > 4 * n + 2000:
         share = (2 * n + 1000) / total
         limit = f"{int(share * 16 ** HASH_DIGITS):0{HASH_DIGITS}x}"
         near = ordered.where(F.substring("_draw", 1, HASH_DIGITS) < limit)
@@ -60,10 +58,11 @@ def random_sample(df: DataFrame, key: str, n: int = SCATTER_ROWS, seed: int = 42
 
 def stratified_sample(df: DataFrame, label: str, key: str, max_rows: int = STRATIFIED_ROWS,
                       stratum_min: int = STRATUM_MIN) -> DataFrame:
-    """At most ``max_rows`` rows, evenly strided inside each label in key order.
+    """About ``max_rows`` rows, evenly strided inside each label in key order; every label has one at least.
 
-    Each label aims at its share of the cap, at least ``stratum_min``; labels are taken in natural
-    order, so a full cap cuts the last ones. Tables within the cap are returned whole.
+    Each label aims at its share of ``max_rows``, at least ``stratum_min``. If the labels together would take more than
+    ``max_rows``, all aims are lowered in proportion. Tables within ``max_rows`` are returned whole; only with more
+    labels than ``max_rows`` is the sample larger.
     """
     if len(df.select(key).take(max_rows + 1)) <= max_rows:
         return df
@@ -71,18 +70,19 @@ def stratified_sample(df: DataFrame, label: str, key: str, max_rows: int = STRAT
     total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
     sizes = rows.where(F.col("_label") != MISSING).groupBy("_label").agg(F.count(F.lit(1)).alias("_rows"))
     target = F.greatest(F.lit(stratum_min), F.floor(F.col("_rows").cast("double") / total * max_rows + 0.5))
-    step = F.greatest(F.lit(1), F.floor(F.col("_rows") / target))
-    taken = F.ceil(F.col("_rows") / F.col("_step"))
-    # One row per label.
-    visit = Window.partitionBy(F.lit(1)).orderBy(*natural_order("_label")).rowsBetween(Window.unboundedPreceding, -1)
-    plan = sizes.withColumn("_step", step.cast("long")).withColumn(
-        "_taken_before", F.coalesce(F.sum(taken).over(visit), F.lit(0)))
+    first = sizes.withColumn("_target", target).withColumn(
+        "_first", F.greatest(F.lit(1), F.floor(F.col("_rows") / F.col("_target"))).cast("long"))
+    sums = first.agg(F.sum(F.ceil(F.col("_rows") / F.col("_first"))).alias("taken"), F.sum("_target").alias("aims")).first()
+    step = F.col("_first")
+    if (sums["taken"] or 0) > max_rows:
+        lower = F.greatest(F.lit(1), F.floor(F.col("_target") * max_rows / F.lit(sums["aims"])))
+        step = F.ceil(F.col("_rows") / lower).cast("long")
+    plan = first.select("_label", step.alias("_step"))
     slim = numbered_rows(rows.select("_label", key), key, ["_label"], "_place")
     chosen = (
         slim.join(plan, "_label")
         .where((F.col("_place") - 1) % F.col("_step") == 0)
-        .where(F.col("_taken_before") + (F.col("_place") - 1) / F.col("_step") < max_rows)
         .select(key)
     )
-    # At most max_rows keys by construction.
-    return df.join(F.broadcast(chosen), key, "left_semi")
+    # As many keys as rows in the sample.
+    return df.join(chosen, key, "left_semi")

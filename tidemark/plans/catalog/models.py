@@ -217,7 +217,7 @@ def _kmeans_fit(spark, sf_dir):
 @query("main_segments", f"WITH {PREP} SELECT count(*) AS \"rows\", 4::BIGINT AS labels, count(DISTINCT record_id) AS keys FROM prep")
 def _main_segments(spark, sf_dir):
     prepared = labelled(spark, sf_dir).drop("Cluster")
-    out = main_segments(prepared, KEY, starts=3)
+    out = main_segments(prepared, KEY)
     return out.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("Cluster").alias("labels"), F.countDistinct(KEY).alias("keys"))
 
 
@@ -273,12 +273,12 @@ def _silhouette(spark, sf_dir):
 @query("k_sweep")
 def _k_sweep(spark, sf_dir):
     inside = staged(spark, sf_dir, "segment_scaled", lambda: scaled_table(spark, sf_dir).where(F.col("Cluster") == "0"))
-    return rounded(K.k_sweep(inside, MODEL_FEATURES, KEY, range(2, 10), starts=2), 3)
+    return rounded(K.k_sweep(inside, MODEL_FEATURES, KEY, range(2, 10)), 3)
 
 
 @query("segment_recluster", f"WITH {PREP} SELECT count(*) AS \"rows\", 3::BIGINT AS labels, true AS sizes_fall FROM prep WHERE \"Cluster\" = '0'")
 def _segment_recluster(spark, sf_dir):
-    out = segment_recluster(scaled_table(spark, sf_dir), "Cluster", "0", MODEL_FEATURES, 3, starts=3)
+    out = segment_recluster(scaled_table(spark, sf_dir), "Cluster", "0", MODEL_FEATURES, 3)
     sizes = out.groupBy("SubCluster").agg(F.count(F.lit(1)).alias("n"))
     # Canonical order: label 0 is the largest.
     first = F.max_by("n", -F.col("SubCluster"))

@@ -380,7 +380,7 @@ def _feature_separation(spark, sf_dir):
     return rounded(G.feature_separation(labelled(spark, sf_dir), "Cluster", ALL_FEATURES).drop("position"), 4)
 
 
-@query("group_heatmap", f"""WITH {PREP}, {_diff_sql(MODEL_FEATURES[:8])} SELECT "Cluster", feature, round(score, 4) + 0.0 AS score FROM diff""")
+@query("group_heatmap", f"""WITH {PREP}, {_diff_sql(MODEL_FEATURES)} SELECT "Cluster", feature, round(score, 4) + 0.0 AS score FROM diff""")
 def _group_heatmap(spark, sf_dir):
     return rounded(G.group_heatmap(labelled(spark, sf_dir), "Cluster", MODEL_FEATURES), 4)
 
@@ -704,11 +704,12 @@ def _random_sample(spark, sf_dir):
 
 
 _STRATA = """sz AS (SELECT "Cluster" AS c, count(*) AS n, (SELECT count(*) FROM prep) AS total FROM prep GROUP BY 1),
-pl AS (SELECT c, n, greatest(1, CAST(floor(n / greatest(60, floor(n / total * 2200 + 0.5))) AS BIGINT)) AS step FROM sz),
-p2 AS (SELECT *, coalesce(sum(CAST(ceil(n / step) AS BIGINT)) OVER (ORDER BY c ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS taken FROM pl),
+pl AS (SELECT c, n, greatest(60, floor(n / total * 2200 + 0.5)) AS target FROM sz),
+p2 AS (SELECT *, greatest(1, CAST(floor(n / target) AS BIGINT)) AS first FROM pl),
+p3 AS (SELECT c, CASE WHEN sum(ceil(n / first)) OVER () <= 2200 THEN first
+  ELSE CAST(ceil(n / greatest(1, floor(target * 2200 / sum(target) OVER ()))) AS BIGINT) END AS step FROM p2),
 rn AS (SELECT *, row_number() OVER (PARTITION BY "Cluster" ORDER BY record_id) - 1 AS k FROM prep),
-strata AS (SELECT rn.* FROM rn JOIN p2 ON p2.c = "Cluster" WHERE total_ok(k) )"""
-_STRATA = _STRATA.replace("total_ok(k) ", "(SELECT count(*) FROM prep) <= 2200 OR (k % step = 0 AND taken + k // step < 2200)")
+strata AS (SELECT rn.* FROM rn JOIN p3 ON p3.c = "Cluster" WHERE (SELECT count(*) FROM prep) <= 2200 OR k % step = 0)"""
 
 
 @query("stratified_sample", f'WITH {PREP}, {_STRATA} SELECT record_id, "Cluster" FROM strata')

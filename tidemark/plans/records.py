@@ -80,7 +80,14 @@ def record_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_STAGED: dict[tuple[str, str, str], str] = {}
+_STAGED: dict[tuple, str] = {}
+
+
+def _fingerprint(spark: SparkSession, folder: str) -> tuple:
+    """Name, size and time of what lies in an input folder, so that rewritten input is not taken for the old one."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    entries = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    return tuple(sorted((e.getPath().getName(), e.getLen(), e.getModificationTime()) for e in entries))
 
 
 def staged(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
@@ -89,7 +96,7 @@ def staged(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Data
     Every report reads the same prepared records. Written columnar, each report scans only its
     own columns, plans stay short, and a lost executor re-reads files instead of redoing joins.
     """
-    spot = (spark.sparkContext.applicationId, sf_dir, name)
+    spot = (spark.sparkContext.applicationId, sf_dir, name, _fingerprint(spark, sf_dir))
     if spot not in _STAGED:
         path = scratch_path(spark, name)
         build().write.parquet(path)

@@ -25,7 +25,7 @@ from tidemark.functions.text import (
     format_percent,
     map_values,
 )
-from tidemark.functions.values import as_number
+from tidemark.functions.values import as_number, coerce_number_suffix
 from tidemark.operators.groups import (
     crosstab_row_pct,
     group_median,
@@ -179,7 +179,9 @@ def scorecard_signals(df: DataFrame, roles: dict[str, str | None]) -> tuple[Data
     if "market" in present:
         df = frequency_percentile(df, present["market"], "_market_pct", base)
     numbers = {role: c for role, c in present.items() if role != "market"}
-    ranked = {role: date_number(c) if role == "date" else as_number(base, c) for role, c in numbers.items()}
+    texts = {c for c, kind in base.dtypes if kind == "string"}  # amounts such as "$1.2M"
+    ranked = {role: date_number(c) if role == "date" else coerce_number_suffix(c) if c in texts else as_number(base, c)
+              for role, c in numbers.items()}
     df = midrank_percentiles(df, base, ranked)
     for role in present:
         signals[role] = spread_percentile(f"_{role}_pct", *ranges[role])
