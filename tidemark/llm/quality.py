@@ -145,4 +145,8 @@ def op3_quality_rules(spark, sf_dir):
 def quality_stage(spark, docs, sf_dir):
     """Documents that pass the rules."""
     facts, held = quality_rules(docs, table(spark, sf_dir, "labels"))
-    return facts.where(F.col(held)["kept"]).select(*docs.columns)
+    # A plain filter would be pushed below the projections that it is made by, and evaluate them within each other. It
+    # stays where it is if it also needs a column that must not be computed twice.
+    mark = free_name(facts, "row_mark")
+    marked = facts.withColumn(mark, F.monotonically_increasing_id())
+    return marked.where(F.col(held)["kept"] & (F.col(mark) >= 0)).select(*docs.columns)
