@@ -32,7 +32,7 @@ PERCENT = 75
 BLOCK = 256
 #: Minhashes of the sketch by which blocks are compared. Pairs that agree in a share of SURE or more are linked for the
 #: block at hand, pairs below MAYBE (4 deviations under 0.75) are not; all that are not dropped are confirmed on sets.
-SKETCH, MAYBE, SURE = 512, 0.67, 0.84
+SKETCH, MAYBE, SURE = 256, 0.64, 0.86
 #: Members of a split bucket's largest component with which all its other classes are compared before blocks are.
 PIVOTS = 3
 
@@ -209,12 +209,12 @@ def _compare_blocks(batches):
         cls, root = whole.column("cls").to_numpy(), whole.column("root").to_numpy()
         outer = whole.column("outer").to_numpy(zero_copy_only=False)
         marks = np.frombuffer(b"".join(whole.column("sketch").slice(0, done).to_pylist()), np.uint8).reshape(-1, SKETCH)
-        bands = np.frombuffer(b"".join(whole.column("bands").slice(0, done).to_pylist()), np.int64).reshape(-1, 2 * SIDE)
+        bands = np.frombuffer(b"".join(whole.column("bands").slice(0, done).to_pylist()), np.uint32).reshape(-1, 2 * SIDE)
         x, y = whole.column("x").to_numpy(), whole.column("y").to_numpy()
         found = []
         for a, b in zip(edges, edges[1:], strict=False):
             if b <= done:
-                found += _candidates(cls[a:b], root[a:b], outer[a:b], marks[a:b], bands[a:b], (x[a], y[a]))
+                found += _candidates(cls[a:b], root[a:b], outer[a:b], marks[a:b], bands[a:b], (int(x[a]), int(y[a])))
         return pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], ["u", "v"])
 
     for batch in batches:
@@ -246,7 +246,8 @@ def _candidates(cls: np.ndarray, root: np.ndarray, outer: np.ndarray, marks: np.
     same = bands[rows[hits[:, 0]]] == bands[others[hits[:, 1]]]
     one = bands[rows[hits[:, 0]]]
     at = np.arange(len(hits))
-    first = (one[at, same[:, :SIDE].argmax(axis=1)] == table_key[0]) & (one[at, SIDE + same[:, SIDE:].argmax(axis=1)] == table_key[1])
+    low = [k & 0xFFFFFFFF for k in table_key]  # the half of a group key that rows carry
+    first = (one[at, same[:, :SIDE].argmax(axis=1)] == low[0]) & (one[at, SIDE + same[:, SIDE:].argmax(axis=1)] == low[1])
     hits = hits[first]
     for a, b in hits[np.argsort(-share[hits[:, 0], hits[:, 1]], kind="stable")]:
         x, y = find(root[rows[a]]), find(root[others[b]])
@@ -338,7 +339,7 @@ def _named_sets(batches):
             yield pa.RecordBatch.from_arrays([
                 pa.array([class_of(s) for s in found], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary()),
                 pa.array([(_mix(minhashes(s, _SKETCH_SEEDS)) & np.uint64(255)).astype(np.uint8).tobytes() for s in found], pa.binary()),
-                pa.array([group_keys(s).tobytes() for s in found], pa.binary())], ["cls", "shingles", "sketch", "bands"])
+                pa.array([group_keys(s).astype(np.uint32).tobytes() for s in found], pa.binary())], ["cls", "shingles", "sketch", "bands"])
 
 
 OP9_SQL = r"""
