@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -16,7 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 HEADLINE = [
     "cluster_report", "zero_profile", "prune_sparse_columns", "row_funnel", "column_profile", "describe_numeric",
     "histogram", "group_profile", "crosstab_row_pct", "distinguishing_features", "market_lift", "correlation_matrix",
-    "status_by_group", "midrank_percentile", "row_scorecard", "insights", "robust_scale", "covariance", "pca_scores",
+    "status_by_group", "midrank_percentile", "row_scorecard", "insights", "robust_scale", "covariance", "pca_scores", "quantile_linear_ranked", "midrank_percentile_ranked",
     "kmeans_assign", "kmeans_step", "kmeans_seeded", "silhouette", "segment_summary", "stratified_sample",
 ]
 
@@ -31,7 +32,8 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or HEADLINE
     spark = get_spark("bench", f"local[{cpus}]", **{
-        "spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "12g", "spark.ui.showConsoleProgress": "false"})
+        "spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "12g", "spark.ui.showConsoleProgress": "false",
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="tidemark-bench-")})
     spark.sparkContext.setLogLevel("ERROR")
 
     def run(plan) -> float:
