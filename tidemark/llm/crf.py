@@ -111,6 +111,18 @@ class Tagger:
         return forward_backward(self.table[ids].astype(float), first, self.chain.transitions, self.chain.start)[0], sizes
 
 
+_TAGGERS: dict[int, Tagger] = {}
+
+
+def tagger_of(chain: Chain) -> Tagger:
+    """The worker's tagger for a model, with the emissions that earlier tasks of the worker looked up."""
+    name = zlib.crc32(chain.weights.tobytes() + chain.transitions.tobytes() + repr(chain.labels).encode())
+    if name not in _TAGGERS:
+        _TAGGERS.clear()
+        _TAGGERS[name] = Tagger(chain)
+    return _TAGGERS[name]
+
+
 def forward_backward(emission: np.ndarray, first: np.ndarray, transitions: np.ndarray, start: np.ndarray,
                      pairs: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
     """Marginals of every position, and the summed marginals of neighbours where ``pairs``.

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import bounded_sample, fold, query, slices, table
-from tidemark.llm.crf import WORD, Chain, Tagger, associated, fit_chain
+from tidemark.llm.crf import WORD, Chain, associated, fit_chain, tagger_of
 
 #: Bound on the labelled rows that the field is fitted on.
 SAMPLE_ROWS = 1_200
@@ -49,7 +49,7 @@ def learn_languages(docs: DataFrame, label: str = "lang", text: str = "text", ke
 
 def _label(chain: Chain | None):
     def run(batches):
-        tagger = Tagger(chain) if chain else None
+        tagger = tagger_of(chain) if chain else None
         for batch in batches:
             for start, stop in slices(batch, "text"):
                 part = batch.slice(start, stop - start)

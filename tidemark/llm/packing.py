@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import query, slices, table
-from tidemark.llm.token_counts import Counter, character_classes, odd_characters
+from tidemark.llm.token_counts import character_classes, counter_of, odd_characters
 
 #: Tokens of a sequence.
 WINDOW = 2048
@@ -132,7 +132,7 @@ _PIECES = ("key long, start long, length long, ids binary, ids_crc32 long, doc_t
 
 def _pack(path: str, with_ids: bool, classes, odd: str):
     def run(batches):
-        encoder, packer = Counter(path, classes.value, odd), Packer(TaskContext.get().partitionId() << 40)
+        encoder, packer = counter_of(path, classes, odd), Packer(TaskContext.get().partitionId() << 40)
 
         def table_of(rows):
             return pa.RecordBatch.from_arrays([

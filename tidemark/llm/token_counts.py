@@ -371,6 +371,16 @@ class Counter:
             start[behind[kind[behind] == _LETTER]] = True
 
 
+_COUNTERS: dict[str, Counter] = {}
+
+
+def counter_of(path: str, classes, odd: str) -> Counter:
+    """The worker's counter for a vocabulary, with what earlier tasks of the worker compiled."""
+    if path not in _COUNTERS:
+        _COUNTERS[path] = Counter(path, classes.value, odd)
+    return _COUNTERS[path]
+
+
 def normalized(text: str) -> str:
     """Composed form and lower case, letter by letter: a final sigma is not told apart."""
     if not text.isascii():
@@ -382,7 +392,7 @@ def normalized(text: str) -> str:
 
 def _count(path: str, classes, odd: str):
     def run(batches):
-        counter = Counter(path, classes.value, odd)
+        counter = counter_of(path, classes, odd)
         for batch in batches:
             for start, stop in slices(batch, "text", 2 << 20):
                 part = batch.slice(start, stop - start)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import fold, fold_of, query, slices, table
-from tidemark.llm.crf import WORD, Tagger, fit_chain
+from tidemark.llm.crf import WORD, Tagger, fit_chain, tagger_of
 from tidemark.llm.language import labelled_sample, words_of
 
 #: Bound on the labelled rows of either label that the field is fitted on.
@@ -110,7 +110,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
 def _score(model):
     def run(batches):
         chain, w = model or (None, np.array([0.0, 0.0, 0.0, -30.0]))
-        tagger = Tagger(chain) if chain else None
+        tagger = tagger_of(chain) if chain else None
         for batch in batches:
             for start, stop in slices(batch, "text"):
                 part = batch.slice(start, stop - start)
