@@ -99,6 +99,10 @@ def mix_story(df: DataFrame, label: str, features: list[str]) -> DataFrame:
     return best.select("m.*").where(F.col("feature").isNotNull())
 
 
+# Fixed value: columns of the matrix that the fifth finding speaks of.
+DISPLAYED_COLUMNS = 8
+
+
 def insights(df: DataFrame, label: str, features: list[str], correlated: list[str], key: str, name: str = "name",
              total: str = "funding_total_usd") -> DataFrame:
     """Up to eight ranked findings (rank, kicker, title, tone, body) from one-row summaries."""
@@ -141,7 +145,7 @@ def insights(df: DataFrame, label: str, features: list[str], correlated: list[st
                        "to be careful when interpreting geography or dates if those fields are involved.")))
         .alias("f")))
 
-    pair = strongest_pair(correlation_matrix(df, correlated))
+    pair = strongest_pair(correlation_matrix(df, correlated, DISPLAYED_COLUMNS))
     parts.append(pair.select(_finding(
         5, "Strongest relationship", F.concat(column_label("x"), F.lit(" and "), column_label("y")), "blue",
         F.concat(F.lit("These two numeric features have the strongest correlation in the displayed matrix at "),
