@@ -214,6 +214,22 @@ def test_decontamination(spark):
     assert decontamination.contaminated(frame(spark, [item]), bench.limit(0)).count() == 0
 
 
+def test_decontamination_of_items_without_windows(spark):
+    items = ["What is 12 + 7 - 3 * 4?", "Compute 48 / 6 + 15 - 2 * 3.", "The Great Gatsby Was Written By Francis Scott Fitzgerald In Paris",
+             "中国的首都是哪里", "Yes", "Who wrote the Great Gatsby"]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    rng = random.Random(15)
+    around = lambda t: f"{prose(rng, 30)}. {t} {prose(rng, 20)}"
+    cases = [(around(items[0]), {0}), (around(items[1]), {1}), (around(items[2]), {2}), (around(items[2].lower()), {2}), (f"请问{items[3]}呢", {3}), (items[3], {3}),
+             ("no. Yes!", {4}), ("they said yes to it", set()), (f"Question - {items[5]}, so", {5}), (around("Question - What is 31 + 8 - 5 * 6?"), {0}),
+             (around("Compute 7 / 6 + 15 - 7 * 3."), set()), (around("The Lord Of The Rings Was Made By New Zealand People Abroad"), set()), ("首都是北京", set())]
+    found = collections.defaultdict(set)
+    for r in decontamination.contaminated(frame(spark, [t for t, _ in cases]), bench).collect():
+        found[r["doc_id"]].add(r["item_id"])
+        assert 1 <= r["n_hits"] <= r["n_windows"]
+    assert [found[k] for k in range(len(cases))] == [want for _, want in cases]
+
+
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
             "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 

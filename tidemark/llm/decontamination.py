@@ -4,6 +4,9 @@ Texts become templates: numbers, names and units turn into typed placeholders, a
 of five template tokens are hashed and joined with the windows of the benchmark. A benchmark item that was given other
 numbers or names keeps its template, so it is still found; the slot check then asks that along one alignment every
 value of the item stands for one value of the document and the other way round.
+
+An item with few or no windows of enough words (a short one, or one full of numbers or names) is also looked for as a
+whole: its tokens as written, and its template if that says enough. Letters of scripts without spaces are tokens each.
 """
 
 from __future__ import annotations
@@ -33,6 +36,11 @@ UNITS = frozenset(
     "liters litre litres gallon gallons second seconds minute minutes hour hours day days week weeks month months year "
     "years dollar dollars euro euros cent cents percent degree degrees mph kph watt watts volt volts hz mb gb tb".split())
 _TOKEN = re.compile(r"[$€£]?\d+(?:[.,:/]\d+)*%?|[^\W\d_]+(?:['’][^\W\d_]+)*|[.!?:;\n]")
+#: Thai to Khmer, kana and Han are written without spaces.
+_DENSE = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_HAS_DENSE = re.compile(f"[{_DENSE}]")
+_DENSE_TOKEN = re.compile(rf"[$€£]?\d+(?:[.,:/]\d+)*%?|(?=[^\W\d_])[{_DENSE}]|[^\W\d_{_DENSE}]+(?:['’][^\W\d_{_DENSE}]+)*|[.!?:;\n。！？：；]")
+_ENDS = ".!?:;\n。！？：；"
 _WORD, _CAPITAL, _NUMBER, _UNIT, _END = range(5)
 _CODES: dict[str, tuple[int, int]] = {}
 _NUM, _NAME, _UNITS = (np.uint64(xxhash.xxh64_intdigest(x)) for x in ("<number>", "<name>", "<unit>"))
@@ -41,7 +49,7 @@ _NUM, _NAME, _UNITS = (np.uint64(xxhash.xxh64_intdigest(x)) for x in ("<number>"
 def _code(token: str) -> tuple[int, int]:
     if len(_CODES) > 500_000:
         _CODES.clear()
-    if token in ".!?:;\n":
+    if token in _ENDS:
         kind = _END
     elif any(c.isdigit() for c in token):
         kind = _NUMBER
@@ -55,22 +63,84 @@ def _code(token: str) -> tuple[int, int]:
     return found
 
 
+class _Text:
+    """The template tokens of a text: ``h`` and ``plain`` hash them as placeholders or words and as written, ``slot`` marks
+    the placeholders, ``words`` are the tokens as written."""
+
+    def __init__(self, text: str | None):
+        text = text or ""
+        dense = not text.isascii() and _HAS_DENSE.search(text)
+        tokens = (_DENSE_TOKEN if dense else _TOKEN).findall(text)
+        codes = [_CODES.get(t) or _code(t) for t in tokens]
+        kind = np.fromiter((c[0] for c in codes), np.int8, len(codes))
+        plain = np.fromiter((c[1] for c in codes), np.uint64, len(codes))
+        before = np.concatenate([[_END], kind])[:-1] if len(kind) else kind
+        name = (kind == _CAPITAL) & (before != _END)
+        number, unit = kind == _NUMBER, (kind == _UNIT) & (before == _NUMBER)
+        h = plain.copy()
+        h[number], h[name], h[unit] = _NUM, _NAME, _UNITS
+        self.real = np.flatnonzero(kind != _END)
+        self.whole_kind, self.kind = kind, kind[self.real]
+        self.h, self.plain, self.slot = h[self.real], plain[self.real], (number | name | unit)[self.real]
+        self.words = [tokens[i] for i in self.real] if self.slot.any() else []
+        self.sums: dict[int, tuple] = {}
+
+    def alone(self, n: int) -> np.ndarray:
+        """Starts of the runs of ``n`` tokens that are whole sentences or lines."""
+        end = np.concatenate([[True], self.whole_kind == _END, [True]])
+        begins, stops = end[self.real], end[self.real + 2]
+        return np.flatnonzero(begins[:len(begins) - n + 1] & stops[n - 1:]) if len(begins) >= n else np.empty(0, np.int64)
+
+    def runs(self, form: int, start: np.ndarray, n: int, salt: int = 0) -> np.ndarray:
+        """Hash of the ``n`` tokens from each start, as written or as a template. What stands before a run has no part."""
+        if form not in self.sums:
+            h = self.plain if form == _LITERAL else self.h
+            first = self.plain if form == _LITERAL else np.where(self.kind == _NUMBER, _NUM, self.plain)
+            self.sums[form] = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * _powers(len(h))[0], dtype=np.uint64)]), first
+        sums, first = self.sums[form]
+        out = (sums[start + n] - sums[start + 1]) * _powers(len(self.h))[1][start] + first[start]
+        out = (out ^ (out >> np.uint64(31))) + np.uint64((n * 8 + salt * 2 + form) * 0x9E3779B97F4A7C15 % 2**64)
+        out = (out ^ (out >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+        return (out ^ (out >> np.uint64(33))).view(np.int64)
+
+    def values(self, form: int, start: int, n: int) -> list[str]:
+        """The values of a run's slots; none of a run as written."""
+        if form == _LITERAL or not self.words:
+            return []
+        return [self.words[i].lower() for i in range(start, start + n) if (self.slot[i] if i > start else self.kind[i] == _NUMBER)]
+
+    def forms(self) -> list[int]:
+        """In which forms the text is looked for as a whole, if it is a benchmark item.
+
+        Its template says enough if it has a word, and fewer names than words, numbers and units.
+        """
+        names = int((self.slot & (self.kind == _CAPITAL)).sum())
+        telling = 0 < self.slot.sum() < len(self.h) and 2 * names < len(self.h)
+        return [_LITERAL, _TEMPLATE] if telling else [_LITERAL] if len(self.h) else []
+
+
+_LITERAL, _TEMPLATE = range(2)
+_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    """Powers of an odd number and of its inverse modulo 2 ** 64, ``n`` or more."""
+    if len(_POWERS[0]) < n:
+        base = 0xD6E8FEB86659FD93
+        for k, x in enumerate((base, pow(base, -1, 2**64))):
+            factors = np.full(2 * n, x, np.uint64)
+            factors[0] = 1
+            _POWERS[k] = np.cumprod(factors, dtype=np.uint64)
+    return [p[:n] for p in _POWERS]
+
+
 def template(text: str | None) -> tuple[np.ndarray, np.ndarray, list[str]]:
     """Hash of every template token, whether it is a placeholder, and, if any is, the tokens as written.
 
     A capitalised word is a name unless it begins a sentence; a word all in capitals is a plain word.
     """
-    tokens = _TOKEN.findall(text or "")
-    codes = [_CODES.get(t) or _code(t) for t in tokens]
-    kind = np.fromiter((c[0] for c in codes), np.int8, len(codes))
-    h = np.fromiter((c[1] for c in codes), np.uint64, len(codes))
-    before = np.concatenate([[_END], kind])[:-1] if len(kind) else kind
-    name = (kind == _CAPITAL) & (before != _END)
-    number, unit = kind == _NUMBER, (kind == _UNIT) & (before == _NUMBER)
-    h[number], h[name], h[unit] = _NUM, _NAME, _UNITS
-    real = np.flatnonzero(kind != _END)
-    placed = (number | name | unit)[real]
-    return h[real], placed, [tokens[i] for i in real] if placed.any() else []
+    found = _Text(text)
+    return found.h, found.slot, found.words
 
 
 def windows(h: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -90,23 +160,79 @@ def windows(h: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 _HITS = "key long, at long, hash long, slots array<string>"
 
 
-def _window_rows(batches, bits=None):
-    """Rows of ``_HITS``; with ``bits`` only windows that the filter lets through."""
+def _passed(w: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    cell = w & (FILTER_BITS - 1)
+    return (bits[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 > 0
+
+
+def _shapes(batches):
+    """form, n and, for WIDTH tokens and more, the hash of the first WIDTH: of the items that are looked for as a whole."""
+    for batch in batches:
+        found = []
+        for text in batch.column("text"):
+            read = _Text(text.as_py())
+            n = len(read.h)
+            if len(windows(read.h, read.slot)[0]) < LEAST_HITS:
+                found += [(form, n, int(read.runs(form, np.zeros(1, np.int64), WIDTH, 1)[0]) if n >= WIDTH else None) for form in read.forms()]
+        yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in range(3)], ["form", "n", "anchor"])
+
+
+def _whole_runs(read: _Text, bits: np.ndarray, shapes: dict[int, list[int]]):
+    """(form, n, starts, hashes) of the runs that may be whole items.
+
+    A run of fewer than WIDTH tokens has to be a sentence or line of its own.
+    """
+    size = len(read.h)
+    for form, sizes in shapes.items():
+        near = None
+        for n in sizes:
+            if n > size:
+                continue
+            if n < WIDTH:
+                p = read.alone(n)
+            else:
+                if near is None:
+                    near = np.arange(size - WIDTH + 1)
+                    near = near[_passed(read.runs(form, near, WIDTH, 1), bits)]
+                p = near[near <= size - n]
+            if len(p):
+                w = read.runs(form, p, n)
+                hit = _passed(w, bits)
+                if hit.any():
+                    yield form, n, p[hit], w[hit]
+
+
+def _window_rows(batches, bits=None, shapes=None):
+    """Rows of ``_HITS``; with ``bits`` only windows that the filter lets through.
+
+    An item that is looked for as a whole stands at -1, and a run of a document one before its start.
+    """
     for batch in batches:
         for start, stop in slices(batch, "text"):
             keys, at, hashes, slots = [], [], [], []
             for key, text in zip(batch.column("key").slice(start, stop - start), batch.column("text").slice(start, stop - start), strict=True):
-                h, slot, words = template(text.as_py())
+                read = _Text(text.as_py())
+                h, slot, words = read.h, read.slot, read.words
                 p, w = windows(h, slot)
-                if bits is not None and len(w):
-                    cell = w & (FILTER_BITS - 1)
-                    hit = (bits[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 > 0
-                    p, w = p[hit], w[hit]
+                whole = []
+                if bits is None and len(p) < LEAST_HITS:
+                    whole = [(f, len(h), np.zeros(1, np.int64), read.runs(f, np.zeros(1, np.int64), len(h))) for f in read.forms()]
+                elif bits is not None:
+                    if len(w):
+                        hit = _passed(w, bits)
+                        p, w = p[hit], w[hit]
+                    if shapes:
+                        whole = list(_whole_runs(read, bits, shapes))
                 if len(p):
                     keys += [key.as_py()] * len(p)
                     at += p.tolist()
                     hashes.append(w)
                     slots += [[words[i].lower() for i in range(x, x + WIDTH) if slot[i]] if slot[x:x + WIDTH].any() else [] for x in p]
+                for form, n, p, w in whole:
+                    keys += [key.as_py()] * len(p)
+                    at += (p - 1).tolist()
+                    hashes.append(w)
+                    slots += [read.values(form, x, n) for x in p]
             if keys:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys, pa.int64()), pa.array(at, pa.int64()), pa.array(np.concatenate(hashes)),
@@ -117,20 +243,24 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", key:
                  item_text: str = "text") -> DataFrame:
     """doc_id, item_id, n_windows (of the item), n_hits, n_slots: one row per document and item that it holds.
 
-    Null and short texts hold nothing, an item with fewer than five tokens is never found, and a key or item id that is
-    null finds nothing either. Rows that repeat a key count as one document, items that repeat an id as one item. Other
-    columns are not looked at.
+    Null and short texts hold nothing, and a key or item id that is null finds nothing either. An item with fewer than
+    LEAST_HITS windows is found by these and by its whole run of tokens, which counts as all of its windows, and as one
+    if it has none; with fewer than five tokens it has to be a sentence or line of its own. Rows that repeat a key count
+    as one document, items that repeat an id as one item. Other columns are not looked at.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col(item).cast("long").alias("key"), F.col(item_text).cast("string").alias("text")).dropna()
     known = items.mapInArrow(_window_rows, _HITS).select(
         F.col("key").alias("item"), F.col("at").alias("item_at"), "hash", F.col("slots").alias("item_slots")).distinct()
     cells = known.select(F.pmod("hash", F.lit(FILTER_BITS)).alias("cell")).distinct().toPandas()["cell"].to_numpy()
+    short = items.mapInArrow(_shapes, "form long, n long, anchor long").distinct().collect()
+    cells = np.concatenate([cells, np.array([r["anchor"] % FILTER_BITS for r in short if r["anchor"] is not None], np.int64)])
+    shapes = {f: sorted({r["n"] for r in short if r["form"] == f}) for f in sorted({r["form"] for r in short})}
     bits = np.zeros(FILTER_BITS // 8, np.uint8)
     np.bitwise_or.at(bits, cells >> 3, np.uint8(1) << (cells & 7).astype(np.uint8))
     shared = spark.sparkContext.broadcast(bits)
     hits = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text")).dropna().mapInArrow(
-        lambda batches: _window_rows(batches, shared.value), _HITS)
+        lambda batches: _window_rows(batches, shared.value, shapes), _HITS)
     pairs = hits.join(known, "hash").select(
         "key", "item", "item_at", (F.col("at") - F.col("item_at")).alias("shift"), F.arrays_zip(
             F.col("item_slots").alias("i"), F.col("slots").alias("d")).alias("values"))
@@ -140,10 +270,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", key:
     one_to_one = (F.size("values") == F.size(F.array_distinct(F.transform("values", lambda v: v["i"])))) & (
         F.size("values") == F.size(F.array_distinct(F.transform("values", lambda v: v["d"]))))
     good = lines.where(one_to_one).select("key", "item", F.explode("hit").alias("at"), F.size("values").alias("slots"))
-    found = good.groupBy("key", "item").agg(F.countDistinct("at").alias("n_hits"), F.max("slots").cast("long").alias("n_slots"))
-    sizes = known.groupBy("item").agg(F.countDistinct("item_at").alias("n_windows"))
+    found = good.groupBy("key", "item").agg(
+        F.countDistinct(F.when(F.col("at") >= 0, F.col("at"))).alias("n_hits"), F.max("slots").cast("long").alias("n_slots"),
+        F.max(F.col("at") < 0).alias("whole"))
+    sizes = known.groupBy("item").agg(F.greatest(F.lit(1), F.countDistinct(F.when(F.col("item_at") >= 0, F.col("item_at")))).alias("n_windows"))
+    found = found.join(sizes, "item").withColumn("n_hits", F.when(F.col("whole"), F.col("n_windows")).otherwise(F.col("n_hits")))
     enough = F.greatest(F.least(F.lit(LEAST_HITS), F.col("n_windows")), F.ceil(F.col("n_windows") * SHARE))
-    return found.join(sizes, "item").where((F.col("n_hits") >= enough) | (F.col("n_hits") >= SURE_HITS)).select(
+    return found.where((F.col("n_hits") >= enough) | (F.col("n_hits") >= SURE_HITS)).select(
         F.col("key").alias("doc_id"), F.col("item").alias("item_id"), "n_windows", "n_hits", "n_slots")
 
 
