@@ -344,3 +344,15 @@ def test_html_text(spark):
     assert out[0]["text"] == "A & B\nFirst line goes on <here>.\nSecond bold text\nThird 1 < 2 too" and out[0]["n_chars"] == len(out[0]["text"])
     assert [(r["page_id"], r["text"]) for r in out[1:3]] == [(2, ""), (None, "")] and len(out) == 5
     assert html_text.extract_text(pages.limit(0), net).count() == 0
+
+
+@pytest.mark.parametrize("attributes", ['class="overflow-hidden"', 'class="hidden-print"', 'aria-hidden="false"', 'data-hidden="0"', 'title="a hidden thing"',
+                                        'data-style="display:none"', "class=hidden", 'style="x-display:none"', 'href="/the-hidden-city"', "href=/a/hidden/b"])
+def test_html_text_that_is_shown(attributes):
+    assert [b[0] for b in html_text.blocks(f"<div {attributes}><p>one <a {attributes}>two</a> three</div>")] == ["one two three"]
+
+
+@pytest.mark.parametrize("attributes", ["hidden", 'hidden=""', "class='a' HIDDEN", 'aria-hidden = "true"', "aria-hidden=true", 'style="color:red; display : none"',
+                                        "style='display:none !important;'"])
+def test_html_text_that_is_hidden(attributes):
+    assert [b[0] for b in html_text.blocks(f"<p>one</p><div {attributes}><p>two</div><p>three <b {attributes}>four</b>five")] == ["one", "three five"]

@@ -40,7 +40,9 @@ _RAW = {n: re.compile(rf"</{n}\b[^>]*>?", re.I) for n in ("script", "style", "te
 _CLOSES_P = _BLOCK - {"body", "html", "head", "caption", "td", "th", "tr", "tbody", "thead", "tfoot", "option", "legend", "button", "title"}
 _PIECE = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</?([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_HIDDEN = re.compile(r"""\bhidden\b|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"?|'([^']*)'?|([^\s"'>]+)))?""")
+_MAY_HIDE = re.compile(r"hidden|display", re.I)
+_NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\s*(?:!\s*important\s*)?(?:;|$)", re.I)
 _PART = re.compile(r"[A-Za-z]+")
 
 #: Words in element, class and id names that tell what a block is not, and what it is.
@@ -53,6 +55,16 @@ CONTENT = frozenset("article main content post entry story body text".split())
 _NAMES_OF_TAGS: dict[tuple[str, str], tuple] = {}
 
 
+def _hides(attributes: str) -> bool:
+    """Whether the attributes hold ``hidden`` (but not until it is found), a true ``aria-hidden``, or a style without display."""
+    if not _MAY_HIDE.search(attributes):
+        return False
+    held: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(attributes):  # the first of a name holds
+        held.setdefault(m[1].lower(), html.unescape(m[2] or m[3] or m[4] or "").strip().lower())
+    return held.get("hidden", "until-found") != "until-found" or held.get("aria-hidden") == "true" or bool(_NO_DISPLAY.search(held.get("style", "")))
+
+
 def _element(tag: str, attributes: str) -> tuple[tuple[str, ...], bool]:
     """Lower-case words of the tag, its classes, ids and role; whether it is hidden."""
     found = _NAMES_OF_TAGS.get((tag, attributes))
@@ -60,7 +72,7 @@ def _element(tag: str, attributes: str) -> tuple[tuple[str, ...], bool]:
         if len(_NAMES_OF_TAGS) > 50_000:
             _NAMES_OF_TAGS.clear()
         words = [w.lower() for m in _NAMES.finditer(attributes) for w in _PART.findall(m[1] or m[2] or m[3] or "")]
-        found = (("<" + tag, *words), bool(attributes) and bool(_HIDDEN.search(attributes)))
+        found = (("<" + tag, *words), bool(attributes) and _hides(attributes))
         _NAMES_OF_TAGS[tag, attributes] = found
     return found
 
