@@ -356,3 +356,16 @@ def test_html_text_that_is_shown(attributes):
                                         "style='display:none !important;'"])
 def test_html_text_that_is_hidden(attributes):
     assert [b[0] for b in html_text.blocks(f"<p>one</p><div {attributes}><p>two</div><p>three <b {attributes}>four</b>five")] == ["one", "three five"]
+
+
+@pytest.mark.parametrize("page, texts", [
+    ("<html><head><title>T</title><meta x><body><p>one</p><p>two</p>", ["one", "two"]), ("<head><title>T</title><style>p{}</style><p>one<p>two", ["one", "two"]),
+    ("<head><link x> one</p><p>two", ["one", "two"]), ("<head><title>T</title></head><p>one</p>", ["one"]),
+    ("<article><p>one</p><object data=x><p>two</p></article><p>three", ["one", "two", "three"]),
+    ("<div><p>one<video src=x></p><p>two</p></div><video>old browser</video><p>three", ["one", "two", "three"]),
+    ("<div>one <canvas>none</canvas>two <video><p>a</p> b</video>three", ["one two three"]), ("<p>one <audio><object>x</audio> two", ["one two"]),
+    ("<p>where <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds", ["where x=2 holds"]), ("<div hidden>x</div><p>one<ul><li hidden>y<li>two</ul>", ["one", "two"]),
+    ("<p>one<noscript><p>two</p>", ["one", "two"]), ("<p>one<svg><svg><text>x</text></svg><text>y</text></svg> two", ["one two"]),
+    ("<p>one<script>var x='</p>'", ["one"]), ("<head><style>p{} <body><p>one", ["one"]), ("<p>one<div hidden><p>two</p>", ["one", "two"])])
+def test_html_text_with_missing_ends(page, texts):
+    assert [b[0] for b in html_text.blocks(page)] == texts

@@ -35,10 +35,16 @@ _BLOCK = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure "
     "footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre search section select "
     "summary table tbody td tfoot th thead title tr ul".split())
-_SILENT = frozenset("script style template noscript svg math head iframe object canvas textarea audio video title".split())
+_SILENT = frozenset("script style template noscript svg iframe object canvas textarea audio video title".split())
+#: What can stand in a head; all else ends it.
+_HEAD = frozenset("base basefont bgsound link meta noscript script style template title".split())
+#: Elements that end without an end tag of their own.
+_ENDLESS = frozenset("html body p li dt dd tr td th thead tbody tfoot caption option".split())
 _RAW = {n: re.compile(rf"</{n}\b[^>]*>?", re.I) for n in ("script", "style", "textarea", "title", "iframe", "noscript", "template", "svg")}
+_OPENS = {n: re.compile(rf"<{n}\b", re.I) for n in _RAW}
 _CLOSES_P = _BLOCK - {"body", "html", "head", "caption", "td", "th", "tr", "tbody", "thead", "tfoot", "option", "legend", "button", "title"}
 _PIECE = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</?([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
+_RESUME = re.compile(r"</?(?:head|body|main|article)\b", re.I)
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"?|'([^']*)'?|([^\s"'>]+)))?""")
 _MAY_HIDE = re.compile(r"hidden|display", re.I)
@@ -80,31 +86,43 @@ def _element(tag: str, attributes: str) -> tuple[tuple[str, ...], bool]:
 def blocks(page: str | None) -> list[tuple[str, tuple, int]]:
     """(text, path, characters inside links) of every block, in page order; references decoded, white space folded.
 
-    The path holds a tuple of names for each open element. Scripts, styles, the head and hidden elements have no block.
+    The path holds a tuple of names for each open element. Scripts, styles, titles and hidden elements have no block,
+    but for a silent element whose end tag is missing: nothing tells where it ends, so its content stays. A script or
+    style without an end tag runs to the next tag of a head, body, main or article, or else to the end.
     """
     page = page or ""
     out: list = []
-    stack: list[tuple[str, tuple, bool]] = []
-    silent = links = 0
+    stack: list[tuple[str, tuple, tuple | None]] = []
+    links = heads = 0
     pieces: list[str] = []
     linked = 0
 
     def flush():
-        nonlocal linked
+        nonlocal linked, pieces
         if pieces:
             text = " ".join(html.unescape("".join(pieces)).split())
             if text:
                 out.append((text, tuple(s[1] for s in stack), linked))
-            pieces.clear()
+            pieces = []
         linked = 0
 
-    def pop():
-        nonlocal silent, links
-        tag, _, quiet = stack.pop()
-        silent -= quiet
+    def pop(ended=False):
+        """Close the last element; a silent one that is really at its end takes back what it added."""
+        nonlocal links, heads, linked, pieces
+        tag, _, before = stack.pop()
         links -= tag == "a"
+        heads -= tag == "head"
+        if before and (ended or tag in _ENDLESS):
+            size, pieces, length, linked = before
+            del out[size:], pieces[length:]
+
+    def end_head():
+        flush()
+        while heads:
+            pop()
 
     at = 0
+    endless: set[str] = set()  # tags of which no end follows
     while at < len(page):
         low = page.find("<", at)
         m = _PIECE.match(page, low) if low >= 0 else None
@@ -112,8 +130,10 @@ def blocks(page: str | None) -> list[tuple[str, tuple, int]]:
             low = page.find("<", low + 1)
             m = _PIECE.match(page, low) if low >= 0 else None
         stop = low if low >= 0 else len(page)
-        if stop > at and not silent:
+        if stop > at:
             text = page[at:stop]
+            if stack and stack[-1][0] == "head" and not text.isspace():
+                end_head()
             pieces.append(text)
             if links:
                 linked += len(text)
@@ -129,10 +149,12 @@ def blocks(page: str | None) -> list[tuple[str, tuple, int]]:
                     if stack[-1][0] in _BLOCK:
                         flush()
                     top = stack[-1][0]
-                    pop()
+                    pop(top == tag)
                     if top == tag:
                         break
             continue
+        if heads and tag not in _HEAD:
+            end_head()
         if tag == "br":
             pieces.append(" ")
             continue
@@ -153,13 +175,20 @@ def blocks(page: str | None) -> list[tuple[str, tuple, int]]:
         if m[2].endswith("/") and tag in ("svg", "path"):
             continue
         quiet = tag in _SILENT or hidden
-        if tag in _RAW and tag in _SILENT:
-            end = _RAW[tag].search(page, at)
-            at = end.end() if end else len(page)
-            continue
-        stack.append((tag, names, quiet))
-        silent += quiet
+        if tag in _RAW:
+            end = _RAW[tag].search(page, at) if tag not in endless else None
+            if not end:
+                endless.add(tag)
+            if tag in ("script", "style"):
+                resume = None if end else _RESUME.search(page, at)
+                at = end.end() if end else resume.start() if resume else len(page)
+                continue
+            if end and not _OPENS[tag].search(page, at, end.start()):
+                at = end.end()
+                continue
+        stack.append((tag, names, (len(out), pieces, len(pieces), linked) if quiet else None))
         links += tag == "a"
+        heads += tag == "head"
     flush()
     return out
 
