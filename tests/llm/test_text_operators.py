@@ -369,3 +369,20 @@ def test_html_text_that_is_hidden(attributes):
     ("<p>one<script>var x='</p>'", ["one"]), ("<head><style>p{} <body><p>one", ["one"]), ("<p>one<div hidden><p>two</p>", ["one", "two"])])
 def test_html_text_with_missing_ends(page, texts):
     assert [b[0] for b in html_text.blocks(page)] == texts
+
+
+def test_long_runs_of_letters_are_read_to_their_end(spark):
+    rng = random.Random(21)
+    run = lambda n: "".join(rng.choice("aeiou") + rng.choice("bdfg") for _ in range(n))
+    rows = [(i, " ".join(run(4) if i % 2 else "".join(rng.choice("kqxz") for _ in range(8)) for _ in range(30)), "ab" if i % 2 else "kq") for i in range(60)]
+    chain = language.learn_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    long = run(32) + "".join(rng.choice("kqxz") for _ in range(64 * 9))
+    out = language.label_languages(frame(spark, [run(32), long, long + " ?"]), chain).orderBy("doc_id").collect()
+    assert [r["lang_pred"] for r in out] == ["ab", "kq", "kq"] and [r["n_runs"] for r in out] == [1, 2, 2]
+    clean = [(i, prose(rng, 40), 0) for i in range(0, 200, 2)]
+    toxic = [(i, " ".join([prose(rng, 20), "zortak", prose(rng, 20)]), 1) for i in range(1, 200, 2)]
+    model = toxicity.fit_toxicity(clean + toxic)
+    glued = "".join(prose(rng, 64).split())[:64] + "zortak"
+    texts = ["word " + glued, glued[:64]]
+    out = toxicity.score_toxicity(frame(spark, texts), model).orderBy("doc_id").collect()
+    assert [r["spans"] for r in out] == ["69:75", ""] and out[0]["predicted"] == 1

@@ -15,8 +15,8 @@ from dataclasses import dataclass, field
 
 import numpy as np
 
-#: Runs of letters.
-WORD = re.compile(r"[^\W\d_]+")
+#: Runs of letters. Longer ones than any word, as in scripts without spaces, are several words, one after another.
+WORD = re.compile(r"[^\W\d_]{1,64}")
 #: Hashed features.
 WIDTH = 1 << 15
 _BLOCK = 64
@@ -25,10 +25,8 @@ _BLOCK = 64
 def word_features(words: list[str], lexicon: dict[str, int] | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Hashed features and the number of the word that each belongs to.
 
-    Beginnings up to five letters, ends up to three, letter bigrams and trigrams, the word and its lexicon entry. Only
-    the first 64 letters of a run are looked at.
+    Beginnings up to five letters, ends up to three, letter bigrams and trigrams, the word and its lexicon entry.
     """
-    words = [w[:64] for w in words]
     text = np.frombuffer("".join(f"<{w}>" for w in words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     sizes = np.fromiter(map(len, words), np.int64, len(words))
     first = np.concatenate([[0], np.cumsum(sizes + 2)[:-1]])
