@@ -386,3 +386,12 @@ def test_long_runs_of_letters_are_read_to_their_end(spark):
     texts = ["word " + glued, glued[:64]]
     out = toxicity.score_toxicity(frame(spark, texts), model).orderBy("doc_id").collect()
     assert [r["spans"] for r in out] == ["69:75", ""] and out[0]["predicted"] == 1
+
+
+def test_every_language_is_learned(spark):
+    rng = random.Random(22)
+    rows = [(i, prose(rng, 12), "en") for i in range(2000)] + [(5000 + i, " ".join("".join(rng.choice("kqxzw") for _ in range(6)) for _ in range(12)), f"l{i % 2}") for i in range(4)]
+    docs = spark.createDataFrame([*rows, (6000, "x", None)], "doc_id long, text string, lang string")
+    sample = language.labelled_sample(docs, docs, "lang", "text", "doc_id", 60, of_each=True)
+    assert collections.Counter(r["sample_label"] for r in sample) == {"en": 30, "l0": 2, "l1": 2}
+    assert language.learn_languages(docs, rows=60).labels == ["en", "l0", "l1"]

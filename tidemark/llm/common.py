@@ -50,13 +50,16 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def sample_order(key: str) -> Column:
+    return F.crc32(F.concat(F.lit("sample:"), F.col(key).cast("string")).cast("binary"))
+
+
 def bounded_sample(labelled: DataFrame, key: str, rows: int) -> DataFrame:
     """At most ``rows`` rows in the order of a hash of the key: the same rows for the same table.
 
     For fitting models only. Spark keeps ``rows`` rows per task, so nothing large moves.
     """
-    order = F.crc32(F.concat(F.lit("sample:"), F.col(key).cast("string")).cast("binary"))
-    return labelled.orderBy(order, F.col(key)).limit(rows)
+    return labelled.orderBy(sample_order(key), F.col(key)).limit(rows)
 
 
 def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 4 << 20) -> Iterator[tuple[int, int]]:

@@ -8,14 +8,14 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded_sample, fold, query, slices, table
+from tidemark.llm.common import bounded_sample, fold, query, sample_order, slices, table
 from tidemark.llm.crf import WORD, Chain, associated, fit_chain, tagger_of
 
-#: Bound on the labelled rows that the field is fitted on.
-SAMPLE_ROWS = 1_200
+#: Bound on the labelled rows that the field is fitted on, shared by the labels; each may have LEAST_ROWS whatever their number.
+SAMPLE_ROWS, LEAST_ROWS = 1_200, 30
 #: Fold of the key that is never learned from.
 FOLDS, HELD_OUT = 4, 2
 
@@ -24,18 +24,34 @@ def words_of(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, text: str, key: str, rows: int) -> list:
-    """(id, text, sample_label) of at most ``rows`` rows; only keys and labels are sorted, texts are fetched for the chosen."""
-    ids = bounded_sample(labels.select(F.col(key).alias("sample_id"), F.col(label).alias("sample_label")).dropna().dropDuplicates(
-        ["sample_id"]), "sample_id", rows)
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, text: str, key: str, rows: int, of_each: bool = False) -> list:
+    """(id, text, sample_label) of at most ``rows`` keys; only keys and labels are sorted, texts are fetched for the chosen.
+
+    With ``of_each``, of every label the same share of ``rows`` at most, but LEAST_ROWS of each that has them.
+    """
+    known = labels.select(F.col(key).alias("sample_id"), F.col(label).alias("sample_label")).dropna().dropDuplicates(
+        ["sample_id", "sample_label"] if of_each else ["sample_id"])
+    if of_each:
+        sizes = {r["sample_label"]: r["count"] for r in known.groupBy("sample_label").count().collect()}
+        most = max(LEAST_ROWS, rows // max(1, len(sizes)))
+        order = sample_order("sample_id")
+        # Of a large label only its first rows by hash meet in one task: eight times as many as are wanted.
+        bounds = [F.lit(x) for label, n in sizes.items() if n > 8 * most for x in (label, 2**35 * most // n)]
+        if bounds:
+            known = known.where(order <= F.coalesce(F.create_map(bounds)[F.col("sample_label")], F.lit(2**32)))
+        place = F.row_number().over(Window.partitionBy("sample_label").orderBy(order, "sample_id"))
+        # Spark keeps ``most`` rows of a label per task before the shuffle.
+        ids = known.withColumn("place", place).where(F.col("place") <= most).drop("place").dropDuplicates(["sample_id"])
+    else:
+        ids = bounded_sample(known, "sample_id", rows)
     chosen = docs.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text")).dropna().join(
         F.broadcast(ids), F.col("id") == F.col("sample_id"))  # at most ``rows`` keys
     return chosen.select("id", "text", "sample_label").collect()
 
 
 def learn_languages(docs: DataFrame, label: str = "lang", text: str = "text", key: str = "doc_id", rows: int = SAMPLE_ROWS) -> Chain | None:
-    """None if no labelled text has a letter. Every word of a text is taught the text's label."""
-    rows = sorted(labelled_sample(docs, docs, label, text, key, rows), key=lambda r: (str(r["id"]), r["text"]))
+    """None if no labelled text has a letter. Every word of a text is taught the text's label; every label has its rows."""
+    rows = sorted(labelled_sample(docs, docs, label, text, key, rows, of_each=True), key=lambda r: (str(r["id"]), r["text"]))
     rows = [(words_of(r["text"]), str(r["sample_label"])) for r in rows]
     rows = [r for r in rows if r[0]]
     if not rows:
