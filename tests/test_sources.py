@@ -1,6 +1,7 @@
 """Files: lenient CSV, fallback paths, optional tables, rewriting in place."""
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tidemark.sources.csv import scan_csv, scan_csv_lenient, with_numbers
@@ -54,3 +55,62 @@ def test_numbers_are_decided_by_the_data(spark):
     assert dict(got.dtypes) == {"plain": "double", "commas": "string", "word": "string", "empty": "double",
                                 "sci fi.x": "double", "gap": "double"}
     assert [r["gap"] for r in got.collect()] == [None, 3.0, 12.0]
+
+
+def write(folder, **files):
+    folder.mkdir(exist_ok=True)
+    for name, text in files.items():
+        (folder / f"{name}.csv").write_text(text, encoding="utf-8", newline="")
+    return str(folder)
+
+
+def rows(df, *columns):
+    return sorted((tuple(r[c] for c in columns) for r in df.collect()), key=str)
+
+
+@pytest.mark.parametrize("scan", [scan_csv, scan_csv_lenient])
+def test_files_are_read_by_their_own_header(spark, tmp_path, scan):
+    path = write(tmp_path / "mixed headers", a="x,y\n1,10\n", b="y,x\n20,2\n", c="z, x \n300,3\n", d="", e="x,y\n", f="\n \nx,y\n4,40\n")
+    df = scan(spark, path)
+    assert df.columns == ["x", "y", "z"]
+    assert rows(df, "x", "y", "z") == [("1", "10", None), ("2", "20", None), ("3", None, "300"), ("4", "40", None)]
+
+
+@pytest.mark.parametrize("scan", [scan_csv, scan_csv_lenient])
+def test_line_ends_inside_cells(spark, tmp_path, scan):
+    path = write(tmp_path / "t", a='k,v\n"a\nb",2\n"c ""d""\r\n,e",3\n', b="v,k\n4,plain\n", c='"v","a\nb"\n5,6\n')
+    df = scan(spark, path)
+    want = [('a\nb', "2", None), ('c "d"\r\n,e', "3", None), (None, "5", "6"), ("plain", "4", None)]
+    assert rows(df, "k", "v", "a\nb") == sorted(want, key=str)
+
+
+def test_only_files_with_open_quotes_are_not_split(spark, tmp_path):
+    path = write(tmp_path / "t", a='k,v\n"a\nb",2\n', b="k,v\n" + "x,1\n" * 5000)
+    held = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+        df = scan_csv(spark, path)
+        assert df.rdd.getNumPartitions() > 3 and df.count() == 5001
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", held)
+
+
+@pytest.mark.parametrize("scan", [scan_csv, scan_csv_lenient])
+def test_long_and_short_records_are_counted_and_kept(spark, tmp_path, scan):
+    path = write(tmp_path / "t", a='a,b\n1,2\n3,4,5\n6\n"7,7",8\n', b='b,a\n"9\n9",0,x,\n')
+    seen = Observation()
+    df = scan(spark, path, counts=seen, record="bad")
+    assert rows(df, "a", "b", "bad") == [("0", "9\n9", '"9\n9",0,x,'), ("1", "2", None), ("3", "4", "3,4,5"), ("6", None, "6"), ("7,7", "8", None)]
+    assert seen.get == {"rows": 5, "long": 2, "short": 1}
+    again = Observation()
+    assert scan(spark, path, counts=again).columns == ["a", "b"]
+    with pytest.warns(UserWarning, match="1 records"):
+        assert scan(spark, path).count() == 5
+    clash = write(tmp_path / "u", a="_record,bad\n1\n")
+    assert scan(spark, clash, counts=Observation()).collect()[0][0] == "1"
+
+
+def test_sources_are_split(spark, tmp_path):
+    path = write(tmp_path / "t", a="k,v\n" + "x,1\n" * 5000)
+    tables, _ = load_sources(spark, [Source("t", path, True)])
+    assert "multiLine" not in tables["t"]._jdf.queryExecution().toString() and tables["t"].count() == 5000

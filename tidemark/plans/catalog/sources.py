@@ -62,6 +62,42 @@ def _scan_csv_lenient(spark, sf_dir):
     return scan_csv_lenient(spark, path)
 
 
+@query("scan_csv_mixed_headers", """
+SELECT c_custkey, c_name, CASE WHEN c_nationkey < 10 THEN c_acctbal END AS c_acctbal,
+       CASE WHEN c_nationkey >= 10 THEN c_mktsegment END AS c_mktsegment FROM customer""")
+def _scan_csv_mixed_headers(spark, sf_dir):
+    customer = table(spark, sf_dir, "customer")
+    path = write_csv(customer.where("c_nationkey < 10").select("c_custkey", "c_name", "c_acctbal"), scratch_path(spark, "mixed-csv"))
+    customer.where("c_nationkey >= 10").select("c_mktsegment", "c_name", "c_custkey").write.mode("append").csv(path, header=True)
+    text = scan_csv(spark, path)
+    return text.select(F.col("c_custkey").try_cast("long").alias("c_custkey"), "c_name",
+                       coerce_number("c_acctbal").alias("c_acctbal"), "c_mktsegment")
+
+
+@query("scan_csv_line_ends", """
+SELECT CAST(c_custkey AS VARCHAR) AS id, 'one, ' || c_name || chr(10) || 'two "' || c_mktsegment || '"' AS note FROM customer""")
+def _scan_csv_line_ends(spark, sf_dir):
+    note = F.concat(F.lit("one, "), F.col("c_name"), F.lit("\n"), F.lit('two "'), F.col("c_mktsegment"), F.lit('"'))
+    customer = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("id"), note.alias("note"))
+    path = scratch_path(spark, "line-ends-csv")
+    customer.where("id % 2 = 0").write.csv(path, header=True, escape='"')
+    customer.where("id % 2 = 1").select("note", "id").write.mode("append").csv(path, header=True, escape='"')
+    return scan_csv(spark, path).select("id", "note")
+
+
+@query("scan_csv_bad_records", """
+SELECT CAST(c_custkey AS VARCHAR) AS id, CASE WHEN c_custkey % 5 <> 1 THEN c_name END AS name,
+       CASE WHEN c_custkey % 5 = 0 THEN concat_ws(',', c_custkey, c_name, c_mktsegment) WHEN c_custkey % 5 = 1
+       THEN CAST(c_custkey AS VARCHAR) END AS record FROM customer""")
+def _scan_csv_bad_records(spark, sf_dir):
+    key = F.col("c_custkey")
+    line = F.when(key % 5 == 0, F.concat_ws(",", key, "c_name", "c_mktsegment")).when(key % 5 == 1, key.cast("string")).otherwise(
+        F.concat_ws(",", key, "c_name"))
+    path = scratch_path(spark, "bad-records-csv")
+    table(spark, sf_dir, "customer").select(line.alias("id,name")).write.csv(path, header=True, sep="|")
+    return scan_csv(spark, path, record="record")
+
+
 @query("normalize_headers", """
 SELECT c_custkey, c_name AS "Column 2", c_nationkey AS "value", c_acctbal AS "value_2", c_mktsegment AS "value_3"
 FROM customer""")
