@@ -1,5 +1,7 @@
 """Scaling, components and clustering against numpy."""
 
+from itertools import permutations
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -129,10 +131,59 @@ def test_silhouette_matches_brute_force(cloud, points):
     assert one["silhouette"] == 0.0
 
 
+def test_silhouette_of_all_rows_is_within_its_error(spark):
+    rng = np.random.default_rng(11)
+    x = np.concatenate([rng.normal(c, s, (n, 2)) for c, s, n in (((0, 0), 1.0, 900), ((3, 0), 1.5, 1500), ((0, 4), 0.7, 300))])
+    labels = np.repeat([0, 1, 2], [900, 1500, 300])
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+    means = np.stack([d[:, labels == j].sum(axis=1) / np.where(labels == j, (labels == j).sum() - 1, (labels == j).sum()) for j in range(3)], axis=1)
+    own = means[np.arange(len(x)), labels]
+    means[np.arange(len(x)), labels] = np.inf
+    other = means.min(axis=1)
+    want = ((other - own) / np.maximum(own, other)).mean()
+    df = spark.createDataFrame([(i, float(a), float(b), int(c)) for i, (a, b), c in zip(range(len(x)), x, labels, strict=True)], "id long, a double, b double, l int")
+    found = [K.silhouette(df, ["a", "b"], "l", "id", references=64, seed=seed).first() for seed in range(6)]
+    assert all(0 < r["standard_error"] < 0.05 and r["rows"] == len(x) for r in found)
+    assert sum(abs(r["silhouette"] - want) <= 2 * r["standard_error"] for r in found) >= 5
+    whole = K.silhouette(df.repartition(7), ["a", "b"], "l", "id", references=2000).first()
+    assert whole["silhouette"] == pytest.approx(want, abs=1e-9) and whole["standard_error"] == 0
+    assert tuple(K.silhouette(df.limit(0), ["a", "b"], "l", "id").first()) == (None, 0.0, 0)
+
+
+def test_best_matching_is_the_best_permutation():
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        n = int(rng.integers(1, 6))
+        w = rng.integers(0, 12, (n, n)).astype(float)
+        chosen = K.best_matching(w)
+        assert sorted(chosen) == list(range(n))
+        assert w[range(n), chosen].sum() == max(w[range(n), list(p)].sum() for p in permutations(range(n)))
+
+
 def test_compare_partitions(spark):
-    df = spark.createDataFrame([("a", 1), ("a", 1), ("a", 2), ("b", 2)], "x string, y int")
+    # The best match of both labels of x alone would be 1 of y.
+    rows = [("a", 1)] * 5 + [("a", 2)] * 4 + [("b", 1)] * 6 + [("b", 3)] * 1 + [(None, 1)] * 2
+    df = spark.createDataFrame(rows, "x string, y int")
     got = {(r["x"], r["y"]): (r["rows"], r["matched"]) for r in K.compare_partitions(df, "x", "y").collect()}
-    assert got == {("a", 1): (2, True), ("a", 2): (1, False), ("b", 2): (1, True)}
+    assert got == {("a", 1): (5, False), ("a", 2): (4, True), ("b", 1): (6, True), ("b", 3): (1, False), (None, 1): (2, False)}
+    assert tuple(K.partition_changes(df, "x", "y").first()) == (18, 8, 8 / 18)
+    assert tuple(K.partition_changes(df.limit(0), "x", "y").first()) == (0, 0, None)
+
+
+def test_a_wrong_fit_is_seen(cloud):
+    names = ["a", "b", "c"]
+    centers = K.kmeans_fit(cloud, names, 3, starts=3)
+    assert tuple(K.fit_facts(cloud, names, centers, "id").first())[2:] == (True, True, True)
+    wrong = [[x + 1 for x in centers[0]], *centers[1:]]
+    assert not all(tuple(K.fit_facts(cloud, names, wrong, "id").first())[2:])
+    merged = [centers[0], [x + 0.01 for x in centers[0]], centers[2]]
+    assert not all(tuple(K.fit_facts(cloud, names, merged, "id").first())[2:])
+
+
+def test_seeded_fit_says_whether_it_settled(cloud):
+    names = ["a", "b", "c"]
+    assert K.kmeans_seeded(cloud, names, "id", 4)[1]
+    assert not K.kmeans_seeded(cloud, names, "id", 4, max_rounds=1)[1]
 
 
 def test_append_scores_fills_gaps(spark):

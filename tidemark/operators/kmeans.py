@@ -3,29 +3,37 @@
 from __future__ import annotations
 
 import math
+import warnings
 from dataclasses import replace
 from functools import reduce
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.mllib.clustering import KMeans as SeededKMeans
+from pyspark.mllib.clustering import KMeansModel
+from pyspark.mllib.linalg import Vectors
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.values import MISSING, display_value
 from tidemark.operators.components import Components, score_columns
-from tidemark.operators.groups import top_n_per_group
 from tidemark.operators.order import rows_at
-from tidemark.operators.sampling import random_sample
 from tidemark.operators.scaling import Scale, apply_scale, fit_scale, scaled_columns
 from tidemark.session import cut_lineage
 
 Centers = list[list[float]]
 
-# Fitting defaults and the label columns looked for, in order.
+# Fitting defaults.
 SEED, STARTS, MAX_ROUNDS = 42, 10, 300
-SEEDED_ROUNDS, SEEDED_FEATURES = 45, 10
+#: Movement below which a center counts as settled.
+SETTLED = 1e-9
+#: Rows of each cluster that a silhouette compares with, and folds of them for its standard error.
+REFERENCES, FOLDS = 512, 16
+#: Labels of one partition that may be matched with another's.
+MATCHED_LABELS = 1000
+# Label columns looked for, in order.
 LABEL_COLUMNS = ["Cluster", "cluster", "cluster_label", "Cluster_scaled"]
 
 
@@ -61,6 +69,26 @@ def lloyd_step(df: DataFrame, features: list[str], centers: Centers) -> DataFram
         F.count(F.lit(1)).alias("rows"), *[F.avg(f).alias(f) for f in features])
 
 
+def fit_facts(df: DataFrame, features: list[str], centers: Centers, key: str) -> DataFrame:
+    """What holds for a good fit: (rows, clusters, settled, nearest, not_worse), to be read as a check of ``centers``.
+
+    ``settled``: every center is the mean of its rows, to a hundredth. ``nearest``: the inertia is what the sums of squares
+    about the means give, which holds only if rows belong to these means. ``not_worse``: the inertia is at most that of
+    the fit from evenly spaced rows.
+    """
+    other, _ = kmeans_seeded(df, features, key, len(centers))
+    best = F.array_min(_distances(features, centers))
+    groups = df.select(*features, nearest(features, centers).alias("cluster"), best.alias("d"), F.array_min(_distances(features, other)).alias("e"))
+    given = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in centers])
+    gap = F.greatest(F.lit(0.0), *[F.abs(F.avg(f) - F.element_at(F.element_at(given, F.col("cluster") + 1), i + 1)) for i, f in enumerate(features)])
+    within = reduce(lambda a, b: a + b, [F.var_pop(f) for f in features]) * F.count(F.lit(1))
+    facts = groups.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), gap.alias("gap"), within.alias("within"), F.sum("d").alias("d"), F.sum("e").alias("e"))
+    return facts.agg(
+        F.sum("n").alias("rows"), F.count(F.lit(1)).alias("clusters"), (F.max("gap") < 0.01).alias("settled"),
+        (F.abs(F.sum("within") - F.sum("d")) <= 1e-3 * F.sum("d")).alias("nearest"),
+        (F.sum("d") <= 1.0001 * F.sum("e")).alias("not_worse"))
+
+
 def canonical_order(centers: Centers, sizes: list[int]) -> Centers:
     """Centers by size, largest first, then by their coordinates."""
     order = sorted(range(len(centers)), key=lambda i: (-sizes[i], [round(float(x), 9) for x in centers[i]]))
@@ -95,30 +123,19 @@ def evenly_spaced_rows(df: DataFrame, features: list[str], key: str, k: int) ->
     return [list(found[p]) for p in places]
 
 
-def kmeans_seeded(df: DataFrame, features: list[str], key: str, k: int, max_rounds: int = SEEDED_ROUNDS,
-                  ) -> tuple[Centers, int]:
-    """Centers from a start at evenly spaced rows, and the rounds used.
+def kmeans_seeded(df: DataFrame, features: list[str], key: str, k: int, max_rounds: int = MAX_ROUNDS) -> tuple[Centers, bool]:
+    """Centers of the fit that starts at evenly spaced rows, and whether it has settled.
 
-    A round assigns, then moves each center to the mean of its rows; an empty cluster keeps its
-    center. Stops when a round changes no label. Each round is one aggregate over ``df`` that
-    returns k rows; the centers go into the next plan as literals, so lineage does not grow.
+    The fit is MLlib's, from a given first model: an empty cluster keeps its center, and it ends when no center moves. It
+    has settled if every center is the mean of its rows, which takes one more aggregate over ``df``.
     """
-    centers = evenly_spaced_rows(df, features, key, k)
-    previous: Centers | None = None
-    for rounds in range(1, max_rounds + 1):
-        now = nearest(features, centers)
-        # The very first round compares with label 0 for every row.
-        before = nearest(features, previous) if previous else F.lit(0)
-        step = df.select(*features, now.alias("_now"), (now != before).alias("_moved")).groupBy("_now").agg(
-            F.count_if("_moved").alias("_moved"), *[F.avg(f).alias(f) for f in features])
-        rows = step.collect()
-        previous, moved = centers, sum(r["_moved"] for r in rows)
-        means = {r["_now"]: [float(r[f]) for f in features] for r in rows}
-        centers = [means.get(i, previous[i]) for i in range(k)]
-        if not moved:
-            break
-    # Labels belong to the centers they were assigned with.
-    return previous, rounds
+    first = KMeansModel([Vectors.dense(c) for c in evenly_spaced_rows(df, features, key, k)])
+    rows = df.select(*[F.col(f).cast("double") for f in features]).rdd.map(lambda r: Vectors.dense(list(r)))
+    model = SeededKMeans.train(rows, k, maxIterations=max_rounds, epsilon=SETTLED, initialModel=first)
+    centers = [[float(x) for x in c] for c in model.clusterCenters]
+    moved = max((abs(r[f] - x) for r in lloyd_step(df, features, centers).collect()  # k rows
+                 for f, x in zip(features, centers[r["cluster"]], strict=True)), default=0.0)
+    return centers, moved <= 1e-6
 
 
 def label_rows(df: DataFrame, scale: Scale, centers: Centers, out: str, components: Components | None = None) -> DataFrame:
@@ -134,11 +151,15 @@ def label_rows(df: DataFrame, scale: Scale, centers: Centers, out: str, componen
 
 
 def kmeans_seeded_labels(df: DataFrame, features: list[str], key: str, k: int, out: str = "__cluster") -> DataFrame:
-    """Every row with its label (as text) by the seeded rule: missing at the median, IQR 0 divides by 1."""
-    used = features[:SEEDED_FEATURES]
-    scale = replace(fit_scale(df, used), fill_centre=True)
+    """Every row with its label (as text) by the seeded fit on all features: missing at the median, IQR 0 divides by 1.
+
+    Warns if the fit has not settled.
+    """
+    scale = replace(fit_scale(df, features), fill_centre=True)
     # The rounds read a narrow written table.
-    centers, _ = kmeans_seeded(cut_lineage(apply_scale(df, scale, [key])), used, key, k)
+    centers, settled = kmeans_seeded(cut_lineage(apply_scale(df, scale, [key])), features, key, k)
+    if not settled:
+        warnings.warn(f"the seeded fit has not settled after {MAX_ROUNDS} rounds", stacklevel=2)
     return label_rows(df, scale, centers, out).withColumn(out, F.col(out).cast("string"))
 
 
@@ -168,64 +189,82 @@ def ensure_labels(df: DataFrame, features: list[str], key: str) -> tuple[DataFra
     return kmeans_seeded_labels(df, features, key, k), "__cluster", k
 
 
-def silhouette(df: DataFrame, features: list[str], label: str, key: str, sample_rows: int = 5000,
+def silhouette(df: DataFrame, features: list[str], label: str, key: str, references: int = REFERENCES,
                seed: int = SEED) -> DataFrame:
-    """Mean Euclidean silhouette of a sample: (silhouette, rows).
-
-    The statistic compares all pairs, so it is defined on a sample of fixed size.
-    """
-    sample = random_sample(df.select(key, F.col(label).cast("string").alias("_label"), *features), key, sample_rows, seed)
-    return sample_silhouette(sample, features, "_label")
-
-
-def sample_silhouette(sample: DataFrame, features: list[str], label: str) -> DataFrame:
-    """Exact silhouette of a table that is already a bounded sample.
+    """Mean Euclidean silhouette of all rows: (silhouette, standard_error, rows).
 
-    The sample is broadcast as one numpy block; each task scores its own rows against it.
-    A cluster with one row scores 0, as does a single cluster.
+    Every row is compared with ``references`` rows of each cluster, those with the least hash of their (unique) key, or
+    with the whole cluster if it has no more; so the error does not depend on the number of rows and vanishes where all
+    clusters are whole. The references are dealt into ``FOLDS`` folds and the standard error is that of the jackknife over
+    them. What reaches the driver and each task is at most ``references`` rows of each cluster. A row that is alone in
+    its cluster scores 0, as does every row of a single cluster; rows without a label take no part.
     """
-    block = sample.select(F.col(label).cast("string").alias("_label"), *features).toPandas()
-    codes, names = pd.factorize(block["_label"], sort=True)
-    points = block[features].to_numpy(dtype=float)
-    sizes = np.bincount(codes, minlength=len(names))
-    spark = sample.sparkSession
-    shared = spark.sparkContext.broadcast((points, codes, sizes))
-
-    def score(batches):
-        all_points, all_codes, all_sizes = shared.value
-        member = np.eye(len(all_sizes))[all_codes]
-        for batch in batches:
-            index = batch["i"].to_numpy()
-            values = np.zeros(len(index))
-            for at in range(0, len(index), 256):
-                own = index[at:at + 256]
-                gaps = np.sqrt(((all_points[own][:, None, :] - all_points[None, :, :]) ** 2).sum(axis=2))
-                sums = gaps @ member
-                code = all_codes[own]
-                rows = np.arange(len(own))
-                inside = sums[rows, code] / np.maximum(all_sizes[code] - 1, 1)
-                means = sums / all_sizes
-                means[rows, code] = np.inf
-                outside = means.min(axis=1)
+    rows = df.where(F.col(label).isNotNull()).select(
+        F.col(key).cast("string").alias("_key"), F.col(label).cast("string").alias("_label"),
+        *[F.col(f).cast("double").alias(f"_f{i}") for i, f in enumerate(features)])
+    names = [f"_f{i}" for i in range(len(features))]
+    order = Window.partitionBy("_label").orderBy(F.md5(F.concat(F.col("_key"), F.lit(f":{seed}"))), "_key")
+    drawn = rows.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= references).collect()
+    drawn.sort(key=lambda r: (r["_label"], r["_place"]))
+    labels = sorted({r["_label"] for r in drawn})
+    code = {v: i for i, v in enumerate(labels)}
+    cluster = np.array([code[r["_label"]] for r in drawn], np.int64)
+    fold = np.array([r["_place"] % FOLDS for r in drawn], np.int64)
+    points = np.array([[r[n] for n in names] for r in drawn], float).reshape(len(drawn), len(names))
+    shared = df.sparkSession.sparkContext.broadcast(
+        (points, cluster, fold, code, {(r["_key"], r["_label"]): r["_place"] % FOLDS for r in drawn}))
+    sums = rows.mapInArrow(lambda batches: _silhouettes(batches, *shared.value), "sums array<double>, n long")
+    means = F.array(*[F.sum(F.element_at("sums", i + 1)) / F.sum("n") for i in range(FOLDS + 1)])
+    whole = np.bincount(cluster, minlength=1).max() < references if len(drawn) else True
+    spread = F.aggregate(F.slice("means", 2, FOLDS), F.lit(0.0), lambda a, m: a + F.pow(m - F.col("centre"), 2))
+    centre = F.aggregate(F.slice("means", 2, FOLDS), F.lit(0.0), lambda a, m: a + m) / FOLDS
+    error = F.lit(0.0) if whole else F.sqrt(spread * ((FOLDS - 1) / FOLDS))
+    return sums.agg(means.alias("means"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows")).withColumn("centre", centre).select(
+        F.element_at("means", 1).alias("silhouette"), error.alias("standard_error"), "rows")
+
+
+def _silhouettes(batches, points: np.ndarray, cluster: np.ndarray, fold: np.ndarray, code: dict, held: dict):
+    """Sums of the silhouettes of a batch, with all references and without each fold of them."""
+    k = len(code)
+    member = np.zeros((len(points), k * FOLDS))
+    member[np.arange(len(points)), cluster * FOLDS + fold] = 1
+    sizes = member.sum(axis=0).reshape(k, FOLDS)
+    for batch in batches:
+        key, label = batch.column("_key").to_pylist(), batch.column("_label").to_pylist()
+        values = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns[2:]]).astype(float)
+        totals = np.zeros(FOLDS + 1)
+        for at in range(0, len(values), 1024):
+            part = values[at:at + 1024]
+            own = np.array([code[v] for v in label[at:at + 1024]], np.int64)
+            gaps = np.zeros((len(part), len(points)))
+            for f in range(points.shape[1]):
+                gaps += (part[:, f, None] - points[None, :, f]) ** 2
+            sums = (np.sqrt(gaps) @ member).reshape(len(part), k, FOLDS)
+            counts = np.broadcast_to(sizes, sums.shape).copy()
+            for i, pair in enumerate(zip(key[at:at + 1024], label[at:at + 1024], strict=True)):
+                if pair in held:  # a reference is not compared with itself
+                    counts[i, own[i], held[pair]] -= 1
+            all_sums, all_counts = sums.sum(axis=2), counts.sum(axis=2)
+            for g in range(FOLDS + 1):
+                s = all_sums if not g else all_sums - sums[:, :, g - 1]
+                n = all_counts if not g else all_counts - counts[:, :, g - 1]
+                mean = np.where(n > 0, s / np.maximum(n, 1), np.inf)
+                rows = np.arange(len(part))
+                inside = mean[rows, own].copy()
+                mean[rows, own] = np.inf
+                outside = mean.min(axis=1)
                 top = np.maximum(inside, outside)
-                valid = (all_sizes[code] > 1) & np.isfinite(outside) & (top > 0)
-                part = np.zeros(len(own))
-                part[valid] = (outside[valid] - inside[valid]) / top[valid]
-                values[at:at + 256] = part
-            yield pd.DataFrame({"s": values})
+                good = np.isfinite(top) & (top > 0)
+                totals[g] += ((outside[good] - inside[good]) / top[good]).sum()
+        yield pa.RecordBatch.from_arrays([pa.array([totals.tolist()], pa.list_(pa.float64())), pa.array([len(values)], pa.int64())], ["sums", "n"])
 
-    rows = spark.range(0, len(block), 1, max(1, min(64, len(block) // 256 + 1))).toDF("i")
-    return rows.mapInPandas(score, "s double").agg(F.avg("s").alias("silhouette"), F.count("s").alias("rows"))
 
-
-def k_sweep(df: DataFrame, features: list[str], key: str, ks=range(2, 10), sample_rows: int = 5000,
+def k_sweep(df: DataFrame, features: list[str], key: str, ks=range(2, 10), references: int = REFERENCES,
             starts: int = STARTS) -> DataFrame:
-    """(k, inertia, silhouette, sizes) for several K on the same table.
+    """(k, inertia, silhouette, standard_error, sizes) for several K on the same table.
 
-    The silhouette sample does not depend on K and is drawn once; inertia and sizes of one K
-    come from one pass.
+    Inertia and sizes of one K come from one pass, the silhouette of all rows from another.
     """
-    sample = cut_lineage(random_sample(df.select(key, *features), key, sample_rows))
     table = None
     for k in ks:
         centers = kmeans_fit(df, features, k, starts=starts)
@@ -236,15 +275,76 @@ def k_sweep(df: DataFrame, features: list[str], key: str, ks=range(2, 10), sampl
         sizes = F.array_sort(F.collect_list(F.struct("cluster", "rows")))
         text = F.array_join(F.transform(sizes, lambda r: F.concat_ws(": ", r["cluster"].cast("string"),
                                                                      r["rows"].cast("string"))), ", ")
-        quality = sample_silhouette(assign(sample, features, centers), features, "Cluster")
+        quality = silhouette(assign(df, features, centers), features, "Cluster", key, references)
         row = groups.agg(F.lit(k).alias("k"), F.sum("d").alias("inertia"), text.alias("sizes")).withColumn(
-            "silhouette", quality.select("silhouette").scalar())
+            "q", quality.select(F.struct("silhouette", "standard_error")).scalar())
         table = row if table is None else table.unionByName(row)
-    return table.select("k", "inertia", "silhouette", "sizes")
+    return table.select("k", "inertia", "q.silhouette", "q.standard_error", "sizes")
+
+
+def best_matching(weight: np.ndarray) -> list[int]:
+    """For each row of a square table its column, so that the sum of the chosen cells is greatest.
+
+    Shortest augmenting paths over reduced costs, one row after another.
+    """
+    n = len(weight)
+    cost = weight.max(initial=0) - weight.astype(float)
+    row_price, column_price = np.zeros(n), np.zeros(n + 1)
+    holder = np.full(n + 1, -1)  # row of each column; the last column is where a search starts
+    for row in range(n):
+        holder[n], here = row, n
+        reach, via, done = np.full(n, np.inf), np.full(n, n), np.zeros(n + 1, bool)
+        while holder[here] >= 0:
+            done[here] = True
+            i = holder[here]
+            slack = cost[i] - row_price[i] - column_price[:n]
+            shorter = ~done[:n] & (slack < reach)
+            reach[shorter], via[shorter] = slack[shorter], here
+            step = np.where(done[:n], np.inf, reach)
+            following = int(step.argmin())
+            row_price[holder[done]] += step[following]
+            column_price[done] -= step[following]
+            reach[~done[:n]] -= step[following]
+            here = following
+        while here != n:
+            holder[here], here = holder[via[here]], via[here]
+    columns = [0] * n
+    for column in range(n):
+        columns[holder[column]] = column
+    return columns
+
+
+def match_labels(df: DataFrame, a: str, b: str) -> list[tuple]:
+    """Pairs (label of ``a``, label of ``b``), each label in one pair at most, that agree on the most rows.
+
+    Only the counts of label pairs reach the driver. Of the surplus labels of the longer side, and of null labels, none
+    is in a pair.
+    """
+    cells = df.groupBy(a, b).agg(F.count(F.lit(1)).alias("rows")).dropna().collect()
+    left, right = sorted({r[0] for r in cells}), sorted({r[1] for r in cells})
+    if max(len(left), len(right)) > MATCHED_LABELS:
+        raise ValueError(f"more than {MATCHED_LABELS} labels: match_labels compares partitions, not keys")
+    size = max(len(left), len(right), 1)
+    weight = np.zeros((size, size))
+    at_left, at_right = {v: i for i, v in enumerate(left)}, {v: i for i, v in enumerate(right)}
+    for x, y, n in cells:
+        weight[at_left[x], at_right[y]] = n
+    return [(x, right[j]) for x, j in zip(left, best_matching(weight), strict=False) if j < len(right)]
+
+
+def _is_match(df: DataFrame, a: str, b: str) -> Column:
+    return reduce(lambda x, y: x | y, [(F.col(a) == F.lit(x)) & (F.col(b) == F.lit(y)) for x, y in match_labels(df, a, b)], F.lit(False))
 
 
 def compare_partitions(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Contingency of two labelings with, per label of ``a``, its best match in ``b``."""
-    table = df.groupBy(a, b).agg(F.count(F.lit(1)).alias("rows"))
-    best = top_n_per_group(table, [a], [F.desc("rows"), F.asc(b)], 1).select(a, F.col(b).alias("best"))
-    return table.join(best, a).withColumn("matched", F.col(b) == F.col("best")).drop("best")
+    """Contingency of two labelings, with the cells of the best one-to-one matching of their labels marked."""
+    found = F.coalesce(_is_match(df, a, b), F.lit(False)).alias("matched")
+    return df.groupBy(a, b).agg(F.count(F.lit(1)).alias("rows")).select(a, b, "rows", found)
+
+
+def partition_changes(df: DataFrame, a: str, b: str) -> DataFrame:
+    """(rows, changed, share): how many rows are in another group in ``b`` than in ``a``, labels matched one to one."""
+    return compare_partitions(df, a, b).agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+        F.coalesce(F.sum(F.when(~F.col("matched"), F.col("rows")).otherwise(0)), F.lit(0)).alias("changed")).withColumn(
+        "share", F.try_divide(F.col("changed"), F.col("rows")))

@@ -14,7 +14,7 @@ from tidemark.plans.catalog.sources import FIT_SQL, SCALED_SQL
 from tidemark.plans.catalog.statistics import _STRATA, labelled, long_sql, median_sql
 from tidemark.plans.preparation import main_segments, prepare
 from tidemark.plans.records import raw_records, staged, table
-from tidemark.session import scratch_path
+from tidemark.session import cut_lineage, scratch_path
 from tidemark.sources.csv import scan_csv, with_numbers
 
 KEY = "record_id"
@@ -202,16 +202,12 @@ def _inertia(spark, sf_dir):
     return rounded(K.inertia(scaled_table(spark, sf_dir), THREE, CENTERS), 4)
 
 
-@query("kmeans_fit", f"WITH {SCALED} SELECT count(*) AS \"rows\", 4::BIGINT AS clusters, true AS each_center_is_its_mean FROM scaled")
+@query("kmeans_fit", f"WITH {SCALED} SELECT count(*) AS \"rows\", 4::BIGINT AS clusters, true AS settled, true AS nearest, true AS not_worse FROM scaled")
 def _kmeans_fit(spark, sf_dir):
-    """Fit on three components, then check the fit: every center is the mean of its rows."""
-    scores = C.pca_scores(scaled_table(spark, sf_dir), MODEL_FEATURES, 3, [KEY])
+    """Fit on three components, then check the fit."""
+    scores = cut_lineage(C.pca_scores(scaled_table(spark, sf_dir), MODEL_FEATURES, 3, [KEY]))
     names = ["PC1", "PC2", "PC3"]
-    centers = K.kmeans_fit(scores, names, 4)
-    step = K.lloyd_step(scores, names, centers)
-    given = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in centers])
-    gap = F.greatest(*[F.abs(F.col(n) - F.element_at(F.element_at(given, F.col("cluster") + 1), i + 1)) for i, n in enumerate(names)])
-    return step.agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("clusters"), (F.max(gap) < 0.01).alias("each_center_is_its_mean"))
+    return K.fit_facts(scores, names, K.kmeans_fit(scores, names, 4), KEY)
 
 
 @query("main_segments", f"WITH {PREP} SELECT count(*) AS \"rows\", 4::BIGINT AS labels, count(DISTINCT record_id) AS keys FROM prep")
@@ -225,22 +221,28 @@ _SEED_FEATURES = ["log_funding_total_usd", "venture_ratio", "stage_level"]
 SEED_ROUNDS = 45
 
 
-def seeded_sql(k: int) -> str:
-    """The seeded clustering unrolled: one CTE of centers per round, kept once labels stop moving."""
-    f = _SEED_FEATURES
-    fit = "sf AS MATERIALIZED (SELECT " + ", ".join(
+def seeded_ctes(k: int, features: list[str], tag: str = "") -> list[str]:
+    """The seeded clustering unrolled: one CTE of centers per round, which stay once labels stop moving. Labels are in l<tag>."""
+    columns = [f"x{i}" for i in range(len(features))]
+    fit = f"sf{tag} AS MATERIALIZED (SELECT " + ", ".join(
         f"{median_sql(c)} AS m{i}, CASE WHEN {median_sql(c, .75)} = {median_sql(c, .25)} THEN 1 ELSE {median_sql(c, .75)} - {median_sql(c, .25)} END AS s{i}"
-        for i, c in enumerate(f)) + " FROM prep)"
-    pts = ("pts AS MATERIALIZED (SELECT record_id, row_number() OVER (ORDER BY record_id) - 1 AS p, "
-           + ", ".join(f"({c} - m{i}) / s{i} AS x{i}" for i, c in enumerate(f)) + " FROM prep, sf)")
-    ctes = [fit, pts, "c0 AS MATERIALIZED (SELECT j, x0, x1, x2 FROM pts JOIN (SELECT j, CAST(floor(j / "
-            f"{k - 1}.0::DOUBLE * ((SELECT count(*) FROM pts) - 1)) AS BIGINT) AS at FROM range({k}) t(j)) q ON q.at = pts.p)"]
-    label = ("arg_min(c.j, (pow(p.x0 - c.x0, 2) + pow(p.x1 - c.x1, 2) + pow(p.x2 - c.x2, 2), c.j))")
+        for i, c in enumerate(features)) + " FROM prep)"
+    pts = (f"pts{tag} AS MATERIALIZED (SELECT record_id, row_number() OVER (ORDER BY record_id) - 1 AS p, "
+           + ", ".join(f"({c} - m{i}) / s{i} AS x{i}" for i, c in enumerate(features)) + f" FROM prep, sf{tag})")
+    ctes = [fit, pts, f"c{tag}0 AS MATERIALIZED (SELECT j, {', '.join(columns)} FROM pts{tag} JOIN (SELECT j, CAST(floor(j / "
+            f"{k - 1}.0::DOUBLE * ((SELECT count(*) FROM pts{tag}) - 1)) AS BIGINT) AS at FROM range({k}) t(j)) q ON q.at = pts{tag}.p)"]
+    label = "arg_min(c.j, (" + " + ".join(f"pow(p.{x} - c.{x}, 2)" for x in columns) + ", c.j))"
+    means = ", ".join(f"coalesce(avg(p.{x}), any_value(c.{x})) AS {x}" for x in columns)
     for r in range(1, SEED_ROUNDS + 1):
-        ctes.append(f"l{r} AS MATERIALIZED (SELECT p.record_id, {label} AS j FROM pts p, c{r - 1} c GROUP BY 1)")
-        ctes.append(f"c{r} AS MATERIALIZED (SELECT c.j, coalesce(avg(p.x0), any_value(c.x0)) AS x0, coalesce(avg(p.x1), any_value(c.x1)) AS x1, coalesce(avg(p.x2), any_value(c.x2)) AS x2 "
-                    f"FROM c{r - 1} c LEFT JOIN l{r} l ON l.j = c.j LEFT JOIN pts p ON p.record_id = l.record_id GROUP BY c.j)")
-    return f"WITH {PREP}, " + ", ".join(ctes) + f" SELECT record_id, CAST(j AS VARCHAR) AS __cluster FROM l{SEED_ROUNDS}"
+        name = f"l{tag}{r}" if r < SEED_ROUNDS else f"l{tag}"
+        ctes.append(f"{name} AS MATERIALIZED (SELECT p.record_id, {label} AS j FROM pts{tag} p, c{tag}{r - 1} c GROUP BY 1)")
+        ctes.append(f"c{tag}{r} AS MATERIALIZED (SELECT c.j, {means} FROM c{tag}{r - 1} c LEFT JOIN {name} l ON l.j = c.j "
+                    f"LEFT JOIN pts{tag} p ON p.record_id = l.record_id GROUP BY c.j)")
+    return ctes
+
+
+def seeded_sql(k: int) -> str:
+    return f"WITH {PREP}, " + ", ".join(seeded_ctes(k, _SEED_FEATURES)) + " SELECT record_id, CAST(j AS VARCHAR) AS __cluster FROM l"
 
 
 @query("kmeans_seeded", seeded_sql(4))
@@ -262,10 +264,24 @@ def _ensure_labels_fallback(spark, sf_dir):
     return df.select(KEY, F.col(column).alias("__cluster"))
 
 
-@query("silhouette", f"""WITH {SCALED}, s AS MATERIALIZED (SELECT record_id, "Cluster" AS l, {', '.join(THREE)} FROM scaled ORDER BY md5(record_id || ':42'), record_id LIMIT 5000),
-d AS (SELECT a.record_id, a.l AS own, b.l AS other, sum(sqrt({' + '.join(f'pow(a.{f} - b.{f}, 2)' for f in THREE)})) AS d, count(*) AS n FROM s a, s b GROUP BY 1, 2, 3),
-w AS (SELECT record_id, max(CASE WHEN own = other THEN d / greatest(n - 1, 1) END) AS a, max(CASE WHEN own = other THEN n END) AS n, min(CASE WHEN own <> other THEN d / n END) AS b FROM d GROUP BY 1)
-SELECT round(avg(CASE WHEN n > 1 AND b IS NOT NULL AND greatest(a, b) > 0 THEN (b - a) / greatest(a, b) ELSE 0 END), 6) AS silhouette, count(*) AS "rows" FROM w""")
+_GAP = " + ".join(f"pow(a.{f} - r.{f}, 2)" for f in THREE)
+SILHOUETTE_SQL = f"""WITH {SCALED}, v AS MATERIALIZED (SELECT record_id, "Cluster" AS l, {', '.join(THREE)} FROM scaled),
+refs AS MATERIALIZED (SELECT *, place % {K.FOLDS} AS g FROM (SELECT *, row_number() OVER (PARTITION BY l ORDER BY md5(record_id || ':42'), CAST(record_id AS VARCHAR)) AS place FROM v)
+  WHERE place <= {K.REFERENCES}),
+cells AS MATERIALIZED (SELECT a.record_id, a.l AS own, r.l AS other, r.g, sum(sqrt({_GAP})) AS d, count(*) FILTER (WHERE r.record_id <> a.record_id) AS n
+  FROM v a, refs r GROUP BY ALL),
+total AS MATERIALIZED (SELECT record_id, own, other, sum(d) AS d, sum(n) AS n FROM cells GROUP BY ALL),
+means AS (SELECT record_id, own, other, -1 AS g, d / nullif(n, 0) AS m FROM total UNION ALL
+  SELECT t.record_id, t.own, t.other, f.g, (t.d - coalesce(c.d, 0)) / nullif(t.n - coalesce(c.n, 0), 0) FROM total t CROSS JOIN (SELECT unnest(range({K.FOLDS})) AS g) f
+  LEFT JOIN cells c ON c.record_id = t.record_id AND c.other = t.other AND c.g = f.g),
+sides AS (SELECT record_id, g, max(CASE WHEN own = other THEN m END) AS a, min(CASE WHEN own <> other THEN m END) AS b FROM means GROUP BY ALL),
+s AS MATERIALIZED (SELECT g, avg(CASE WHEN a IS NOT NULL AND b IS NOT NULL AND greatest(a, b) > 0 THEN (b - a) / greatest(a, b) ELSE 0 END) AS s, count(*) AS n FROM sides GROUP BY g),
+most AS (SELECT max(c) AS c FROM (SELECT count(*) AS c FROM refs GROUP BY l))
+SELECT round(max(CASE WHEN g < 0 THEN s END), 6) AS silhouette, max(n) AS "rows",
+  round(CASE WHEN max(most.c) < {K.REFERENCES} THEN 0 ELSE sqrt({K.FOLDS - 1} * var_pop(s) FILTER (WHERE g >= 0)) END, 6) AS standard_error FROM s, most"""
+
+
+@query("silhouette", SILHOUETTE_SQL)
 def _silhouette(spark, sf_dir):
     return rounded(K.silhouette(scaled_table(spark, sf_dir), THREE, "Cluster", KEY))
 
@@ -276,20 +292,40 @@ def _k_sweep(spark, sf_dir):
     return rounded(K.k_sweep(inside, MODEL_FEATURES, KEY, range(2, 10)), 3)
 
 
-@query("segment_recluster", f"WITH {PREP} SELECT count(*) AS \"rows\", 3::BIGINT AS labels, true AS sizes_fall FROM prep WHERE \"Cluster\" = '0'")
+@query("segment_recluster", f"""WITH {PREP} SELECT count(*) AS "rows", 3::BIGINT AS clusters, true AS settled, true AS nearest, true AS not_worse, true AS sizes_fall
+FROM prep WHERE "Cluster" = '0'""")
 def _segment_recluster(spark, sf_dir):
     out = segment_recluster(scaled_table(spark, sf_dir), "Cluster", "0", MODEL_FEATURES, 3)
-    sizes = out.groupBy("SubCluster").agg(F.count(F.lit(1)).alias("n"))
+    groups = out.groupBy("SubCluster").agg(F.count(F.lit(1)).alias("n"), *[F.avg(f).alias(f) for f in MODEL_FEATURES]).orderBy("SubCluster").collect()
+    centers = [[r[f] for f in MODEL_FEATURES] for r in groups]
     # Canonical order: label 0 is the largest.
-    first = F.max_by("n", -F.col("SubCluster"))
-    return sizes.agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("labels"), (first == F.max("n")).alias("sizes_fall"))
+    falls = all(a["n"] >= b["n"] for a, b in zip(groups, groups[1:]))
+    return K.fit_facts(out, MODEL_FEATURES, centers, KEY).withColumn("sizes_fall", F.lit(falls))
+
 
+_OTHER_FEATURES = ["log_funding_rounds", "log_venture", "early_stage_funding_ratio"]
+MATCH_SQL = f"""WITH {PREP}, {', '.join(seeded_ctes(4, _SEED_FEATURES, 'a'))}, {', '.join(seeded_ctes(4, _OTHER_FEATURES, 'b'))},
+t AS MATERIALIZED (SELECT la.j AS a, lb.j AS b, count(*) AS n FROM la JOIN lb USING (record_id) GROUP BY ALL),
+perms AS (SELECT p, q, r, s FROM range(4) w(p), range(4) x(q), range(4) y(r), range(4) z(s) WHERE p <> q AND p <> r AND p <> s AND q <> r AND q <> s AND r <> s),
+best AS MATERIALIZED (SELECT p, q, r, s, sum(CASE WHEN b = [p, q, r, s][a + 1] THEN n ELSE 0 END) AS score FROM perms, t GROUP BY ALL ORDER BY score DESC LIMIT 1),
+m AS (SELECT CAST(a AS VARCHAR) AS first, CAST(b AS VARCHAR) AS second, n AS "rows", b = [p, q, r, s][a + 1] AS matched FROM t, best)"""
 
-@query("compare_partitions", f"""WITH {SCALED}, t AS (SELECT "Cluster" AS a, CAST({NEAREST} AS INTEGER) AS b, count(*) AS n FROM scaled GROUP BY 1, 2),
-r AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY n DESC, b) AS k FROM t) SELECT a AS "Cluster", b AS given, n AS "rows", k = 1 AS matched FROM r""")
+
+def two_segmentations(spark, sf_dir):
+    """The same records labelled by two fits, on other features each."""
+    df = labelled(spark, sf_dir).select(KEY, *_SEED_FEATURES, *_OTHER_FEATURES)
+    return K.kmeans_seeded_labels(K.kmeans_seeded_labels(df, _SEED_FEATURES, KEY, 4, "first"), _OTHER_FEATURES, KEY, 4, "second")
+
+
+@query("compare_partitions", f"{MATCH_SQL} SELECT * FROM m")
 def _compare_partitions(spark, sf_dir):
-    both = K.assign(scaled_table(spark, sf_dir), THREE, CENTERS, "given")
-    return K.compare_partitions(both, "Cluster", "given")
+    return K.compare_partitions(two_segmentations(spark, sf_dir), "first", "second")
+
+
+@query("partition_changes", f"""{MATCH_SQL} SELECT CAST(sum("rows") AS BIGINT) AS "rows", CAST(sum(CASE WHEN matched THEN 0 ELSE "rows" END) AS BIGINT) AS changed,
+round(sum(CASE WHEN matched THEN 0 ELSE "rows" END) / sum("rows"), 6) AS share FROM m""")
+def _partition_changes(spark, sf_dir):
+    return rounded(K.partition_changes(two_segmentations(spark, sf_dir), "first", "second"))
 
 
 @query("embedding_components", "SELECT count(*) AS \"rows\", 3::BIGINT AS components, true AS centred FROM embeddings")
