@@ -263,19 +263,20 @@ def k_sweep(df: DataFrame, features: list[str], key: str, ks=range(2, 10), refer
             starts: int = STARTS) -> DataFrame:
     """(k, inertia, silhouette, standard_error, sizes) for several K on the same table.
 
-    Inertia and sizes of one K come from one pass, the silhouette of all rows from another.
+    The labels of one K are written once; inertia and sizes come from one pass over them, the silhouette from another.
     """
     table = None
     for k in ks:
         centers = kmeans_fit(df, features, k, starts=starts)
         near = F.array_min(_distances(features, centers)).alias("d")
-        groups = df.select(nearest(features, centers).alias("cluster"), near).groupBy("cluster").agg(
-            F.count(F.lit(1)).alias("rows"), F.sum("d").alias("d"))
+        # Written, as the label is a long expression that three plans would each optimise and compute anew.
+        labelled = cut_lineage(df.select(key, *features, nearest(features, centers).alias("cluster"), near))
+        groups = labelled.groupBy("cluster").agg(F.count(F.lit(1)).alias("rows"), F.sum("d").alias("d"))
         # At most k entries.
         sizes = F.array_sort(F.collect_list(F.struct("cluster", "rows")))
         text = F.array_join(F.transform(sizes, lambda r: F.concat_ws(": ", r["cluster"].cast("string"),
                                                                      r["rows"].cast("string"))), ", ")
-        quality = silhouette(assign(df, features, centers), features, "Cluster", key, references)
+        quality = silhouette(labelled, features, "cluster", key, references)
         row = groups.agg(F.lit(k).alias("k"), F.sum("d").alias("inertia"), text.alias("sizes")).withColumn(
             "q", quality.select(F.struct("silhouette", "standard_error")).scalar())
         table = row if table is None else table.unionByName(row)
