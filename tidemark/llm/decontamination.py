@@ -42,25 +42,44 @@ _HAS_DENSE = re.compile(f"[{_DENSE}]")
 _DENSE_TOKEN = re.compile(rf"[$€£]?\d+(?:[.,:/]\d+)*%?|(?=[^\W\d_])[{_DENSE}]|[^\W\d_{_DENSE}]+(?:['’][^\W\d_{_DENSE}]+)*|[.!?:;\n。！？：；]")
 _ENDS = ".!?:;\n。！？：；"
 _WORD, _CAPITAL, _NUMBER, _UNIT, _END = range(5)
-_CODES: dict[str, tuple[int, int]] = {}
 _NUM, _NAME, _UNITS = (np.uint64(xxhash.xxh64_intdigest(x)) for x in ("<number>", "<name>", "<unit>"))
+#: Tokens whose codes a worker holds, some 30 MB.
+TOKENS_HELD = 150_000
 
 
-def _code(token: str) -> tuple[int, int]:
-    if len(_CODES) > 500_000:
-        _CODES.clear()
+class _Codes(dict):
+    """The number of each token met; ``kind`` and ``plain`` have its kind and hash. Numbers are dealt as tokens come."""
+
+    def __init__(self):
+        self.kind, self.plain = np.zeros(1024, np.int8), np.zeros(1024, np.uint64)
+
+    def __missing__(self, token: str) -> int:
+        number = len(self)
+        if number == len(self.kind):
+            self.kind, self.plain = (np.concatenate([x, np.zeros_like(x)]) for x in (self.kind, self.plain))
+        self.kind[number] = _kind(token)
+        self.plain[number] = xxhash.xxh64_intdigest(token.lower())
+        self[token] = number
+        return number
+
+    def of(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if len(self) > TOKENS_HELD:
+            self.clear()
+        numbers = np.fromiter(map(self.__getitem__, tokens), np.int64, len(tokens))
+        return self.kind[numbers], self.plain[numbers]
+
+
+_CODES = _Codes()
+
+
+def _kind(token: str) -> int:
     if token in _ENDS:
-        kind = _END
-    elif any(c.isdigit() for c in token):
-        kind = _NUMBER
-    elif token.lower() in UNITS:
-        kind = _UNIT
-    elif token[0].isupper() and not (len(token) > 1 and token.isupper()):
-        kind = _CAPITAL
-    else:
-        kind = _WORD
-    _CODES[token] = found = (kind, xxhash.xxh64_intdigest(token.lower()))
-    return found
+        return _END
+    if not token.isalpha() and any(c.isdigit() for c in token):
+        return _NUMBER
+    if token.lower() in UNITS:
+        return _UNIT
+    return _CAPITAL if token[0].isupper() and not (len(token) > 1 and token.isupper()) else _WORD
 
 
 class _Text:
@@ -71,9 +90,7 @@ class _Text:
         text = text or ""
         dense = not text.isascii() and _HAS_DENSE.search(text)
         tokens = (_DENSE_TOKEN if dense else _TOKEN).findall(text)
-        codes = [_CODES.get(t) or _code(t) for t in tokens]
-        kind = np.fromiter((c[0] for c in codes), np.int8, len(codes))
-        plain = np.fromiter((c[1] for c in codes), np.uint64, len(codes))
+        kind, plain = _CODES.of(tokens)
         before = np.concatenate([[_END], kind])[:-1] if len(kind) else kind
         name = (kind == _CAPITAL) & (before != _END)
         number, unit = kind == _NUMBER, (kind == _UNIT) & (before == _NUMBER)
@@ -237,6 +254,8 @@ def _window_rows(batches, bits=None, shapes=None):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys, pa.int64()), pa.array(at, pa.int64()), pa.array(np.concatenate(hashes)),
                      pa.array(slots, pa.list_(pa.string()))], ["key", "at", "hash", "slots"])
+    _CODES.clear()  # the worker goes on with other work
+    _POWERS[:] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id", item: str = "item_id",

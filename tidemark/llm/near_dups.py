@@ -28,6 +28,8 @@ SHINGLE = 5
 SIDE, ROWS = 12, 2
 #: Links need 100 * intersection >= PERCENT * union.
 PERCENT = 75
+#: Words whose hashes a worker holds, some 10 MB; most words of a text are among the frequent ones.
+WORDS_HELD = 1 << 16
 #: Rows of one block of the comparison of a split bucket.
 BLOCK = 256
 #: Minhashes of the sketch by which blocks are compared. Pairs that agree in a share of SURE or more are linked for the
@@ -57,7 +59,7 @@ def shingle_set(text: str | None, size: int = SHINGLE) -> np.ndarray:
     if not words:
         return np.empty(0, np.uint64)
     known = _WORD_HASHES
-    if len(known) > 500_000:
+    if len(known) > WORDS_HELD:
         known.clear()
     hashes = np.empty(len(words), np.uint64)
     for i, w in enumerate(words):
@@ -113,6 +115,7 @@ def _sketches(batches):
             yield pa.RecordBatch.from_arrays(
                 [part.column("id"), pa.array(counts, pa.int64()), pa.array(classes, pa.int64()),
                  pa.array(keys, pa.list_(pa.int64()))], ["id", "n_shingles", "cls", "bands"])
+    _WORD_HASHES.clear()  # the worker goes on with other work
 
 
 def sketches(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -340,6 +343,7 @@ def _named_sets(batches):
                 pa.array([class_of(s) for s in found], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary()),
                 pa.array([(_mix(minhashes(s, _SKETCH_SEEDS)) & np.uint64(255)).astype(np.uint8).tobytes() for s in found], pa.binary()),
                 pa.array([group_keys(s).astype(np.uint32).tobytes() for s in found], pa.binary())], ["cls", "shingles", "sketch", "bands"])
+    _WORD_HASHES.clear()
 
 
 OP9_SQL = r"""

@@ -4,17 +4,19 @@ The vocabulary's merges define, for every beginning of a word, the last token of
 beginning depends only on the last tokens at the places where a token can still be open. That is a finite state, so
 words are counted by a deterministic transducer over bytes: a transition adds the change of the number of tokens (it
 may take tokens back), and the end of a word adds what the end-of-word token changes and returns to the start. States
-are compiled when a text first needs them, into a hash table that is emptied when full.
+are compiled when a text first needs them, up to a bound; then all are dropped and the stream goes on in two halves.
 
-Texts of a batch form one stream of symbols, cut in chunks of fixed length that run side by side. A chunk with a word
-end maps every entry state to one exit state; the scan over chunks takes each entry state from the nearest such chunk
-before it and composes the open ones in between.
+Texts of a batch form one stream of symbols, cut in chunks of fixed length that run side by side. No word of the stream
+is as long as a chunk, so every chunk holds a word end and its state map is constant: the scan over chunks composes such
+maps by taking the exit of the chunk before. A text with a longer word (unspaced data, a clause without spaces) would
+compile a state for each of its bytes and never use them again; it is left to the library.
 """
 
 from __future__ import annotations
 
 import json
 import unicodedata
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -26,9 +28,12 @@ from tidemark.llm.common import query, slices, table
 
 #: Token number up to which a document is within the limit.
 LIMIT = 2048
-#: Symbols of a chunk, states held at once, and slots (a power of two) of the table of transitions.
-CHUNK, MOST_STATES, SLOT_BITS = 256, 300_000, 22
+#: Symbols of a chunk, bytes of the longest word that is read by states, and states held at once.
+CHUNK, LONG, MOST_STATES = 256, 64, 200_000
+#: The table of transitions begins with 2 ** so many slots and doubles when it is half full.
+SLOT_BITS = 14
 _END = 256
+_NEVER = 1 << 30
 _SPACE, _LETTER, _NUMBER, _OTHER = range(4)
 
 
@@ -60,12 +65,21 @@ def character_classes(path: str) -> bytes:
 
 @lru_cache(maxsize=2)
 def odd_characters(path: str) -> str:
-    """Characters that the library normalises in another way than ``normalized``: their texts go through the library."""
+    """Characters that the library normalises in another way than ``normalized``, or may do so beside others.
+
+    These are all marks, as their order and composition depend on the version of the Unicode tables. Texts with one of
+    them are normalised by the library.
+    """
     from tokenizers import Tokenizer
 
     step = Tokenizer.from_file(path).normalizer.normalize_str
-    every = (chr(p) for p in range(128, 0x40000) if not 0xD800 <= p < 0xE000)
-    return "".join(c for c in every if not c.isspace() and step(c) != normalized(c))
+    every = (chr(p) for p in range(128, 0x110000) if not 0xD800 <= p < 0xE000)
+    return "".join(c for c in every if not c.isspace() and (
+        unicodedata.category(c)[0] == "M" or (unicodedata.category(c)[0] != "C" or ord(c) < 0x40000) and step(c) != normalized(c)))
+
+
+class _Full(Exception):
+    """No state can be added."""
 
 
 class Transducer:
@@ -80,7 +94,7 @@ class Transducer:
             self.ranks[self._piece(a, of), self._piece(b, of)] = rank
         self.number = {self._piece(t, of): k for t, k in model["vocab"].items()}
         tokens = set(self.number)
-        self.inner = {t for t, last in tokens if not last}
+        self.inner = {t: t for t, last in tokens if not last}  # states share the tokens that are in here
         self.final = {t for t, last in tokens if last}
         # What a token that is not yet read whole can begin with; a word-end token still needs the end.
         self.open = {t[:k] for t in self.inner for k in range(len(t))} | {t[:k] for t in self.final for k in range(len(t) + 1)}
@@ -92,8 +106,8 @@ class Transducer:
         return b"".join(of[c] for c in (token[:-len(self.suffix)] if last else token)), last
 
     def clear(self):
-        self.keys = np.full(1 << SLOT_BITS, -1, np.int64)
-        self.values = np.full(1 << SLOT_BITS, -1, np.int64)
+        self.bits = SLOT_BITS
+        self.keys, self.values = np.full((2, 1 << SLOT_BITS), -1, np.int64)
         self.known = 0
         # A state: the open end of what was read, and for each length of a possible open token the last token and count
         # (relative to now) at the place where that token would begin.
@@ -103,14 +117,16 @@ class Transducer:
         self.last, self.closing = np.zeros((2, 1024), np.int32), np.zeros((2, 1024), np.int32)
 
     def _encode(self, parts: list) -> list:
+        rank = self.ranks.get
         while len(parts) > 1:
-            pair = min(zip(parts, parts[1:]), key=lambda p: self.ranks.get(p, 1 << 30))
-            if pair not in self.ranks:
+            found = [rank(pair, _NEVER) for pair in zip(parts, parts[1:], strict=False)]
+            best = min(found)
+            if best == _NEVER:
                 break
-            merged, out, k = (pair[0][0] + pair[1][0], pair[1][1]), [], 0
-            while k < len(parts):
-                if k + 1 < len(parts) and (parts[k], parts[k + 1]) == pair:
-                    out.append(merged)
+            out, k, last = [], 0, len(parts) - 1
+            while k <= last:
+                if k < last and found[k] == best:
+                    out.append((parts[k][0] + parts[k + 1][0], parts[k + 1][1]))
                     k += 2
                 else:
                     out.append(parts[k])
@@ -123,7 +139,7 @@ class Transducer:
         key = before, token, last
         found = self.fits.get(key)
         if found is None:
-            if len(self.fits) > 400_000:
+            if len(self.fits) > MOST_STATES:
                 self.fits.clear()
             parts = [(bytes([b]), False) for b in before + token]
             parts[-1] = (parts[-1][0], last)
@@ -148,8 +164,8 @@ class Transducer:
         read = ends + bytes([symbol])
         found = None
         for length, before, count in history[::-1]:
-            token = read[len(read) - length - 1:]
-            if token in self.inner and self._follows(before, token, False):
+            token = self.inner.get(read[len(read) - length - 1:])
+            if token is not None and self._follows(before, token, False):
                 found = token, count + 1
                 break
         if found is None:
@@ -160,6 +176,8 @@ class Transducer:
         after = (read[len(read) - max((k[0] for k in kept), default=0):] if kept else b"", ((0, token, 0), *kept))
         place = self.place.get(after)
         if place is None:
+            if len(self.states) >= MOST_STATES:
+                raise _Full
             place = self.place[after] = len(self.states)
             self.states.append(after)
             if place == self.last.shape[1]:
@@ -169,16 +187,31 @@ class Transducer:
         self._put(state, symbol, place, change)
 
     def _put(self, state: int, symbol: int, after: int, change: int):
+        if 2 * self.known >= len(self.keys):
+            self._grow()
         key = state << 9 | symbol
-        slot = int(self._slots(np.array([key]))[0])
+        slot = (key * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF) >> (64 - self.bits)
         while self.keys[slot] >= 0:
             slot = (slot + 1) & (len(self.keys) - 1)
         self.keys[slot], self.values[slot] = key, after << 16 | (change + 0x8000)
         self.known += 1
 
-    @staticmethod
-    def _slots(keys: np.ndarray) -> np.ndarray:
-        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+    def _grow(self):
+        held = self.keys >= 0
+        keys, values = self.keys[held], self.values[held]
+        self.bits += 1
+        self.keys, self.values = np.full((2, 1 << self.bits), -1, np.int64)
+        slots = self._slots(keys)
+        while len(keys):
+            free = np.flatnonzero(self.keys[slots] < 0)
+            first = free[np.unique(slots[free], return_index=True)[1]]
+            self.keys[slots[first]], self.values[slots[first]] = keys[first], values[first]
+            rest = np.ones(len(keys), bool)
+            rest[first] = False
+            keys, values, slots = keys[rest], values[rest], (slots[rest] + 1) & (len(self.keys) - 1)
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
 
     def _look_up(self, keys: np.ndarray) -> np.ndarray:
         """Packed next state and change of each (state, symbol) key; -1 where it is not compiled."""
@@ -206,10 +239,8 @@ class Transducer:
     def emissions(self, stream: np.ndarray, states: np.ndarray | None = None) -> np.ndarray:
         """The change of the token count at every symbol of a stream that ends with a word end.
 
-        ``states``, if given, is filled with the state behind every symbol.
+        ``states``, if given, is filled with the state behind every symbol. Raises ``_Full`` if there are too many.
         """
-        if len(self.states) > MOST_STATES or self.known > len(self.keys) // 3:
-            self.clear()
         count = -(-len(stream) // CHUNK)
         padded = np.full(count * CHUNK, _END, np.int64)  # at the start state a word end changes nothing
         padded[:len(stream)] = stream
@@ -227,28 +258,44 @@ class Transducer:
                 exits[lanes], out[lanes, t] = self._advance(exits[lanes], symbols[lanes, t])
                 if passed is not None:
                     passed[lanes, t] = exits[lanes]
-        # Entry states: of chunks behind a closed one at once, then along runs of open chunks.
-        entry = np.zeros(count, np.int64)
-        wave = np.flatnonzero(np.concatenate([[True], closed[:-1]]))
-        entry[wave[wave > 0]] = exits[wave[wave > 0] - 1]
-        while len(wave):
-            state = entry[wave]
-            for t in range(int(min(CHUNK, first[wave].max() + 1))):
-                at = np.flatnonzero(first[wave] >= t)
-                state[at], out[wave[at], t] = self._advance(state[at], symbols[wave[at], t])
-                if passed is not None:
-                    passed[wave[at], t] = state[at]
-            going = np.flatnonzero(~closed[wave] & (wave + 1 < count))
-            entry[wave[going] + 1] = state[going]
-            wave = wave[going] + 1
+        # A chunk is entered in the state in which the one before is left.
+        if not closed[:-1].all():
+            raise ValueError(f"a word has more than {CHUNK} symbols")
+        state, lanes = np.concatenate([[0], exits[:-1]]), np.arange(count)
+        for t in range(int(min(CHUNK, first.max(initial=0) + 1))):
+            lanes = lanes[first[lanes] >= t]
+            state[lanes], out[lanes, t] = self._advance(state[lanes], symbols[lanes, t])
+            if passed is not None:
+                passed[lanes, t] = state[lanes]
         if states is not None:
             states[:] = passed.reshape(-1)[:len(stream)]
         return out.reshape(-1)[:len(stream)]
 
+    def _within_bound(self, stream: np.ndarray, run: Callable, join: Callable):
+        """``run(stream)``; if it needs too many states, again with none, and then in two halves, cut at a word end."""
+        for _ in range(2):
+            try:
+                return run(stream)
+            except _Full:
+                self.clear()
+        ends = np.flatnonzero(stream == _END) + 1
+        if len(ends) < 2:
+            raise RuntimeError("one word needs more states than there may be")
+        cut = int(ends[len(ends) // 2 - 1])
+        return join(*(self._within_bound(half, run, join) for half in (stream[:cut], stream[cut:])))
+
+    def totals(self, stream: np.ndarray) -> np.ndarray:
+        """How many tokens there are up to each symbol of a stream."""
+        return self._within_bound(stream, lambda x: np.cumsum(self.emissions(x), dtype=np.int64),
+                                  lambda one, two: np.concatenate([one, one[-1] + two]))
+
     def tokens(self, stream: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Token numbers of a stream, and how many of them come up to each of its word ends.
+        """Token numbers of a stream, and how many of them come up to each of its word ends."""
+        return self._within_bound(stream, self._tokens, lambda one, two: (
+            np.concatenate([one[0], two[0]]), np.concatenate([one[1], one[1][-1] + two[1]])))
 
-        A state knows its last token, and the state where that token begins knows the one before, so all words are read
+    def _tokens(self, stream: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A state knows its last token, and the state where that token begins knows the one before, so all words are read
         backwards side by side.
         """
         states = np.empty(len(stream), np.int32)
@@ -276,13 +323,14 @@ class Counter:
 
         self.transducer = Transducer(path)
         self.whole = Tokenizer.from_file(path)
-        self.odd = np.array([ord(c) for c in odd], np.uint32)
+        self.odd = np.zeros(0x110000, bool)
+        self.odd[[ord(c) for c in odd]] = True
         self.classes = np.frombuffer(classes, np.uint8)
         special = [t for t in json.load(open(path, encoding="utf-8"))["added_tokens"]]
         self.special = [t["content"] for t in special]
 
     def counts(self, texts: list[str]) -> np.ndarray:
-        """One number per text. Special strings split a text and count one each."""
+        """One number per text. Special strings split a text and count one each; the library counts pieces with a long word."""
         parts, owner, extra = [], [], np.zeros(len(texts), np.int64)
         for k, text in enumerate(texts):
             pieces = [text]
@@ -294,21 +342,23 @@ class Counter:
             for p in pieces:
                 parts.append(p)
                 owner.append(k)
-        stream, edges = self._stream(parts)
+        stream, edges, long = self._stream(parts)
+        for k in long:
+            extra[owner[k]] += len(self._by_library(parts[k]))
         if not len(stream):
             return extra
-        total = np.concatenate([[0], np.cumsum(self.transducer.emissions(stream), dtype=np.int64)])
+        total = np.concatenate([[0], self.transducer.totals(stream)])
         each = np.diff(np.concatenate([[0], total[edges]]))
         return extra + np.bincount(owner, each, len(texts)).astype(np.int64)
 
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each text its ids, and the positions behind words that begin with a full stop, ``!`` or ``?``.
 
-        Texts with a special string are left to the library.
+        Texts with a special string or a long word are left to the library.
         """
         plain = ["" if "<|" in t else t for t in texts]
         out = [(np.empty(0, np.uint32), np.empty(0, np.int64))] * len(texts)
-        stream, edges = self._stream(plain)
+        stream, edges, long = self._stream(plain)
         if len(stream):
             ids, after = self.transducer.tokens(stream)
             ends = np.flatnonzero(stream == _END)
@@ -319,21 +369,30 @@ class Counter:
                 high = int(after[word - 1]) if word else 0
                 out[k] = ids[low:high], after[first:word][stops[first:word]] - low
                 low, first = high, word
-        for k, t in enumerate(texts):
-            if "<|" in t:
-                out[k] = np.array(self.whole.encode(t, add_special_tokens=False).ids, np.uint32), np.empty(0, np.int64)
+        for k in [*long, *(k for k, t in enumerate(texts) if "<|" in t)]:
+            out[k] = np.array(self._by_library(texts[k]), np.uint32), np.empty(0, np.int64)
         return out
 
-    def _stream(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The symbols of all parts with word ends, and for each part the place behind its last one."""
-        raw_parts, parts = parts, [normalized(p) for p in parts]
+    def _by_library(self, text: str) -> list[int]:
+        return self.whole.encode(text, add_special_tokens=False).ids
+
+    def _normalized(self, text: str) -> str:
+        if not text.isascii() and self.odd[np.frombuffer(text.encode("utf-32-le"), np.uint32)].any():
+            return self.whole.normalizer.normalize_str(text)
+        return normalized(text)
+
+    def _stream(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray, list[int]]:
+        """The symbols of all parts with word ends, for each part the place behind its last one, and the parts with a word
+        above ``LONG`` bytes, which are left out."""
+        stream, edges, long = self._symbols([self._normalized(p) for p in parts])
+        if long:
+            out = set(long)
+            stream, edges, _ = self._symbols(["" if k in out else self._normalized(p) for k, p in enumerate(parts)])
+        return stream, edges, long
+
+    def _symbols(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray, list[int]]:
         joined = " ".join(parts) + " "
         points = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
-        if len(self.odd) and points.max() >= self.odd.min() and np.isin(points[points >= self.odd.min()], self.odd).any():
-            odd = {chr(c) for c in self.odd}
-            parts = [self.whole.normalizer.normalize_str(r) if odd & set(p) else p for r, p in zip(raw_parts, parts, strict=True)]
-            joined = " ".join(parts) + " "
-            points = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
         raw = np.frombuffer(joined.encode("utf-8"), np.uint8)
         lead = (raw & 0xC0) != 0x80
         kind = self.classes[points]
@@ -345,14 +404,17 @@ class Counter:
         begins = (start[char] & lead)[inside]
         data = raw[inside]
         if not len(data):
-            return np.empty(0, np.int64), np.zeros(len(parts), np.int64)
+            return np.empty(0, np.int64), np.zeros(len(parts), np.int64), []
         place = np.arange(len(data)) + np.cumsum(begins) - 1
         stream = np.full(place[-1] + 2, _END, np.int64)
         stream[place] = data
         # Bytes of a part, and so its symbols, end where the next part begins.
         held = np.concatenate([[0], np.cumsum(inside)])
         edges = held[np.cumsum([len(p.encode("utf-8")) + 1 for p in parts])]
-        return stream, np.where(edges < len(data), place[np.minimum(edges, len(data) - 1)], len(stream))
+        opens = np.flatnonzero(begins)
+        long = opens[np.diff(np.append(opens, len(data))) > LONG]
+        owners = np.unique(np.searchsorted(edges, long, "right")).tolist()
+        return stream, np.where(edges < len(data), place[np.minimum(edges, len(data) - 1)], len(stream)), owners
 
     @staticmethod
     def _contractions(points: np.ndarray, kind: np.ndarray, start: np.ndarray):
