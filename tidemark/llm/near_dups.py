@@ -5,9 +5,9 @@ A table key combines one group of A with one of B, so ``2 * SIDE * ROWS`` minhas
 keyed by ``2 * ROWS`` minhashes. Candidates are confirmed on the full shingle sets.
 
 Work is done on classes of documents with the same shingle set, so thousands of copies are one row. A class enters the
-tables only with groups that another class has too. In a bucket all classes are compared with one pivot, then those
-outside its largest component with a few more; what is still split is compared block by block in ``rest_pairs``, so a bucket of any size is finished
-without writing all of its pairs.
+tables only with groups that another class has too. In a bucket all classes are compared with one pivot; what is still
+split is compared block by block in ``rest_pairs``, so a bucket of any size is finished without writing all of its pairs.
+Blocks are compared on sketches; the full sets that a block needs then go to it once, however many pairs they are in.
 """
 
 from __future__ import annotations
@@ -31,12 +31,11 @@ PERCENT = 75
 #: Words whose hashes a worker holds, some 10 MB; most words of a text are among the frequent ones.
 WORDS_HELD = 1 << 16
 #: Rows of one block of the comparison of a split bucket.
-BLOCK = 256
+BLOCK = 512
 #: Minhashes of the sketch by which blocks are compared. Pairs that agree in a share of SURE or more are linked for the
-#: block at hand, pairs below MAYBE (4 deviations under 0.75) are not; all that are not dropped are confirmed on sets.
+#: block at hand, which spares the pairs between their components; pairs below MAYBE (4 deviations under 0.75, a miss of
+#: 3e-5) are dropped; all others are confirmed on sets. If one that was sure is not, the rest is compared once more.
 SKETCH, MAYBE, SURE = 256, 0.64, 0.86
-#: Members of a split bucket's largest component with which all its other classes are compared before blocks are.
-PIVOTS = 3
 
 _SEEDS = np.random.default_rng(20240901).integers(1, 2**63, (2, 2 * SIDE * ROWS), dtype=np.uint64) | np.uint64(1)
 _SKETCH_SEEDS = np.random.default_rng(20240902).integers(1, 2**63, (2, SKETCH), dtype=np.uint64) | np.uint64(1)
@@ -198,11 +197,13 @@ def components(links: DataFrame, rounds: int = 50) -> DataFrame:
     raise RuntimeError("components are not settled")
 
 
-def _compare_blocks(batches):
-    """Candidate pairs between classes of different components; the rows of a block follow one another."""
-    held: list[pa.RecordBatch] = []
+_FOUND = "bucket long, i long, o long, us array<long>, vs array<long>, sure array<boolean>"
 
-    def parts(last: bool):
+
+def _compare_blocks(least_sure: float):
+    """Candidate pairs between classes of different components, one row a block; the rows of a block follow one another."""
+
+    def parts(held: list[pa.RecordBatch], last: bool):
         whole = pa.Table.from_batches(held).combine_chunks()
         names = np.column_stack([whole.column(c).to_numpy() for c in ("bucket", "i", "o")])
         bounds = np.flatnonzero((names[1:] != names[:-1]).any(axis=1)) + 1
@@ -214,23 +215,31 @@ def _compare_blocks(batches):
         marks = np.frombuffer(b"".join(whole.column("sketch").slice(0, done).to_pylist()), np.uint8).reshape(-1, SKETCH)
         bands = np.frombuffer(b"".join(whole.column("bands").slice(0, done).to_pylist()), np.uint32).reshape(-1, 2 * SIDE)
         x, y = whole.column("x").to_numpy(), whole.column("y").to_numpy()
-        found = []
+        rows = []
         for a, b in zip(edges, edges[1:], strict=False):
             if b <= done:
-                found += _candidates(cls[a:b], root[a:b], outer[a:b], marks[a:b], bands[a:b], (int(x[a]), int(y[a])))
-        return pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], ["u", "v"])
-
-    for batch in batches:
-        if len(batch):
-            held.append(batch)
-            if sum(map(len, held)) >= 8 * BLOCK:
-                yield parts(last=False)
-    if held:
-        yield parts(last=True)
+                found = _candidates(cls[a:b], root[a:b], outer[a:b], marks[a:b], bands[a:b], (int(x[a]), int(y[a])), least_sure)
+                if found:
+                    rows.append((*names[a].tolist(), *map(list, zip(*found, strict=True))))
+        columns = list(zip(*rows, strict=True)) or [()] * 6
+        types = [pa.int64()] * 3 + [pa.list_(pa.int64())] * 2 + [pa.list_(pa.bool_())]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["bucket", "i", "o", "us", "vs", "sure"])
+
+    def run(batches):
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if len(batch):
+                held.append(batch)
+                if sum(map(len, held)) >= 8 * BLOCK:
+                    yield parts(held, last=False)
+        if held:
+            yield parts(held, last=True)
+
+    return run
 
 
 def _candidates(cls: np.ndarray, root: np.ndarray, outer: np.ndarray, marks: np.ndarray, bands: np.ndarray,
-                table_key: tuple[int, int]) -> list[tuple[int, int]]:
+                table_key: tuple[int, int], least_sure: float = SURE) -> list[tuple[int, int, bool]]:
     """Pairs with like sketches, each only in the first table that the two share, and none that surer pairs make needless."""
     rows, others = np.flatnonzero(outer), np.flatnonzero(~outer)
     if not len(rows) or not len(others):
@@ -255,12 +264,49 @@ def _candidates(cls: np.ndarray, root: np.ndarray, outer: np.ndarray, marks: np.
     for a, b in hits[np.argsort(-share[hits[:, 0], hits[:, 1]], kind="stable")]:
         x, y = find(root[rows[a]]), find(root[others[b]])
         if x != y:
-            found.append((int(min(cls[rows[a]], cls[others[b]])), int(max(cls[rows[a]], cls[others[b]]))))
-            if share[a, b] >= SURE:
+            sure = bool(share[a, b] >= least_sure)
+            found.append((int(min(cls[rows[a]], cls[others[b]])), int(max(cls[rows[a]], cls[others[b]])), sure))
+            if sure:
                 merged[max(x, y)] = min(x, y)
     return found
 
 
+def confirmed_blocks(found: DataFrame, sets: DataFrame) -> DataFrame:
+    """u, v, linked: the candidate pairs of blocks that are links, and those that were sure and are none.
+
+    A block gets each set it needs once, ahead of its pairs; it needs those of two blocks of rows at the most.
+    """
+    block = ["bucket", "i", "o"]
+    members = found.select(*block, F.explode(F.array_distinct(F.concat("us", "vs"))).alias("cls"))
+    held = members.join(sets.select("cls", "shingles"), "cls").select(
+        *block, F.lit(0).alias("kind"), "cls", "shingles", *[F.lit(None).cast(t).alias(c) for c, t in found.dtypes[3:]])
+    asked = found.select(*block, F.lit(1).alias("kind"), F.lit(None).cast("long").alias("cls"),
+                         F.lit(None).cast("binary").alias("shingles"), "us", "vs", "sure")
+    return held.unionByName(asked).repartition(*block).sortWithinPartitions(*block, "kind").mapInArrow(
+        _confirm_blocks, "u long, v long, linked boolean")
+
+
+def _confirm_blocks(batches):
+    sets: dict[int, np.ndarray] = {}
+    answered = False
+    for batch in batches:
+        out = []
+        kinds, names = batch.column("kind").to_pylist(), batch.column("cls").to_pylist()
+        for k, kind in enumerate(kinds):
+            if not kind:
+                if answered:  # the next block begins
+                    sets, answered = {}, False
+                sets[names[k]] = np.frombuffer(batch.column("shingles")[k].as_py(), np.uint64)
+                continue
+            for u, v, sure in zip(*(batch.column(c)[k].as_py() for c in ("us", "vs", "sure")), strict=True):
+                linked = _linked(sets[u], sets[v])
+                if linked or sure:
+                    out.append((u, v, linked))
+            answered = True
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], ["u", "v", "linked"])
+
+
 def split_rows(rows: DataFrame, roots: DataFrame) -> DataFrame:
     """The rows of buckets with several components: with root, outside (not in the largest one), all and outsiders.
 
@@ -276,20 +322,11 @@ def split_rows(rows: DataFrame, roots: DataFrame) -> DataFrame:
         "bucket", "x", "y", "cls", "root", (F.col("root") != F.col("top.root")).alias("outside"), "all", "outsiders")
 
 
-def more_pivot_pairs(rows: DataFrame, pivots: int = PIVOTS) -> DataFrame:
-    """u, v: outsiders of split buckets with ``pivots`` members of the bucket's largest component."""
-    inside = rows.where("not outside")
-    pairs = None
-    for k in range(pivots):
-        chosen = inside.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("cls", "bucket", F.lit(k)), "cls")).alias("p"))
-        found = rows.where("outside").select("bucket", "cls").join(chosen.select("bucket", F.col("p.cls").alias("pivot")), "bucket")
-        pairs = found if pairs is None else pairs.unionAll(found)
-    return pairs.select(F.least("cls", "pivot").alias("u"), F.greatest("cls", "pivot").alias("v")).distinct()
-
-
-def rest_pairs(rows: DataFrame, sets: DataFrame, block: int = BLOCK) -> DataFrame:
+def rest_pairs(rows: DataFrame, sets: DataFrame, block: int = BLOCK, least_sure: float = SURE) -> DataFrame:
     """The pairs that pivots left out: classes of one bucket that are in different components and have like sketches.
 
+    One row for each block that has any: bucket, i, o, us, vs, sure.
+
     Blocks of outsiders meet blocks of all rows of their bucket, so a task holds two blocks of sketches however large the
     bucket is. ``rows`` are those of ``split_rows``.
     """
@@ -299,7 +336,7 @@ def rest_pairs(rows: DataFrame, sets: DataFrame, block: int = BLOCK) -> DataFram
     placed = rows.select(*names, F.lit(False).alias("outer"), placed_by("all").alias("i"), every("outsiders").alias("o")).unionByName(
         rows.where("outside").select(*names, F.lit(True).alias("outer"), placed_by("outsiders").alias("o"), every("all").alias("i")))
     return placed.join(sets.select("cls", "sketch", "bands"), "cls").repartition("bucket", "i", "o").sortWithinPartitions(
-        "bucket", "i", "o").mapInArrow(_compare_blocks, "u long, v long").distinct()
+        "bucket", "i", "o").mapInArrow(_compare_blocks(least_sure), _FOUND)
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -321,10 +358,14 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
         _named_sets, "cls long, shingles binary, sketch binary, bands binary").dropDuplicates(["cls"])
     sets = cut_lineage(found.join(wanted, "cls", "left_semi"))
     links = cut_lineage(confirmed(pivot_pairs(buckets), sets))
-    more = cut_lineage(confirmed(more_pivot_pairs(cut_lineage(split_rows(buckets, components(links)))), sets))
-    links = links.unionAll(more)
-    rest = cut_lineage(confirmed(rest_pairs(cut_lineage(split_rows(buckets, components(links))), sets), sets))
-    roots = components(links.unionAll(rest))
+    for least_sure in (SURE, 2.0):  # the second time no pair is sure before it is confirmed
+        roots = components(links)
+        found = cut_lineage(rest_pairs(cut_lineage(split_rows(buckets, roots)), sets, least_sure=least_sure))
+        rest = cut_lineage(confirmed_blocks(found, sets))
+        links = links.unionAll(rest.where("linked").select("u", "v"))
+        if rest.where("not linked").isEmpty():
+            break
+    roots = components(links)
     named = classes.select("cls", "first").join(roots, F.col("cls") == F.col("node"), "left").select(
         "cls", "first", F.coalesce("root", "cls").alias("root"))
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))
