@@ -35,7 +35,7 @@ UNITS = frozenset(
     "km m cm mm mile miles foot feet inch inches yard yards kg g mg lb lbs pound pounds ounce ounces ton tons l ml liter "
     "liters litre litres gallon gallons second seconds minute minutes hour hours day days week weeks month months year "
     "years dollar dollars euro euros cent cents percent degree degrees mph kph watt watts volt volts hz mb gb tb".split())
-_TOKEN = re.compile(r"[$€£]?\d+(?:[.,:/]\d+)*%?|[^\W\d_]+(?:['’][^\W\d_]+)*|[.!?:;\n]")
+_TOKEN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|[$€£]?\d+(?:[.,:/]\d+)*%?|[.!?:;\n]")
 #: Thai to Khmer, kana and Han are written without spaces.
 _DENSE = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
 _HAS_DENSE = re.compile(f"[{_DENSE}]")
@@ -48,40 +48,32 @@ TOKENS_HELD = 150_000
 
 
 class _Codes(dict):
-    """The number of each token met; ``kind`` and ``plain`` have its kind and hash. Numbers are dealt as tokens come."""
-
-    def __init__(self):
-        self.kind, self.plain = np.zeros(1024, np.int8), np.zeros(1024, np.uint64)
+    """For each token met its hash, without the three lowest bits, which hold its kind."""
 
     def __missing__(self, token: str) -> int:
-        number = len(self)
-        if number == len(self.kind):
-            self.kind, self.plain = (np.concatenate([x, np.zeros_like(x)]) for x in (self.kind, self.plain))
-        self.kind[number] = _kind(token)
-        self.plain[number] = xxhash.xxh64_intdigest(token.lower())
-        self[token] = number
-        return number
+        low = token.lower()
+        if token in _ENDS:
+            kind = _END
+        elif not token.isalpha() and any(c.isdigit() for c in token):
+            kind = _NUMBER
+        elif low in UNITS:
+            kind = _UNIT
+        else:
+            kind = _CAPITAL if token[0].isupper() and not (len(token) > 1 and token.isupper()) else _WORD
+        found = self[token] = xxhash.xxh64_intdigest(low) & -8 | kind
+        return found
 
     def of(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Kind and hash of each token."""
         if len(self) > TOKENS_HELD:
             self.clear()
-        numbers = np.fromiter(map(self.__getitem__, tokens), np.int64, len(tokens))
-        return self.kind[numbers], self.plain[numbers]
+        codes = np.fromiter(map(self.__getitem__, tokens), np.uint64, len(tokens))
+        return (codes & np.uint64(7)).astype(np.int8), codes & ~np.uint64(7)
 
 
 _CODES = _Codes()
 
 
-def _kind(token: str) -> int:
-    if token in _ENDS:
-        return _END
-    if not token.isalpha() and any(c.isdigit() for c in token):
-        return _NUMBER
-    if token.lower() in UNITS:
-        return _UNIT
-    return _CAPITAL if token[0].isupper() and not (len(token) > 1 and token.isupper()) else _WORD
-
-
 class _Text:
     """The template tokens of a text: ``h`` and ``plain`` hash them as placeholders or words and as written, ``slot`` marks
     the placeholders, ``words`` are the tokens as written."""
