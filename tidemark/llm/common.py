@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -73,3 +74,12 @@ def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 4 << 20) -> Ite
         held += int(size)
     if start < len(sizes):
         yield start, len(sizes)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete shuffle files and checkpoints of tables that nothing refers to any more.
+
+    It does so when the driver collects garbage, which a driver with little to do may not do before a long job ends.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import free_name, query, slices, table
+from tidemark.llm.common import free_name, query, release, slices, table
 from tidemark.session import cut_lineage
 
 #: Words of a shingle.
@@ -357,14 +357,22 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     found = texts.join(chosen.select("id").distinct(), "id").mapInArrow(
         _named_sets, "cls long, shingles binary, sketch binary, bands binary").dropDuplicates(["cls"])
     sets = cut_lineage(found.join(wanted, "cls", "left_semi"))
+    del found, chosen, wanted, texts
+    release(docs.sparkSession)
     links = cut_lineage(confirmed(pivot_pairs(buckets), sets))
     for least_sure in (SURE, 2.0):  # the second time no pair is sure before it is confirmed
-        roots = components(links)
-        found = cut_lineage(rest_pairs(cut_lineage(split_rows(buckets, roots)), sets, least_sure=least_sure))
+        split = cut_lineage(split_rows(buckets, components(links)))
+        release(docs.sparkSession)
+        found = cut_lineage(rest_pairs(split, sets, least_sure=least_sure))
+        del split
+        release(docs.sparkSession)
         rest = cut_lineage(confirmed_blocks(found, sets))
+        del found
         links = links.unionAll(rest.where("linked").select("u", "v"))
         if rest.where("not linked").isEmpty():
             break
+    del sets, buckets
+    release(docs.sparkSession)
     roots = components(links)
     named = classes.select("cls", "first").join(roots, F.col("cls") == F.col("node"), "left").select(
         "cls", "first", F.coalesce("root", "cls").alias("root"))

@@ -29,7 +29,7 @@ from tidemark.llm.common import query, slices, table
 #: Token number up to which a document is within the limit.
 LIMIT = 2048
 #: Symbols of a chunk, bytes of the longest word that is read by states, and states held at once.
-CHUNK, LONG, MOST_STATES = 256, 64, 200_000
+CHUNK, LONG, MOST_STATES = 256, 64, 320_000
 #: The table of transitions begins with 2 ** so many slots and doubles when it is half full.
 SLOT_BITS = 14
 _END = 256
@@ -273,6 +273,8 @@ class Transducer:
 
     def _within_bound(self, stream: np.ndarray, run: Callable, join: Callable):
         """``run(stream)``; if it needs too many states, again with none, and then in two halves, cut at a word end."""
+        if 4 * len(self.states) > 3 * MOST_STATES:  # sooner than in the middle of a stream
+            self.clear()
         for _ in range(2):
             try:
                 return run(stream)
