@@ -135,3 +135,25 @@ def test_no_column_and_no_row_is_lost(spark):
     mixed = spark.createDataFrame([(0.0,)] * 60 + [(-i - 0.5,) for i in range(30)] + [(i + 0.5,) for i in range(10)], "x double")
     assert P.histogram(mixed, "x").agg(F.sum("rows")).first()[0] == 100
     assert unique_headers(["a", "a", "a_2"]) == ["a", "a_3", "a_2"]
+
+
+def test_natural_order_of_text_with_numbers(spark):
+    from tidemark.operators.sampling import natural_sort
+
+    labels = ["a10", "a2", "10", "9", "b1", "a02x", "a2x", "$8", "a", "", "a99999999999999999999999999999999999999999", "a100000000000000000000000000000000000000000"]
+    got = [r["t"] for r in natural_sort(spark.createDataFrame([(v,) for v in labels], "t string"), "t").collect()]
+    assert got == ["$8", "9", "10", "", "a", "a2", "a02x", "a2x", "a10", "a99999999999999999999999999999999999999999",
+                   "a100000000000000000000000000000000000000000", "b1"]
+
+
+def test_counts_and_their_total_come_from_one_scan(spark, tmp_path):
+    from tidemark.operators.groups import group_sizes
+    from tidemark.operators.profiling import value_counts
+
+    spark.range(1000).selectExpr("cast(id % 7 as string) as v").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    for found in (value_counts(df, "v", 3), value_counts(df, "v", None), group_sizes(df, "v")):
+        found.collect()
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        final = plan.split("== Initial Plan ==")[0]
+        assert "ReusedExchange" in plan and final.count("FileScan") <= 2

@@ -15,6 +15,8 @@ from tidemark.functions.values import (
     has_value,
     is_missing,
     ladder_level,
+    infer_date_format,
+    parse_date_as,
     parse_date_text,
     raw_share,
     round_half_even,
@@ -136,3 +138,16 @@ def test_column_labels(spark):
     assert column(spark, values, "string", text.column_label) == ["Total funding", "Log Extra USD", "Round A", "Country"]
     assert column(spark, ["venture", "venture_ratio", "stage_level", "log_x", "y"], "string", text.column_unit_label) == [
         "(USD)", "(%)", "(count)", "(log-scale)", ""]
+
+
+def test_date_formats_are_inferred(spark):
+    frame = lambda *values: spark.createDataFrame([(v,) for v in values], "t string")
+    assert infer_date_format(frame("1/2/2014", "3/25/2014", None, " ", "x"), "t") == ("month_first", False)
+    assert infer_date_format(frame("1/2/2014", "25/3/2014", "31/12/2013"), "t") == ("day_first", False)
+    assert infer_date_format(frame("1/2/2014", "3/4/2014"), "t") == ("month_first", True)
+    assert infer_date_format(frame("2014-02-03", "1/2/2014", "2015-02-03"), "t") == ("iso", False)
+    assert infer_date_format(frame("Feb 3, 2014"), "t") == ("named", False)
+    assert infer_date_format(frame("3.2.2014", "13.2.2014"), "t") == ("dotted", False)
+    assert infer_date_format(frame("x", None), "t") == infer_date_format(frame(), "t") == (None, False)
+    got = [str(r[0]) for r in frame("2/30/2014", "2/3/2014 ", "02/03/2014", "2/3/14", None).select(parse_date_as("t", "month_first")).collect()]
+    assert got == ["None", "2014-02-03", "2014-02-03", "None", "None"]

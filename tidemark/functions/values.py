@@ -100,6 +100,41 @@ def parse_date_text(c: Column | str) -> Column:
     return full.try_cast("date")
 
 
+#: Date formats that a text column may have, in order of preference: shape of the text and pattern to read it by.
+DATE_FORMATS = {
+    "iso": (r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$", "yyyy-MM-dd"),
+    "month": (r"^[0-9]{4}-[0-9]{2}$", "yyyy-MM"),
+    "slashed": (r"^[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}$", "yyyy/M/d"),
+    "month_first": (r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$", "M/d/yyyy"),
+    "day_first": (r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$", "d/M/yyyy"),
+    "dotted": (r"^[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}$", "d.M.yyyy"),
+    "named": (r"^[A-Z][a-z]{2} [0-9]{1,2}, [0-9]{4}$", "MMM d, yyyy"),
+}
+
+
+def parse_date_as(c: Column | str, name: str) -> Column:
+    """Text of one of ``DATE_FORMATS`` to date; text of another shape, and a day that does not exist, become null."""
+    shape, pattern = DATE_FORMATS[name]
+    text = F.trim(col(c).cast("string"))
+    return F.when(text.rlike(shape), F.try_to_date(text, pattern))
+
+
+def date_formats(df: DataFrame, c: str) -> DataFrame:
+    """(format, rows, of): how many of the visible values each format reads, from one aggregate."""
+    counts = df.agg(F.count_if(~is_missing(c)).alias("of"), *[F.count(parse_date_as(c, n)).alias(n) for n in DATE_FORMATS])
+    return counts.select("of", F.inline(F.array(*[F.struct(F.lit(n).alias("format"), F.col(n).alias("rows")) for n in DATE_FORMATS])))
+
+
+def infer_date_format(df: DataFrame, c: str) -> tuple[str | None, bool]:
+    """The format that reads the most values of a text column (the earlier of equals), and whether another reads as many.
+
+    ``(None, False)`` if none reads a value.
+    """
+    counts = {r["format"]: r["rows"] for r in date_formats(df, c).collect()}
+    best = max(counts, key=counts.get)
+    return (best, sum(n == counts[best] for n in counts.values()) > 1) if counts[best] else (None, False)
+
+
 def clip(c: Column | str, low: float, high: float) -> Column:
     """Bound to [low, high]; null stays null."""
     c = col(c)

@@ -33,7 +33,7 @@ def group_sizes(df: DataFrame, label: str) -> DataFrame:
     """Rows per label and percentage of the labelled rows."""
     rows = keyed(df, label)
     counted = rows.groupBy(label).agg(F.count(F.lit(1)).alias("rows"))
-    total = rows.agg(F.count(F.lit(1)).alias("n")).scalar()
+    total = counted.agg(F.sum("rows").alias("n")).scalar()  # the same exchange, so the table is read once
     return counted.withColumn("pct", F.col("rows") * 100.0 / total)
 
 

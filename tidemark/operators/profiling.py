@@ -196,8 +196,8 @@ def profile_warnings(df: DataFrame, order: str) -> DataFrame:
 
 def value_counts(df: DataFrame, column: str, limit: int | None = 12) -> DataFrame:
     """Most frequent values with their share of all rows; missing is a value."""
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
     counted = df.groupBy(display_value(column).alias("value")).agg(F.count(F.lit(1)).alias("rows"))
+    total = counted.agg(F.sum("rows").alias("n")).scalar()  # the same exchange, so the table is read once
     if limit:
         counted = counted.orderBy(F.desc("rows"), "value").limit(limit)
     return counted.withColumn("share", F.col("rows").cast("double") / total)
@@ -209,9 +209,22 @@ def unique_labels(df: DataFrame, label: str) -> DataFrame:
     return shown.orderBy(*natural_order("label"))
 
 
+def natural_key(label: str) -> Column:
+    """Sort key of text with numbers in it: its runs of digits, by value, and of other characters; a2 is before a10."""
+    runs = F.regexp_extract_all(F.col(label).cast("string"), F.lit("[0-9]+|[^0-9]+"), F.lit(0))
+
+    def part(run: Column) -> Column:
+        digits = F.regexp_replace(run, "^0+(?=.)", "")
+        number = run.rlike("^[0-9]")
+        return F.struct(F.when(number, 0).otherwise(1).alias("text"), F.when(number, F.length(digits)).otherwise(0).alias("length"),
+                        F.when(number, digits).otherwise(run).alias("value"))
+
+    return F.transform(runs, part)
+
+
 def natural_order(label: str) -> list[Column]:
-    """Sort keys: by number where the label is one, by text otherwise."""
-    return [F.asc_nulls_last(coerce_number_symbols(F.col(label).cast("string"))), F.asc(label)]
+    """Sort keys: by number where the label is one, then by the runs of digits and of text of the others."""
+    return [F.asc_nulls_last(coerce_number_symbols(F.col(label).cast("string"))), natural_key(label).asc(), F.asc(label)]
 
 
 # --- histogram -----------------------------------------------------------------------------

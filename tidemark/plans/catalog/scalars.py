@@ -17,6 +17,10 @@ from tidemark.functions.values import (
     dominant,
     ladder_level,
     log1p,
+    DATE_FORMATS,
+    date_formats,
+    infer_date_format,
+    parse_date_as,
     parse_date_text,
     raw_share,
     round_half_even,
@@ -372,3 +376,24 @@ def _parse_date_text(spark, sf_dir):
         F.col("o_orderstatus") == "F", F.date_format("o_orderdate", "yyyy-MM-dd")).otherwise(
         F.date_format("o_orderdate", "yyyy-13-dd"))
     return table(spark, sf_dir, "orders").select("o_orderkey", parse_date_text(text).alias("day"))
+
+
+# Order dates as a file may have them, month first; the first twelve days of a month can be read in two ways.
+_DATED = "(SELECT o_orderkey, o_orderdate, CASE WHEN o_orderkey % 10 <> 0 THEN strftime(o_orderdate, '%-m/%-d/%Y') END AS t FROM orders)"
+
+
+def _dated(spark, sf_dir):
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.when(F.col("o_orderkey") % 10 != 0, F.date_format("o_orderdate", "M/d/yyyy")).alias("t"))
+
+
+@query("date_formats", f"""SELECT n AS format, CASE n WHEN 'month_first' THEN count(t) WHEN 'day_first' THEN count(t) FILTER (WHERE day(o_orderdate) <= 12) ELSE 0 END AS "rows",
+count(t) AS "of" FROM {_DATED}, (SELECT unnest([{', '.join(repr(n) for n in DATE_FORMATS)}]) AS n) GROUP BY n""")
+def _date_formats(spark, sf_dir):
+    return date_formats(_dated(spark, sf_dir), "t")
+
+
+@query("parse_dates", f"SELECT o_orderkey, CASE WHEN t IS NOT NULL THEN CAST(o_orderdate AS DATE) END AS day FROM {_DATED}")
+def _parse_dates(spark, sf_dir):
+    df = _dated(spark, sf_dir)
+    return df.select("o_orderkey", parse_date_as("t", infer_date_format(df, "t")[0]).alias("day"))

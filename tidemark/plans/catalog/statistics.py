@@ -692,6 +692,14 @@ def _multi_key_sort(spark, sf_dir):
     return sampling.multi_key_sort(counted, [("Cluster", True), ("rows", False), ("market", True)])
 
 
+@query("natural_key", "SELECT p_type, string_agg(label, ', ' ORDER BY p_size) AS labels FROM (SELECT DISTINCT p_type, p_size, 'size ' || p_size || ' of ' || p_type AS label FROM part) GROUP BY 1")
+def _natural_key(spark, sf_dir):
+    """The labels of each type in natural order: at most one for each size."""
+    labels = table(spark, sf_dir, "part").select("p_type", F.concat(F.lit("size "), "p_size", F.lit(" of "), "p_type").alias("label")).distinct()
+    ordered = F.sort_array(F.collect_list(F.struct(P.natural_key("label").alias("key"), "label")))
+    return labels.groupBy("p_type").agg(F.array_join(F.transform(ordered, lambda x: x["label"]), ", ").alias("labels"))
+
+
 @query("natural_sort", f"""WITH {RAW} SELECT CAST(funding_rounds AS VARCHAR) AS label, count(*) AS "rows" FROM raw GROUP BY 1""")
 def _natural_sort(spark, sf_dir):
     counted = raw_records(spark, sf_dir).groupBy(F.col("funding_rounds").cast("string").alias("label")).agg(F.count(F.lit(1)).alias("rows"))
