@@ -395,3 +395,28 @@ def test_every_language_is_learned(spark):
     sample = language.labelled_sample(docs, docs, "lang", "text", "doc_id", 60, of_each=True)
     assert collections.Counter(r["sample_label"] for r in sample) == {"en": 30, "l0": 2, "l1": 2}
     assert language.learn_languages(docs, rows=60).labels == ["en", "l0", "l1"]
+
+
+def test_transducer_is_bounded(library, monkeypatch):
+    from tidemark.llm import token_counts
+
+    path = packing.default_tokenizer()
+    rng = random.Random(31)
+    marks = ["\u0301", "\u0323", "\u1cd2", "\u0d3b", "\u05b0", "\u0f71"]
+    texts = ["".join(rng.choice(marks) if rng.random() < 0.5 else rng.choice("aeo\uac00 ") for _ in range(9)) for _ in range(400)]
+    texts += ["".join(rng.choice("abcdef0+/") for _ in range(300_000)), "a " + "x" * 64 + " b " + "y" * 65 + " c", prose(rng, 900)]
+    expected = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    for most in (token_counts.MOST_STATES, 400):
+        monkeypatch.setattr(token_counts, "MOST_STATES", most)
+        counter = Counter(path, character_classes(path), odd_characters(path))
+        assert counter.counts(texts).tolist() == [len(e) for e in expected]
+        assert [ids.tolist() for ids, _ in counter.encode(texts)] == expected
+        assert len(counter.transducer.states) <= most
+
+
+def test_blocks_confirm_and_report_what_was_sure(spark):
+    sets = {1: range(100), 2: range(5, 105), 3: range(50, 150), 4: range(0, 100)}
+    table = spark.createDataFrame([(k, np.array(v, np.uint64).tobytes()) for k, v in sets.items()], "cls long, shingles binary")
+    found = spark.createDataFrame([(7, 0, 0, [1, 1, 2], [2, 3, 3], [True, True, False]), (7, 0, 1, [1], [4], [False])], near_dups._FOUND)
+    got = {tuple(r) for r in near_dups.confirmed_blocks(found, table).collect()}
+    assert got == {(1, 2, True), (1, 3, False), (1, 4, True)}
