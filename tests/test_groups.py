@@ -62,10 +62,10 @@ def test_status_reading_rules(spark):
         ("2", "operating")] * 100 + [("2", "closed")]
     df = spark.createDataFrame(rows, "c string, status string")
     texts = {r["c"]: r["reading"] for r in G.status_reading(df, "c").collect()}
-    assert texts["0"].startswith("This cluster has the strongest exit signal: 10.0%")
-    assert texts["1"].startswith("This cluster has the highest closure share at 20.0%")
-    assert texts["2"].startswith("This cluster is mostly operating (99.0%)")
-    assert texts[None].startswith("Cluster 0 has the highest acquired share (10.0%), while Cluster 1")
+    assert texts["0"] == "Most acquisitions of all labels: 10.0% acquired, 0.0% closed."
+    assert texts["1"] == "Most closures of all labels: 20.0% closed."
+    assert texts["2"].startswith("99.0% operating")
+    assert texts[None].startswith("Acquired most often: label 0 (10.0%). Closed most often: label 1")
 
 
 def test_random_sample_is_exact_and_repeatable(spark):
@@ -106,3 +106,49 @@ def test_segment_names(spark):
     df = spark.createDataFrame(rows, "s int, venture_ratio double, funding_rounds double, funding_total_usd double")
     assert {r["s"]: r["name"] for r in segment_names(df, "s").collect()} == {
         0: "Small seed-stage", 1: "Small / early venture-backed", 2: "Early-stage multi-round"}
+
+
+def test_templates_fill_columns_and_sql_alike(spark):
+    from tidemark.functions.templates import fill, fill_sql
+
+    told = "{a}'s share is {b}."
+    made = spark.range(1).select(fill(told, a=F.lit("x"), b=F.lit("1%")).alias("t")).first()["t"]
+    assert made == "x's share is 1%." and fill_sql(told, a="p", b="q") == "p || '''s share is ' || q || '.'"
+
+
+def test_label_moments_merge_to_those_of_the_table(spark, people):
+    rows = people.withColumn("k", F.xxhash64("c", "v"))
+    found = G.label_moments(rows, "c", ["v"], "k", "m", "v")
+    whole = people.agg(F.avg("v").alias("m"), F.stddev_pop("v").alias("s"), F.count("v").alias("n")).first()
+    assert (found.rows, found.counts["v"]) == (7, whole["n"])
+    assert found.means["v"] == pytest.approx(whole["m"]) and found.deviations["v"] == pytest.approx(whole["s"])
+    assert found.missing == {"c": 2, "m": 1, "v": 1, "status": 1, "k": 0} and found.top["total"] == 100.0
+    expected = {(r["c"], r["feature"]): (r["local_mean"], r["score"]) for r in G.standard_differences(people, "c", ["v"]).collect()}
+    got = {(r["c"], r["feature"]): (r["local_mean"], r["score"]) for r in G.moments_differences(found, "c", ["v"]).collect()}
+    assert got.keys() == expected.keys() and all(got[k] == pytest.approx(expected[k]) for k in got)
+    empty = G.label_moments(rows.limit(0), "c", ["v"], "k", "m", "v")
+    assert (empty.rows, empty.means, empty.top) == (0, {"v": None}, None)
+
+
+def test_insights_read_the_table_three_times(spark, tmp_path):
+    from tidemark.plans.reports import MIX_FEATURES, insights
+
+    path, rows = str(tmp_path / "t"), 3000
+    made = spark.range(rows).select(
+        F.col("id").alias("k"), F.concat(F.lit("n"), "id").alias("name"), (F.col("id") % 3).cast("string").alias("c"),
+        F.col("id").cast("double").alias("funding_total_usd"), *[((F.col("id") * (i + 2)) % 7 / 7).alias(f) for i, f in enumerate(MIX_FEATURES)])
+    made.write.parquet(path)
+    store, jvm = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._jvm
+
+    def seen() -> int:
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        none = spark.sparkContext._gateway.new_array(jvm.double, 0)
+        stages = store.stageList(None, False, False, none, jvm.java.util.ArrayList())
+        return sum(stages.apply(i).inputRecords() for i in range(stages.size()))
+
+    table = spark.read.parquet(path)
+    before = seen()
+    found = insights(table, "c", ["funding_total_usd", *MIX_FEATURES], ["funding_total_usd", *MIX_FEATURES], "k").collect()
+    assert [r["rank"] for r in found] == [1, 2, 3, 5, 6, 7] and found[-1]["title"] == "n2999"
+    assert seen() - before < 3 * rows + 500  # the rest are rows of labels and features
+    assert insights(table.limit(0), "c", ["funding_total_usd"], ["funding_total_usd", "venture_ratio"], "k").collect() == []

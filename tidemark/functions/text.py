@@ -7,6 +7,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidemark.functions.templates import DESCRIBED_BY, NO_FEATURE, fill
 from tidemark.functions.values import col
 
 # Readable column names.
@@ -201,21 +202,13 @@ def format_feature(feature: Column | str, value: Column | str) -> Column:
 
 
 def group_text(label: Column | str, top_feature: Column | str) -> Column:
-    fallback = F.concat(
-        F.lit("This group is mainly separated by "),
-        F.coalesce(column_label(top_feature), F.lit("its funding mix")),
-        F.lit("."),
-    )
+    fallback = fill(DESCRIBED_BY, feature=F.coalesce(column_label(top_feature), F.lit(NO_FEATURE)))
     return F.coalesce(map_values(label, GROUP_TEXT), fallback)
 
 
 def subgroup_text(label: Column | str, top_feature: Column | str) -> Column:
     name = F.lower(col(label).cast("string"))
-    text = F.concat(
-        F.lit("This subcluster is mainly separated by "),
-        F.coalesce(column_label(top_feature), F.lit("its funding mix")),
-        F.lit("."),
-    )
+    text = fill(DESCRIBED_BY, feature=F.coalesce(column_label(top_feature), F.lit(NO_FEATURE)))
     # The first matching word wins, in the order of the table.
     for word, sentence in reversed(SUBGROUP_TEXT.items()):
         text = F.when(name.contains(word), sentence).otherwise(text)

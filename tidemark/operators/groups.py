@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scores import STATUS_CLASSES, normalize_status
+from tidemark.functions.templates import NO_TAKEAWAY, STATUS_READINGS, TAKEAWAY, fill
 from tidemark.functions.text import HINT_NAMES, format_money, format_percent, map_values
-from tidemark.functions.values import MISSING, as_number, display_value, raw_share
+from tidemark.functions.values import MISSING, as_number, display_value, is_missing, raw_share
 from tidemark.operators.order import exact_quantiles, join_checked
 from tidemark.operators.profiling import _moments, basic_stats, coerce_number_symbols, join_null_safe
 from tidemark.operators.schema import unpivot
+from tidemark.session import cut_lineage
 
 # Category columns shown in a group profile, and the market-lift size limit.
 PROFILE_CATEGORIES = ["status", "market", "country_code"]
@@ -37,8 +41,8 @@ def group_sizes(df: DataFrame, label: str) -> DataFrame:
     return counted.withColumn("pct", F.col("rows") * 100.0 / total)
 
 
-def group_median(df: DataFrame, label: str, features: list[str]) -> DataFrame:
-    return exact_quantiles(keyed(df, label), features, {"median": 0.5}, [label])
+def group_median(df: DataFrame, label: str, features: list[str], rows: int | None = None) -> DataFrame:
+    return exact_quantiles(keyed(df, label), features, {"median": 0.5}, [label], rows=rows)
 
 
 def group_mean(df: DataFrame, label: str, features: list[str]) -> DataFrame:
@@ -148,6 +152,67 @@ def standard_differences(df: DataFrame, label: str, features: list[str]) -> Data
                                                  score.alias("score"))
 
 
+@dataclass(frozen=True)
+class LabelMoments:
+    """What one scan of a table tells about its labels, features, gaps and largest value."""
+
+    table: DataFrame  # one row per shown label, missing labels included as a label: rows, n<i>, m<i>, v<i>
+    rows: int
+    counts: dict[str, int]
+    means: dict[str, float | None]
+    deviations: dict[str, float | None]
+    missing: dict[str, int]
+    top: object  # the row of the largest value, or None
+
+
+def label_moments(df: DataFrame, label: str, features: list[str], key: str, name: str, total: str) -> LabelMoments:
+    """One grouped aggregate over the table; all figures over all rows are merged from its rows, one per label.
+
+    Counts, means and squared deviations of the labels add up to those of the table without a second look at it.
+    """
+    gaps = df.columns
+    value = as_number(df, total)
+    here = F.struct(F.col(name).alias("name"), value.alias("total"))
+    aggs = [F.count(F.lit(1)).alias("rows"),
+            F.min_by(F.struct((-value).alias("order"), F.col(key).alias("key"), here.alias("row")),
+                     F.when(value.isNotNull(), F.struct((-value).alias("order"), F.col(key).alias("key")))).alias("top"),
+            *[F.count_if(is_missing(F.col(f"`{c}`"))).alias(f"gap{i}") for i, c in enumerate(gaps)]]
+    for i, f in enumerate(features):
+        x = as_number(df, f)
+        aggs += [F.count(x).alias(f"n{i}"), F.coalesce(F.avg(x), F.lit(0.0)).alias(f"m{i}"),
+                 F.coalesce(F.var_pop(x), F.lit(0.0)).alias(f"v{i}")]
+    table = cut_lineage(df.groupBy(display_value(label).alias(label)).agg(*aggs))
+    each = range(len(features))
+    sums = table.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), F.min("top").alias("top"),
+                     *[F.coalesce(F.sum(f"gap{i}"), F.lit(0)).alias(f"gap{i}") for i in range(len(gaps))],
+                     *[F.coalesce(F.sum(f"n{i}"), F.lit(0)).alias(f"n{i}") for i in each],
+                     *[F.try_divide(F.sum(F.col(f"n{i}") * F.col(f"m{i}")), F.sum(f"n{i}")).alias(f"m{i}") for i in each]).first()
+    around = lambda i: F.col(f"v{i}") + F.pow(F.col(f"m{i}") - F.lit(float(sums[f"m{i}"] or 0.0)), 2)
+    spread = table.agg(F.lit(0), *[F.sqrt(F.try_divide(F.sum(F.col(f"n{i}") * around(i)), F.sum(f"n{i}"))) for i in each]).first()
+    return LabelMoments(
+        table, sums["rows"], {f: sums[f"n{i}"] for i, f in enumerate(features)}, {f: sums[f"m{i}"] for i, f in enumerate(features)},
+        dict(zip(features, spread[1:])), {c: sums[f"gap{i}"] for i, c in enumerate(gaps)}, sums["top"] and sums["top"]["row"])
+
+
+def moments_overview(found: LabelMoments, label: str) -> DataFrame:
+    """``group_overview`` from what is known, without its name."""
+    share = F.col("rows").cast("double") / F.lit(max(1, found.rows))
+    return found.table.where(F.col(label) != MISSING).select(label, "rows", share.alias("share"))
+
+
+def moments_differences(found: LabelMoments, label: str, features: list[str]) -> DataFrame:
+    """``standard_differences`` from what is known."""
+    place = {f: i for i, f in enumerate(found.counts)}
+    number = lambda x: F.lit(None if x is None else float(x)).cast("double")
+    cells = F.array(*[F.struct(
+        F.lit(f).alias("feature"), F.when(F.col(f"n{place[f]}") > 0, F.col(f"m{place[f]}")).alias("local_mean"),
+        number(found.means[f]).alias("global_mean"), number(found.deviations[f]).alias("global_std")) for f in features])
+    long = found.table.where(F.col(label) != MISSING).select(label, F.inline(cells))
+    gap = F.coalesce("local_mean", F.lit(0.0)) - F.coalesce("global_mean", F.lit(0.0))
+    score = F.when(F.col("global_std") > 0, gap / F.col("global_std")).otherwise(F.lit(0.0))
+    return long.select("*", score.alias("score"))
+
+
 def _feature_position(features: list[str]) -> Column:
     return F.array_position(F.array(*[F.lit(f) for f in features]), F.col("feature"))
 
@@ -282,38 +347,20 @@ def status_reading(df: DataFrame, label: str, status: str = "status") -> DataFra
     table = status_by_group(df, label, status)
     ends = status_extremes(table, label)
     pct = lambda c: format_percent(F.col(c))
-    text = F.lit
+    said = lambda rule: fill(STATUS_READINGS[rule], **{s: pct(f"{s}_rate") for s in ("acquired", "closed", "operating", "unknown")})
     # The extremes are one row, read as a scalar subquery beside every label.
     joined = table.withColumn("_ends", ends.select(F.struct("*").alias("e")).scalar()).select("*", "_ends.*")
     sentence = (
-        F.when((F.col(label) == F.col("highest_acquired")) & (F.col("acquired_rate") > 0), F.concat(
-            text("This cluster has the strongest exit signal: "), pct("acquired_rate"), text(" acquired and "),
-            pct("closed_rate"),
-            text(" closed. Its funding profile is the one most associated with acquisitions in this dataset.")))
-        .when((F.col(label) == F.col("highest_closed")) & (F.col("closed_rate") > 0), F.concat(
-            text("This cluster has the highest closure share at "), pct("closed_rate"),
-            text(". Most rows are still operating, but this profile carries the clearest failure signal among the clusters.")))
-        .when((F.col(label) == F.col("lowest_closed")) & (F.col("closed_rate") < LOW_CLOSED), F.concat(
-            text("This cluster has the lowest closure share ("), pct("closed_rate"),
-            text(") and a high operating share ("), pct("operating_rate"),
-            text("). Read that as stability in the recorded snapshot, not guaranteed success.")))
-        .when(F.col("operating_rate") >= HIGH_OPERATING, F.concat(
-            text("This cluster is mostly operating ("), pct("operating_rate"),
-            text("), with fewer final outcomes recorded. It is better interpreted as an active or unresolved profile.")))
-        .when(F.col("unknown_rate") >= HIGH_UNKNOWN, F.concat(
-            text("This cluster has a noticeable unknown-status share ("), pct("unknown_rate"),
-            text("), so its status interpretation needs extra caution.")))
-        .otherwise(F.concat(
-            text("This cluster is dominated by operating rows ("), pct("operating_rate"), text("), with "),
-            pct("acquired_rate"), text(" acquired and "), pct("closed_rate"), text(" closed.")))
+        F.when((F.col(label) == F.col("highest_acquired")) & (F.col("acquired_rate") > 0), said("exits"))
+        .when((F.col(label) == F.col("highest_closed")) & (F.col("closed_rate") > 0), said("closures"))
+        .when((F.col(label) == F.col("lowest_closed")) & (F.col("closed_rate") < LOW_CLOSED), said("stable"))
+        .when(F.col("operating_rate") >= HIGH_OPERATING, said("active"))
+        .when(F.col("unknown_rate") >= HIGH_UNKNOWN, said("unknown"))
+        .otherwise(said("mixed"))
     )
-    overall = F.when(F.col("highest_acquired").isNull(), "No status distribution could be calculated.").otherwise(
-        F.concat(
-            text("Cluster "), F.col("highest_acquired"), text(" has the highest acquired share ("),
-            pct("highest_acquired_rate"), text("), while Cluster "), F.col("highest_closed"),
-            text(" has the highest closed share ("), pct("highest_closed_rate"),
-            text("). Operating still dominates every cluster, so status should be presented as context rather than "
-                 "proof that a cluster guarantees success.")))
+    overall = F.when(F.col("highest_acquired").isNull(), STATUS_READINGS["none"]).otherwise(fill(
+        STATUS_READINGS["overall"], acquired_label=F.col("highest_acquired"), acquired=pct("highest_acquired_rate"),
+        closed_label=F.col("highest_closed"), closed=pct("highest_closed_rate")))
     return joined.select(F.col(label), sentence.alias("reading")).unionByName(
         ends.select(F.lit(None).cast("string").alias(label), overall.alias("reading")))
 
@@ -326,10 +373,9 @@ def funding_takeaway(df: DataFrame, label: str, total: str = "funding_total_usd"
     ends = medians.agg(
         F.min_by(F.struct(F.col(label).alias("label"), "median"), F.struct(-F.col("_rank"), "_order")).alias("top"),
         F.max_by(F.struct(F.col(label).alias("label"), "median"), F.struct(-F.col("_rank"), "_order")).alias("bottom"))
-    text = F.concat(
-        F.col("top.label"), F.lit(" has the highest median funding ("), format_money("top.median"),
-        F.lit("), while "), F.col("bottom.label"), F.lit(" is lowest ("), format_money("bottom.median"), F.lit(")."))
-    return ends.select(F.coalesce(text, F.lit("No funding comparison was available.")).alias("takeaway"))
+    text = fill(TAKEAWAY, top=F.col("top.label"), top_value=format_money("top.median"), bottom=F.col("bottom.label"),
+                bottom_value=format_money("bottom.median"))
+    return ends.select(F.coalesce(text, F.lit(NO_TAKEAWAY)).alias("takeaway"))
 
 
 def unpivot_profile(wide: DataFrame, label: str, names: dict[str, str]) -> DataFrame:

@@ -329,16 +329,21 @@ def histogram(df: DataFrame, column: str, bins: int = 12) -> DataFrame:
 # --- correlation ---------------------------------------------------------------------------
 
 
-def correlation_matrix(df: DataFrame, columns: list[str], limit: int | None = None) -> DataFrame:
+def correlation_matrix(df: DataFrame, columns: list[str], limit: int | None = None,
+                       known: tuple[int, dict, dict] | None = None) -> DataFrame:
     """(x, y, value) for every ordered pair: Pearson over pairwise-complete rows.
 
     All pairs come from one aggregate. Null with fewer than three pairs or no variance. A first
-    look finds the columns without gaps, whose variance need not be taken again for every pair.
+    look finds the columns without gaps, whose variance need not be taken again for every pair;
+    ``known`` (rows, counts and means by column) saves that look.
     """
     chosen = columns[:limit]
     numbers = df.select(*[as_number(df, c).alias(c) for c in chosen])
-    looked = numbers.agg(F.count(F.lit(1)), *[F.count(c) for c in chosen], *[F.avg(c) for c in chosen]).first()
-    rows, counts, means = looked[0], looked[1:len(chosen) + 1], looked[len(chosen) + 1:]
+    if known:
+        rows, counts, means = known[0], [known[1][c] for c in chosen], [known[2][c] for c in chosen]
+    else:
+        looked = numbers.agg(F.count(F.lit(1)), *[F.count(c) for c in chosen], *[F.avg(c) for c in chosen]).first()
+        rows, counts, means = looked[0], looked[1:len(chosen) + 1], looked[len(chosen) + 1:]
     # Around the overall means, plain sums do not lose digits.
     at = [F.col(c) - F.lit(float(m or 0.0)) for c, m in zip(chosen, means)]
     whole = [n == rows for n in counts]

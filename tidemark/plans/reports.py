@@ -17,6 +17,7 @@ from tidemark.functions.scores import (
     stage_scores,
     status_scores,
 )
+from tidemark.functions.templates import FINDINGS, NO_DIRECTION, NO_FEATURE, NO_NAME, fill
 from tidemark.functions.text import (
     REPORT_NAMES,
     column_label,
@@ -31,20 +32,20 @@ from tidemark.operators.groups import (
     group_median,
     group_overview,
     group_sizes,
+    label_moments,
+    moments_differences,
+    moments_overview,
     rank_differences,
     separate_features,
     shown_label,
     size_extremes,
-    standard_differences,
     top_n_per_group,
     widen,
 )
 from tidemark.operators.kmeans import detect_label
 from tidemark.operators.order import date_number, frequency_percentile, midrank_percentiles
-from tidemark.operators.profiling import correlation_matrix, missing_top, strongest_pair
-from tidemark.operators.sampling import top_outliers
+from tidemark.operators.profiling import correlation_matrix, strongest_pair
 from tidemark.operators.schema import resolve_roles
-from tidemark.session import cut_lineage
 
 # Columns of the comparison table, ratios of the mix story, finding limit.
 COMPARISON_FEATURES = ["funding_total_usd", "funding_rounds", "early_stage_funding_ratio", "venture_ratio",
@@ -78,15 +79,19 @@ def comparison_table(df: DataFrame, label: str, features: list[str] = COMPARISON
     return group_overview(df, label).drop("name").join(medians, label)
 
 
-def _finding(rank: int, kicker: str, title: Column, tone: str, body: Column) -> Column:
-    return F.struct(F.lit(rank).alias("rank"), F.lit(kicker).alias("kicker"), title.alias("title"),
-                    F.lit(tone).alias("tone"), body.alias("body"))
+def _finding_of(rule: str, label: Column | None, feature: Column | None, slots: dict[str, Column]) -> Column:
+    """The finding of one rule, with the label and the feature it speaks of."""
+    told = FINDINGS[rule]
+    none = F.lit(None).cast("string")
+    return F.struct(F.lit(told.rank).alias("rank"), F.lit(told.kicker).alias("kicker"), fill(told.title, **slots).alias("title"),
+                    F.lit(told.tone).alias("tone"), fill(told.body, **slots).alias("body"),
+                    (none if label is None else label).alias("label"), (none if feature is None else feature).alias("feature")).alias("f")
 
 
-def mix_story(df: DataFrame, label: str, features: list[str]) -> DataFrame:
-    """The ratio whose leading label is furthest ahead of the runner-up, by median."""
+def mix_story(df: DataFrame, label: str, features: list[str], rows: int | None = None) -> DataFrame:
+    """The ratio whose leading label is furthest ahead of the runner-up, by median; ``rows`` if the size is known."""
     chosen = [f for f in features if f in df.columns]
-    medians = group_median(shown_label(df, label), label, chosen).where(F.col("median").isNotNull())
+    medians = group_median(shown_label(df, label), label, chosen, rows).where(F.col("median").isNotNull())
     top = top_n_per_group(medians, ["feature"], [F.desc("median"), F.asc(label)], 2)
     first, second = F.col("rank") == 1, F.col("rank") == 2
     leader = top.groupBy("feature").agg(
@@ -105,67 +110,42 @@ DISPLAYED_COLUMNS = 8
 
 def insights(df: DataFrame, label: str, features: list[str], correlated: list[str], key: str, name: str = "name",
              total: str = "funding_total_usd") -> DataFrame:
-    """Up to eight ranked findings (rank, kicker, title, tone, body) from one-row summaries."""
-    # Two small tables (one row per label, and per label and feature) feed four of the findings.
-    overview = cut_lineage(group_overview(df, label))
-    scored = cut_lineage(standard_differences(df, label, features))
+    """Up to eight ranked findings (rank, kicker, title, tone, body, label, feature) from one-row summaries.
+
+    The table is read three times: once by label for sizes, means, gaps and the largest value, once for the
+    correlations, and once for the medians of the mix (more often above the size up to which medians are taken at once).
+    """
+    spark = df.sparkSession
+    shown = correlated[:DISPLAYED_COLUMNS]
+    known = label_moments(df, label, list(dict.fromkeys([*features, *shown])), key, name, total)
+    overview = moments_overview(known, label)
+    scored = moments_differences(known, label, features)
     ends = size_extremes(overview, label)
     clearest = rank_differences(scored, label, features, 1)
-    parts = []
+    one = spark.range(1)
+    named = lambda c: F.coalesce(column_label(c), F.lit(NO_FEATURE))
 
     sized = overview.join(clearest, label, "left")
-    feature_text = lambda fallback: F.coalesce(column_label("feature"), F.lit(fallback))
-    biggest = sized.join(ends, F.col(label) == F.col("largest"))
-    parts.append(biggest.select(_finding(
-        1, "Most common pattern", F.concat(F.lit("Cluster "), F.col(label), F.lit(" is the main population")), "blue",
-        F.concat(F.lit("It contains "), format_number("rows"), F.lit(" startups, or "), format_percent("share"),
-                 F.lit(" of the clustered dataset. Its clearest signal is "), feature_text("its funding profile"),
-                 F.lit(", which is "), F.coalesce("direction", F.lit("different")),
-                 F.lit(" than the overall average."))).alias("f")))
-    smallest = sized.join(ends, F.col(label) == F.col("smallest"))
-    parts.append(smallest.select(_finding(
-        2, "Small but interesting group", F.concat(F.lit("Cluster "), F.col(label), F.lit(" is the smallest cluster")),
-        "warm",
-        F.concat(F.lit("Only "), format_number("rows"),
-                 F.lit(" startups sit here. Its smaller size makes it useful as a specific profile, especially around "),
-                 feature_text("a few funding features"), F.lit("."))).alias("f")))
-
+    about = dict(label=F.col(label), rows=format_number("rows"), share=format_percent("share"), feature=named("feature"),
+                 direction=F.coalesce("direction", F.lit(NO_DIRECTION)))
+    parts = [
+        sized.join(ends, F.col(label) == F.col(end)).select(_finding_of(rule, F.col(label), F.col("feature"), about))
+        for rule, end in (("largest", "largest"), ("smallest", "smallest"))]
     widest = separate_features(scored, label, features).orderBy(F.desc(F.round(F.abs("score"), 9)), "position").limit(1)
-    parts.append(widest.select(_finding(
-        3, "Feature that separates clusters most", column_label("feature"), "gold",
-        F.concat(F.lit("The widest cluster-to-cluster gap is in "), column_label("feature"), F.lit(". Cluster "),
-                 F.col("high_label"), F.lit(" is highest and Cluster "), F.col("low_label"),
-                 F.lit(" is lowest, so this feature deserves attention during the explanation."))).alias("f")))
-
-    emptiest = missing_top(df, 1)
-    parts.append(emptiest.select(_finding(
-        4, "Missing-value curiosity", F.concat(column_label("column"), F.lit(" has the most missing values")), "warm",
-        F.concat(format_percent("missing_rate"),
-                 F.lit(" of rows are missing this field. That does not break the cluster labels, but it is a reminder "
-                       "to be careful when interpreting geography or dates if those fields are involved.")))
-        .alias("f")))
-
-    pair = strongest_pair(correlation_matrix(df, correlated, DISPLAYED_COLUMNS))
-    parts.append(pair.select(_finding(
-        5, "Strongest relationship", F.concat(column_label("x"), F.lit(" and "), column_label("y")), "blue",
-        F.concat(F.lit("These two numeric features have the strongest correlation in the displayed matrix at "),
-                 format_number("value", 2),
-                 F.lit(". Positive values mean they tend to rise together; negative values mean one tends to fall as "
-                       "the other rises."))).alias("f")))
-
-    parts.append(mix_story(df, label, MIX_FEATURES).select(_finding(
-        6, "Funding mix signal",
-        F.concat(F.lit("Cluster "), F.col("label"), F.lit(" stands out on "), column_label("feature")), "teal",
-        F.concat(F.lit("Its median "), column_label("feature"),
-                 F.lit(" is the clearest funding-source share difference among the displayed ratios, which helps "
-                       "explain why this group is separate."))).alias("f")))
-
-    top = top_outliers(df, total, key, 1).withColumn("_total", as_number(df, total))
-    parts.append(top.select(_finding(
-        7, "Possible outlier", F.coalesce(F.col(name), F.lit("Largest funding observation")), "gold",
-        F.concat(F.lit("The largest funding value loaded is "), format_money("_total"),
-                 F.lit(". Large values like this can strongly shape averages, which is why the app also uses medians "
-                       "in the cluster profiles."))).alias("f")))
+    parts.append(widest.select(_finding_of("widest", None, F.col("feature"), dict(
+        feature=column_label("feature"), low=F.col("low_label"), high=F.col("high_label")))))
+    worst = max(df.columns, key=lambda c: known.missing[c], default=None)  # the earlier column wins ties
+    if worst is not None and known.missing[worst]:
+        parts.append(one.select(_finding_of("missing", None, F.lit(worst), dict(
+            column=column_label(F.lit(worst)), share=format_percent(F.lit(known.missing[worst] / known.rows))))))
+    pair = strongest_pair(correlation_matrix(df, shown, known=(known.rows, known.counts, known.means)))
+    parts.append(pair.select(_finding_of("pair", None, F.col("x"), dict(
+        x=column_label("x"), y=column_label("y"), value=format_number("value", 2)))))
+    parts.append(mix_story(df, label, MIX_FEATURES, known.rows).select(_finding_of(
+        "mix", F.col("label"), F.col("feature"), dict(label=F.col("label"), feature=column_label("feature")))))
+    if known.top is not None:
+        parts.append(one.select(_finding_of("largest_value", None, F.lit(total), dict(
+            name=F.lit(NO_NAME if known.top["name"] is None else str(known.top["name"])), total=format_money(F.lit(known.top["total"]))))))
 
     found = parts[0]
     for part in parts[1:]:
