@@ -190,3 +190,21 @@ def test_append_scores_fills_gaps(spark):
     df = spark.createDataFrame([(1, 1.0, None), (2, 2.0, 1.0), (3, 4.0, 5.0), (4, 9.0, 0.0)], "id long, x double, y double")
     out = C.append_scores(df, ["x", "y"])
     assert out.columns == ["id", "x", "y", "PC1", "PC2"] and out.where("PC1 is null").count() == 0
+
+
+def test_wide_uncentred_components(spark):
+    """Forty features go by the Gram matrix; directions, variances and scores agree with numpy."""
+    import numpy as np
+
+    from tidemark.operators import components as C
+
+    values = np.random.default_rng(3).normal(size=(200, 40)) * np.linspace(3, 1, 40) + 1
+    names = [f"f{i}" for i in range(40)]
+    df = spark.createDataFrame([tuple(map(float, r)) for r in values], ", ".join(f"{n} double" for n in names)).repartition(3)
+    moments = values.T @ values / 199
+    assert np.allclose(C.second_moments(df, names), moments)
+    model = C.fit_components(df, names, 3, centred=False)
+    assert np.allclose(model.variance, np.sort(np.linalg.eigvalsh(moments))[::-1][:3]) and np.isclose(model.total_variance, np.trace(moments))
+    w = np.array(model.loadings)
+    assert np.allclose(w @ w.T, np.eye(3)) and np.allclose(w @ moments @ w.T, np.diag(model.variance))
+    assert np.allclose(C.second_moments(df.limit(0), names), 0)

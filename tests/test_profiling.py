@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import cleaning as C
 from tidemark.operators import profiling as P
+from tidemark.operators import sketches as S
 from tidemark.operators.schema import choose_features, find_column, resolve_roles, unique_headers
 
 
@@ -28,11 +29,11 @@ def test_column_profile(mixed):
 
 
 def test_warnings(spark, mixed):
-    texts = {r["kind"]: r["text"] for r in P.profile_warnings(mixed, "id").collect()}
+    texts = {r["kind"]: r["text"] for r in S.profile_warnings(mixed, "id").collect()}
     assert texts == {"missing": "2 columns have at least 20% missing values, led by day.",
                      "identifier": "name behaves like an identifier rather than a grouping feature."}
     # A table without rows has no (column, value) pairs to look at.
-    assert [r["kind"] for r in P.profile_warnings(mixed.limit(0), "id").collect()] == ["empty"]
+    assert [r["kind"] for r in S.profile_warnings(mixed.limit(0), "id").collect()] == ["empty"]
 
 
 def test_missing_top(mixed):
@@ -157,3 +158,31 @@ def test_counts_and_their_total_come_from_one_scan(spark, tmp_path):
         plan = found._jdf.queryExecution().executedPlan().toString()
         final = plan.split("== Initial Plan ==")[0]
         assert "ReusedExchange" in plan and final.count("FileScan") <= 2
+
+
+def test_parts_merge_to_the_profile_of_the_table(spark, mixed, tmp_path):
+    dated = mixed.withColumn("part", F.col("id") % 3)
+    path = str(tmp_path / "parts")
+    S.write_parts(S.profile_parts(dated.where("part < 2"), "id", ["part"]), path, ["part"])
+    S.write_parts(S.profile_parts(dated.where("part >= 1"), "id", ["part"]), path, ["part"])  # one part again, one new
+    exact = {r["column"]: r.asDict() for r in P.column_profile(mixed, "id").collect()}
+    merged = {r["column"]: r.asDict() for r in S.merge_parts(spark.read.parquet(path)).drop("low", "high").collect()}
+    assert merged == exact  # sketches of a few values count them
+
+
+def test_sketch_bounds_hold_and_decide(spark):
+    df = spark.range(30000).select(F.col("id"), F.concat(F.lit("a"), F.col("id") % 20000).alias("two_thirds"),
+                                   F.concat(F.lit("b"), F.col("id") % 24001).alias("near"), F.concat(F.lit("c"), "id").alias("all"))
+    rows = {r["column"]: r for r in S.merge_parts(S.profile_parts(df, "id")).collect()}
+    assert all(rows[c]["low"] <= n <= rows[c]["high"] for c, n in (("two_thirds", 20000), ("near", 24001), ("all", 30000)))
+    asked = []
+
+    def count_exactly(columns):
+        asked.extend(columns)
+        return {"near": 24001}
+
+    assert S.identifier_column(list(rows.values()), count_exactly) == "near" and asked == ["near"]
+    assert S.identifier_column([rows["two_thirds"], rows["all"]], None) == "all"
+    assert S.profile_warnings(df, "id").first()["text"].startswith("near behaves")
+    plain = spark.range(100).select("id", (F.col("id") % 5).alias("v"))
+    assert S.profile_warnings(plain, "id").collect() == []

@@ -5,7 +5,7 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tidemark.sources.csv import scan_csv, scan_csv_lenient, with_numbers
-from tidemark.sources.tables import Source, load_sources, report_name, rewrite_with_columns, write_report_set, write_table
+from tidemark.sources.tables import Source, load_sources, recover_rewrite, report_name, rewrite_with_columns, write_report_set, write_table
 
 
 def test_lenient_csv(spark, tmp_path):
@@ -42,6 +42,25 @@ def test_rewrite_reads_its_own_path(spark, tmp_path):
     assert sorted(r["twice"] for r in spark.read.parquet(path).collect()) == [0, 2, 4, 6, 8]
 
 
+def test_a_rewrite_that_was_cut_off_is_mended(spark, tmp_path):
+    path, staging, aside = tmp_path / "t", tmp_path / "s", tmp_path / "s-replaced"
+    ids = lambda: sorted(r["id"] for r in spark.read.parquet(str(path)).collect())
+    assert recover_rewrite(spark, str(path), str(staging)) == "none"
+    # Cut off between the two renames: the new table is complete.
+    write_table(spark.range(3), str(aside))
+    write_table(spark.range(5), str(staging))
+    assert recover_rewrite(spark, str(path), str(staging)) == "new" and ids() == list(range(5)) and not aside.exists()
+    # The old table is aside and the new one is not complete.
+    write_table(spark.range(3), str(aside))
+    path.rename(tmp_path / "gone")
+    staging.mkdir()
+    assert recover_rewrite(spark, str(path), str(staging)) == "old" and ids() == list(range(3)) and not aside.exists()
+    # Cut off before the old one was deleted; a new rewrite starts with the mending.
+    write_table(spark.range(2), str(aside))
+    rewrite_with_columns(spark.read.parquet(str(path)).withColumn("id", F.col("id") + 10), str(path), str(staging))
+    assert ids() == [10, 11, 12] and not aside.exists() and not staging.exists()
+
+
 def test_report_names(spark, tmp_path):
     assert report_name("Small / early venture-backed segment") == "Small_-_early_venture-backed_se"
     paths = write_report_set({"a/b": spark.range(2)}, str(tmp_path / "r"))

@@ -10,6 +10,8 @@ from dataclasses import dataclass
 
 import numpy as np
 from pyspark.ml.feature import PCA, VectorAssembler
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,7 +20,7 @@ from tidemark.operators.groups import group_median, shown_label
 from tidemark.operators.sampling import stratified_sample
 from tidemark.operators.scaling import fit_scale, robust_scale_fallback, scaled_columns
 
-# Up to this width one aggregate holds all pair products; wider tables use Spark ML's PCA.
+# Up to this width one aggregate holds all pair products; wider tables use Spark ML's PCA, or its Gram matrix.
 PAIRWISE_WIDTH = 32
 
 
@@ -85,9 +87,7 @@ def _solve(matrix: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
 
 def fit_components(df: DataFrame, features: list[str], k: int, centred: bool = True) -> Components:
     if len(features) > PAIRWISE_WIDTH:
-        if not centred:
-            raise ValueError(f"the uncentred form takes at most {PAIRWISE_WIDTH} features")
-        return _fit_wide(df, features, k)
+        return _fit_wide(df, features, k) if centred else _fit_gram(df, features, k)
     centre = feature_means(df, features) if centred else [0.0] * len(features)
     matrix = np.zeros((len(features), len(features)))
     for c in covariance(df, features, centred, centre).collect():
@@ -112,6 +112,27 @@ def _fit_wide(df: DataFrame, features: list[str], k: int) -> Components:
                       tuple(map(float, variance)), trace)
 
 
+def second_moments(df: DataFrame, features: list[str]) -> np.ndarray:
+    """Second moments about zero of many complete features, with the n-1 divisor, from the distributed Gram matrix.
+
+    Rows stay on the executors, which add up p x p products; only the p x p matrix reaches the driver.
+    """
+    n = df.count()
+    if not n:
+        return np.zeros((len(features), len(features)))
+    rows = VectorAssembler(inputCols=features, outputCol="vector").transform(df).select("vector")
+    gram = RowMatrix(MLUtils.convertVectorColumnsFromML(rows, "vector")).computeGramianMatrix()
+    return gram.toArray() / max(1, n - 1)
+
+
+def _fit_gram(df: DataFrame, features: list[str], k: int) -> Components:
+    """Directions of the second moment of many features."""
+    moments = second_moments(df, features)
+    variance, directions = _solve(moments, k)
+    return Components(tuple(features), (0.0,) * len(features), tuple(tuple(map(float, d)) for d in directions),
+                      tuple(map(float, variance)), float(np.trace(moments)))
+
+
 def score_columns(model: Components) -> list[Column]:
     scores = []
     for k, weights in enumerate(model.loadings):

@@ -171,29 +171,6 @@ def missing_top(df: DataFrame, limit: int = 12) -> DataFrame:
     return counted.orderBy(F.desc("missing"), "position").limit(limit).select("column", "missing", rate.alias("missing_rate"))
 
 
-def profile_warnings(df: DataFrame, order: str) -> DataFrame:
-    """(kind, text): empty table, many missing values, a category that looks like an identifier."""
-    profile = column_profile(df, order)
-    heavy = F.col("missing_rate") >= HEAVY_MISSING
-    alike = (F.col("type") == "category") & (F.col("rows") > 0) & (
-        F.col("distinct").cast("double") / F.col("rows") > IDENTIFIER_SHARE)
-    found = profile.agg(
-        F.coalesce(F.max("rows"), F.lit(0)).alias("rows"),
-        F.count_if(heavy).alias("heavy"),
-        F.min_by("column", F.when(heavy, F.col("position"))).alias("heavy_first"),
-        F.min_by("column", F.when(alike, F.col("position"))).alias("alike_first"),
-    )
-    messages = F.array(
-        F.struct(F.lit("empty").alias("kind"), F.when(F.col("rows") == 0, "The dataset is empty.").alias("text")),
-        F.struct(F.lit("missing").alias("kind"), F.when(F.col("heavy") > 0, F.concat(
-            F.col("heavy").cast("string"), F.lit(" columns have at least 20% missing values, led by "),
-            F.col("heavy_first"), F.lit("."))).alias("text")),
-        F.struct(F.lit("identifier").alias("kind"), F.concat(
-            F.col("alike_first"), F.lit(" behaves like an identifier rather than a grouping feature.")).alias("text")),
-    )
-    return found.select(F.inline(messages)).where(F.col("text").isNotNull())
-
-
 def value_counts(df: DataFrame, column: str, limit: int | None = 12) -> DataFrame:
     """Most frequent values with their share of all rows; missing is a value."""
     counted = df.groupBy(display_value(column).alias("value")).agg(F.count(F.lit(1)).alias("rows"))

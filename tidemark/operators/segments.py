@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.values import as_number
 from tidemark.operators.groups import group_overview, group_stats, keyed
 from tidemark.operators.kmeans import assign, kmeans_fit
 from tidemark.operators.order import exact_quantiles, join_checked
+from tidemark.session import cut_lineage
 
 # Names of the three subgroups.
 VENTURE_NAME = "Small / early venture-backed"
@@ -26,20 +27,18 @@ def segment_recluster(scaled: DataFrame, label: str, value: object, features: li
 def segment_names(df: DataFrame, label: str) -> DataFrame:
     """(label, name): highest median venture ratio, then most rounds and funding, then the rest.
 
-    Works on medians per label, so only a handful of rows is ranked.
+    Works on medians per label; the two leading labels are found by aggregates, whatever the number of labels.
     """
     features = ["venture_ratio", "funding_rounds", "funding_total_usd"]
     medians = exact_quantiles(keyed(df, label), features, {"median": 0.5}, [label])
-    wide = medians.groupBy(label).pivot("feature", features).agg(F.first("median"))
-    everything = Window.partitionBy(F.lit(1))
-    by_venture = everything.orderBy(F.desc("venture_ratio"), F.asc(label))
-    ranked = wide.withColumn("is_venture", F.row_number().over(by_venture) == 1)
-    by_rounds = everything.orderBy(F.asc("is_venture"), F.desc("funding_rounds"), F.desc("funding_total_usd"),
-                                   F.asc(label))
-    return ranked.withColumn("place", F.row_number().over(by_rounds)).select(
-        label,
-        F.when(F.col("is_venture"), VENTURE_NAME).when(F.col("place") == 1, MULTI_ROUND_NAME)
-        .otherwise(SEED_NAME).alias("name"))
+    wide = cut_lineage(medians.groupBy(label).pivot("feature", features).agg(F.first("median")))
+    highest = lambda c: F.struct(F.col(c).isNull(), -F.col(c))  # noqa: E731  nulls come last
+    first = lambda rows, *order: rows.agg(F.min_by(label, F.struct(*order, F.col(label)))).first()[0]
+    venture = first(wide, highest("venture_ratio"))
+    rest = wide.where(F.col(label) != F.lit(venture))
+    rounds = first(rest, highest("funding_rounds"), highest("funding_total_usd"))
+    return wide.select(label, F.when(F.col(label) == F.lit(venture), VENTURE_NAME)
+                       .when(F.col(label) == F.lit(rounds), MULTI_ROUND_NAME).otherwise(SEED_NAME).alias("name"))
 
 
 def name_segments(df: DataFrame, label: str, out: str = "SubCluster_Name") -> DataFrame:

@@ -336,3 +336,13 @@ def _embedding_components(spark, sf_dir):
     scores = C.pca_scores(df, names, 3, ["vec_id"])
     means = F.greatest(*[F.abs(F.avg(f"PC{k}")) for k in (1, 2, 3)])
     return scores.agg(F.count(F.lit(1)).alias("rows"), F.lit(3).cast("long").alias("components"), (means < 1e-9).alias("centred"))
+
+
+@query("embedding_second_moments", """SELECT i, j, round(sum(embedding[i + 1]::DOUBLE * embedding[j + 1]::DOUBLE) / greatest(1, count(*) - 1), 6) + 0.0 AS value
+FROM embeddings, range(64) a(i), range(64) b(j) GROUP BY ALL""")
+def _embedding_second_moments(spark, sf_dir):
+    """The uncentred form of a wide table: all 64 x 64 moments that its components come from."""
+    names = [f"e{i}" for i in range(64)]
+    df = table(spark, sf_dir, "embeddings").select(*[F.element_at("embedding", i + 1).cast("double").alias(n) for i, n in enumerate(names)])
+    cells = [(i, j, float(v)) for i, row in enumerate(C.second_moments(df, names)) for j, v in enumerate(row)]
+    return rounded(spark.createDataFrame(cells, "i long, j long, value double"))

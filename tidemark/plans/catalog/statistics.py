@@ -20,12 +20,14 @@ from tidemark.operators.order import (
 )
 from tidemark.operators.scaling import robust_scale
 from tidemark.operators.schema import MODEL_FEATURES, PROFILE_FEATURES, transpose, unpivot
+from tidemark.operators.sketches import merge_parts, profile_parts, profile_warnings, write_parts
 from tidemark.operators.segments import segment_names, segment_summary, subgroup_model
 from tidemark.plans import reports as R
 from tidemark.plans.catalog.registry import PREP, RAW, SEG, label_values, query, rounded, union_sql
 from tidemark.plans.catalog.scalars import compact_sql, money_sql, number_sql, percent_sql, spread_sql
 from tidemark.plans.catalog.sources import FIT_SQL, SCALED_SQL
 from tidemark.plans.records import labelled_records, raw_records, segment_records, table
+from tidemark.session import scratch_path
 
 REAL = PROFILE_FEATURES[:7]
 RATIOS = PROFILE_FEATURES[7:]
@@ -228,7 +230,27 @@ UNION ALL SELECT 'identifier', 'code behaves like an identifier rather than a gr
 def _profile_warnings(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
     df = docs.select("doc_id", "lang", "quality", "toxic", F.concat(F.lit("doc "), F.col("doc_id")).alias("code"))
-    return P.profile_warnings(df, "doc_id")
+    return profile_warnings(df, "doc_id")
+
+
+_PART_TYPES = {"o_custkey": "number", "o_orderstatus": "category", "o_totalprice": "number", "o_orderdate": "date", "clerk": "category"}
+
+
+@query("profile_parts", "WITH o AS (SELECT * REPLACE (CAST(o_orderdate AS DATE) AS o_orderdate), CASE WHEN o_orderkey % 3 > 0 THEN 'clerk ' || o_orderkey END AS clerk FROM orders) " + union_sql(
+    list(_PART_TYPES), lambda i, c: f"SELECT '{c}' AS \"column\", '{_PART_TYPES[c]}' AS type, count(*) AS \"rows\", count(*) - count({c}) AS missing, "
+    f"arg_min({c}, o_orderkey)::VARCHAR AS example, true AS within FROM o"))
+def _profile_parts(spark, sf_dir):
+    """Parts by year; the last years are added to those written before, and one year is written again."""
+    clerk = F.when(F.col("o_orderkey") % 3 > 0, F.concat(F.lit("clerk "), "o_orderkey"))
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", F.col("o_orderdate").cast("date").alias("o_orderdate"),
+        clerk.alias("clerk"), F.year("o_orderdate").alias("year"))
+    path = scratch_path(spark, "profile-parts")
+    for years in ("year < 1997", "year = 1996", "year >= 1997"):
+        write_parts(profile_parts(orders.where(years), "o_orderkey", ["year"]), path, ["year"])
+    merged = merge_parts(spark.read.parquet(path))
+    exact = P.column_profile(orders.drop("year"), "o_orderkey").select("column", F.col("distinct").alias("exact"))
+    return merged.join(exact, "column").select("column", "type", "rows", "missing", "example", F.col("exact").between(F.col("low"), F.col("high")).alias("within"))
 
 
 @query("value_counts", f"""WITH {RAW} SELECT coalesce(market, '(missing)') AS value, count(*) AS "rows",

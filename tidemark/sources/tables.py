@@ -58,15 +58,55 @@ def write_table(df: DataFrame, path: str) -> str:
     return path
 
 
+def _folder(spark: SparkSession, path: str):
+    """(file system, Hadoop path) of a path."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def recover_rewrite(spark: SparkSession, path: str, staging: str) -> str:
+    """Bring a rewrite that was cut off to an end: ``new``, ``old`` or ``none``, by the table that is at ``path`` then.
+
+    If the old table was already set aside, the new one takes its place when it is complete, and the old one comes back
+    when it is not. An unfinished new table at ``staging`` is left for the next rewrite to replace.
+    """
+    files, place = _folder(spark, path)
+    _, fresh = _folder(spark, staging)
+    _, done = _folder(spark, f"{staging}/_SUCCESS")
+    _, aside = _folder(spark, f"{staging}-replaced")
+    if not files.exists(aside):
+        return "none"
+    outcome = "new"
+    if not files.exists(place):
+        outcome = "new" if files.exists(done) else "old"
+        _rename(files, fresh if outcome == "new" else aside, place)
+    if outcome == "new":
+        files.delete(aside, True)
+    return outcome
+
+
+def _rename(files, source, target) -> None:
+    if not files.rename(source, target):
+        raise OSError(f"could not rename {source} to {target}")
+
+
 def rewrite_with_columns(df: DataFrame, path: str, staging: str, fmt: str = "parquet") -> str:
     """Replace the table at ``path`` by ``df``, which may itself read ``path``.
 
-    The new table is complete in ``staging`` before the old one is touched, and stays there.
+    The new table is complete in ``staging`` (on the same file system) before the old one is touched. Then the old one is
+    renamed aside, the new one to ``path``, and the old one deleted; no row is written twice. A failure in between
+    is mended by ``recover_rewrite``, which also runs before every rewrite.
     """
+    spark = df.sparkSession
+    recover_rewrite(spark, path, staging)
     options = {"header": "true"} if fmt == "csv" else {}
     df.write.mode("overwrite").format(fmt).options(**options).save(staging)
-    fresh = df.sparkSession.read.format(fmt).options(**options).schema(df.schema).load(staging)
-    fresh.write.mode("overwrite").format(fmt).options(**options).save(path)
+    files, place = _folder(spark, path)
+    if files.exists(place):
+        _rename(files, place, _folder(spark, f"{staging}-replaced")[1])
+    _rename(files, _folder(spark, staging)[1], place)
+    recover_rewrite(spark, path, staging)
+    spark.catalog.refreshByPath(path)
     return path
 
 
