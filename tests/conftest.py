@@ -16,3 +16,17 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+
+
+@pytest.fixture
+def rows_read(spark):
+    """The rows that all stages so far have read from files."""
+    store, jvm = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._jvm
+
+    def count() -> int:
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        none = spark.sparkContext._gateway.new_array(jvm.double, 0)
+        stages = store.stageList(None, False, False, none, jvm.java.util.ArrayList())
+        return sum(stages.apply(i).inputRecords() for i in range(stages.size()))
+
+    return count

@@ -130,7 +130,7 @@ def test_label_moments_merge_to_those_of_the_table(spark, people):
     assert (empty.rows, empty.means, empty.top) == (0, {"v": None}, None)
 
 
-def test_insights_read_the_table_three_times(spark, tmp_path):
+def test_insights_read_the_table_three_times(spark, rows_read, tmp_path):
     from tidemark.plans.reports import MIX_FEATURES, insights
 
     path, rows = str(tmp_path / "t"), 3000
@@ -138,17 +138,19 @@ def test_insights_read_the_table_three_times(spark, tmp_path):
         F.col("id").alias("k"), F.concat(F.lit("n"), "id").alias("name"), (F.col("id") % 3).cast("string").alias("c"),
         F.col("id").cast("double").alias("funding_total_usd"), *[((F.col("id") * (i + 2)) % 7 / 7).alias(f) for i, f in enumerate(MIX_FEATURES)])
     made.write.parquet(path)
-    store, jvm = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._jvm
-
-    def seen() -> int:
-        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
-        none = spark.sparkContext._gateway.new_array(jvm.double, 0)
-        stages = store.stageList(None, False, False, none, jvm.java.util.ArrayList())
-        return sum(stages.apply(i).inputRecords() for i in range(stages.size()))
-
     table = spark.read.parquet(path)
-    before = seen()
+    before = rows_read()
     found = insights(table, "c", ["funding_total_usd", *MIX_FEATURES], ["funding_total_usd", *MIX_FEATURES], "k").collect()
     assert [r["rank"] for r in found] == [1, 2, 3, 5, 6, 7] and found[-1]["title"] == "n2999"
-    assert seen() - before < 3 * rows + 500  # the rest are rows of labels and features
+    assert rows_read() - before < 3 * rows + 500  # the rest are rows of labels and features
     assert insights(table.limit(0), "c", ["funding_total_usd"], ["funding_total_usd", "venture_ratio"], "k").collect() == []
+
+
+def test_sizes_and_totals_take_one_scan(spark, people, rows_read, tmp_path):
+    path = str(tmp_path / "p")
+    people.write.parquet(path)
+    table = spark.read.parquet(path)
+    for report in (lambda: G.group_overview(table, "c"), lambda: G.group_sizes(table, "c")):
+        before = rows_read()
+        assert report().collect()
+        assert rows_read() - before == 7

@@ -208,3 +208,22 @@ def test_wide_uncentred_components(spark):
     w = np.array(model.loadings)
     assert np.allclose(w @ w.T, np.eye(3)) and np.allclose(w @ moments @ w.T, np.diag(model.variance))
     assert np.allclose(C.second_moments(df.limit(0), names), 0)
+
+
+def test_drilldown_finds_and_names_separate_groups(spark):
+    from tidemark.operators.segments import segment_drilldown
+
+    kinds = [("seed", 0.0, 0.9, 1.0, 10.0), ("multi", 0.1, 0.8, 4.0, 40.0), ("venture", 0.9, 0.0, 2.0, 90.0)]
+    rows = [(i, "0" if i < 60 else "1", kind, v + i / 1e4, e, r, t + i / 100, 1.0, v, e) for i in range(75) for kind, v, e, r, t in [kinds[i % 3]]]
+    df = spark.createDataFrame(rows, "k int, c string, kind string, venture_ratio double, early_stage_funding_ratio double, funding_rounds double, "
+                                     "funding_total_usd double, stage_level double, venture double, early_stage_funding double")
+    features = ["venture_ratio", "funding_rounds"]
+    tables = segment_drilldown(df, df.select("k", "c", *features), "k", "c", "0", features, starts=3)
+    names = {(r["kind"], r["SubCluster_Name"]) for r in tables["rows"].collect()}
+    assert names == {("seed", "Small seed-stage"), ("multi", "Early-stage multi-round"), ("venture", "Small / early venture-backed")}
+    summary = {r["SubCluster_Name"]: r for r in tables["summary"].collect()}
+    assert all(r["rows"] == 20 and abs(r["pct_of_segment"] - 100 / 3) < 1e-9 for r in summary.values())
+    assert summary["Early-stage multi-round"]["median_funding_rounds"] == 4.0
+    assert tables["profile"].where("feature = 'funding_rounds'").count() == 3
+    none = segment_drilldown(df, df.select("k", "c", *features), "k", "c", "absent", features)
+    assert [t.count() for t in none.values()] == [0, 0, 0]

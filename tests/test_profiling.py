@@ -114,6 +114,9 @@ def test_funnel_counts_copies(spark):
     assert got == [("named", 1, 5), ("drop_duplicates", 2, 3), ("nonzero", 1, 2)]
     got = [(r["rule"], r["removed"], r["remaining"]) for r in C.row_funnel(df, steps).orderBy("step").collect()]
     assert got == [("named", 1, 5), ("nonzero", 2, 3)]
+    gaps = spark.createDataFrame([("a", 1.0), (None, float("nan")), (None, None), (None, 2.0)], "n string, x double")
+    got = C.row_funnel(gaps, [("empty", C.has_values(gaps))]).first()
+    assert (got["removed"], got["remaining"]) == (2, 2) == (4 - C.drop_empty_rows(gaps).count(), C.drop_empty_rows(gaps).count())
 
 
 def test_search(spark):

@@ -33,6 +33,11 @@ def is_zero(df: DataFrame, name: str) -> Column:
     return F.lit(False)
 
 
+def has_values(df: DataFrame) -> Column:
+    """At least one column has a value: the rows that ``drop_empty_rows`` keeps, as a step of ``row_funnel``."""
+    return ~reduce(lambda a, b: a & b, [is_null(df, c) for c in df.columns], F.lit(True))
+
+
 def drop_empty_rows(df: DataFrame) -> DataFrame:
     return df.dropna("all")
 

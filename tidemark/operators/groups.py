@@ -118,8 +118,10 @@ def group_stats(df: DataFrame, label: str, features: list[str]) -> DataFrame:
 
 def group_overview(df: DataFrame, label: str) -> DataFrame:
     """Rows per visible label, share of all rows, readable name."""
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    counted = shown_label(df, label).groupBy(label).agg(F.count(F.lit(1)).alias("rows"))
+    every = df.groupBy(display_value(label).alias(label)).agg(F.count(F.lit(1)).alias("rows"))
+    total = every.agg(F.sum("rows").alias("n")).scalar()  # the same exchange, so the table is read once
+    # Asking for rows as well keeps this filter above the counts, where the total still has the missing label.
+    counted = every.where(F.when(F.col("rows") > 0, F.col(label) != MISSING))
     name = F.coalesce(map_values(label, HINT_NAMES), F.concat(F.lit("Cluster "), F.col(label)))
     return counted.select(label, name.alias("name"), "rows", (F.col("rows").cast("double") / total).alias("share"))
 
@@ -283,8 +285,8 @@ def share_ratio(df: DataFrame, label: str, column: str) -> DataFrame:
     """(label, value, rows, share, base_share, lift): share inside the label over share in all rows."""
     inside = share_of_total(df, label, column)
     named = df.where(F.col(column).isNotNull())
-    total = named.agg(F.count(F.lit(1)).alias("n")).scalar()
     base = named.groupBy(column).agg(F.count(F.lit(1)).alias("base_rows"))
+    total = base.agg(F.sum("base_rows").alias("n")).scalar()  # the same exchange
     base = base.select(column, (F.col("base_rows").cast("double") / total).alias("base_share"))
     return inside.join(base, column).select(label, column, "rows", "share", "base_share",
                                             (F.col("share") / F.col("base_share")).alias("lift"))

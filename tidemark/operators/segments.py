@@ -15,6 +15,10 @@ from tidemark.session import cut_lineage
 VENTURE_NAME = "Small / early venture-backed"
 MULTI_ROUND_NAME = "Early-stage multi-round"
 SEED_NAME = "Small seed-stage"
+# Medians of the segment summary.
+SUMMARY_MEDIANS = {"funding_total_usd": "median_total_funding_usd", "funding_rounds": "median_funding_rounds",
+                   "stage_level": "median_stage_level", "early_stage_funding_ratio": "median_early_stage_ratio",
+                   "venture_ratio": "median_venture_ratio"}
 
 
 def segment_recluster(scaled: DataFrame, label: str, value: object, features: list[str], k: int = 3,
@@ -49,9 +53,7 @@ def name_segments(df: DataFrame, label: str, out: str = "SubCluster_Name") -> Da
 def segment_summary(df: DataFrame, label: str) -> DataFrame:
     """Size, share, medians and non-zero rates per label, highest median total first."""
     rows = keyed(df, label)
-    medians = {"funding_total_usd": "median_total_funding_usd", "funding_rounds": "median_funding_rounds",
-               "stage_level": "median_stage_level", "early_stage_funding_ratio": "median_early_stage_ratio",
-               "venture_ratio": "median_venture_ratio"}
+    medians = SUMMARY_MEDIANS
     found = exact_quantiles(rows, list(medians), {"median": 0.5}, [label])
     wide = found.groupBy(label).pivot("feature", list(medians)).agg(F.first("median")).withColumnsRenamed(medians)
     total = rows.agg(F.count(F.lit(1)).alias("n")).scalar()
@@ -63,6 +65,25 @@ def segment_summary(df: DataFrame, label: str) -> DataFrame:
         F.desc("median_total_funding_usd"), F.asc(label))
 
 
+def segment_drilldown(df: DataFrame, scaled: DataFrame, key: str, label: str, value: object, features: list[str],
+                      k: int = 3, starts: int = 10) -> dict[str, DataFrame]:
+    """One segment taken apart: ``rows`` with sub-label and name, ``summary`` by named sub-label, ``profile`` by name.
+
+    ``scaled`` has the key, the label and the features scaled over the full table. The sub-labels are fitted, the names
+    come from their medians. Keys are unique; rows without a key are left out. A segment without rows gives empty tables.
+    """
+    inside = df.where((F.col(label) == F.lit(value)) & F.col(key).isNotNull())
+    if inside.isEmpty():
+        bare = inside.withColumns({"SubCluster": F.lit(None).cast("int"), "SubCluster_Name": F.lit(None).cast("string")})
+    else:
+        found = segment_recluster(scaled, label, value, features, k, starts=starts).select(key, "SubCluster")
+        # Read by all three tables, so fitted, labelled and joined once.
+        bare = name_segments(cut_lineage(inside.join(found, key)), "SubCluster")
+    names = bare.groupBy("SubCluster").agg(F.first("SubCluster_Name").alias("SubCluster_Name"))
+    summary = segment_summary(bare, "SubCluster").join(names, "SubCluster")
+    return {"rows": bare, "summary": summary, "profile": group_stats(bare, "SubCluster_Name", list(SUMMARY_MEDIANS))}
+
+
 def subgroup_model(df: DataFrame, whole_rows, features: list[str], label: str = "SubCluster",
                    name: str = "SubCluster_Name") -> DataFrame:
     """``group_profile`` inside a segment, by name if there is one, with the segment's share of the whole."""

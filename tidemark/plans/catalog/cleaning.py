@@ -114,10 +114,13 @@ def _zero_source_summary(spark, sf_dir):
     return rounded(ops.zero_source_summary(labelled_records(spark, sf_dir), SOURCES).drop("position"))
 
 
+_FUNNEL = ["name", "market", "status", "country_code", "funding_total_usd", *[f'"{c}"' for c in AMOUNTS]]
+
+
 def _funnel_sql() -> str:
-    steps = ["name IS NOT NULL", "true", "funding_total_usd IS NOT NULL AND market IS NOT NULL", f"NOT ({ALL_ZERO})"]
-    names = ["missing_name", "drop_duplicates", "missing_total_or_market", "all_zero"]
-    sources = ["r", "u", "u", "u"]
+    steps = [" OR ".join(f"{c} IS NOT NULL" for c in _FUNNEL), "name IS NOT NULL", "true", "funding_total_usd IS NOT NULL AND market IS NOT NULL", f"NOT ({ALL_ZERO})"]
+    names = ["empty", "missing_name", "drop_duplicates", "missing_total_or_market", "all_zero"]
+    sources = ["r", "r", "u", "u", "u"]
     remaining = []
     for i in range(len(steps)):
         condition = " AND ".join(f"({s})" for s in steps[: i + 1])
@@ -126,18 +129,20 @@ def _funnel_sql() -> str:
     for i, name in enumerate(names):
         before = remaining[i - 1] if i else "(SELECT count(*) FROM r)"
         parts.append(f"SELECT {i} AS step, '{name}' AS rule, {before} - {remaining[i]} AS removed, {remaining[i]} AS remaining")
-    return (f"WITH {RAW}, r AS (SELECT name, market, status, country_code, funding_total_usd, "
-            + ", ".join(f'"{c}"' for c in AMOUNTS) + " FROM raw), u AS (SELECT DISTINCT * FROM r) "
+    return (f"WITH {RAW}, r AS (SELECT " + ", ".join(f"CASE WHEN record_id % 50 > 0 THEN {c} END AS {c}" for c in _FUNNEL)
+            + " FROM raw), u AS (SELECT DISTINCT * FROM r) "
             + " UNION ALL ".join(parts))
 
 
 @query("row_funnel", _funnel_sql())
 def _row_funnel(spark, sf_dir):
-    df = raw_records(spark, sf_dir).select("name", "market", "status", "country_code", "funding_total_usd", *AMOUNTS)
-    steps = [("missing_name", F.col("name").isNotNull()),
+    """Every fiftieth record is blank."""
+    names = ["name", "market", "status", "country_code", "funding_total_usd", *AMOUNTS]
+    df = raw_records(spark, sf_dir).select(*[F.when(F.col("record_id") % 50 > 0, F.col(c)).alias(c) for c in names])
+    steps = [("empty", ops.has_values(df)), ("missing_name", F.col("name").isNotNull()),
              ("missing_total_or_market", F.col("funding_total_usd").isNotNull() & F.col("market").isNotNull()),
              ("all_zero", ~all_zero(AMOUNTS))]
-    return ops.row_funnel(df, steps, distinct_after=1)
+    return ops.row_funnel(df, steps, distinct_after=2)
 
 
 @query("select_segment", f"""WITH {PREP} SELECT record_id, market, venture FROM prep WHERE "Cluster" = '1'""")

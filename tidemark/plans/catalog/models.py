@@ -8,7 +8,7 @@ from tidemark.operators import components as C
 from tidemark.operators import kmeans as K
 from tidemark.operators.scaling import robust_scale, robust_scale_fallback, scale_table
 from tidemark.operators.schema import MODEL_FEATURES
-from tidemark.operators.segments import segment_recluster
+from tidemark.operators.segments import MULTI_ROUND_NAME, SUMMARY_MEDIANS, VENTURE_NAME, segment_drilldown, segment_recluster
 from tidemark.plans.catalog.registry import PREP, query, rounded, union_sql
 from tidemark.plans.catalog.sources import FIT_SQL, SCALED_SQL
 from tidemark.plans.catalog.statistics import _STRATA, labelled, long_sql, median_sql
@@ -16,6 +16,7 @@ from tidemark.plans.preparation import main_segments, prepare
 from tidemark.plans.records import raw_records, staged, table
 from tidemark.session import cut_lineage, scratch_path
 from tidemark.sources.csv import scan_csv, with_numbers
+from tidemark.sources.tables import write_report_set, write_table
 
 KEY = "record_id"
 TEN = MODEL_FEATURES[:10]
@@ -303,6 +304,30 @@ def _segment_recluster(spark, sf_dir):
     return K.fit_facts(out, MODEL_FEATURES, centers, KEY).withColumn("sizes_fall", F.lit(falls))
 
 
+@query("segment_drilldown", f"""WITH {PREP} SELECT count(*) AS "rows", 3::BIGINT AS segments, 3::BIGINT AS names, 100.0::DOUBLE AS pct,
+CAST(sum(funding_rounds) AS BIGINT) AS funding_rounds, true AS ranked, true AS summarised FROM prep WHERE "Cluster" = '0'""")
+def _segment_drilldown(spark, sf_dir):
+    """The whole drill-down, its tables written and read again, then what must hold of any fit checked on them."""
+    tables = segment_drilldown(labelled(spark, sf_dir), scaled_table(spark, sf_dir), KEY, "Cluster", "0", MODEL_FEATURES)
+    folder = scratch_path(spark, "drilldown")
+    rows, summary = (spark.read.parquet(write_table(tables[t], f"{folder}/{t}")) for t in ("rows", "summary"))
+    write_report_set({t: tables[t] for t in ("summary", "profile")}, f"{folder}/reports")
+    made = rows.groupBy("SubCluster", "SubCluster_Name").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("funding_rounds").alias("r"), *[F.percentile(c, F.lit(0.5)).alias(f"m_{c}") for c in SUMMARY_MEDIANS])
+    both = made.join(summary, ["SubCluster", "SubCluster_Name"], "full")
+    same = (F.col("n") == F.col("rows")) & F.lit(True)
+    for c, name in SUMMARY_MEDIANS.items():
+        same = same & (F.abs(F.col(f"m_{c}") - F.col(name)) <= 1e-9 * F.greatest(F.lit(1.0), F.abs(name)))
+    venture, rest = F.col("SubCluster_Name") == VENTURE_NAME, F.col("SubCluster_Name") != VENTURE_NAME
+    multi = F.col("SubCluster_Name") == MULTI_ROUND_NAME
+    place = F.struct("m_funding_rounds", "m_funding_total_usd")
+    ranked = (F.max(F.when(venture, F.col("m_venture_ratio"))) == F.max("m_venture_ratio")) & (F.max(F.when(multi, place)) == F.max(F.when(rest, place)))
+    return rounded(both.agg(
+        F.sum("n").alias("rows"), F.count(F.lit(1)).alias("segments"), F.countDistinct("SubCluster_Name").alias("names"),
+        F.sum("pct_of_segment").alias("pct"), F.sum("r").cast("long").alias("funding_rounds"), ranked.alias("ranked"),
+        F.coalesce(F.bool_and(same), F.lit(False)).alias("summarised")))
+
+
 _OTHER_FEATURES = ["log_funding_rounds", "log_venture", "early_stage_funding_ratio"]
 MATCH_SQL = f"""WITH {PREP}, {', '.join(seeded_ctes(4, _SEED_FEATURES, 'a'))}, {', '.join(seeded_ctes(4, _OTHER_FEATURES, 'b'))},
 t AS MATERIALIZED (SELECT la.j AS a, lb.j AS b, count(*) AS n FROM la JOIN lb USING (record_id) GROUP BY ALL),
