@@ -293,6 +293,25 @@ def _k_sweep(spark, sf_dir):
     return rounded(K.k_sweep(inside, MODEL_FEATURES, KEY, range(2, 10)), 3)
 
 
+SWEEP = [2, 3, 5]
+
+
+@query("k_sweep_facts", f"WITH {PREP} " + union_sql(SWEEP, lambda i, k: (
+    f"SELECT {k} AS k, count(*) AS \"rows\", {k}::BIGINT AS clusters, true AS settled, true AS nearest, true AS not_worse, true AS falls "
+    "FROM prep WHERE \"Cluster\" = '0'")))
+def _k_sweep_facts(spark, sf_dir):
+    """What must hold of the fits that a sweep compares: each is checked by its centers, and more clusters leave less inertia."""
+    inside = staged(spark, sf_dir, "segment_scaled", lambda: scaled_table(spark, sf_dir).where(F.col("Cluster") == "0"))
+    fits = {k: K.kmeans_fit(inside, MODEL_FEATURES, k) for k in SWEEP}
+    left = [K.inertia(inside, MODEL_FEATURES, centers).first()["inertia"] for centers in fits.values()]
+    facts = None
+    for i, (k, centers) in enumerate(fits.items()):
+        one = K.fit_facts(inside, MODEL_FEATURES, centers, KEY).select(
+            F.lit(k).alias("k"), "*", F.lit(i == 0 or left[i] < left[i - 1]).alias("falls"))
+        facts = one if facts is None else facts.unionByName(one)
+    return facts
+
+
 @query("segment_recluster", f"""WITH {PREP} SELECT count(*) AS "rows", 3::BIGINT AS clusters, true AS settled, true AS nearest, true AS not_worse, true AS sizes_fall
 FROM prep WHERE "Cluster" = '0'""")
 def _segment_recluster(spark, sf_dir):
