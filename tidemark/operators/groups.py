@@ -164,20 +164,17 @@ class LabelMoments:
     means: dict[str, float | None]
     deviations: dict[str, float | None]
     missing: dict[str, int]
-    top: object  # the row of the largest value, or None
+    largest: float | None
 
 
-def label_moments(df: DataFrame, label: str, features: list[str], key: str, name: str, total: str) -> LabelMoments:
+def label_moments(df: DataFrame, label: str, features: list[str], total: str) -> LabelMoments:
     """One grouped aggregate over the table; all figures over all rows are merged from its rows, one per label.
 
-    Counts, means and squared deviations of the labels add up to those of the table without a second look at it.
+    Counts, means and squared deviations of the labels add up to those of the table without a second look at it. All
+    buffers are numbers, so the labels are hashed and no row is sorted.
     """
     gaps = df.columns
-    value = as_number(df, total)
-    here = F.struct(F.col(name).alias("name"), value.alias("total"))
-    aggs = [F.count(F.lit(1)).alias("rows"),
-            F.min_by(F.struct((-value).alias("order"), F.col(key).alias("key"), here.alias("row")),
-                     F.when(value.isNotNull(), F.struct((-value).alias("order"), F.col(key).alias("key")))).alias("top"),
+    aggs = [F.count(F.lit(1)).alias("rows"), F.max(as_number(df, total)).alias("largest"),
             *[F.count_if(is_missing(F.col(f"`{c}`"))).alias(f"gap{i}") for i, c in enumerate(gaps)]]
     for i, f in enumerate(features):
         x = as_number(df, f)
@@ -185,7 +182,7 @@ def label_moments(df: DataFrame, label: str, features: list[str], key: str, name
                  F.coalesce(F.var_pop(x), F.lit(0.0)).alias(f"v{i}")]
     table = cut_lineage(df.groupBy(display_value(label).alias(label)).agg(*aggs))
     each = range(len(features))
-    sums = table.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), F.min("top").alias("top"),
+    sums = table.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), F.max("largest").alias("largest"),
                      *[F.coalesce(F.sum(f"gap{i}"), F.lit(0)).alias(f"gap{i}") for i in range(len(gaps))],
                      *[F.coalesce(F.sum(f"n{i}"), F.lit(0)).alias(f"n{i}") for i in each],
                      *[F.try_divide(F.sum(F.col(f"n{i}") * F.col(f"m{i}")), F.sum(f"n{i}")).alias(f"m{i}") for i in each]).first()
@@ -193,7 +190,7 @@ def label_moments(df: DataFrame, label: str, features: list[str], key: str, name
     spread = table.agg(F.lit(0), *[F.sqrt(F.try_divide(F.sum(F.col(f"n{i}") * around(i)), F.sum(f"n{i}"))) for i in each]).first()
     return LabelMoments(
         table, sums["rows"], {f: sums[f"n{i}"] for i, f in enumerate(features)}, {f: sums[f"m{i}"] for i, f in enumerate(features)},
-        dict(zip(features, spread[1:])), {c: sums[f"gap{i}"] for i, c in enumerate(gaps)}, sums["top"] and sums["top"]["row"])
+        dict(zip(features, spread[1:])), {c: sums[f"gap{i}"] for i, c in enumerate(gaps)}, sums["largest"])
 
 
 def moments_overview(found: LabelMoments, label: str) -> DataFrame:

@@ -114,10 +114,11 @@ def insights(df: DataFrame, label: str, features: list[str], correlated: list[st
 
     The table is read three times: once by label for sizes, means, gaps and the largest value, once for the
     correlations, and once for the medians of the mix (more often above the size up to which medians are taken at once).
+    The row of the largest value is then looked up by that value, which the scan can skip most of a table with.
     """
     spark = df.sparkSession
     shown = correlated[:DISPLAYED_COLUMNS]
-    known = label_moments(df, label, list(dict.fromkeys([*features, *shown])), key, name, total)
+    known = label_moments(df, label, list(dict.fromkeys([*features, *shown])), total)
     overview = moments_overview(known, label)
     scored = moments_differences(known, label, features)
     ends = size_extremes(overview, label)
@@ -143,9 +144,11 @@ def insights(df: DataFrame, label: str, features: list[str], correlated: list[st
         x=column_label("x"), y=column_label("y"), value=format_number("value", 2)))))
     parts.append(mix_story(df, label, MIX_FEATURES, known.rows).select(_finding_of(
         "mix", F.col("label"), F.col("feature"), dict(label=F.col("label"), feature=column_label("feature")))))
-    if known.top is not None:
-        parts.append(one.select(_finding_of("largest_value", None, F.lit(total), dict(
-            name=F.lit(NO_NAME if known.top["name"] is None else str(known.top["name"])), total=format_money(F.lit(known.top["total"]))))))
+    if known.largest is not None:
+        amount = F.col(total) if dict(df.dtypes)[total] == "double" else as_number(df, total)  # a plain column reaches the scan
+        named_row = df.where(amount == F.lit(known.largest)).agg(F.min_by(F.struct(F.col(name).alias("name")), key).alias("top"))
+        parts.append(named_row.select(_finding_of("largest_value", None, F.lit(total), dict(
+            name=F.coalesce(F.col("top.name").cast("string"), F.lit(NO_NAME)), total=format_money(F.lit(known.largest))))))
 
     found = parts[0]
     for part in parts[1:]:
