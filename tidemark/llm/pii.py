@@ -11,6 +11,7 @@ and from broken forms of accepted ones (dates, amounts, versions, codes of words
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import random
 import re
@@ -32,7 +33,8 @@ KINDS = ("email", "ip", "card", "phone", "secret")
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-_IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
+# A match starts where its run of digits does, and no match ends inside a run, so no place within one is tried.
+_IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++)(?:\.[0-9]++)(?:\.[0-9]++)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
@@ -96,7 +98,8 @@ def candidates(text: str) -> tuple[list, list]:
     """Spans that the base rules accept, and the other proposed spans."""
     matches = base_matches(text)
     base = [x for x in matches if accepted(x[0], text[x[1]:x[2]])]
-    more = [x for x in matches if x not in base and x[2] - x[1] >= 7]
+    kept = set(base)
+    more = [x for x in matches if x not in kept and x[2] - x[1] >= 7]
     if "(at" in text or "[at" in text or "(AT" in text or "[AT" in text:
         more += [("email", *m.span()) for m in _LOOSE["email"].finditer(text)]
     if _DIGIT.search(text):
@@ -151,6 +154,13 @@ def _generated(rng: random.Random, n: int) -> list[tuple[str, str, str, str, int
                ("secret", d(rng.randint(20, 30)))]
         bad = [x for x in bad if not (x[0] == "card" and accepted(*x))]
         out += [(k, s, before, after, 1) for k, s in good] + [(k, s, before, after, 0) for k, s in bad]
+        # What the words before a number say about it, and paths and names that are no keys.
+        call, number = before + rng.choice(["call ", "phone: ", "tel ", "Mobile "]), before + rng.choice(["order ", "invoice ", "Order no ", "ISBN ", "version "])
+        groups = rng.choice([f"{d(3)} {d(3)} {d(4)}", f"{d(3)}-{d(4)}-{d(4)}", f"{d(4)} {d(6)}"[:11], f"{d(5)} {d(5)}"])
+        isbn = f"97{rng.choice('89')}-{d(1)}-{d(2)}-{d(6)}-{d(1)}"
+        path = "/" + "/".join(w() + rng.choice(["", "", d(1), d(2)]) for _ in range(rng.randint(3, 7))) + d(1)
+        out += [("phone", groups, call, after, 1), ("phone", groups, number, after, 0), ("secret", path, before, after, 0)]
+        out += [("card", isbn, rng.choice([before, number]), after, 0)] * (not accepted("card", isbn))
         out += [("secret", key, named, "\"", 1), ("secret", mixed + d(2), named, "", 1), ("secret", mixed + d(1), before, after, 1), ("secret", key, before, after, 1)]
     return out
 
@@ -168,30 +178,65 @@ def _variants(kind: str, span: str, before: str, after: str) -> list[tuple[str,
     return out
 
 
-def fit_selector(examples: list[tuple[str, str, str, str, int]], precision: float = PRECISION) -> tuple[Forest, float]:
-    """Trees and the threshold; examples (kind, span, before, after, label) are split by a hash of their text."""
+def fit_selector(examples: list[tuple[str, str, str, str, int]], precision: float = PRECISION) -> tuple[Forest, dict[str, float]]:
+    """Trees and a threshold for every kind; examples (kind, span, before, after, label) are split by a hash of their text.
+
+    A threshold is the least one, from a half on, above which the held-out examples of the kind reach the precision. A
+    kind that has none, or no held-out example of its own, is not added to the base spans.
+    """
     x = np.array([features(*e[:4]) for e in examples], np.int64)
     y = np.array([e[4] for e in examples], float)
     part = np.array([hashlib.md5("|".join(e[:3]).encode("utf-8", "surrogatepass")).digest()[0] % 4 for e in examples])
     forest = fit_forest(x[part != 0], y[part != 0])
     calibrate(forest, x[part == 0], y[part == 0])
-    p, truth = forest.probability(x[part == 0]), y[part == 0]
-    order = np.argsort(-p, kind="stable")
-    share = np.cumsum(truth[order]) / np.arange(1, len(order) + 1)
-    good = np.flatnonzero(share >= precision)
-    return forest, max(0.5, float(p[order][good[-1]])) if len(good) else 1.1
-
-
-def select_spans(text: str | None, forest: Forest, threshold: float) -> tuple[list, list]:
+    p = forest.probability(x[part == 0])
+    thresholds = {}
+    for k, kind in enumerate(KINDS):
+        own = x[part == 0][:, 0] == k
+        order = np.flatnonzero(own)[np.argsort(-p[own], kind="stable")]
+        share = np.cumsum(y[part == 0][order]) / np.arange(1, len(order) + 1)
+        # Equal probabilities are selected together.
+        last = np.append(p[order][1:] != p[order][:-1], True)[:len(order)]
+        good = np.flatnonzero((share >= precision) & last)
+        # Halfway to the next example below, or a half where there is none.
+        thresholds[kind] = max(0.5, float(p[order][good[-1]:good[-1] + 2].mean())) if len(good) and good[-1] + 1 < len(order) else 0.5 if len(good) else 1.1
+    return forest, thresholds
+
+
+class Intervals:
+    """Disjoint intervals in order; those that overlap an added one become one with it."""
+
+    def __init__(self):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+
+    def free(self, a: int, b: int) -> bool:
+        k = bisect.bisect_right(self.ends, a)
+        return k == len(self.ends) or self.starts[k] >= b
+
+    def add(self, a: int, b: int) -> None:
+        low, high = bisect.bisect_right(self.ends, a), bisect.bisect_left(self.starts, b)
+        if low < high:
+            a, b = min(a, self.starts[low]), max(b, self.ends[high - 1])
+        self.starts[low:high], self.ends[low:high] = [a], [b]
+
+
+def select_spans(text: str | None, forest: Forest, thresholds: dict[str, float]) -> tuple[list, list]:
     """Base spans, and all spans: base ones and the selected others that overlap neither these nor a surer one."""
     base, more = candidates(text or "")
-    more = [s for s in more if not any(a < s[2] and s[1] < b for _, a, b in base)]
+    taken = Intervals()
+    for _, a, b in sorted(base, key=lambda s: s[1]):
+        taken.add(a, b)
+    # An address or a card that fails its check is none; what it holds may still be a number of another kind.
+    more = [s for s in more if s[0] not in ("ip", "card") and taken.free(s[1], s[2])]
     chosen = []
     if more:
         p = forest.probability(np.array([features(*_pieces(text, s)) for s in more], np.int64))
         for k in sorted(range(len(more)), key=lambda k: (-p[k], more[k][1])):
-            if p[k] >= threshold and not any(a < more[k][2] and more[k][1] < b for _, a, b in chosen):
+            kind, a, b = more[k]
+            if p[k] >= thresholds[kind] and taken.free(a, b):
                 chosen.append(more[k])
+                taken.add(a, b)
     order = lambda s: (KINDS.index(s[0]), s[1])
     return sorted(base, key=order), sorted(base + chosen, key=order)
 
@@ -210,7 +255,7 @@ def _example_rows(batches):
                                          ["kind", "span", "before", "after", "label"])
 
 
-def learned(docs: DataFrame, text: str = "text", key: str = "doc_id") -> tuple[Forest, float]:
+def learned(docs: DataFrame, text: str = "text", key: str = "doc_id") -> tuple[Forest, dict[str, float]]:
     ids = bounded_sample(docs.select(F.col(key).alias("sample_id")).dropna().distinct(), "sample_id", SAMPLE_DOCUMENTS)
     chosen = docs.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text")).dropna().join(
         F.broadcast(ids), F.col("id") == F.col("sample_id")).select("text")  # at most SAMPLE_DOCUMENTS keys
@@ -221,7 +266,6 @@ def learned(docs: DataFrame, text: str = "text", key: str = "doc_id") -> tuple[F
 
 
 
-
 def _listed(spans: list) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
 
@@ -238,7 +282,7 @@ def redact(text: str | None, spans: list) -> str | None:
     return "".join(out) + text[last:]
 
 
-def _find(text: str, forest: Forest, threshold: float, clean: bool):
+def _find(text: str, forest: Forest, thresholds: dict[str, float], clean: bool):
     def run(batches):
         for batch in batches:
             for start, stop in slices(batch, text):
@@ -246,7 +290,7 @@ def _find(text: str, forest: Forest, threshold: float, clean: bool):
                 cols: list[list] = [[] for _ in range(7)]
                 for t in part.column(text):
                     t = t.as_py()
-                    base, spans = select_spans(t, forest, threshold)
+                    base, spans = select_spans(t, forest, thresholds)
                     for col, value in zip(cols, [*(sum(s[0] == k for s in base) for k in KINDS[:4]), hashlib.sha256(
                             _listed(base).encode()).hexdigest(), _listed(spans), redact(t, spans) if clean else None], strict=True):
                         col.append(value)
@@ -267,17 +311,17 @@ def find_pii(docs: DataFrame, text: str = "text", key: str = "doc_id", model: tu
     Counts and the digest are of the base spans, ``spans`` lists all. A null text counts as empty. Rows without a key or
     with a repeated one are rows like others. Other columns are not looked at.
     """
-    forest, threshold = model or learned(docs, text, key)
+    forest, thresholds = model or learned(docs, text, key)
     rows = docs.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text"))
     kind = dict(rows.dtypes)["id"]
-    return rows.mapInArrow(_find("text", forest, threshold, False), f"doc_id {kind}, n_email long, n_ip long, n_card long, "
+    return rows.mapInArrow(_find("text", forest, thresholds, False), f"doc_id {kind}, n_email long, n_ip long, n_card long, "
                            "n_phone long, base_sha256 string, spans string")
 
 
 def redacted(docs: DataFrame, text: str = "text", key: str = "doc_id", model: tuple | None = None) -> DataFrame:
     """``docs`` with every span in the text replaced by its kind in brackets; a null text stays null."""
-    forest, threshold = model or learned(docs, text, key)
-    return docs.mapInArrow(_find(text, forest, threshold, True), docs.schema)
+    forest, thresholds = model or learned(docs, text, key)
+    return docs.mapInArrow(_find(text, forest, thresholds, True), docs.schema)
 
 
 @query("op5_pii")
