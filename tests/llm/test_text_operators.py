@@ -5,13 +5,14 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
 import pytest
 import xxhash
 
-from tidemark.llm import decontamination, html_text, language, near_dups, packing, pii, quality, toxicity, warc
+from tidemark.llm import decontamination, html_text, language, lstm, near_dups, packing, pii, quality, toxicity, warc
 from tidemark.llm.common import fold_of
 from tidemark.llm.crf import forward_backward
 from tidemark.llm.token_counts import Counter, character_classes, count_tokens, odd_characters
@@ -420,3 +421,107 @@ def test_blocks_confirm_and_report_what_was_sure(spark):
     found = spark.createDataFrame([(7, 0, 0, [1, 1, 2], [2, 3, 3], [True, True, False]), (7, 0, 1, [1], [4], [False])], near_dups._FOUND)
     got = {tuple(r) for r in near_dups.confirmed_blocks(found, table).collect()}
     assert got == {(1, 2, True), (1, 3, False), (1, 4, True)}
+
+
+@pytest.mark.parametrize("page, texts", [
+    ("<article><p title=it's>Hello world</p><p>Second part</p></article>", ["Hello world", "Second part"]),
+    ("<p>a <a title=don't href=x>b</a> c's", ["a b c's"]), ("<p id='1'class=x>one<p a= 'x>y' b=\"'>\">two", ["one", "two"]), ("<p =\"x\">one<p a=/b/>two", ["one", "two"])])
+def test_html_attributes_with_quotes(page, texts):
+    assert [b[0] for b in html_text.blocks(page)] == texts
+
+
+def test_html_of_any_depth_is_read_in_time():
+    start = time.monotonic()
+    found = html_text.blocks("".join(f"<div class=c{i % 700}>x" for i in range(40_000)))
+    assert len(found) == 40_000 and html_text.vectors(found).shape[0] == 40_000
+    assert len(html_text.blocks("<svg>x" * 40_000 + "</svg>" * 2 + "<p>y")) > 0
+    assert time.monotonic() - start < 20  # paths by block were a quadratic number of names
+
+
+def test_paths_tell_alike_however_they_are_made():
+    for names, label in [((("<article",), ("<header",), ("<h1",)), 1), ((("<header",), ("<article",)), 0), ((("<div", "text"), ("<nav",)), 0), ((("<div", "post"),), 1),
+                         ((("<article",), ("<section", "comments")), 0), ((("<body",), ("<p",)), -1)]:
+        path = html_text.path_of((("<html",), *names))
+        assert html_text.weak_label(path) == label and path is html_text.path_of((("<html",), *names))
+        cells = {html_text._hash(w, html_text.PATH) for n in (("<html",), *names) for w in n}
+        assert set(np.flatnonzero(path.vector)) == cells
+
+
+def test_blocks_are_told_without_names(spark):
+    """Held-out composed pages whose paths are taken away: place, words and link density have to do."""
+    rng = random.Random(4)
+    net = html_text.fit_labeller([PAGE] * 3)
+    hits = wanted = found = 0
+    for _ in range(120):
+        page, label = html_text._composed(rng, [prose(rng, 30) + "." for _ in range(40)])
+        x = html_text.vectors(page)
+        x[:, :html_text.PATH] = 0
+        keep, label = lstm.probabilities(net, [x])[0] >= 0.5, np.array(label) == 1
+        hits, wanted, found = hits + (keep & label).sum(), wanted + label.sum(), found + keep.sum()
+    assert 2 * hits / (wanted + found) > 0.8
+
+
+def test_lstm_forward():
+    """All steps of both directions written out, lanes of other lengths beside."""
+    rng = np.random.default_rng(6)
+    net = lstm.init(3, 2)
+    for k in net:
+        net[k] = rng.normal(size=net[k].shape).astype(np.float32)
+    sequences = [rng.normal(size=(n, 3)).astype(np.float32) for n in (4, 1, 7, 0)]
+    sigmoid = lambda v: 1 / (1 + np.exp(-v))
+    for s, got in zip(sequences, lstm.probabilities(net, sequences), strict=True):
+        score = s @ net["skip"] + net["bias"]
+        for d, order, w in (("f", range(len(s)), net["out"][:2]), ("b", range(len(s))[::-1], net["out"][2:])):
+            h, c = np.zeros(2), np.zeros(2)
+            for t in order:
+                f, i, o, g = np.split(s[t] @ net[f"x{d}"] + h @ net[f"h{d}"] + net[f"c{d}"], 4)
+                c = sigmoid(f) * c + sigmoid(i) * np.tanh(g)
+                h = sigmoid(o) * np.tanh(c)
+                score[t] += h @ w
+        assert np.allclose(got, sigmoid(score), atol=1e-5)
+
+
+def test_lstm_learns_from_what_stands_far_off():
+    """The label of a step is the first input of the sequence: only a gradient through all steps finds it."""
+    rng = np.random.default_rng(9)
+    sequences = [np.column_stack([[v, *[0] * 9], rng.normal(size=10)]).astype(np.float32) for v in rng.choice([-1.0, 1.0], 256)]
+    labels = [np.full(10, s[0, 0] > 0, np.float32) for s in sequences]
+    net = lstm.fit(sequences[:192], labels[:192], hidden=6, rounds=60)
+    assert np.mean([((p >= 0.5) == y).mean() for p, y in zip(lstm.probabilities(net, sequences[192:]), labels[192:], strict=True)]) > 0.95
+
+
+def test_pii_of_long_texts_and_of_numbers_that_are_none(spark):
+    rng = random.Random(3)
+    forest, thresholds = pii.fit_selector(pii._generated(random.Random(7), 150))
+    assert set(thresholds) == set(pii.KINDS)
+    text = " word ".join(rng.choice(["a@b.cd", "1.2.3.4", "555-123-4567", "999.1.1.1", "4111 1111 1111 1111", "(617) 555-1234"]) for _ in range(60_000)) + " " + "1" * 500_000
+    start = time.monotonic()
+    base, spans = pii.select_spans(text, forest, thresholds)
+    assert time.monotonic() - start < 60  # pairs of spans, and all ends of a run of digits, took hours
+    assert set(base) <= set(spans) and len(spans) > len(base) > 29_000
+    for text in ["see /usr/share/lib64/python3/site-packages/x2 there", "our order 123-4567-8901 came", "by ISBN 978-3-16-148410-0 it is", "on 2021-03-04 and 12 12 12"]:
+        assert pii.select_spans(text, forest, thresholds)[1] == []
+    assert pii.select_spans("please call 555 123 4567 now", forest, thresholds)[1] == [("phone", 12, 24)]
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_intervals(seed):
+    rng, held, tree = random.Random(seed), [], pii.Intervals()
+    for _ in range(60):
+        a = rng.randrange(100)
+        b = a + rng.randint(1, 9)
+        assert tree.free(a, b) == (not any(x < b and a < y for x, y in held))
+        if rng.random() < 0.5:
+            tree.add(a, b)
+            held.append((a, b))
+    assert tree.starts == sorted(tree.starts) and all(x <= y for x, y in zip(tree.ends, tree.starts[1:]))
+
+
+def test_pii_added_spans_held_out():
+    """Precision and recall of each kind on generated spans of another seed, in their contexts."""
+    forest, thresholds = pii.fit_selector(pii._generated(random.Random(7), 150))
+    planted = pii._generated(random.Random(99), 100)
+    for kind in ("email", "phone", "secret"):  # the base rules alone decide on the others
+        own = [(e, any(s[0] == kind for s in pii.select_spans(e[2] + e[1] + e[3], forest, thresholds)[1])) for e in planted if e[0] == kind]
+        hits = sum(h and e[4] for e, h in own)
+        assert hits >= 0.95 * sum(h for _, h in own) and hits >= 0.85 * sum(e[4] for e, _ in own)

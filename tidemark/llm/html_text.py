@@ -4,8 +4,9 @@ A page becomes the sequence of its blocks of text. A bidirectional LSTM reads fo
 path (tags, classes and ids) and of its words and a few figures, and so judges a block by the whole page around it.
 
 It learns from a bounded sample of pages, in which blocks below telling elements (an article, a menu, a footer, ...) are
-labelled, and from composed pages with the furniture that the sample may lack. In a part of the examples the telling
-names are taken away, so that place, words and link density have to do.
+labelled, and from composed pages with the furniture that the sample may lack. Only these labels come from lists of
+names; the network reads hashed names. In a part of the examples most or all names are taken away, so that place, words
+and link density have to do.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ import html
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +28,7 @@ from tidemark.llm.common import bounded_sample, query, slices, table
 #: Bound on the pages that the labeller is fitted on.
 SAMPLE_PAGES = 240
 #: Sizes of the hashed path and word vectors.
-PATH, WORDS = 96, 32
+PATH, WORDS = 128, 64
 _FIGURES = 6
 
 # Element kinds of the HTML standard.
@@ -43,11 +45,12 @@ _ENDLESS = frozenset("html body p li dt dd tr td th thead tbody tfoot caption op
 _RAW = {n: re.compile(rf"</{n}\b[^>]*>?", re.I) for n in ("script", "style", "textarea", "title", "iframe", "noscript", "template", "svg")}
 _OPENS = {n: re.compile(rf"<{n}\b", re.I) for n in _RAW}
 _CLOSES_P = _BLOCK - {"body", "html", "head", "caption", "td", "th", "tr", "tbody", "thead", "tfoot", "option", "legend", "button", "title"}
-_PIECE = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</?([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
+# Attributes as the standard reads them: a quote opens a value only where the value begins.
+_VALUE = r"""(?>"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z)|[^\s>"'][^\s>]*+)"""
+_PIECE = re.compile(rf"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</?([a-zA-Z][^\s/>]*+)((?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+{_VALUE}?)?+)*+)(?:>|\Z)", re.S)
 _RESUME = re.compile(r"</?(?:head|body|main|article)\b", re.I)
-_NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"?|'([^']*)'?|([^\s"'>]+)))?""")
-_MAY_HIDE = re.compile(r"hidden|display", re.I)
+_MAY_TELL = re.compile(r"class|id|role|hidden|style", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"?|'([^']*)'?|([^\s>"'][^\s>]*))?)?""")
 _NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\s*(?:!\s*important\s*)?(?:;|$)", re.I)
 _PART = re.compile(r"[A-Za-z]+")
 
@@ -61,14 +64,10 @@ CONTENT = frozenset("article main content post entry story body text".split())
 _NAMES_OF_TAGS: dict[tuple[str, str], tuple] = {}
 
 
-def _hides(attributes: str) -> bool:
-    """Whether the attributes hold ``hidden`` (but not until it is found), a true ``aria-hidden``, or a style without display."""
-    if not _MAY_HIDE.search(attributes):
-        return False
-    held: dict[str, str] = {}
-    for m in _ATTRIBUTE.finditer(attributes):  # the first of a name holds
-        held.setdefault(m[1].lower(), html.unescape(m[2] or m[3] or m[4] or "").strip().lower())
-    return held.get("hidden", "until-found") != "until-found" or held.get("aria-hidden") == "true" or bool(_NO_DISPLAY.search(held.get("style", "")))
+def _hides(held: dict[str, str]) -> bool:
+    """Whether there is ``hidden`` (but not until it is found), a true ``aria-hidden``, or a style without display."""
+    state = held.get("hidden", "until-found").strip().lower()
+    return state != "until-found" or held.get("aria-hidden", "").strip().lower() == "true" or bool(_NO_DISPLAY.search(held.get("style", "")))
 
 
 def _element(tag: str, attributes: str) -> tuple[tuple[str, ...], bool]:
@@ -77,22 +76,85 @@ def _element(tag: str, attributes: str) -> tuple[tuple[str, ...], bool]:
     if found is None:
         if len(_NAMES_OF_TAGS) > 50_000:
             _NAMES_OF_TAGS.clear()
-        words = [w.lower() for m in _NAMES.finditer(attributes) for w in _PART.findall(m[1] or m[2] or m[3] or "")]
-        found = (("<" + tag, *words), bool(attributes) and _hides(attributes))
+        held: dict[str, str] = {}
+        if _MAY_TELL.search(attributes):
+            for m in _ATTRIBUTE.finditer(attributes):  # the first of a name holds
+                held.setdefault(m[1].lower(), html.unescape(m[2] or m[3] or m[4] or ""))
+        words = [w.lower() for n in held if n in ("class", "id", "role") for w in _PART.findall(held[n])]
+        found = (("<" + tag, *words), bool(held) and _hides(held))
         _NAMES_OF_TAGS[tag, attributes] = found
     return found
 
 
-def blocks(page: str | None) -> list[tuple[str, tuple, int]]:
+class Path:
+    """The open elements of a place in a page. Places with the same elements are one object, which knows the one above.
+
+    What a path tells is made from the path above it once, so that a page of any depth costs the same per element.
+    """
+
+    __slots__ = ("below", "vector", "article", "content", "furniture")
+
+    def __init__(self, above: Path | None = None, names: tuple[str, ...] = ()):
+        self.below: dict[tuple, Path] = {}
+        if above is None:
+            self.vector = np.zeros(PATH, np.float32)
+            self.article = self.content = self.furniture = False
+            return
+        words = [w.lstrip("<") for w in names]
+        found = FURNITURE.intersection(words)
+        self.article = above.article or names[0] == "<article"
+        self.content = above.content or any(w in CONTENT and w != "body" for w in words)
+        # The header of an article holds its title.
+        self.furniture = above.furniture or bool(found - {"header"} if self.article else found)
+        cells = [_hash(w, PATH) for w in names]
+        self.vector = above.vector
+        if not self.vector[cells].all():  # else it is shared with the path above
+            self.vector = self.vector.copy()
+            self.vector[cells] = 1
+
+    def then(self, names: tuple[str, ...]) -> Path:
+        found = self.below.get(names)
+        if found is None:
+            global _PATHS_MADE
+            _PATHS_MADE += 1
+            self.below[names] = found = Path(self, names)
+        return found
+
+
+def _hash(word: str, size: int) -> int:
+    return zlib.crc32(word.encode("utf-8", "surrogatepass")) % size
+
+
+_ROOT, _PATHS_MADE = Path(), 0
+
+
+def root() -> Path:
+    """The path of a page without an open element; known paths are dropped between pages when there are many."""
+    global _ROOT, _PATHS_MADE
+    if _PATHS_MADE > 50_000:
+        _ROOT, _PATHS_MADE = Path(), 0
+    return _ROOT
+
+
+def path_of(names: tuple) -> Path:
+    path = root()
+    for n in names:
+        path = path.then(n)
+    return path
+
+
+def blocks(page: str | None) -> list[tuple[str, Path, int]]:
     """(text, path, characters inside links) of every block, in page order; references decoded, white space folded.
 
-    The path holds a tuple of names for each open element. Scripts, styles, titles and hidden elements have no block,
+    Scripts, styles, titles and hidden elements have no block,
     but for a silent element whose end tag is missing: nothing tells where it ends, so its content stays. A script or
     style without an end tag runs to the next tag of a head, body, main or article, or else to the end.
     """
     page = page or ""
     out: list = []
-    stack: list[tuple[str, tuple, tuple | None]] = []
+    top = root()
+    stack: list[tuple[str, Path, tuple | None]] = []
+    opened: Counter = Counter()
     links = heads = 0
     pieces: list[str] = []
     linked = 0
@@ -102,7 +164,7 @@ def blocks(page: str | None) -> list[tuple[str, tuple, int]]:
         if pieces:
             text = " ".join(html.unescape("".join(pieces)).split())
             if text:
-                out.append((text, tuple(s[1] for s in stack), linked))
+                out.append((text, stack[-1][1] if stack else top, linked))
             pieces = []
         linked = 0
 
@@ -110,6 +172,7 @@ def blocks(page: str | None) -> list[tuple[str, tuple, int]]:
         """Close the last element; a silent one that is really at its end takes back what it added."""
         nonlocal links, heads, linked, pieces
         tag, _, before = stack.pop()
+        opened[tag] -= 1
         links -= tag == "a"
         heads -= tag == "head"
         if before and (ended or tag in _ENDLESS):
@@ -122,7 +185,15 @@ def blocks(page: str | None) -> list[tuple[str, tuple, int]]:
             pop()
 
     at = 0
-    endless: set[str] = set()  # tags of which no end follows
+    ahead: dict[tuple[int, str], re.Match | None] = {}
+
+    def following(kind: dict, tag: str):
+        """The next match of the kind's pattern for the tag; looked for again only after it is passed."""
+        name = id(kind), tag
+        if name not in ahead or (ahead[name] and ahead[name].start() < at):
+            ahead[name] = kind[tag].search(page, at)
+        return ahead[name]
+
     while at < len(page):
         low = page.find("<", at)
         m = _PIECE.match(page, low) if low >= 0 else None
@@ -144,14 +215,13 @@ def blocks(page: str | None) -> list[tuple[str, tuple, int]]:
             continue
         tag = m[1].lower()
         if page[m.start() + 1] == "/":
-            if any(s[0] == tag for s in stack):
-                while True:
-                    if stack[-1][0] in _BLOCK:
+            if opened[tag]:
+                last = None
+                while last != tag:
+                    last = stack[-1][0]
+                    if last in _BLOCK:
                         flush()
-                    top = stack[-1][0]
-                    pop(top == tag)
-                    if top == tag:
-                        break
+                    pop(last == tag)
             continue
         if heads and tag not in _HEAD:
             end_head()
@@ -164,7 +234,7 @@ def blocks(page: str | None) -> list[tuple[str, tuple, int]]:
             continue
         if tag in _BLOCK:
             flush()
-            if tag in _CLOSES_P and any(s[0] == "p" for s in stack):
+            if tag in _CLOSES_P and opened["p"]:
                 while stack and stack[-1][0] != "p" and stack[-1][0] not in _BLOCK:
                     pop()
                 if stack and stack[-1][0] == "p":
@@ -176,36 +246,26 @@ def blocks(page: str | None) -> list[tuple[str, tuple, int]]:
             continue
         quiet = tag in _SILENT or hidden
         if tag in _RAW:
-            end = _RAW[tag].search(page, at) if tag not in endless else None
-            if not end:
-                endless.add(tag)
+            end = following(_RAW, tag)
             if tag in ("script", "style"):
                 resume = None if end else _RESUME.search(page, at)
                 at = end.end() if end else resume.start() if resume else len(page)
                 continue
-            if end and not _OPENS[tag].search(page, at, end.start()):
+            again = following(_OPENS, tag) if end else None
+            if end and not (again and again.start() < end.start()):
                 at = end.end()
                 continue
-        stack.append((tag, names, (len(out), pieces, len(pieces), linked) if quiet else None))
+        stack.append((tag, (stack[-1][1] if stack else top).then(names), (len(out), pieces, len(pieces), linked) if quiet else None))
+        opened[tag] += 1
         links += tag == "a"
         heads += tag == "head"
     flush()
     return out
 
 
-def weak_label(path: tuple) -> int:
+def weak_label(path: Path) -> int:
     """0 below furniture, 1 below an article or content element, -1 if nothing tells."""
-    names = [w.lstrip("<") for e in path for w in e]
-    if any(w in FURNITURE for w in names):
-        # The header of an article holds its title.
-        inside = [w.lstrip("<") for e in path[next((k for k, e in enumerate(path) if e[0] == "<article"), len(path)):] for w in e]
-        if not (inside and set(inside) & FURNITURE <= {"header"} and not set(names[:len(names) - len(inside)]) & FURNITURE):
-            return 0
-    return 1 if any(w in CONTENT - {"body"} for w in names) else -1
-
-
-def _hash(word: str, size: int) -> int:
-    return zlib.crc32(word.encode("utf-8", "surrogatepass")) % size
+    return 0 if path.furniture else 1 if path.content else -1
 
 
 class _Buckets(dict):
@@ -219,23 +279,6 @@ class _Buckets(dict):
 
 
 _BUCKETS = _Buckets()
-_PATHS: dict[tuple, np.ndarray] = {}
-
-
-def _path_vector(path: tuple) -> np.ndarray:
-    vector = _PATHS.get(path)
-    if vector is None:
-        if len(_PATHS) > 50_000:
-            _PATHS.clear()
-        vector = np.zeros(PATH, np.float32)
-        for e in path:
-            for w in e:
-                vector[_hash(w, PATH - 2)] = 1
-                vector[PATH - 2] += w in FURNITURE or w[1:] in FURNITURE
-                vector[PATH - 1] += w in CONTENT or w[1:] in CONTENT
-        vector[PATH - 2:] = np.minimum(vector[PATH - 2:], 1)
-        _PATHS[path] = vector
-    return vector
 
 
 def vectors(found: list) -> np.ndarray:
@@ -253,7 +296,7 @@ def vectors(found: list) -> np.ndarray:
     x[:, PATH + WORDS + 3], x[:, PATH + WORDS + 4] = np.arange(n) / n, (n - np.arange(n)) / n
     x[:, PATH + WORDS + 5] = ["©" in text for text, _, _ in found]
     for k, (_, path, _) in enumerate(found):
-        x[k, :PATH] = _path_vector(path)
+        x[k, :PATH] = path.vector
     return x
 
 
@@ -266,7 +309,7 @@ def _composed(rng: random.Random, texts: list[str]) -> tuple[list, list]:
     def put(label, names, count, low, high, inner=(), linked=False):
         for _ in range(count):
             text = line(rng.randint(low, high))
-            page.append((text, (*frame, *names, *inner), len(text) if linked else 0, label))
+            page.append((text, path_of((*frame, *names, *inner)), len(text) if linked else 0, label))
 
     li = (("<ul",), ("<li",), ("<a",))
     before = [lambda: put(0, rng.choice([(("<nav",),), (("<div", "menu"),), (("<header",), ("<nav",)), (("<div", "navigation"),)]), rng.randint(2, 8), 1, 2, li, True),
@@ -314,11 +357,12 @@ def fit_labeller(pages: list[str]) -> dict:
         sequences.append(vectors(found))
         labels.append(np.array(label, np.float32))
     noise = np.random.default_rng(5)
-    for k in range(0, len(sequences), 5):  # a fifth without names
-        blind = sequences[k].copy()
-        blind[:, :PATH] *= noise.random(PATH) < 0.3
-        sequences.append(blind)
-        labels.append(labels[k])
+    for k in range(0, len(sequences), 5):  # a fifth also with few of the names, and without any
+        for share in (0.3, 0):
+            blind = sequences[k].copy()
+            blind[:, :PATH] *= noise.random(PATH) < share
+            sequences.append(blind)
+            labels.append(labels[k])
     return lstm.fit(sequences, labels)
 
 
