@@ -180,7 +180,9 @@ def archive(pages: DataFrame, folder: str, text: str = "html", key: str = "page_
     copies = cut_lineage(rows.where(large & F.col("page").isNotNull()).groupBy("digest").agg(
         F.max("page").alias("last"), F.min("page").alias("first")).where("first < last").select(F.col("digest").alias("of"), "last"))
     few = copies.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    joined = rows.join(F.broadcast(copies) if few else copies, (F.col("digest") == F.col("of")) & large & F.col("page").isNotNull(), "left")
+    # Rows that can be no revisit have a key of their own, so that a shuffle spreads them, equal payloads as well.
+    wanted = F.when(large & F.col("page").isNotNull(), F.col("digest")).otherwise(F.concat(F.lit("-"), F.xxhash64("page", "url").cast("string")))
+    joined = rows.withColumn("wanted", wanted).join(F.broadcast(copies) if few else copies, F.col("wanted") == F.col("of"), "left")
     revisit = F.coalesce(F.col("last") != F.col("page"), F.lit(False))
     ready = joined.select("page", "url", "payload", "digest", F.when(revisit, F.col("last")).alias("refers"), revisit.alias("revisit"))
     ids = bounded_sample(rows.select(F.col("page").alias("sample_id")).dropna().distinct(), "sample_id", SAMPLE_RECORDS)
