@@ -6,6 +6,7 @@ import math
 import random
 import re
 import time
+import unicodedata
 import zlib
 
 import numpy as np
@@ -292,7 +293,7 @@ def test_packing(spark, library):
         assert [r["offset"] for r in own] == [0, *np.cumsum([r["length"] for r in own])[:-1]] and sum(r["length"] for r in own) <= 2048
 
 
-def test_warc(spark, tmp_path):
+def test_warc(spark, tmp_path, monkeypatch):
     big = "<p>" + "x y z " * 400
     rows = [(1, "http://a", big), (2, "http://b", big), (3, None, "small"), (4, "u\r\nX: y", "small"), (5, "u", None), (6, "u", ""), (None, "u", big), (2, "u", big), (7, "u", "é" * 90000)]
     pages = spark.createDataFrame([(*r, "clash") for r in rows], "page_id long, url string, html string, digest string")
@@ -301,6 +302,8 @@ def test_warc(spark, tmp_path):
     digest = lambda t: hashlib.sha1((t or "").encode()).hexdigest()
     expected = collections.Counter((i, len((t or "").encode()), digest(t), "revisit" if i == 1 else "response", 2 if i == 1 else None) for i, _, t in rows)
     assert out == expected
+    monkeypatch.setattr(warc, "BROADCAST_ROWS", 0)  # the lookup by a shuffle
+    assert collections.Counter(tuple(r) for r in warc.read_archive(warc.archive(pages, f"file://{tmp_path}/c")).collect()) == expected
     assert warc.read_archive(warc.archive(pages.limit(0), f"file://{tmp_path}/b")).count() == 0
     name = files.orderBy("bytes", ascending=False).first()["path"]
     whole = open(name, "rb").read()
@@ -525,3 +528,36 @@ def test_pii_added_spans_held_out():
         own = [(e, any(s[0] == kind for s in pii.select_spans(e[2] + e[1] + e[3], forest, thresholds)[1])) for e in planted if e[0] == kind]
         hits = sum(h and e[4] for e, h in own)
         assert hits >= 0.95 * sum(h for _, h in own) and hits >= 0.85 * sum(e[4] for e, _ in own)
+
+
+def test_letters_are_those_of_unicode():
+    """Words hold every letter of category L and nothing else, whatever the form of its numbers."""
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    found = set("".join(language.words_of(" ".join(every))))
+    assert found == {x for c in every for x in c.lower() if unicodedata.category(x)[0] == "L"}
+    assert language.words_of("½ ² ① Ⅷ 12") == [] and language.words_of("a½b x²") == ["a", "b", "x"]
+
+
+def test_runs_of_languages(spark):
+    """A stretch of another language is found, with its words; texts of several languages, of one and of none."""
+    rng = random.Random(31)
+    pick = {"aa": ["katu", "lopi", "mura", "tiko"], "bb": ["schwenz", "grubeln", "strachten", "pflotz"]}
+    say = lambda lang, n: [rng.choice(pick[lang]) + rng.choice(["", "s"]) for _ in range(n)]
+    rows = [(i, " ".join(say(["aa", "bb"][i % 2], 20)), ["aa", "bb"][i % 2]) for i in range(120)]
+    chain = language.learn_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    right = total = 0
+    texts, inner = [], []
+    for i in range(200):
+        n, first = rng.choice([1, 2, 3, 5, 10]), rng.randint(3, 15)
+        texts.append(" ".join([*say("aa", first), *say("bb", n), *say("aa", 6)]))
+        inner.append((first, n))
+    out = {r["doc_id"]: r for r in language.label_languages(frame(spark, [*texts, None, "12", "katu lopi"]), chain).collect()}
+    for i, (first, n) in enumerate(inner):
+        runs = [(x.split(":")[0], *map(int, x.split(":")[1:])) for x in out[i]["runs"].split(",")]
+        assert runs[0][1] == 0 and runs[-1][2] == first + n + 6 and all(a[2] == b[1] and a[0] != b[0] for a, b in zip(runs, runs[1:]))
+        assert len(runs) == out[i]["n_runs"]
+        said = [lang for lang, a, b in runs for _ in range(b - a)]
+        right += sum(said[k] == "bb" for k in range(first, first + n))
+        total += n
+    assert right / total > 0.95
+    assert [out[i]["runs"] for i in (200, 201, 202)] == ["", "", "aa:0:2"]

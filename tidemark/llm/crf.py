@@ -10,11 +10,15 @@ from __future__ import annotations
 
 import itertools
 import re
+import sys
+import unicodedata
 import zlib
 from dataclasses import dataclass, field
 
 import numpy as np
 
+#: Numbers that are no digits (halves, squares, circled or Roman ones): ``\w`` takes them, but they are no letters.
+_NUMBERS = frozenset(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isdecimal() and unicodedata.category(c)[0] != "L")
 #: Runs of letters. Longer ones than any word, as in scripts without spaces, are several words, one after another.
 WORD = re.compile(r"[^\W\d_]{1,64}")
 #: Hashed features.
@@ -22,6 +26,14 @@ WIDTH = 1 << 15
 _BLOCK = 64
 
 
+def letters(text: str | None) -> str:
+    """The text in lower case, every number that is no digit replaced by a space: ``WORD`` finds its words."""
+    text = (text or "").lower()
+    for c in () if text.isascii() else _NUMBERS.intersection(text):
+        text = text.replace(c, " ")
+    return text
+
+
 def word_features(words: list[str], lexicon: dict[str, int] | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Hashed features and the number of the word that each belongs to.
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import bounded_sample, fold, query, sample_order, slices, table
-from tidemark.llm.crf import WORD, Chain, associated, fit_chain, tagger_of
+from tidemark.llm.crf import WORD, Chain, associated, fit_chain, letters, tagger_of
 
 #: Bound on the labelled rows that the field is fitted on, shared by the labels; each may have LEAST_ROWS whatever their number.
 SAMPLE_ROWS, LEAST_ROWS = 1_200, 30
@@ -21,7 +21,7 @@ FOLDS, HELD_OUT = 4, 2
 
 
 def words_of(text: str | None) -> list[str]:
-    return WORD.findall((text or "").lower())
+    return WORD.findall(letters(text))
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, text: str, key: str, rows: int, of_each: bool = False) -> list:
@@ -71,6 +71,7 @@ def _label(chain: Chain | None):
                 part = batch.slice(start, stop - start)
                 texts = [words_of(t.as_py()) for t in part.column("text")]
                 names, scores, runs = ["und"] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), np.int64)
+                listed = [""] * len(texts)
                 if tagger:
                     marginal, sizes = tagger.marginals(texts)
                     full = np.flatnonzero(sizes)
@@ -82,24 +83,30 @@ def _label(chain: Chain | None):
                         turn[at] = False
                         runs[full] = np.add.reduceat(turn.astype(np.int64), at) + 1
                         scores[full] = mean.max(axis=1).clip(0, 1)
-                        for k, c in zip(full, mean.argmax(axis=1), strict=True):
+                        starts = np.flatnonzero(turn | np.isin(np.arange(len(turn)), at))
+                        ends = np.append(starts[1:], len(turn))
+                        run = np.concatenate([[0], np.cumsum(runs[full])])
+                        for i, (k, c) in enumerate(zip(full, mean.argmax(axis=1), strict=True)):
                             names[k] = chain.labels[c]
-                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("held_out"), pa.array(names), pa.array(scores), pa.array(runs)],
-                                                 ["doc_id", "held_out", "lang_pred", "score", "n_runs"])
+                            listed[k] = ",".join(f"{chain.labels[best[a]]}:{a - at[i]}:{b - at[i]}" for a, b in zip(
+                                starts[run[i]:run[i + 1]].tolist(), ends[run[i]:run[i + 1]].tolist(), strict=True))
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("held_out"), pa.array(names), pa.array(scores), pa.array(runs), pa.array(listed)],
+                                                 ["doc_id", "held_out", "lang_pred", "score", "n_runs", "runs"])
 
     return run
 
 
 def label_languages(docs: DataFrame, chain: Chain | None, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """doc_id, held_out, lang_pred, score (mean marginal of that language), n_runs (stretches of one language).
+    """doc_id, held_out, lang_pred, score (mean marginal of that language), n_runs and runs (stretches of one language).
 
+    ``runs`` lists them as language:first:end, comma-joined, in words of the text, the end exclusive; empty without a word.
     One row per row of ``docs``, repeated keys included. ``und`` with score 0 for a null text, one without a letter, or
     without a model. ``held_out`` is false for a null key. Other columns are not looked at.
     """
     rows = docs.select(F.col(key).alias("id"), F.coalesce(fold(F.col(key), FOLDS) == HELD_OUT, F.lit(False)).alias("held_out"),
                        F.col(text).cast("string").alias("text"))
     kind = dict(rows.dtypes)["id"]
-    return rows.mapInArrow(_label(chain), f"doc_id {kind}, held_out boolean, lang_pred string, score double, n_runs long")
+    return rows.mapInArrow(_label(chain), f"doc_id {kind}, held_out boolean, lang_pred string, score double, n_runs long, runs string")
 
 
 @query("op2_language")

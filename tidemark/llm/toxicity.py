@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import fold, fold_of, query, slices, table
-from tidemark.llm.crf import WORD, Tagger, fit_chain, tagger_of
+from tidemark.llm.crf import WORD, Tagger, fit_chain, letters, tagger_of
 from tidemark.llm.language import labelled_sample, words_of
 
 #: Bound on the labelled rows of either label that the field is fitted on.
@@ -135,7 +135,7 @@ def _score(model):
 def _spans(text: str, hit: np.ndarray) -> str:
     """start:end of the tagged words, neighbours joined; where lower case is longer, offsets are of that form."""
     out: list[list[int]] = []
-    for k, m in enumerate(WORD.finditer(text.lower())):
+    for k, m in enumerate(WORD.finditer(letters(text))):
         if hit[k]:
             if out and k and hit[k - 1]:
                 out[-1][1] = m.end()
