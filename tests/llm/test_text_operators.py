@@ -561,3 +561,60 @@ def test_runs_of_languages(spark):
         total += n
     assert right / total > 0.95
     assert [out[i]["runs"] for i in (200, 201, 202)] == ["", "", "aa:0:2"]
+
+
+def brute_contaminated(texts, items):
+    """Every window of every text against every window of every item; items with few windows are not covered."""
+    read = lambda t: (*decontamination.template(t), *decontamination.windows(*decontamination.template(t)[:2]))
+    out = set()
+    held = {k: read(t) for k, t in items.items()}
+    for key, text in enumerate(texts):
+        h, slot, words, good, _ = read(text)
+        for item, (ih, islot, iwords, igood, _) in held.items():
+            lines = collections.defaultdict(lambda: (set(), set()))
+            for p in good:
+                for q in igood:
+                    if (h[p:p + 5] == ih[q:q + 5]).all():
+                        at, values = lines[p - q]
+                        at.add(int(q))
+                        values |= {(iwords[q + k].lower(), words[p + k].lower()) for k in range(5) if slot[p + k]}
+            fair = [(at, v) for at, v in lines.values() if len({a for a, _ in v}) == len({b for _, b in v}) == len(v)]
+            hits = len(set().union(*(at for at, _ in fair)))
+            n = len(igood)
+            if hits >= max(min(decontamination.LEAST_HITS, n), math.ceil(n * decontamination.SHARE)) or hits >= decontamination.SURE_HITS:
+                out.add((key, item, n, hits, max(len(v) for _, v in fair)))
+    return out
+
+
+def test_decontamination_of_stock_phrases(spark, monkeypatch):
+    """Many items share windows: the same rows as by comparing all, with and without putting those windows off."""
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choice(["ka", "lo", "mi", "tu", "re"]) for _ in range(3))
+    stock = ["what is the sum of 3 and 5 if we add", "please choose the best of the four answers below and explain why it holds"]
+    items = {i: f"{word()} {word()} {rng.choice(stock)} {word()} {word()} {word()} {rng.choice(['12', '40'])} {word()} {word()} {word()} {word()}" for i in range(40)}
+    items |= {40 + i: f"{stock[1]} {word()}" for i in range(5)}
+    texts = []
+    for i in range(40):
+        base = items[rng.randrange(45)]
+        texts.append(rng.choice([base, base.replace("12", "77"), " ".join(base.split()[:rng.randint(6, 14)]), stock[i % 2], f"{prose(rng, 12)} {base} {base}", prose(rng, 30)]))
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    want = brute_contaminated(texts, items)
+    for common in (1, 8, 10**9):
+        monkeypatch.setattr(decontamination, "COMMON", common)
+        assert {tuple(r) for r in decontamination.contaminated(frame(spark, texts), bench).collect()} == want
+    assert len(want) > 40
+
+
+def test_recall_of_reparameterised_items(spark):
+    """Each planted copy has other numbers and names; every one is found, and no text without a copy is."""
+    rng = random.Random(22)
+    people, word = ["Anna", "Peter", "Maria", "Jonas", "Lena", "Felix"], lambda: "".join(rng.choice(["ka", "lo", "mi", "tu", "re"]) for _ in range(3))
+    make = lambda w, a, b, x, y: f"Once {a} {w[0]} {x} {w[1]} to {b} and {w[2]} kept {y} {w[3]} in the {w[4]} of the {w[5]}, how many {w[1]} are left"
+    bench, texts = [], []
+    for i in range(60):
+        w, (a, b, c, d) = [word() for _ in range(6)], rng.sample(people, 4)
+        bench.append((i, make(w, a, b, rng.randint(10, 99), rng.randint(100, 999))))
+        texts.append(f"{prose(rng, 30)}. {make(w, c, d, rng.randint(10, 99), rng.randint(100, 999))}. {prose(rng, 30)}")
+    texts += [f"{prose(rng, 40)} {make([word() for _ in range(6)], 'Tom', 'Eva', 5, 77)}" for _ in range(60)]
+    found = {(r["doc_id"], r["item_id"]) for r in decontamination.contaminated(frame(spark, texts), spark.createDataFrame(bench, "item_id long, text string")).collect()}
+    assert {(i, i) for i in range(60)} <= found and {d for d, _ in found} == set(range(60))

@@ -16,10 +16,11 @@ import re
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import free_name, query, slices, table
+from tidemark.session import cut_lineage
 
 #: Template tokens of a window, and how many of them have to be words.
 WIDTH, LEAST_WORDS = 5, 3
@@ -27,6 +28,8 @@ WIDTH, LEAST_WORDS = 5, 3
 SHARE, LEAST_HITS = 0.3, 4
 #: ... or this many windows whatever the share, which is a run of 13 tokens.
 SURE_HITS = 9
+#: A window of more items than this is looked up only where an item was found by other windows.
+COMMON = 8
 #: Bits of the filter that is sent to all tasks: 1 MB whatever the benchmark's size. What passes it is joined exactly.
 FILTER_BITS = 1 << 23
 
@@ -250,6 +253,34 @@ def _window_rows(batches, bits=None, shapes=None):
     _POWERS[:] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
+def _needed():
+    """Windows of an item that a document has to hold."""
+    enough = F.greatest(F.least(F.lit(LEAST_HITS), F.col("n_windows")), F.ceil(F.col("n_windows") * SHARE))
+    return F.least(enough, F.lit(SURE_HITS))
+
+
+def _met(hits: DataFrame, known: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Windows of documents with the equal windows of items, for every pair of them that holds enough.
+
+    A window of many items (a stock phrase of the benchmark) would meet all its documents with all its items. Of each
+    item such windows are put off, the most frequent first, as long as a document that holds none but these has too few
+    of them. The other windows find the pairs; for these alone the ones put off are looked up, by document and hash.
+    """
+    frequent = known.where("item_at >= 0").groupBy("hash").agg(F.countDistinct("item").alias("items")).where(
+        F.col("items") > COMMON).withColumnRenamed("hash", "of")
+    if frequent.isEmpty():
+        return hits.join(known, "hash")
+    place = F.row_number().over(Window.partitionBy("item").orderBy(F.desc_nulls_last("items"), "item_at"))
+    # An item that is looked for as a whole is found by its row at -1, which has no count and comes last.
+    ranked = known.join(frequent, (F.col("hash") == F.col("of")) & (F.col("item_at") >= 0), "left").withColumn("place", place).join(sizes, "item")
+    late = F.col("items").isNotNull() & (F.col("place") < _needed())
+    ranked = cut_lineage(ranked.select(*known.columns, late.alias("late")))
+    hits = cut_lineage(hits)
+    found = hits.join(ranked.where(~F.col("late")).drop("late"), "hash")
+    rest = found.select("key", "item").distinct().join(ranked.where("late").drop("late"), "item").join(hits, ["key", "hash"])
+    return found.unionByName(rest)
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id", item: str = "item_id",
                  item_text: str = "text") -> DataFrame:
     """doc_id, item_id, n_windows (of the item), n_hits, n_slots: one row per document and item that it holds.
@@ -263,16 +294,19 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", key:
     items = benchmark.select(F.col(item).cast("long").alias("key"), F.col(item_text).cast("string").alias("text")).dropna()
     known = items.mapInArrow(_window_rows, _HITS).select(
         F.col("key").alias("item"), F.col("at").alias("item_at"), "hash", F.col("slots").alias("item_slots")).distinct()
-    cells = known.select(F.pmod("hash", F.lit(FILTER_BITS)).alias("cell")).distinct().toPandas()["cell"].to_numpy()
-    short = items.mapInArrow(_shapes, "form long, n long, anchor long").distinct().collect()
-    cells = np.concatenate([cells, np.array([r["anchor"] % FILTER_BITS for r in short if r["anchor"] is not None], np.int64)])
-    shapes = {f: sorted({r["n"] for r in short if r["form"] == f}) for f in sorted({r["form"] for r in short})}
+    short = items.mapInArrow(_shapes, "form long, n long, anchor long")
+    # At most FILTER_BITS cells, and one row for every length of an item that is looked for as a whole.
+    cells = known.select("hash").union(short.where("anchor IS NOT NULL").select("anchor")).select(
+        F.pmod("hash", F.lit(FILTER_BITS)).alias("cell")).distinct().toPandas()["cell"].to_numpy()
+    sizes = short.select("form", "n").distinct().collect()
+    shapes = {f: sorted({r["n"] for r in sizes if r["form"] == f}) for f in sorted({r["form"] for r in sizes})}
     bits = np.zeros(FILTER_BITS // 8, np.uint8)
     np.bitwise_or.at(bits, cells >> 3, np.uint8(1) << (cells & 7).astype(np.uint8))
     shared = spark.sparkContext.broadcast(bits)
     hits = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text")).dropna().mapInArrow(
         lambda batches: _window_rows(batches, shared.value, shapes), _HITS)
-    pairs = hits.join(known, "hash").select(
+    sizes = known.groupBy("item").agg(F.greatest(F.lit(1), F.countDistinct(F.when(F.col("item_at") >= 0, F.col("item_at")))).alias("n_windows"))
+    pairs = _met(hits, known, sizes).select(
         "key", "item", "item_at", (F.col("at") - F.col("item_at")).alias("shift"), F.arrays_zip(
             F.col("item_slots").alias("i"), F.col("slots").alias("d")).alias("values"))
     # One alignment of one document with one item: at most as many rows as the item has windows.
@@ -284,10 +318,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", key:
     found = good.groupBy("key", "item").agg(
         F.countDistinct(F.when(F.col("at") >= 0, F.col("at"))).alias("n_hits"), F.max("slots").cast("long").alias("n_slots"),
         F.max(F.col("at") < 0).alias("whole"))
-    sizes = known.groupBy("item").agg(F.greatest(F.lit(1), F.countDistinct(F.when(F.col("item_at") >= 0, F.col("item_at")))).alias("n_windows"))
     found = found.join(sizes, "item").withColumn("n_hits", F.when(F.col("whole"), F.col("n_windows")).otherwise(F.col("n_hits")))
-    enough = F.greatest(F.least(F.lit(LEAST_HITS), F.col("n_windows")), F.ceil(F.col("n_windows") * SHARE))
-    return found.where((F.col("n_hits") >= enough) | (F.col("n_hits") >= SURE_HITS)).select(
+    return found.where(F.col("n_hits") >= _needed()).select(
         F.col("key").alias("doc_id"), F.col("item").alias("item_id"), "n_windows", "n_hits", "n_slots")
 
 
