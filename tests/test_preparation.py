@@ -61,3 +61,18 @@ def test_scorecard_explains_itself(spark):
     assert rows[1]["health_fields"] == ["Status", "Total funding", "Funding rounds"]
     assert rows[3]["health_fields"] == [] and rows[3]["health"] == 50.0
     assert rows[3]["health_why"].startswith("No useful dataset signal") and rows[1]["profile"] == "early"
+
+
+def test_record_table_sums_lines_after_their_shuffle_and_is_not_shuffled_again(spark):
+    from tidemark.plans import records
+
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        prepared = prepare(records.record_profile(spark, "/root/testdata/sf0.001"))
+        plan = prepared._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "Exchange" not in plan[:plan.index("SortMergeJoin")]  # the row distinct uses the order key's shuffle
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "regionkey" not in line]
+    assert len(moved) == 6  # lines twice, orders twice, customers, parts
