@@ -227,3 +227,23 @@ def test_drilldown_finds_and_names_separate_groups(spark):
     assert tables["profile"].where("feature = 'funding_rounds'").count() == 3
     none = segment_drilldown(df, df.select("k", "c", *features), "k", "c", "absent", features)
     assert [t.count() for t in none.values()] == [0, 0, 0]
+
+
+def test_starts_of_one_fit_run_at_the_same_time_and_give_the_same_centers(spark, monkeypatch):
+    import threading
+
+    from tidemark.operators import kmeans as K
+
+    rows = spark.createDataFrame([(float(i % 7), float(i * i % 11)) for i in range(200)], "a double, b double")
+    monkeypatch.setattr(K, "FITS_AT_ONCE", 1)
+    alone = K.kmeans_fit(rows, ["a", "b"], 3, starts=2)
+    monkeypatch.undo()
+    both, fit = threading.Barrier(2, timeout=30), K.KMeans.fit
+
+    def meet(self, *args):
+        both.wait()  # broken unless two fits are under way
+        return fit(self, *args)
+
+    monkeypatch.setattr(K.KMeans, "fit", meet)
+    together = K.kmeans_fit(rows, ["a", "b"], 3, starts=2)
+    assert [[round(x, 9) for x in c] for c in together] == [[round(x, 9) for x in c] for c in alone]
