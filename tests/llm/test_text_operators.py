@@ -418,6 +418,23 @@ def test_transducer_is_bounded(library, monkeypatch):
         assert len(counter.transducer.states) <= most
 
 
+def test_ids_ask_for_each_word_once(library, monkeypatch):
+    from tidemark.llm import token_counts
+
+    path = packing.default_tokenizer()
+    rng = random.Random(32)
+    texts = [*(t or "" for t in ODD), *(prose(rng, 300) for _ in range(40)), "Ünïcödé. 日本語! é😀"]
+    expected = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    for most in (token_counts.MOST_WORDS, 50):  # the second drops all words before each batch
+        monkeypatch.setattr(token_counts, "MOST_WORDS", most)
+        counter, asked = Counter(path, character_classes(path), odd_characters(path)), collections.Counter()
+        model = counter.words.model
+        counter.words.model = type("Model", (), {"tokenize": lambda self, w: asked.update([w]) or model.tokenize(w)})()  # noqa: B023
+        for _ in range(2):
+            assert [ids.tolist() for ids, _ in counter.encode(texts)] == expected
+        assert set(asked.values()) == {1 if most > 50 else 2} and "transducer" not in vars(counter)
+
+
 def test_blocks_confirm_and_report_what_was_sure(spark):
     sets = {1: range(100), 2: range(5, 105), 3: range(50, 150), 4: range(0, 100)}
     table = spark.createDataFrame([(k, np.array(v, np.uint64).tobytes()) for k, v in sets.items()], "cls long, shingles binary")

@@ -8,8 +8,7 @@ is kept by a monotone queue; lengths that are powers of two need no padding and
 A stream is cut in stretches of bounded length; the last, unfilled window of a stretch is carried into the next. Nothing
 is shuffled, and a lost task is made again from its own input split with the same result.
 
-Ids are those of the tokenizer's library; they are read off the transducer of ``token_counts``, which meets each
-distinct piece of a word once, where the library encodes every rare word anew.
+Ids are those of the tokenizer's library, which is asked for each distinct word once, as far as a worker holds them.
 """
 
 from __future__ import annotations

@@ -17,7 +17,7 @@ from __future__ import annotations
 import json
 import unicodedata
 from collections.abc import Callable
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +30,8 @@ from tidemark.llm.common import query, slices, table
 LIMIT = 2048
 #: Symbols of a chunk, bytes of the longest word that is read by states, and states held at once.
 CHUNK, LONG, MOST_STATES = 256, 64, 320_000
+#: Distinct words whose token numbers a worker holds at once.
+MOST_WORDS = 300_000
 #: The table of transitions begins with 2 ** so many slots and doubles when it is half full.
 SLOT_BITS = 14
 _END = 256
@@ -92,8 +94,7 @@ class Transducer:
         self.ranks: dict[tuple, int] = {}
         for rank, (a, b) in enumerate(model["merges"]):
             self.ranks[self._piece(a, of), self._piece(b, of)] = rank
-        self.number = {self._piece(t, of): k for t, k in model["vocab"].items()}
-        tokens = set(self.number)
+        tokens = {self._piece(t, of) for t in model["vocab"]}
         self.inner = {t: t for t, last in tokens if not last}  # states share the tokens that are in here
         self.final = {t for t, last in tokens if last}
         # What a token that is not yet read whole can begin with; a word-end token still needs the end.
@@ -113,8 +114,6 @@ class Transducer:
         # (relative to now) at the place where that token would begin.
         start = (b"", ((0, b"", 0),))
         self.states, self.place = [start], {start: 0}
-        # Number and length of the last token of a state, without and with a word end behind it.
-        self.last, self.closing = np.zeros((2, 1024), np.int32), np.zeros((2, 1024), np.int32)
 
     def _encode(self, parts: list) -> list:
         rank = self.ranks.get
@@ -155,7 +154,6 @@ class Transducer:
                 token = ends[len(ends) - length:]
                 if length and token in self.final and self._follows(before, token, True):
                     best = count + 1
-                    self.closing[:, state] = self.number[token, True], length
                     break
             if best is None and ends:
                 raise ValueError(f"no encoding ends in {ends!r}")
@@ -180,10 +178,6 @@ class Transducer:
                 raise _Full
             place = self.place[after] = len(self.states)
             self.states.append(after)
-            if place == self.last.shape[1]:
-                self.last = np.concatenate([self.last, np.zeros_like(self.last)], axis=1)
-                self.closing = np.concatenate([self.closing, np.zeros_like(self.closing)], axis=1)
-            self.last[:, place] = self.number[token, False], len(token)
         self._put(state, symbol, place, change)
 
     def _put(self, state: int, symbol: int, after: int, change: int):
@@ -236,17 +230,16 @@ class Transducer:
             found[missing] = self._look_up(keys[missing])
         return found >> 16, (found & 0xFFFF) - 0x8000
 
-    def emissions(self, stream: np.ndarray, states: np.ndarray | None = None) -> np.ndarray:
+    def emissions(self, stream: np.ndarray) -> np.ndarray:
         """The change of the token count at every symbol of a stream that ends with a word end.
 
-        ``states``, if given, is filled with the state behind every symbol. Raises ``_Full`` if there are too many.
+        Raises ``_Full`` if there are too many states.
         """
         count = -(-len(stream) // CHUNK)
         padded = np.full(count * CHUNK, _END, np.int64)  # at the start state a word end changes nothing
         padded[:len(stream)] = stream
         symbols = padded.reshape(count, CHUNK)
         out = np.zeros((count, CHUNK), np.int16)
-        passed = np.zeros((count, CHUNK), np.int32) if states is not None else None
         is_end = symbols == _END
         closed = is_end.any(axis=1)
         first = np.where(closed, is_end.argmax(axis=1), CHUNK)  # a chunk's head goes up to its first word end
@@ -256,8 +249,6 @@ class Transducer:
             lanes = np.flatnonzero(first < t)
             if len(lanes):
                 exits[lanes], out[lanes, t] = self._advance(exits[lanes], symbols[lanes, t])
-                if passed is not None:
-                    passed[lanes, t] = exits[lanes]
         # A chunk is entered in the state in which the one before is left.
         if not closed[:-1].all():
             raise ValueError(f"a word has more than {CHUNK} symbols")
@@ -265,10 +256,6 @@ class Transducer:
         for t in range(int(min(CHUNK, first.max(initial=0) + 1))):
             lanes = lanes[first[lanes] >= t]
             state[lanes], out[lanes, t] = self._advance(state[lanes], symbols[lanes, t])
-            if passed is not None:
-                passed[lanes, t] = state[lanes]
-        if states is not None:
-            states[:] = passed.reshape(-1)[:len(stream)]
         return out.reshape(-1)[:len(stream)]
 
     def _within_bound(self, stream: np.ndarray, run: Callable, join: Callable):
@@ -291,30 +278,50 @@ class Transducer:
         return self._within_bound(stream, lambda x: np.cumsum(self.emissions(x), dtype=np.int64),
                                   lambda one, two: np.concatenate([one, one[-1] + two]))
 
-    def tokens(self, stream: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Token numbers of a stream, and how many of them come up to each of its word ends."""
-        return self._within_bound(stream, self._tokens, lambda one, two: (
-            np.concatenate([one[0], two[0]]), np.concatenate([one[1], one[1][-1] + two[1]])))
 
-    def _tokens(self, stream: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """A state knows its last token, and the state where that token begins knows the one before, so all words are read
-        backwards side by side.
+class Words:
+    """Token numbers of words; each is asked from the vocabulary's own model when it is first met.
+
+    A word is encoded for itself, so its numbers are the same wherever it stands. At most ``MOST_WORDS`` are held, and those
+    of one call; then all are dropped.
+    """
+
+    def __init__(self, model):
+        self.model = model
+        self.symbols = {b: c for b, c in byte_symbols().items() if b != 10}
+        self.clear()
+
+    def clear(self):
+        self.place: dict[bytes, int] = {}
+        self.ids, self.edges = np.empty(0, np.uint32), np.zeros(1, np.int64)
+
+    def tokens(self, data: np.ndarray, opens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of all words in order, and how many of them come up to the end of each word.
+
+        ``data`` holds the bytes of the words, ``opens`` where each begins.
         """
-        states = np.empty(len(stream), np.int32)
-        total = np.cumsum(self.emissions(stream, states), dtype=np.int64)
-        ends = np.flatnonzero(stream == _END)
-        begins = np.concatenate([[0], ends[:-1] + 1])
-        after = total[ends]
-        ids = np.empty(int(after[-1]), np.uint32)
-        at, slot = ends - 1, after - 1
-        table = self.closing
-        while len(at):
-            here = states[at]
-            ids[slot] = table[0, here]
-            at, slot, table = at - table[1, here], slot - 1, self.last
-            going = at >= begins
-            at, slot, begins = at[going], slot[going], begins[going]
-        return ids, after
+        if len(self.place) > MOST_WORDS:
+            self.clear()
+        bounds = np.append(opens, len(data)).astype(np.int32)
+        words = pa.Array.from_buffers(pa.binary(), len(opens), [None, pa.py_buffer(bounds), pa.py_buffer(data)]).dictionary_encode()
+        distinct = words.dictionary.to_pylist()
+        fresh = [w for w in distinct if w not in self.place]
+        if fresh:
+            # No word holds a line feed.
+            written = b"\n".join(fresh).decode("latin-1").translate(self.symbols).split("\n")
+            ids, edges, read = [], [], self.model.tokenize
+            for word in written:
+                ids += [t.id for t in read(word)]
+                edges.append(len(ids))
+            self.place.update(zip(fresh, range(len(self.place), len(self.place) + len(fresh)), strict=True))
+            self.ids = np.concatenate([self.ids, np.array(ids, np.uint32)])
+            self.edges = np.concatenate([self.edges, self.edges[-1] + np.array(edges, np.int64)])
+        at = np.fromiter(map(self.place.__getitem__, distinct), np.int64, len(distinct))[words.indices.to_numpy()]
+        low = self.edges[at]
+        size = self.edges[at + 1] - low
+        after = np.cumsum(size)
+        total = int(after[-1]) if len(after) else 0
+        return self.ids[np.arange(total) + np.repeat(low - after + size, size)], after
 
 
 class Counter:
@@ -323,14 +330,20 @@ class Counter:
     def __init__(self, path: str, classes: bytes, odd: str = ""):
         from tokenizers import Tokenizer
 
-        self.transducer = Transducer(path)
+        self.path = path
         self.whole = Tokenizer.from_file(path)
+        self.words = Words(self.whole.model)
         self.odd = np.zeros(0x110000, bool)
         self.odd[[ord(c) for c in odd]] = True
         self.classes = np.frombuffer(classes, np.uint8)
         special = [t for t in json.load(open(path, encoding="utf-8"))["added_tokens"]]
         self.special = [t["content"] for t in special]
 
+    @cached_property
+    def transducer(self) -> Transducer:
+        """Made when it is first used: ids do not need it."""
+        return Transducer(self.path)
+
     def counts(self, texts: list[str]) -> np.ndarray:
         """One number per text. Special strings split a text and count one each; the library counts pieces with a long word."""
         parts, owner, extra = [], [], np.zeros(len(texts), np.int64)
@@ -360,17 +373,14 @@ class Counter:
         """
         plain = ["" if "<|" in t else t for t in texts]
         out = [(np.empty(0, np.uint32), np.empty(0, np.int64))] * len(texts)
-        stream, edges, long = self._stream(plain)
-        if len(stream):
-            ids, after = self.transducer.tokens(stream)
-            ends = np.flatnonzero(stream == _END)
-            stops = np.isin(stream[np.concatenate([[0], ends[:-1] + 1])], [46, 33, 63])
-            words = np.searchsorted(ends, edges)  # word ends before each text's end
-            low, first = 0, 0
-            for k, word in enumerate(words.tolist()):
-                high = int(after[word - 1]) if word else 0
-                out[k] = ids[low:high], after[first:word][stops[first:word]] - low
-                low, first = high, word
+        data, opens, edges, long = self._short_words(plain)
+        ids, after = self.words.tokens(data, opens)
+        stops = np.isin(data[opens], [46, 33, 63])
+        low, first = 0, 0
+        for k, word in enumerate(np.searchsorted(opens, edges).tolist()):  # words up to each text's end
+            high = int(after[word - 1]) if word else 0
+            out[k] = ids[low:high], after[first:word][stops[first:word]] - low
+            low, first = high, word
         for k in [*long, *(k for k, t in enumerate(texts) if "<|" in t)]:
             out[k] = np.array(self._by_library(texts[k]), np.uint32), np.empty(0, np.int64)
         return out
@@ -386,13 +396,26 @@ class Counter:
     def _stream(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray, list[int]]:
         """The symbols of all parts with word ends, for each part the place behind its last one, and the parts with a word
         above ``LONG`` bytes, which are left out."""
-        stream, edges, long = self._symbols([self._normalized(p) for p in parts])
+        data, opens, edges, long = self._short_words(parts)
+        if not len(data):
+            return np.empty(0, np.int64), np.zeros(len(parts), np.int64), long
+        begins = np.zeros(len(data), np.int64)
+        begins[opens] = 1
+        place = np.arange(len(data)) + np.cumsum(begins) - 1
+        stream = np.full(place[-1] + 2, _END, np.int64)
+        stream[place] = data
+        return stream, np.where(edges < len(data), place[np.minimum(edges, len(data) - 1)], len(stream)), long
+
+    def _short_words(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[int]]:
+        """``_split`` of all parts without those with a word above ``LONG`` bytes, and the numbers of these."""
+        data, opens, edges, long = self._split([self._normalized(p) for p in parts])
         if long:
             out = set(long)
-            stream, edges, _ = self._symbols(["" if k in out else self._normalized(p) for k, p in enumerate(parts)])
-        return stream, edges, long
+            data, opens, edges, _ = self._split(["" if k in out else self._normalized(p) for k, p in enumerate(parts)])
+        return data, opens, edges, long
 
-    def _symbols(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray, list[int]]:
+    def _split(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[int]]:
+        """The bytes of all words, where each word begins, where each part ends, and the parts with a long word."""
         joined = " ".join(parts) + " "
         points = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
         raw = np.frombuffer(joined.encode("utf-8"), np.uint8)
@@ -405,18 +428,13 @@ class Counter:
         inside = kind[char] != _SPACE
         begins = (start[char] & lead)[inside]
         data = raw[inside]
-        if not len(data):
-            return np.empty(0, np.int64), np.zeros(len(parts), np.int64), []
-        place = np.arange(len(data)) + np.cumsum(begins) - 1
-        stream = np.full(place[-1] + 2, _END, np.int64)
-        stream[place] = data
-        # Bytes of a part, and so its symbols, end where the next part begins.
+        # Bytes of a part end where the next part begins.
         held = np.concatenate([[0], np.cumsum(inside)])
         edges = held[np.cumsum([len(p.encode("utf-8")) + 1 for p in parts])]
         opens = np.flatnonzero(begins)
         long = opens[np.diff(np.append(opens, len(data))) > LONG]
         owners = np.unique(np.searchsorted(edges, long, "right")).tolist()
-        return stream, np.where(edges < len(data), place[np.minimum(edges, len(data) - 1)], len(stream)), owners
+        return data, opens, edges, owners
 
     @staticmethod
     def _contractions(points: np.ndarray, kind: np.ndarray, start: np.ndarray):
