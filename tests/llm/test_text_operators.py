@@ -635,3 +635,15 @@ def test_recall_of_reparameterised_items(spark):
     texts += [f"{prose(rng, 40)} {make([word() for _ in range(6)], 'Tom', 'Eva', 5, 77)}" for _ in range(60)]
     found = {(r["doc_id"], r["item_id"]) for r in decontamination.contaminated(frame(spark, texts), spark.createDataFrame(bench, "item_id long, text string")).collect()}
     assert {(i, i) for i in range(60)} <= found and {d for d, _ in found} == set(range(60))
+
+
+def test_quality_counts_every_trusted_document(spark, monkeypatch):
+    docs = spark.range(20_500).selectExpr("id AS doc_id", "'one two' AS text")
+    counts = {r["raw"]: r["target"] for r in quality.bucket_counts(docs, docs.where("doc_id < 20200")).collect()}
+    assert counts == {20_500: 20_200}
+    rng = random.Random(33)
+    odd = frame(spark, [*ODD, *(prose(rng, 30) for _ in range(20))], [*range(20), 3, 3, 5, *[None] * 5])
+    trusted = spark.createDataFrame([(3,), (3,), (4,), (19,), (None,), (99,)], "doc_id long")
+    expected = sorted(map(tuple, quality.bucket_counts(odd, trusted).collect()))
+    monkeypatch.setattr(quality, "BROADCAST_ROWS", 0)  # by a shuffle of the texts
+    assert sorted(map(tuple, quality.bucket_counts(odd, trusted).collect())) == expected and any(r[2] for r in expected)

@@ -4,8 +4,9 @@ DataFrame expressions only. Every document becomes hashed word unigrams and bigr
 buckets, one of trusted documents and one of all documents, give each bucket a log ratio; the ratio of a document is
 the mean over its n-grams, so long documents are not favoured, and one fixed threshold decides.
 
-The work on one text stays inside its row (sorted arrays instead of exploded words), so the only shuffles are the
-bucket counts, at most ``buckets`` rows a task.
+Both multinomials count every document of theirs. The work on one text stays inside its row (sorted arrays instead of
+exploded words), so the only shuffles are the bucket counts, at most ``buckets`` rows a task, and, with more trusted keys
+than are broadcast, one of the texts by their key.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACE, bounded_sample, free_name, query, table
+from tidemark.llm.common import SPACE, free_name, query, table
 
 #: n-gram buckets of both multinomials.
 BUCKETS = 1 << 13
@@ -21,8 +22,8 @@ BUCKETS = 1 << 13
 SMOOTHING = 10.0
 #: Mean log ratio from which a document is kept.
 THRESHOLD = -0.04
-#: Bound on the labelled rows that the target multinomial is fitted on. The raw one covers every document.
-TRUSTED_ROWS = 20_000
+#: So many trusted keys are looked up by broadcast (one number each), more by a shuffle of the texts.
+BROADCAST_ROWS = 500_000
 #: Symbols that are counted, as given by the rule.
 SYMBOLS = "#*$%&|<>"
 _BLANK = " \t\n\x0b\f\r"
@@ -42,16 +43,25 @@ def _ngrams(words: Column, buckets: int) -> Column:
 
 
 def bucket_counts(docs: DataFrame, trusted: DataFrame, text: str = "text", key: str = "doc_id",
-                  buckets: int = BUCKETS, trusted_rows: int = TRUSTED_ROWS) -> DataFrame:
-    """bucket, raw, target: n-grams of all documents, and of those whose key is in ``trusted``.
+                  buckets: int = BUCKETS) -> DataFrame:
+    """bucket, raw, target: n-grams of all documents, and of all those whose key is in ``trusted``.
 
     Null keys are never trusted. A key that stands in several rows marks all of them.
     """
-    ids = bounded_sample(trusted.select(F.col(key).alias("trusted_id")).dropna().distinct(), "trusted_id", trusted_rows)
-    marked = docs.select(F.col(key).alias("id"), _words(F.col(text)).alias("words")).join(
-        F.broadcast(ids), F.col("id") == F.col("trusted_id"), "left")  # at most trusted_rows keys
-    return marked.select(
-        F.col("trusted_id").isNotNull().cast("long").alias("hit"), F.explode(_ngrams(F.col("words"), buckets)).alias("bucket")
+    ids = trusted.select(F.col(key).alias("trusted_id")).dropna().distinct()
+    few = ids.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    rows = docs.select(F.col(key).alias("id"), F.col(text).alias("content"))
+    if few:
+        marked = rows.join(F.broadcast(ids), F.col("id") == F.col("trusted_id"), "left")
+    else:
+        # Rows without a key are spread by a key of their own.
+        spread = F.when(F.col("id").isNull(), F.xxhash64("content")).otherwise(F.lit(0).cast("bigint"))
+        marked = rows.withColumn("spread", spread).join(
+            ids.withColumn("trusted_spread", F.lit(0).cast("bigint")),
+            (F.col("id") == F.col("trusted_id")) & (F.col("spread") == F.col("trusted_spread")), "left")
+    return marked.withColumn("words", _words(F.col("content"))).select(
+        F.col("trusted_id").isNotNull().cast("long").alias("hit"),
+        F.explode(_ngrams(F.col("words"), buckets)).alias("bucket")
     ).groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("hit").alias("target"))
 
 
