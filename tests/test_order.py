@@ -153,3 +153,37 @@ def test_keys_keep_their_type(spark, options):
     names = ["b", "a", "Customer#000000010", "Customer#000000009", "é", "aa", ""]
     got = numbered_rows(spark.createDataFrame([(k,) for k in names], "k string"), "k", **options).collect()
     assert [r["k"] for r in sorted(got, key=lambda r: r["row_number"])] == sorted(names, key=lambda x: x.encode())
+
+
+@pytest.mark.parametrize("options", [dict(groups=0), dict(accuracy=10), dict(accuracy=100)], ids=["ranks", "brackets", "whole groups"])
+def test_large_table_quantiles_match_numpy(frame, skewed, options):
+    probs = {"p0": 0.0, "q1": 0.25, "median": 0.5, "p99": 0.99, "p1": 1.0}
+    for by in ([], ["g"]):
+        got = exact_quantiles(frame, ["x", "y"], probs, by, **RANKED, **options).collect()
+        assert len(got) == len({r[1] for r in skewed} if by else [()]) * 2
+        for row in got:
+            column = 2 if row["feature"] == "x" else 3
+            values = finite(r[column] for r in skewed if not by or r[1] == row["g"])
+            for name, p in probs.items():
+                assert row[name] == pytest.approx(np.quantile(values, p), rel=1e-12, abs=1e-12)
+
+
+def test_bracketed_quantiles_count_few_values(spark):
+    """Of many distinct values only those near the quartiles are counted one by one."""
+    from tidemark.operators.order import _bracketed_quantiles
+
+    df = spark.range(200_000).select(F.col("id").cast("double").alias("x"), F.lit(None).cast("string").alias("g"))
+    for by in ([], ["g"]):
+        found = _bracketed_quantiles(df, ["x"], {"q1": 0.25, "median": 0.5}, by, 1000)
+        assert found.select("q1", "median").first() == (49_999.75, 99_999.5)
+    store, jvm = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._jvm
+
+    def shuffled():
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        none = spark.sparkContext._gateway.new_array(jvm.double, 0)
+        stages = store.stageList(None, False, False, none, jvm.java.util.ArrayList())
+        return sum(stages.apply(i).shuffleWriteRecords() for i in range(stages.size()))
+
+    before = shuffled()
+    exact_quantiles(df, ["x"], {"median": 0.5}, small_rows=0, small=20, accuracy=1000).collect()
+    assert shuffled() - before < 10_000
