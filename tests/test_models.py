@@ -247,3 +247,23 @@ def test_starts_of_one_fit_run_at_the_same_time_and_give_the_same_centers(spark,
     monkeypatch.setattr(K.KMeans, "fit", meet)
     together = K.kmeans_fit(rows, ["a", "b"], 3, starts=2)
     assert [[round(x, 9) for x in c] for c in together] == [[round(x, 9) for x in c] for c in alone]
+
+
+def test_existing_scores_number_the_rows_once(spark):
+    """Only the numbering shuffles rows, and once; the table is not shuffled to meet the sampled keys."""
+    from tidemark.operators.components import existing_scores
+
+    rows = 20_000
+    df = spark.range(rows).select("id", (F.col("id") % 3).cast("string").alias("g"), F.rand(1).alias("PC1"), F.rand(2).alias("PC2"))
+    store, jvm = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._jvm
+
+    def shuffled() -> int:
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        none = spark.sparkContext._gateway.new_array(jvm.double, 0)
+        stages = store.stageList(None, False, False, none, jvm.java.util.ArrayList())
+        return sum(stages.apply(i).shuffleWriteRecords() for i in range(stages.size()))
+
+    before = shuffled()
+    points = existing_scores(df, "g", "id", 2000).collect()
+    assert 1800 <= len(points) <= 2000
+    assert shuffled() - before < 1.5 * rows

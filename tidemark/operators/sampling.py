@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.values import MISSING, as_number, display_value
-from tidemark.operators.order import numbered_rows
+from tidemark.operators.order import join_checked, numbered_rows
 from tidemark.operators.profiling import natural_order
 
 # Sample sizes.
@@ -84,5 +84,5 @@ def stratified_sample(df: DataFrame, label: str, key: str, max_rows: int = STRAT
         .where((F.col("_place") - 1) % F.col("_step") == 0)
         .select(key)
     )
-    # As many keys as rows in the sample.
-    return df.join(chosen, key, "left_semi")
+    # As many keys as rows in the sample: the rows are numbered once and the table is not shuffled to meet them.
+    return join_checked(df, chosen, key, "left_semi")
