@@ -76,3 +76,18 @@ def test_record_table_sums_lines_after_their_shuffle_and_is_not_shuffled_again(s
     assert "Exchange" not in plan[:plan.index("SortMergeJoin")]  # the row distinct uses the order key's shuffle
     moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "regionkey" not in line]
     assert len(moved) == 6  # lines twice, orders twice, customers, parts
+
+
+def test_tasks_of_the_record_table_follow_the_orders(spark, monkeypatch):
+    from tidemark.plans import records
+
+    expected = sorted(record_profile(spark, SF).collect())
+    monkeypatch.setattr(records, "ORDERS_PER_TASK", 100, raising=False)
+    assert sorted(record_profile(spark, SF).collect()) == expected
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables too large for a broadcast
+    try:
+        dealt = record_profile(spark, SF)
+        assert sorted(dealt.collect()) == expected
+        assert dealt.rdd.getNumPartitions() == 15
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
