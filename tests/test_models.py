@@ -267,3 +267,31 @@ def test_existing_scores_number_the_rows_once(spark):
     points = existing_scores(df, "g", "id", 2000).collect()
     assert 1800 <= len(points) <= 2000
     assert shuffled() - before < 1.5 * rows
+
+
+def test_starts_keep_their_rows_decoded(spark, monkeypatch):
+    """No start fits the cached table itself, which it would decode in every round; of large tables fewer fit at once."""
+    import threading
+
+    seen, running, most, lock = [], set(), [], threading.Lock()
+
+    class Watched(K.KMeans):
+        def fit(self, dataset):
+            with lock:
+                seen.append((dataset.storageLevel.useMemory, "InMemoryTableScan" in dataset._jdf.queryExecution().toString()))
+                running.add(self.uid)
+                most.append(len(running))
+            try:
+                return super().fit(dataset)
+            finally:
+                with lock:
+                    running.remove(self.uid)
+
+    monkeypatch.setattr(K, "KMeans", Watched)
+    df = spark.createDataFrame([(i, float(i % 2 * 100 + i % 7), float(i % 3)) for i in range(60)], "id int, x double, y double")
+    expected = K.kmeans_fit(df, ["x", "y"], 2, starts=4)
+    assert seen == [(False, True)] * 4
+    monkeypatch.setattr(K, "VALUES_AT_ONCE", 120, raising=False)
+    most.clear()
+    assert K.kmeans_fit(df, ["x", "y"], 2, starts=4) == expected
+    assert max(most) == 1
