@@ -91,3 +91,12 @@ def test_tasks_of_the_record_table_follow_the_orders(spark, monkeypatch):
         assert dealt.rdd.getNumPartitions() == 15
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_batch_preparation_reads_its_text_once_types_are_known(spark):
+    from tidemark.plans.catalog import QUERIES
+
+    prepared = QUERIES["batch_preparation"](spark, SF)
+    assert "Scan parquet" in plan(prepared) and "Scan csv" not in plan(prepared)
+    raw = prepare(record_profile(spark, SF))
+    assert {r[0] for r in prepared.select("record_id").collect()} == {r[0] for r in raw.select("record_id").collect()}
