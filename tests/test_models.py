@@ -150,6 +150,60 @@ def test_silhouette_of_all_rows_is_within_its_error(spark):
     assert tuple(K.silhouette(df.limit(0), ["a", "b"], "l", "id").first()) == (None, 0.0, 0)
 
 
+def whole_silhouette(x, labels):
+    """Every row with every other one; rows labelled None take no part."""
+    kept = np.array([v is not None for v in labels])
+    x, labels = x[kept], np.array([v for v in labels if v is not None])
+    sides = [labels == j for j in sorted(set(labels.tolist()))]
+    scores = np.zeros(len(x))
+    for i in range(len(x)):
+        d = np.sqrt(((x - x[i]) ** 2).sum(axis=1))
+        own = next(side for side in sides if side[i])
+        others = [d[side].mean() for side in sides if side is not own]
+        if own.sum() > 1 and others:
+            a, b = d[own].sum() / (own.sum() - 1), min(others)
+            scores[i] = (b - a) / max(a, b) if max(a, b) > 0 else 0
+    return scores.mean(), len(x)
+
+
+def test_silhouettes_compare_every_row_with_every_other(spark):
+    rng = np.random.default_rng(23)
+    x = rng.normal(40, 1.0, (2600, 3))
+    x[100:150] = x[100]
+    many = rng.integers(0, 40, len(x))
+    labels = [(x[:, 0] > 40).astype(int).tolist(), many.tolist(), [None if i % 5 == 0 else int(v) for i, v in enumerate(many % 3)],
+              [int(i == 7) for i in range(len(x))], [None] * len(x)]
+    rows = [(*map(float, p), *codes) for p, codes in zip(x, zip(*labels, strict=True), strict=True)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, l0 int, l1 int, l2 int, l3 int, l4 int")
+    found = K.silhouettes(df.repartition(5), ["a", "b", "c"], [f"l{i}" for i in range(5)])
+    for (score, error, n), given in zip(found[:4], labels, strict=False):
+        want, rows = whole_silhouette(x, given)
+        assert score == pytest.approx(want, abs=1e-9) and (error, n) == (0.0, rows)
+    assert found[4] == (None, 0.0, 0) and K.silhouettes(df.limit(0), ["a"], ["l0"]) == [(None, 0.0, 0)]
+    one = K.silhouette(df, ["a", "b", "c"], "l0", "a", references=None).first()
+    assert one["silhouette"] == pytest.approx(found[0][0], abs=1e-12) and one["rows"] == len(x)
+    # Rows of one place, far from zero: two labels of equal rows score 0, not what rounding leaves.
+    equal = df.limit(300).select(F.lit(0.1).alias("a"), F.lit(1e5).alias("b"), "l0")
+    assert K.silhouettes(equal, ["a", "b"], ["l0"]) == [(0.0, 0.0, 300)]
+
+
+def test_k_sweep_scores_with_all_rows(spark):
+    rng = np.random.default_rng(29)
+    x = np.concatenate([rng.normal(c, s, (n, 2)) for c, s, n in (((0, 0), 1.0, 900), ((4, 0), 1.5, 1500), ((0, 5), 0.7, 400))])
+    df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(x)], "id long, a double, b double")
+    rows = K.k_sweep(df, ["a", "b"], "id", [2, 3], starts=2).orderBy("k").collect()
+    assert [r["k"] for r in rows] == [2, 3]
+    for row in rows:
+        centers = np.array(K.kmeans_fit(df, ["a", "b"], row["k"], starts=2))
+        gaps = ((x[:, None] - centers[None]) ** 2).sum(axis=2)
+        labels = gaps.argmin(axis=1)
+        assert row["inertia"] == pytest.approx(gaps.min(axis=1).sum())
+        assert row["sizes"] == ", ".join(f"{j}: {(labels == j).sum()}" for j in range(row["k"]))
+        assert row["silhouette"] == pytest.approx(whole_silhouette(x, labels.tolist())[0], abs=1e-9) and row["standard_error"] == 0
+    part = K.k_sweep(df, ["a", "b"], "id", [3], references=64, starts=2).first()
+    assert part["standard_error"] > 0 and part["sizes"] == rows[1]["sizes"]
+
+
 def test_best_matching_is_the_best_permutation():
     rng = np.random.default_rng(4)
     for _ in range(200):
